@@ -106,3 +106,81 @@ def release_shuffles(spark: SparkSession) -> None:
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+_BYTE_CODES = mix64(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+_BASE = np.uint64(0x5851F42D4C957F2D)
+_BASE_INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+class RollingHash:
+    """Polynomial hashes, modulo 2^64, of any stretch of a byte array, from one prefix sum."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        if len(_POWERS[0]) <= n:
+            size = max(n + 1, CHUNK_BYTES + 1024)
+            for k, base in enumerate((_BASE, _BASE_INVERSE)):
+                powers = np.full(size, base, np.uint64)
+                powers[0] = 1
+                _POWERS[k] = np.cumprod(powers)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE_CODES[data] * _POWERS[0][:n], out=self.sums[1:])
+
+    def fixed(self, length: int) -> np.ndarray:
+        """Hash of the ``length`` bytes from each position on."""
+        n = len(self.sums) - length
+        return mix64((self.sums[length:] - self.sums[:n]) * _POWERS[1][:n]) if n > 0 else np.zeros(0, np.uint64)
+
+    def spans(self, start: np.ndarray, past: np.ndarray) -> np.ndarray:
+        """Hash of each stretch [start, past), its length mixed in."""
+        raw = (self.sums[past] - self.sums[start]) * _POWERS[1][start]
+        return mix64(raw + (past - start).astype(np.uint64) * GOLDEN)
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed message."""
+    parts = []
+    for a in arrays:
+        raw = np.ascontiguousarray(a).tobytes()
+        data = pa.compress(raw, "zstd", asbytes=True) if raw else b""
+        parts.append(a.dtype.str.encode().ljust(4) + len(raw).to_bytes(8, "little") + len(data).to_bytes(8, "little") + data)
+    return b"".join(parts)
+
+
+def unpack(message: bytes) -> list[np.ndarray]:
+    """The arrays of :func:`pack`."""
+    out, at = [], 0
+    while at < len(message):
+        dtype = np.dtype(message[at : at + 4].decode().strip())
+        raw, size = (int.from_bytes(message[at + x : at + x + 8], "little") for x in (4, 12))
+        at += 20
+        out.append(np.frombuffer(pa.decompress(message[at : at + size], raw, "zstd", asbytes=True), dtype) if raw else np.zeros(0, dtype))
+        at += size
+    return out
+
+
+def deltas(values: np.ndarray) -> np.ndarray:
+    """Sorted unsigned values as differences, which compress well."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
+def take_spans(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bytes of all stretches, one after the other."""
+    total = int(length.sum())
+    if not total:
+        return data[:0]
+    before = np.cumsum(length) - length
+    return data[np.arange(total) + np.repeat(start - before, length)]
+
+
+def group_starts(sorted_values: np.ndarray) -> np.ndarray:
+    """Index of the first of each run of equal values."""
+    if not len(sorted_values):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
+
+
+def message_rows(rows: list[tuple[int, int, bytes]], names=("bucket", "pid", "message")) -> pa.Table:
+    return pa.table({names[0]: pa.array([r[0] for r in rows], pa.int32()), names[1]: pa.array([r[1] for r in rows], pa.int32()), names[2]: pa.array([r[2] for r in rows], pa.binary())})

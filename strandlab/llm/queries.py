@@ -17,6 +17,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -43,5 +49,5 @@ def op7_decontaminate_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber)
+    for f in (op2_suffix_dedup, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber)
 }
