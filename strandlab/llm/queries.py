@@ -47,7 +47,13 @@ def op7_decontaminate_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import near_duplicate_classes
+
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_suffix_dedup, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber)
+    for f in (op2_suffix_dedup, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op10_jaccard_adaptive_prefix)
 }
