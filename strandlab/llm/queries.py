@@ -17,6 +17,31 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _judged(scored: DataFrame, least: float) -> DataFrame:
+    from .common import crc_bucket
+
+    held = (crc_bucket("doc_id", 4) == 2).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op1_quality_fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import crc_bucket, stage
+    from .quality import fit_quality, score_statistics, statistics_table, training_rows
+
+    stats = stage(statistics_table(table(spark, sf_dir, "documents")), "statistics")
+    labels = table(spark, sf_dir, "labels")
+    model = fit_quality(training_rows(stats, labels, crc_bucket("doc_id", 4) != 2, "quality"))
+    return _judged(score_statistics(stats, model), 0.7)
+
+
+def op3_toxicity_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit_toxicity, with_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return _judged(with_toxicity(docs, model, score_col="score", keep=["doc_id"]), 0.3)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeats
 
@@ -55,5 +80,5 @@ def op10_jaccard_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_suffix_dedup, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op10_jaccard_adaptive_prefix)
+    for f in (op1_quality_fourier, op2_suffix_dedup, op3_toxicity_subsequence, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op10_jaccard_adaptive_prefix)
 }
