@@ -9,6 +9,7 @@ many partitions there are, and no shuffle is needed.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -18,52 +19,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEQ_LEN = 1024
-#: Distinct words whose ids a worker remembers; it forgets all of them when full.
-MEMO_WORDS = 200_000
-
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Splitting pattern of byte-level BPE vocabularies of this family (fixed value).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_ranks(path: str) -> dict[bytes, int]:
+    """Ranks by bytes of a byte-level BPE vocabulary file; its letters stand for bytes, the printable ones for themselves."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    return {bytes(letters[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in special}
+
+
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, with remembered words.
+    """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The vocabulary's splitting pattern starts a new part at each single space between two characters that are not white
-    space, so the ids of a text are the ids of its space-separated parts, one after the other. Texts that hold other
-    white space next to a space are encoded whole."""
+    In a byte-level BPE vocabulary ids are in the order of its merges, so its ranks alone give the same ids."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def parts(self, text: str) -> list[str]:
-        """Parts whose ids make up the text's ids."""
-        cut = text.split(" ")
-        out = [cut[0]]
-        for part in cut[1:]:
-            # a part that is empty or has white space at its edge belongs to its neighbours
-            if part and not part[0].isspace() and out[-1] and not out[-1][-1].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.parts(t) if t else [] for t in texts]
-        memo = self.memo
-        fresh = list({p for parts in cut for p in parts if p not in memo})
-        if len(memo) + len(fresh) > MEMO_WORDS:
-            memo.clear()
-            fresh = list({p for parts in cut for p in parts})
-        for i in range(0, len(fresh), 10_000):
-            some = fresh[i : i + 10_000]
-            memo.update(zip(some, self._encode(some)))
-        return [b"".join(map(memo.__getitem__, parts)) for parts in cut]
+        import tiktoken
+
+        self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=byte_ranks(path), special_tokens={})
+
+    def encode(self, text: str) -> bytes:
+        return self.encoding.encode_to_numpy(text).astype("<u4").tobytes()
 
 
 class SumOfSquares:
@@ -149,8 +133,8 @@ def pack_documents(
             for batch in batches:
                 for i in range(0, batch.num_rows, 256):
                     part = batch.slice(i, 256)
-                    for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
-                        yield doc, ids + end
+                    for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                        yield doc, (encoder.encode(text) if text else b"") + end
 
         out: list[tuple] = []
         for doc, start, ids, total, window, at in pack_stream(tokens(), seq_len):
