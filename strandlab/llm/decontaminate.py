@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_view
+from .common import group_starts, text_runs
 
 WINDOW_WORDS = 13
 #: Bound of one broadcast: windows for each pass (about 100 bytes each).
@@ -186,28 +186,22 @@ def _scan(shared, width: int, last: bool):
     def scan(batches):
         matcher = Matcher(shared.value) if shared.value else None
         for batch in batches:
-            offsets, data = byte_view(batch.column(width))
-            raw, bounds = data.tobytes(), offsets.tolist()
             hits_in, items_in = batch.column(width + 1).to_pylist(), batch.column(width + 2).to_pylist()
             hits_out, items_out, out = [], [], []
-            for row in range(len(bounds) - 1):
-                words = raw[bounds[row] : bounds[row + 1]].translate(_FOLD).split()
-                spans = hits_in[row] or b""
-                items = items_in[row] or []
-                if matcher and words:
-                    text = b" " + b" ".join(words) + b" "
-                    found = list(matcher.find(text))
-                    if found:
-                        starts = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
-                        first = np.searchsorted(starts, [f[0] for f in found]).astype(np.int32)
-                        past = first + np.array([f[1] for f in found], np.int32)
-                        spans += np.stack([first, past], 1).astype("<i4").tobytes()
-                        items = sorted({*items, *(i for f in found for i in f[2])})
-                if last:
-                    out.append(_summary(len(words), spans, items))
-                else:
-                    hits_out.append(spans)
-                    items_out.append(items)
+            for row, past, offsets, data in text_runs(batch.column(width)):
+                raw, bounds = data.tobytes(), offsets.tolist()
+                words = [raw[a:b].translate(_FOLD).split() for a, b in zip(bounds, bounds[1:])]
+                found = _find_all(matcher, words) if matcher else {}
+                for k, w in enumerate(words):
+                    spans, items = hits_in[row + k] or b"", items_in[row + k] or []
+                    if k in found:
+                        spans += found[k][0]
+                        items = sorted({*items, *found[k][1]})
+                    if last:
+                        out.append(_summary(len(w), spans, items))
+                    else:
+                        hits_out.append(spans)
+                        items_out.append(items)
             kept = [batch.column(i) for i in range(width)]
             names = list(batch.schema.names[:width])
             if last:
@@ -221,6 +215,27 @@ def _scan(shared, width: int, last: bool):
     return scan
 
 
+def _find_all(matcher: Matcher, texts: list[list[bytes]]) -> dict[int, tuple[bytes, set]]:
+    """For each text (by number) with occurrences: word spans as packed pairs, and items. All texts are searched as one."""
+    joined = b"\0".join(b" " + b" ".join(w) + b" " if w else b"" for w in texts)
+    found = list(matcher.find(joined))
+    if not found:
+        return {}
+    data = np.frombuffer(joined, np.uint8)
+    space, start = np.flatnonzero(data == 32), np.concatenate([[0], np.flatnonzero(data == 0) + 1])
+    at = np.array([f[0] for f in found])
+    text = np.searchsorted(start, at, side="right") - 1
+    first = np.searchsorted(space, at) - np.searchsorted(space, start[text])
+    pairs = np.stack([first, first + np.array([f[1] for f in found])], 1).astype("<i4")
+    order = np.argsort(text, kind="stable")
+    head = group_starts(text[order])
+    out = {}
+    for a, b in zip(head, np.append(head[1:], len(order))):
+        rows = order[a:b]
+        out[int(text[rows[0]])] = pairs[rows].tobytes(), {i for r in rows.tolist() for i in found[r][2]}
+    return out
+
+
 _OUT_ARROW = pa.struct(
     [
         ("n_words", pa.int64()),
