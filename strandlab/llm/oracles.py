@@ -28,3 +28,16 @@ select d.doc_id, cast(len(d.w) as bigint) n_words, cast(coalesce(n_hit, 0) as bi
   sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) contaminated
 from docs d left join words using (rid) left join found using (rid)
 """
+
+ORACLES["op4_voronoi_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) e from embeddings
+  where embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score from scored
+)
+select * from ranked where rank <= 5
+"""

@@ -48,6 +48,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk_search import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -72,6 +78,12 @@ def op7_decontaminate_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_url_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op10_jaccard_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import near_duplicate_classes
 
@@ -80,5 +92,5 @@ def op10_jaccard_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_fourier, op2_suffix_dedup, op3_toxicity_subsequence, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op10_jaccard_adaptive_prefix)
+    for f in (op1_quality_fourier, op2_suffix_dedup, op3_toxicity_subsequence, op4_voronoi_top_k, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op9_url_template_tree, op10_jaccard_adaptive_prefix)
 }
