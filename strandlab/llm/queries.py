@@ -78,6 +78,12 @@ def op7_decontaminate_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op9_url_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls
 
@@ -92,5 +98,5 @@ def op10_jaccard_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_fourier, op2_suffix_dedup, op3_toxicity_subsequence, op4_voronoi_top_k, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op9_url_template_tree, op10_jaccard_adaptive_prefix)
+    for f in (op1_quality_fourier, op2_suffix_dedup, op3_toxicity_subsequence, op4_voronoi_top_k, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op8_maxent_lm, op9_url_template_tree, op10_jaccard_adaptive_prefix)
 }
