@@ -1,11 +1,65 @@
-"""Corpus pipeline: stages in order, each one operator of ``strandlab.llm``."""
+"""Corpus pipeline: quality filter, near-duplicate removal, repeated-substring removal, decontamination, packing.
 
-from __future__ import annotations
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns a DataFrame; all but the last
+return the columns of ``documents``. A row is kept or dropped whole by stages 1, 2 and 4; stage 3 shortens texts.
+"""
 
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandlab.llm.common import crc_bucket, stage
+from strandlab.llm.decontaminate import contaminated, find_contamination
+from strandlab.llm.jaccard_join import near_duplicate_classes
+from strandlab.llm.packing import pack_documents
+from strandlab.llm.quality import fit_quality, statistics_table, training_rows, with_quality
+from strandlab.llm.queries import table, tokenizer_path
+from strandlab.llm.suffix_dedup import with_repeats_removed
+
+#: Documents scored below this are rejected.
+LEAST_QUALITY = 0.7
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that the quality classifier accepts; null and empty texts are judged like any other."""
+    stats = stage(statistics_table(docs), "statistics")
+    model = fit_quality(training_rows(stats, table(spark, sf_dir, "labels"), crc_bucket("doc_id", 4) != 2, "quality"))
+    return with_quality(docs, model, score_col="_score").where(F.col("_score") >= LEAST_QUALITY).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each component; rows without id, and equal rows of one id, stay."""
+    found = near_duplicate_classes(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
 
-STAGES: list = []
+def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove repeated 50-byte strings; a text left without any character goes, others keep their remaining text.
+
+    Removal works on bytes and may cut a character in two: what is left of such a character is replaced. Rows with one id
+    and several texts keep their own."""
+    return with_repeats_removed(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop contaminated documents; null texts stay."""
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(~contaminated(F.col("contamination"))).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 1024 tokens and their places."""
+    return pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_substrings", repeated_substrings),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: SQL can express neither the classifier nor the tokenizer; tests hold the stages against plain versions.
 ORACLE_SQL = None
@@ -13,9 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written to the shared folder and read by the next."""
-    from strandlab.llm.common import stage
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

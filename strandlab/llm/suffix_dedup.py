@@ -385,16 +385,9 @@ def mark(docs: pa.Table, answers: pa.Table, length: int, gram: int, with_text: b
     return pa.table([pa.array(c, f.type) for c, f in zip(out, RESULT)], schema=RESULT)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; null unless ``with_text``).
-
-    Null text counts as empty; texts shorter than ``length`` bytes lose nothing. Documents with the same id, such as
-    repeated rows, do not remove each other's bytes. A null id is neither smaller nor larger than any: such rows lose
-    nothing and remove nothing. An empty table gives no rows. Only the two named columns are read.
-    """
-    batches = buckets_for(docs, mb_each=12, least=48)
+def _answers(rows: DataFrame, batches: int, length: int, gram: int) -> DataFrame:
+    """What the buckets answer to the batches of ``rows`` (doc_id, text, pid, any others)."""
     buckets = min(batches, 4096)
-    rows = _documents(docs, batches, id_col, text_col)
     spec = "bucket int, pid int, message binary"
 
     def send_anchors(key, table):
@@ -406,8 +399,39 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     anchors = rows.groupBy("pid").applyInArrow(send_anchors, spec)
     shared = anchors.groupBy("bucket").applyInArrow(lambda t: shared_anchors(t), spec)
     contexts = rows.groupBy("pid").cogroup(shared.groupBy("pid")).applyInArrow(send_contexts, spec)
-    answers = contexts.groupBy("bucket").applyInArrow(lambda t: least_documents(t, length), spec)
-    return rows.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(
-        lambda left, right: mark(left, right, length, gram, with_text),
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
+    return contexts.groupBy("bucket").applyInArrow(lambda t: least_documents(t, length), spec)
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256.
+
+    Null text counts as empty; texts shorter than ``length`` bytes lose nothing. Documents with the same id, such as
+    repeated rows, do not remove each other's bytes. A null id is neither smaller nor larger than any: such rows lose
+    nothing and remove nothing. An empty table gives no rows. Only the two named columns are read.
+    """
+    batches = buckets_for(docs, mb_each=12, least=48)
+    rows = _documents(docs, batches, id_col, text_col)
+    return rows.groupBy("pid").cogroup(_answers(rows, batches, length, gram).groupBy("pid")).applyInArrow(
+        lambda left, right: mark(left, right, length, gram, False).drop_columns(["kept"]), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
+
+
+def with_repeats_removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the remaining text in ``text_col``; rows that lose all their text go, null and empty texts stay.
+
+    A character of which only some bytes remain becomes U+FFFD. Other columns are passed on as they are."""
+    batches = buckets_for(docs, mb_each=12, least=48)
+    rows = docs.withColumns({"_doc": F.col(f"`{id_col}`").cast("long"), "pid_": F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(batches)).cast("int")})
+    narrow = rows.select(F.col("_doc").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col("pid_").alias("pid"))
+    names = docs.columns
+    at = names.index(text_col)
+
+    def apply(left, right):
+        table = pa.table({"doc_id": _column(left, "_doc"), "text": _column(left, text_col)})
+        done = mark(table, right, length, gram, True)
+        texts = [None if old is None else new.decode(errors="replace") for old, new in zip(table.column("text").to_pylist(), done.column("kept").to_pylist())]
+        out = left.select(names).set_column(at, text_col, pa.array(texts, pa.string()))
+        lost = pa.compute.and_(pa.compute.greater(done.column("n_bytes"), 0), pa.compute.equal(done.column("n_bytes"), done.column("n_removed")))
+        return out.filter(pa.compute.invert(lost))
+
+    return rows.groupBy("pid_").cogroup(_answers(narrow, batches, length, gram).groupBy("pid")).applyInArrow(apply, docs.schema)
