@@ -41,3 +41,44 @@ with v as (
 )
 select * from ranked where rank <= 5
 """
+
+ORACLES["op2_suffix_dedup"] = """
+with d as (
+  select row_number() over () rid, doc_id, hex(encode(coalesce(text, ''))) h from documents
+), wins as (
+  select rid, doc_id, i, substr(h, 2 * i + 1, 100) w from (select rid, doc_id, h, unnest(range(len(h) // 2 - 49)) i from d where len(h) >= 100) where doc_id is not null
+), least as (
+  select w, min(doc_id) first from wins group by w
+), gone as (
+  select rid, i from wins join least using (w) where first < doc_id
+), marked as (
+  select rid, i, case when i <= lag(i) over (partition by rid order by i) + 50 then 0 else 1 end new from gone
+), runs as (
+  select rid, min(i) s, max(i) + 50 e from (select rid, i, sum(new) over (partition by rid order by i) run from marked) group by rid, run
+), cuts as (
+  select rid, s, e, coalesce(lag(e) over (partition by rid order by s), 0) before from runs
+), kept as (
+  select d.rid, count(*) n_spans, sum(e - s) n_removed, string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' order by s) || substr(any_value(h), 2 * max(e) + 1) rest
+  from cuts join d using (rid) group by d.rid
+)
+select d.doc_id, cast(len(h) // 2 as bigint) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, cast(coalesce(n_spans, 0) as bigint) n_spans, sha256(unhex(coalesce(rest, h))) kept_sha256
+from d left join kept using (rid)
+"""
+
+ORACLES["op10_jaccard_adaptive_prefix"] = f"""
+with recursive words as (
+  select row_number() over () rid, doc_id, coalesce(regexp_extract_all({_FOLD}, '[^\\x20\\x09-\\x0D]+'), []) w from documents
+), shingles as (
+  select distinct rid, doc_id, array_to_string(w[i + 1 : i + 5], ' ') s from (select rid, doc_id, w, unnest(range(greatest(len(w) - 4, 1))) i from words where len(w) > 0)
+), sizes as (select rid, any_value(doc_id) doc_id, count(*) n from shingles group by rid
+), common as (
+  select a.rid x, b.rid y, count(*) k from shingles a join shingles b on a.s = b.s and a.rid < b.rid and a.doc_id is not null and b.doc_id is not null group by all
+), links as (
+  select a.doc_id x, b.doc_id y from common c join sizes a on a.rid = c.x join sizes b on b.rid = c.y where 100 * k >= 75 * (a.n + b.n - k) and a.doc_id <> b.doc_id
+), both_ways as (select x, y from links union select y, x from links
+), reach as (
+  select x, x y from (select distinct x from both_ways) union select r.x, b.y from reach r join both_ways b on r.y = b.x
+), least as (select x, min(y) c from reach group by x)
+select w.doc_id, cast(coalesce(s.n, 0) as bigint) n_shingles, coalesce(l.c, w.doc_id) component_id
+from words w left join sizes s using (rid) left join least l on l.x = w.doc_id
+"""
