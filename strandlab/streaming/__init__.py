@@ -1,0 +1 @@
+"""The tables are bounded: there are no streaming operators to offer."""
