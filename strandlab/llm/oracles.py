@@ -82,3 +82,22 @@ with recursive words as (
 select w.doc_id, cast(coalesce(s.n, 0) as bigint) n_shingles, coalesce(l.c, w.doc_id) component_id
 from words w left join sizes s using (rid) left join least l on l.x = w.doc_id
 """
+
+ORACLES["op6_stratified_shards"] = """
+with polynomial as (
+  select list(c order by i) t from (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) c from range(256) r(i))
+), d as (
+  select row_number() over () rid, doc_id, source, coalesce(strlen(text), 0) + 1 size,
+    list_transform(regexp_extract_all(lower(hex(encode(coalesce(text, '')))), '..'), lambda b: cast(concat('0x', b) as bigint)) bytes from documents
+), crc as (
+  select rid, doc_id, source, size, xor(list_reduce(list_prepend(4294967295::bigint, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) crc from d, polynomial
+), keyed as (
+  select *, md5(concat_ws(':', '17', cast(doc_id as varchar), cast(crc as varchar))) key, coalesce('s' || source, 'n') stratum from crc
+), ranked as (
+  select *, row_number() over (partition by stratum order by key, doc_id) r, count(*) over (partition by stratum) n, count(*) over () total from keyed
+), placed as (
+  select *, row_number() over (order by ((2 * r - 1) * 4096) // (2 * n), (2 * r - 1) / cast(2 * n as double), stratum, key, doc_id) - 1 as place from ranked
+), cut as (select *, (place * 16) // total as shard from placed)
+select doc_id, source, cast(size as bigint) size, crc text_crc32, 'rows' law, cast(shard as integer) shard, cast(place - (shard * total + 15) // 16 as bigint) slot, cast(null as integer) grown_shard from cut
+"""
