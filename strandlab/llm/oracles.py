@@ -101,3 +101,50 @@ with polynomial as (
 ), cut as (select *, (place * 16) // total as shard from placed)
 select doc_id, source, cast(size as bigint) size, crc text_crc32, 'rows' law, cast(shard as integer) shard, cast(place - (shard * total + 15) // 16 as bigint) slot, cast(null as integer) grown_shard from cut
 """
+
+
+def _tree_levels(levels: int, distinct: int, share: float, errors: float) -> str:
+    """One round of node names for each level of the path-template tree."""
+    out = []
+    for k in range(levels):
+        out.append(f"""step{k} as (select *, case when len(steps) > {k} then steps[{k + 1}] end step from rows{k}
+), seg{k} as (select host, node, step, sum(n) n, sum(labelled) labelled, sum(bad) bad from step{k} where step is not null group by all
+), par{k} as (select host, node, count(*) > {distinct} and avg(n) <= {share} * sum(n) wild, sum(labelled) all_labelled, sum(bad) all_bad from seg{k} group by all
+), name{k} as (
+  select s.host, s.node, s.step, case when wild then '*' when labelled = 0 or abs(bad / labelled - all_bad / all_labelled)
+    <= {errors} * sqrt((all_bad / all_labelled) * (1 - all_bad / all_labelled) / labelled) then '~' else s.step end as name
+  from seg{k} s join par{k} p on p.host = s.host and p.node = s.node
+), rows{k + 1} as (
+  select r.host, r.template, r.n, r.labelled, r.bad, r.steps, case when r.step is null then r.node else r.node || '/' || m.name end node
+  from step{k} r left join name{k} m on m.host = r.host and m.node = r.node and m.step = r.step
+)""")
+    return ", ".join(out)
+
+
+ORACLES["op9_url_template_tree"] = f"""
+with parts as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end rest from pages
+), split as (
+  select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from parts
+), ruled as (
+  select *, regexp_replace(path, '[0-9]+', '#', 'g') template, case
+    when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
+    when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
+    when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/' end rule from split
+), known as (
+  select doc_id, max(case when coalesce(quality, 1) = 0 or coalesce(toxic, 0) = 1 then 1 else 0 end) label from labels group by doc_id
+), judged as (
+  select r.*, case when rule in ('example.com/de/', 'net/') then 1 when rule is not null then 0 else label end bad from ruled r left join known k on k.doc_id = r.page_id
+), counts as (
+  select host, template, count(*) n, count(bad) labelled, coalesce(sum(bad), 0) bad, string_split(regexp_replace(template, '^/', ''), '/') s from judged group by host, template
+), rows0 as (
+  select host, template, n, labelled, bad, case when len(s) > 4 then list_append(s[1:3], array_to_string(s[4:], '/')) else s end steps, '' node from counts
+), {_tree_levels(4, 12, 0.05, 2.0)}, overall as (
+  select coalesce(sum(bad) / nullif(sum(labelled), 0), 0.0) overall from rows4
+), verdicts as (
+  select host, node, (sum(bad) + 20.0 * any_value(overall)) / (sum(labelled) + 20.0) > 0.5 rejected from rows4, overall group by host, node
+)
+select j.page_id, j.host, j.path, j.rule, case when j.rule in ('example.com/de/', 'net/') then 'block' when j.rule is not null then 'allow' when v.rejected then 'block' else 'allow' end verdict, r.node tree_node
+from judged j join rows4 r on r.host = j.host and r.template = j.template join verdicts v on v.host = r.host and v.node = r.node
+"""
