@@ -2,13 +2,15 @@
 
 Each document's shingles are put in one global order: rare before frequent by a fixed-size table of hashed counts over
 the whole corpus, then by hash. Two documents with Jaccard similarity of at least t share at least l shingles among
-their first n - ceil(t n) + l ones, for any l. A document picks its own l from the estimated cost of its candidates:
-a longer prefix is looked up in more lists but must match in more places before a pair is verified. A pair is verified
-once it shares min(l, l') prefix shingles, which no true pair can miss.
+their first n - ceil(t n) + l ones, for any l. A document picks its own l from the length of its prefix shingles' lists: a
+longer prefix is looked up in more lists but must match in more places before a pair is verified. A document whose
+l-prefix has fewer than l shingles in common with all others together has no partner and goes no further. A pair is
+verified once it shares min(l, l') prefix shingles, and enough of them to reach t with all that lies beyond the prefixes;
+no true pair can miss that.
 
 Documents with equal shingle sets are one class from the start. Batches send the hashes of their prefix shingles to
-hash buckets, which answer with those that another class has too; only documents with such shingles go on, with their
-sets. As only classes are asked for, pairs that are already connected need no test: each list first tests all members
+hash buckets, which answer with those that another class has too and in how many classes; only documents with enough
+such shingles go on, with their sets. As only classes are asked for, pairs that are already connected need no test: each list first tests all members
 against one leader, the links found are contracted, and then only members of different components are paired.
 Every pair so left is counted and tested; no list is cut.
 """
@@ -23,15 +25,16 @@ from pyspark.sql import functions as F
 from .common import buckets_for, deltas, message_rows, mix64, pack, stage, unpack
 from .components import connected_components
 from .shingles import SHINGLE_WORDS, shingle_sets
-from .suffix_dedup import _HASH_40, _bucket, _candidates, _column, _split, shared_anchors
+from .suffix_dedup import _HASH_40, _bucket, _column, _split
 
 PERCENT = 75
 #: Slots of the hashed counts that order shingles by frequency.
-SLOT_BITS = 16
-MOST_MATCHES = 4
+SLOT_BITS = 20
+#: Choices of l, the prefix shingles to be shared.
+MATCHES = (1, 2, 4, 8, 16, 32)
 #: Cost of verifying a candidate, in list entries read.
 VERIFY_COST = 8
-STAR_ROUNDS = 2
+STAR_ROUNDS = 4
 
 _SPEC = "bucket int, pid int, message binary"
 
@@ -78,29 +81,75 @@ def _slot_counts(signatures: DataFrame) -> np.ndarray:
     return out
 
 
-def prefixes(counts: np.ndarray, hashes: np.ndarray, slot_counts: np.ndarray, percent: int = PERCENT):
-    """For texts whose sets follow one another: (text, hash) of the prefix shingles, and l for each text."""
-    n = counts
-    text = np.repeat(np.arange(len(n)), n)
-    common = slot_counts[_slots(hashes)]
+def in_order(counts: np.ndarray, hashes: np.ndarray, slot_counts: np.ndarray):
+    """(text, hash) of sets that follow one another, each in the global order: rare shingles first, then by hash."""
+    text = np.repeat(np.arange(len(counts)), counts)
     mean = max(1, int(slot_counts.sum()) // len(slot_counts))
-    excess = np.maximum(common - 2 * mean, 0)
-    level = np.floor(np.log2(1 + excess)).astype(np.uint64)
+    level = np.floor(np.log2(1 + np.maximum(slot_counts[_slots(hashes)] - 2 * mean, 0)))
     order = np.lexsort((hashes, level, text))
-    text, hashes, excess = text[order], hashes[order], excess[order]
-    first = np.cumsum(n) - n
-    place = np.arange(len(text)) - first[text]
-    sums = np.concatenate([[0], np.cumsum(excess)])
+    return text[order], hashes[order]
+
+
+def most_matches(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Largest l whose shared shingles every partner's longest prefix must show: a partner has percent of n shingles at
+    least, and percent of those must be in common."""
+    return np.maximum(1, np.minimum(MATCHES[-1], percent * (percent * n // 100) // 100 - 1))
+
+
+def longest_prefixes(n: np.ndarray, hashes: np.ndarray, slot_counts: np.ndarray, percent: int = PERCENT):
+    """(text, hash) of each set's prefix for the largest l that any document may pick."""
+    text, hashes = in_order(n, hashes, slot_counts)
+    needed = -(-percent * n // 100)
+    place = np.arange(len(text)) - (np.cumsum(n) - n)[text]
+    inside = place < (n - needed + np.minimum(MATCHES[-1], needed))[text]
+    return text[inside], hashes[inside]
+
+
+def choose_matches(n: np.ndarray, text: np.ndarray, size: np.ndarray, percent: int = PERCENT):
+    """(l, alive) of each set from the list lengths (0: in no other class) of its longest prefix, in order."""
+    first = np.searchsorted(text, np.arange(len(n)))
+    shared = np.concatenate([[0], np.cumsum(size > 0)])
+    total = np.concatenate([[0], np.cumsum(size)])
     needed = -(-percent * n // 100)
-    best, ell = np.full(len(n), np.inf), np.ones(len(n), np.int64)
-    for k in range(1, MOST_MATCHES + 1):
-        size = n - needed + k
-        total = (sums[np.minimum(first + size, first + n)] - sums[first]).astype(float)
-        cost = total + VERIFY_COST * total / k
-        better = (cost < best) & (k <= np.maximum(needed, 1))
-        best, ell = np.where(better, cost, best), np.where(better, k, ell)
-    inside = place < (n - needed + ell)[text]
-    return text[inside], hashes[inside], ell
+    best, ell, alive = np.full(len(n), np.inf), np.ones(len(n), np.int64), np.ones(len(n), bool)
+    for k in MATCHES:
+        past = first + n - needed + k
+        allowed = k <= most_matches(n, percent)
+        past = np.where(allowed, past, first)
+        read = (total[past] - total[first]).astype(float)
+        alive &= ~allowed | (shared[past] - shared[first] >= k)
+        better = allowed & (read + VERIFY_COST * read / k < best)
+        best, ell = np.where(better, read + VERIFY_COST * read / k, best), np.where(better, k, ell)
+    return ell, alive
+
+
+def _shared_tokens(table: pa.Table) -> pa.Table:
+    """Answers of a bucket: which of each batch's prefix shingles are in two classes or more, and in how many."""
+    bucket = table.column("bucket")[0].as_py()
+    parts = [unpack(m) for m in table.column("message").to_pylist()]
+    hashes = [np.cumsum(p[0], dtype=np.uint64) for p in parts]
+    distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(distinct)).astype(np.uint32)
+    rows, at = [], 0
+    for pid, own in zip(table.column("pid").to_pylist(), hashes):
+        n = total[inverse[at : at + len(own)]]
+        at += len(own)
+        if (n >= 2).any():
+            rows.append((bucket, pid, pack(deltas(own[n >= 2]), n[n >= 2])))
+    return message_rows(rows)
+
+
+def _answers(table: pa.Table):
+    """Sorted keys (bucket and 40 bits) of a batch's shared shingles, and their numbers of classes."""
+    keys, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+    for bucket, message in zip(table.column("bucket").to_pylist(), table.column("message").to_pylist()):
+        if bucket >= 0:
+            h, n = unpack(message)
+            keys.append(np.cumsum(h, dtype=np.uint64) | np.uint64(bucket << 40))
+            sizes.append(n)
+    keys, sizes = np.concatenate(keys), np.concatenate(sizes)
+    order = np.argsort(keys)
+    return keys[order], sizes[order].astype(np.int64)
 
 
 def _sets_of(docs: pa.Table, mine: set):
@@ -149,37 +198,43 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     def send_prefixes(key, left, right):
         found = [np.zeros(0, np.uint64)]
         for _, n, hashes in _sets_of(left, _own(right)):
-            found.append(prefixes(n, hashes, slot_counts.value, percent)[1])
+            found.append(longest_prefixes(n, hashes, slot_counts.value, percent)[1])
         tokens, counts = np.unique(np.concatenate(found), return_counts=True)
         out = []
         for bucket, at in _split(_bucket(tokens, buckets)):
             low = tokens[at] & _HASH_40
             order = np.argsort(low, kind="stable")
-            out.append((bucket, key[0].as_py(), pack(deltas(low[order]), np.minimum(counts[at][order], 255).astype(np.uint8))))
+            out.append((bucket, key[0].as_py(), pack(deltas(low[order]), counts[at][order].astype(np.uint32))))
         return message_rows(out)
 
     def candidates(key, left, right):
-        keys, _ = _candidates(right.filter(pa.compute.not_equal(right.column("bucket"), -1)), buckets)
-        out: list[list] = [[], [], [], [], []]
+        keys, sizes = _answers(right)
+        out: list[list] = [[] for _ in range(7)]
         for ids, n, hashes in _sets_of(left, _own(right)) if len(keys) else ():
-            text, token, ell = prefixes(n, hashes, slot_counts.value, percent)
+            text, token = longest_prefixes(n, hashes, slot_counts.value, percent)
             token = np.uint64(1 << 40) * _bucket(token, buckets).astype(np.uint64) + (token & _HASH_40)
             at = np.minimum(np.searchsorted(keys, token), len(keys) - 1)
-            keep = keys[at] == token
+            size = np.where(keys[at] == token, sizes[at], 0)
+            ell, alive = choose_matches(n, text, size, percent)
+            place = np.arange(len(text)) - np.searchsorted(text, np.arange(len(n)))[text]
+            keep = (size > 0) & alive[text] & (place < (n - -(-percent * n // 100) + ell)[text])
+            place = place[keep]
+            base = place < (n - -(-percent * n // 100) + 1)[text[keep]]
             text, token = text[keep], token[keep].view(np.int64)
+            in_base = np.bincount(text, base, len(n)).astype(np.int64)
             past = np.cumsum(n)
             bounds = np.searchsorted(text, np.arange(len(n) + 1))
             for k in np.unique(text).tolist():
-                row = (int(ids[k]), int(n[k]), int(ell[k]), token[bounds[k] : bounds[k + 1]], hashes[past[k] - n[k] : past[k]].view(np.int64))
+                row = (int(ids[k]), int(n[k]), int(ell[k]), int(in_base[k]), place[bounds[k] : bounds[k] + in_base[k]].astype(np.int32), token[bounds[k] : bounds[k + 1]], hashes[past[k] - n[k] : past[k]].view(np.int64))
                 for column, x in zip(out, row):
                     column.append(x)
-        kinds = [("doc_id", pa.int64()), ("n", pa.int64()), ("ell", pa.int32()), ("tokens", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))]
+        kinds = [("doc_id", pa.int64()), ("n", pa.int64()), ("ell", pa.int32()), ("n_base", pa.int32()), ("places", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))]
         return pa.table([pa.array(c, k) for c, (_, k) in zip(out, kinds)], names=[name for name, _ in kinds])
 
     sent = batch.groupBy("pid").cogroup(representatives.groupBy("pid")).applyInArrow(send_prefixes, _SPEC)
-    shared = sent.groupBy("bucket").applyInArrow(lambda t: shared_anchors(t), _SPEC)
+    shared = sent.groupBy("bucket").applyInArrow(lambda t: _shared_tokens(t), _SPEC)
     found = stage(
-        batch.groupBy("pid").cogroup(representatives.unionByName(shared).groupBy("pid")).applyInArrow(candidates, "doc_id long, n long, ell int, tokens array<bigint>, shingles array<bigint>"),
+        batch.groupBy("pid").cogroup(representatives.unionByName(shared).groupBy("pid")).applyInArrow(candidates, "doc_id long, n long, ell int, n_base int, places array<int>, tokens array<bigint>, shingles array<bigint>"),
         "candidates",
     )
     parts = _components(found, percent)
@@ -202,18 +257,23 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
 
 def _components(found: DataFrame, percent: int) -> DataFrame | None:
     """(id, component) of the candidates that have links, or None without any."""
-    postings = found.select("doc_id", "n", "ell", F.explode("tokens").alias("token"))
+    # a pair that is similar enough shares a token of both base prefixes (l = 1), the rarest ones; longer prefixes only count
+    # its first one, at place p of n, leaves n - p that can be shared
+    lists = found.where("n_base > 0").select("doc_id", "n", F.posexplode(F.expr("slice(tokens, 1, n_base)")).alias("i", "token"), "places")
+    postings = lists.select("doc_id", "n", "token", (F.col("n") - F.get("places", F.col("i"))).alias("rest"))
+    prefixes = found.select("doc_id", "n", "ell", "tokens")
     sets = found.select("doc_id", "n", "shingles")
     links = labels = None
     for round_no in range(STAR_ROUNDS + 1):
+        # from the second round on leaders are random members, so mostly of a list's largest component
         here = postings.withColumn("comp", F.col("doc_id"))
         if labels is not None:
             here = postings.join(labels, postings["doc_id"] == labels["id"], "left").withColumn("comp", F.coalesce("component", "doc_id"))
-        here = here.select("token", "doc_id", "n", "ell", "comp")
+        here = here.select("token", "doc_id", "n", "rest", "comp")
         if round_no < STAR_ROUNDS:
             pairs = _star_pairs(here, round_no, percent)
         else:
-            pairs = _all_pairs(here, percent)
+            pairs = _all_pairs(here, prefixes, percent)
         new = stage(_verified(pairs, sets, percent), "verified")
         if new.limit(1).count() == 0:
             if round_no == STAR_ROUNDS:
@@ -225,29 +285,37 @@ def _components(found: DataFrame, percent: int) -> DataFrame | None:
 
 
 def _star_pairs(here: DataFrame, round_no: int, percent: int) -> DataFrame:
-    """Each list's members with its leader, where their components differ."""
-    order = F.col("doc_id") if round_no == 0 else F.xxhash64("comp", F.lit(round_no))
+    """Each document with the leader of most of its lists, where their components differ."""
+    order = F.col("doc_id") if round_no == 0 else F.xxhash64("doc_id", F.lit(round_no))
     lead = here.groupBy("token").agg(F.min(F.struct(order.alias("o"), "doc_id", "comp", "n")).alias("lead"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     pair = here.join(lead, "token").where(F.col("comp") != F.col("lead.comp")).where(_sizes("n", "lead.n", percent))
-    return pair.select(F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b")).distinct()
+    count = pair.groupBy("doc_id", F.col("lead.doc_id").alias("leader")).agg(F.count("*").alias("k"))
+    best = count.groupBy("doc_id").agg(F.max(F.struct("k", "leader")).alias("best"))
+    return best.select(F.least("doc_id", "best.leader").alias("a"), F.greatest("doc_id", "best.leader").alias("b")).distinct()
 
 
 def _sizes(x: str, y: str, percent: int):
     return (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
 
-def _all_pairs(here: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share min(l, l') prefix shingles. Lists are joined by component first, so that
-    members of one component never meet."""
-    comps = here.select("token", "comp").distinct()
-    left = comps.withColumnRenamed("comp", "comp_a")
-    right = comps.withColumnRenamed("comp", "comp_b")
-    meet = left.join(right, "token").where("comp_a < comp_b")
-    a = here.select("token", F.col("comp").alias("comp_a"), F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("ell").alias("ell_a"))
-    b = here.select("token", F.col("comp").alias("comp_b"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("ell").alias("ell_b"))
-    both = meet.join(a, ["token", "comp_a"]).join(b, ["token", "comp_b"]).where(_sizes("n_a", "n_b", percent))
-    count = both.groupBy("a", "b").agg(F.count("*").alias("k"), F.first("ell_a").alias("ell_a"), F.first("ell_b").alias("ell_b"))
-    return count.where("k >= least(ell_a, ell_b)").select("a", "b")
+def _all_pairs(here: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that meet in a list and share enough prefix shingles. Lists are joined by component
+    first, so that members of one component never meet."""
+    open_lists = here.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
+    here = here.join(open_lists, "token")
+    # of a component in a list only what any member could reach is compared, then the members themselves
+    comps = here.groupBy("token", "comp").agg(F.max("rest").alias("rest"), F.min("n").alias("n"))
+    side = lambda t, x: t.select("token", *[F.col(c).alias(f"{c}_{x}") for c in t.columns if c != "token"])
+    reach = f"{100 + percent} * least(rest_a, rest_b) >= {percent} * (n_a + n_b)"
+    meet = side(comps, "a").join(side(comps, "b"), "token").where(f"comp_a < comp_b and {reach}").select("token", "comp_a", "comp_b")
+    a, b = (side(here.withColumnRenamed("doc_id", "doc"), x) for x in "ab")
+    pairs = meet.join(a, ["token", "comp_a"]).join(b, ["token", "comp_b"]).where(reach).where(_sizes("n_a", "n_b", percent)).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
+    left = prefixes.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("ell").alias("ell_a"), F.col("tokens").alias("t_a"))
+    right = prefixes.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("ell").alias("ell_b"), F.col("tokens").alias("t_b"))
+    count = pairs.join(left, "a").join(right, "b").withColumn("k", F.size(F.array_intersect("t_a", "t_b")))
+    # of the document whose prefix ends first, at most ceil(t n) - l shingles beyond it can be shared
+    beyond = "greatest(" + ", ".join(f"({percent} * n_{x} + 99) div 100 - ell_{x}" for x in "ab") + ")"
+    return count.where(f"k >= least(ell_a, ell_b) and {100 + percent} * (k + {beyond}) >= {percent} * (n_a + n_b)").select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
