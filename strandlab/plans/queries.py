@@ -210,7 +210,7 @@ def base_to_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = F.array(step("M", F.lit(100)), step("I", F.lit(10)), step("D", F.lit(17)), step("M", F.greatest(F.col("l_seq") - 110, F.lit(0))))
     short = F.array(step("M", F.least(F.col("l_seq"), F.lit(100))), step("I", F.greatest(F.col("l_seq") - 100, F.lit(0))))
     rows = rows.withColumn("cigar", F.when(F.col("l_seq") > 110, long).otherwise(short))
-    rows = rows.withColumn("start", F.lit(1001).cast("bigint")).withColumn("end", F.lit(1_000_000).cast("bigint"))
+    rows = rows.withColumn("start", F.lit(1001).cast("bigint")).withColumn("end", F.col("l_seq") + 1007)  # past every base
     calls, _ = S.base_calls(rows, S.modification_entries(rows), ModSpec.parse("C+h"))
     # the whole read counts as walked, so a reverse read is not shifted
     lengths = rows.select("ordinal", F.col("l_seq").alias("read_length"))
