@@ -1,9 +1,9 @@
 """URL filter by a path-template tree, in DataFrame functions only.
 
 URLs are counted by host and path first, digits folded to ``#``, so a hot host is a few rows. The tree of each host is
-then walked level by level: under a node, segments that vary (many different ones, each rare) are generalised into one
-wildcard; sibling branches whose labelled share of bad pages does not differ from their parent's by a two-proportion
-test are merged and judged together, others stand alone. A template is rejected if its smoothed share of bad labelled
+then walked level by level: under a node with many rare segments, those are generalised into one wildcard; the other
+branches are merged and judged together. But a branch, rare or not, whose labelled share of bad pages differs from its
+parent's by a two-proportion test stands alone. A template is rejected if its smoothed share of bad labelled
 pages is above a limit. Explicit rules come first: the longest one that fits decides.
 """
 
@@ -17,7 +17,7 @@ from .common import stage
 #: Rules of the query: host and path, verdict.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 LEVELS = 4
-#: A node with more different segments than this, which on average hold no more than this share each, is a wildcard.
+#: A node with more than this many different segments that each hold no more than this share of its pages has a wildcard for them.
 DISTINCT, SHARE = 12, 0.05
 #: Sibling branches differ at this many standard errors.
 ERRORS = 2.0
@@ -64,13 +64,16 @@ def judge_templates(counts: DataFrame) -> DataFrame:
         # a template that has ended goes on as itself
         rows = rows.withColumn("step", F.when(F.size("steps") > level, F.element_at("steps", level + 1)).otherwise(F.lit(None)))
         segments = rows.where("step is not null").groupBy("host", "node", "step").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        parents = segments.groupBy("host", "node").agg(
-            ((F.count("*") > DISTINCT) & (F.avg("n") <= SHARE * F.sum("n"))).alias("wild"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
-        )
-        share = F.col("all_bad") / F.col("all_labelled")
-        error = F.sqrt(share * (1 - share) / F.col("labelled"))
-        alike = (F.col("labelled") == 0) | (F.abs(F.col("bad") / F.col("labelled") - share) <= ERRORS * error)
-        name = F.when(F.col("wild"), F.lit("*")).when(F.coalesce(alike, F.lit(True)), F.lit("~")).otherwise(F.col("step"))
+        whole = segments.groupBy("host", "node").agg(F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
+        rare = F.col("n") <= SHARE * F.col("all_n")
+        varied = segments.join(whole, ["host", "node"]).where(rare).groupBy("host", "node").agg((F.count("*") > DISTINCT).alias("varied"))
+        parents = whole.join(varied, ["host", "node"], "left")
+        share = F.col("all_bad") / F.nullif("all_labelled", F.lit(0))
+        labelled = F.nullif("labelled", F.lit(0))
+        alike = F.abs(F.col("bad") / labelled - share) <= ERRORS * F.sqrt(share * (1 - share) / labelled)
+        folded = F.when(rare & F.coalesce("varied", F.lit(False)), F.lit("*")).otherwise(F.lit("~"))
+        # without labels a branch is alike
+        name = F.when(F.coalesce(alike, F.lit(True)), folded).otherwise(F.col("step"))
         chosen = segments.join(parents, ["host", "node"]).select("host", "node", "step", name.alias("name"))
         rows = rows.join(chosen, ["host", "node", "step"], "left").withColumn("node", F.when(F.col("step").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), F.coalesce("name", F.lit("*"))))).drop("name", "step")
         rows = stage(rows, "templates")  # small: one row for each host and template; without it each level would double the plan

@@ -146,3 +146,13 @@ def test_bad_templates_are_rejected(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string")
     got = {r.page_id: r.verdict for r in U.filter_urls(pages, labels).collect()}
     assert all((got[i] == "block") == (i % 2 == 1) for i, _ in rows)
+
+
+def test_large_bad_branch_among_many_rare_ones(spark):
+    rows = [(i, "http://a.com/casino/x") for i in range(300)] + [(300 + i, f"http://a.com/{chr(97 + i % 26)}{chr(97 + i // 26)}/x") for i in range(400)]
+    rows += [(700 + i, "http://a.com/shop/x") for i in range(300)]  # frequent and as bad as the whole host
+    bad = lambda i: i < 300 or (i >= 700 and i % 10 < 4)
+    labels = spark.createDataFrame([(i, int(not bad(i)), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()}
+    assert all((got[i].verdict == "block") == (i < 300) for i, _ in rows)
+    assert got[0].tree_node.startswith("/casino") and got[700].tree_node.startswith("/~") and got[300].tree_node.startswith("/*")
