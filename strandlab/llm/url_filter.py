@@ -87,7 +87,8 @@ def judge_templates(counts: DataFrame) -> DataFrame:
 def filter_urls(pages: DataFrame, labels: DataFrame, *, page_col: str = "page_id", url_col: str = "url", label_id_col: str = "doc_id", rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and template of every page.
 
-    A page is labelled bad if its label row says low quality or toxic, and bad or good by its rule where one fits.
+    A page is labelled bad if its label row says low quality or toxic. Templates are judged by the labels of pages that no
+    rule decides; a rule sets its own pages' verdict only.
     Pages without host belong to one tree of their own. Without labelled pages nothing is rejected but by rules. Null
     ids are kept; repeated rows count as often as they come; repeated labels of one id count once, bad if any is.
     An empty table gives no rows. Only the named columns are read.
@@ -96,7 +97,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, *, page_col: str = "page_id
     rows = pages.select(F.col(f"`{page_col}`").alias("page_id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("template", _template(F.col("path")))
     known = labels.groupBy(F.col(f"`{label_id_col}`").alias("_id")).agg(F.max(((F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)).cast("int")).alias("label"))
-    judged = rows.join(known, rows["page_id"] == known["_id"], "left").withColumn("bad", F.coalesce(F.when(F.col("fit").isNotNull(), (F.col("fit.verdict") == "block").cast("int")), F.col("label")))
+    judged = rows.join(known, rows["page_id"] == known["_id"], "left").withColumn("bad", F.when(F.col("fit").isNull(), F.col("label")))
     counts = judged.groupBy("host", "template").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     verdicts = judge_templates(counts).withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))

@@ -156,3 +156,11 @@ def test_large_bad_branch_among_many_rare_ones(spark):
     got = {r.page_id: r for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()}
     assert all((got[i].verdict == "block") == (i < 300) for i, _ in rows)
     assert got[0].tree_node.startswith("/casino") and got[700].tree_node.startswith("/~") and got[300].tree_node.startswith("/*")
+
+
+def test_rules_do_not_judge_other_pages(spark):
+    rows = [(i, f"http://www.site.net/{i}") for i in range(500)] + [(500 + i, f"http://b.com/news/{i}") for i in range(40)] + [(600 + i, f"http://c.com/x/{i}") for i in range(20)]
+    rows += [(700 + i, f"http://org/fr/{i}") for i in range(30)] + [(800 + i, f"http://org/{i}") for i in range(15)]  # bad pages beside allowed ones
+    labels = spark.createDataFrame([(i, int(not (i < 500 or i >= 800)), 0) for i, _ in rows if not 600 <= i < 620], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()}
+    assert all((got[i] == "block") == (i < 500 or i >= 800) for i, _ in rows)
