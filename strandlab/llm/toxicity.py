@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, byte_view, crc_bucket, group_starts, text_runs
+from .common import RollingHash, byte_view, crc_bucket, group_starts, take_spans, text_runs
 from .shingles import LOWER, word_bounds
 
 ORDER = 3
@@ -29,9 +29,14 @@ LAMBDA = 0.8
 LONGEST = 24
 #: Letters of a landmark that a word may lack.
 MISSING = 1
-LANDMARKS = 24
-#: Words typical of toxic sentences among which landmarks are chosen.
+#: Bound of toxic landmarks; every one costs time for each distinct word.
+LANDMARKS = 128
+#: Words typical of toxic sentences among which landmarks are chosen, beside all those that are so by more than chance.
 CANDIDATES = 200
+#: Bound of the latter, and how likely it is that chance makes any.
+SURE, CHANCE = 4000, 0.05
+#: Documents that a landmark must explain if it is typical by more than chance, whatever the size of the sample.
+LEAST_DOCS = 2
 CLEAN_LANDMARKS = 8
 #: Bound of the training sample: labelled documents of each class, those with the least hash of their id.
 TRAIN_DOCS = 6000
@@ -125,7 +130,7 @@ class ToxicModel:
     def rows(self, words: list[bytes]) -> np.ndarray:
         """Similarities of words to all landmarks."""
         fresh = [w for w in set(words) if w not in self.memo]
-        if len(self.memo) + len(fresh) > 60_000:
+        if len(self.memo) + len(fresh) > 2_000_000 // len(self.landmarks):
             self.memo.clear()
             fresh = list(set(words))
         for i in range(0, len(fresh), 4096):
@@ -157,18 +162,22 @@ def _near_words(model: ToxicModel, data: np.ndarray, start: np.ndarray, past: np
         return start
     sizes = past - start
     some = np.flatnonzero((sizes >= model.size.min() - MISSING) | (sizes == 1))
+    # equal words are judged once
+    _, first, inverse = np.unique(RollingHash(data).spans(start[some], past[some]), return_index=True, return_inverse=True)
+    size = sizes[some[first]]
+    letters, ends = take_spans(data, start[some[first]], size), np.cumsum(size)
     total = {}
     for j, letter in enumerate(model.letters):
         if model.need[:, j].any():
-            sums = np.concatenate([[0], np.cumsum(data == letter, dtype=np.int32)])
-            total[j] = (sums[past[some]] - sums[start[some]]).astype(np.int8)
-    near = np.zeros(len(some), bool)
+            sums = np.concatenate([[0], np.cumsum(letters == letter, dtype=np.int32)])
+            total[j] = sums[ends] - sums[ends - size]
+    near = size == 1
     for k in range(model.toxic):
-        have = np.zeros(len(some), np.int8)
+        have = np.zeros(len(first), np.int32)
         for j in np.flatnonzero(model.need[k]):
-            have += np.minimum(total[j], model.need[k, j]).astype(np.int8)
+            have += np.minimum(total[j], np.int32(model.need[k, j]))
         near |= have >= model.size[k] - MISSING
-    return some[near | (sizes[some] == 1)]
+    return some[near[inverse]]
 
 
 def sentence_features(model: ToxicModel, array: pa.Array):
@@ -270,10 +279,11 @@ def _sentence_units(only: frozenset | None = None):
     return run
 
 
-def _cover(rows) -> list[bytes]:
+def _cover(rows, sure=frozenset()) -> list[bytes]:
     """Units that explain toxic documents, greedily: each is in the most documents that no unit before it is in.
 
-    Units that only came along, as copies of a toxic text do, explain few documents and are left out. Documents are
+    Units that only came along, as copies of a toxic text do, explain few documents and are left out, unless they are
+    among the ``sure`` ones: these need LEAST_DOCS documents, others a share of all. Documents are
     explained COVERS times over, by units that are not stems of each other, so that synonyms are found too."""
     docs: dict[bytes, set] = {}
     for r in rows:
@@ -284,10 +294,12 @@ def _cover(rows) -> list[bytes]:
     for _ in range(COVERS):
         left = set(everything)
         while docs and len(chosen) < LANDMARKS:
-            best = max(docs, key=lambda w: (len(docs[w] & left), len(w), w))
-            new = docs[best] & left
-            if len(new) < least:
+            found = {w: len(d & left) for w, d in docs.items()}
+            found = {w: n for w, n in found.items() if n >= (LEAST_DOCS if w in sure else least)}
+            if not found:
                 break
+            best = max(found, key=lambda w: (found[w], len(w), w))
+            new = docs[best] & left
             chosen.append(best)
             left -= new
             docs = {w: d for w, d in docs.items() if not (w.startswith(best) or best.startswith(w))}
@@ -309,11 +321,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     try:
         counts = train.mapInArrow(_sentence_units(), "unit binary, a long, b long").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).persist()
         odds = F.log((F.col("a") + 0.5) / (F.col("b") + 0.5))
-        total = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
+        total = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("n")).first()
         prior = float(np.log((total.a or 0.5) / (total.b or 0.5)))
-        typical = counts.where((odds - prior > LEAST_LOG_ODDS) & (F.col("a") >= LEAST_SENTENCES)).orderBy(((odds - prior) * F.sqrt("a")).desc(), "unit").limit(CANDIDATES).collect()
-        only = frozenset(bytes(r.unit) for r in typical)
-        toxic = _cover(train.where("toxic = 1").mapInArrow(_sentence_units(only), "unit binary, doc long").distinct().collect()) if only else []
+        high = counts.where((odds - prior > LEAST_LOG_ODDS) & (F.col("a") >= LEAST_SENTENCES))
+        typical = high.orderBy(((odds - prior) * F.sqrt("a")).desc(), "unit").limit(CANDIDATES).collect()
+        # twice the log-likelihood ratio of a unit's share of toxic sentences, against the chance of any of all units to reach it
+        share = 1 / (1 + float(np.exp(-prior)))
+        a, b = F.col("a"), F.col("b")
+        ratio = 2 * (a * F.log(a / ((a + b) * share)) + F.when(b > 0, b * F.log(b / ((a + b) * (1 - share)))).otherwise(0.0))
+        beyond = high.withColumn("ratio", ratio).where(F.col("ratio") > 2 * float(np.log(max(1, total.n) / CHANCE))).orderBy(F.col("ratio").desc(), "unit").limit(SURE).collect()
+        sure = frozenset(bytes(r.unit) for r in beyond)
+        only = sure | {bytes(r.unit) for r in typical}
+        toxic = _cover(train.where("toxic = 1").mapInArrow(_sentence_units(only), "unit binary, doc long").distinct().collect(), sure) if only else []
         if not toxic:
             return None
         clean = counts.where("a > 0 and b > 0").where(F.octet_length("unit") > 3).orderBy(F.col("b").desc(), "unit").limit(CLEAN_LANDMARKS).collect()

@@ -164,3 +164,20 @@ def test_rules_do_not_judge_other_pages(spark):
     labels = spark.createDataFrame([(i, int(not (i < 500 or i >= 800)), 0) for i, _ in rows if not 600 <= i < 620], "doc_id long, quality int, toxic int")
     got = {r.page_id: r.verdict for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()}
     assert all((got[i] == "block") == (i < 500 or i >= 800) for i, _ in rows)
+
+
+def test_rare_insults_become_landmarks():
+    row = collections.namedtuple("row", "unit doc")
+    rows = [row(b"common%c" % (97 + k), d) for k in range(20) for d in range(6000) if d % 25 == k] + [row(b"tail", d) for d in range(6000) if d % 75 == 24]
+    rows += [row(b"aside", d) for d in range(6000) if d % 75 == 49]  # as many, but not by more than chance
+    rows += [row(b"big%c" % (97 + k), d) for k in range(10) for d in range(6000) if d % 150 == 20 + k]
+    sure = frozenset(r.unit for r in rows) - {b"aside"}
+    assert set(X._cover(rows, sure)) == sure
+
+
+def test_words_with_many_of_a_letter_are_compared():
+    words = [b"idiot", b"i" * 200 + b"dot", b"i" * 140 + b"diot", b"clean"]
+    model = X.ToxicModel([b"idiot"], 1, np.eye(1))
+    ends = np.cumsum([len(w) for w in words * 2])
+    start = ends - [len(w) for w in words * 2]
+    assert X._near_words(model, np.frombuffer(b"".join(words * 2), np.uint8), start, ends).tolist() == [0, 1, 2, 4, 5, 6]
