@@ -169,13 +169,13 @@ def _own(message_table: pa.Table) -> set:
     return {d for b, m in zip(message_table.column("bucket").to_pylist(), message_table.column("message").to_pylist()) if b == -1 for d in unpack(m)[0].tolist()}
 
 
-def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, one_text: bool = False) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links, itself included) of every row.
 
     Null, empty and blank texts have no shingles and no links: component_id is their own id. Rows with a null id have
     no links either, and a null component. Repeated rows are linked as equal texts are; where one id comes with several
     texts, rows with the same id are one node of the graph. An empty table gives no rows. Only the two named columns
-    are read.
+    are read. ``one_text`` says that no id has several texts.
     """
     batches = buckets_for(docs, mb_each=12, least=48)
     buckets = min(batches, 4096)
@@ -183,6 +183,9 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     signatures = stage(rows.mapInArrow(_signatures, "doc_id long, n_shingles long, sig_a long, sig_b long, counts binary"), "signatures")
     slot_counts = docs.sparkSession.sparkContext.broadcast(_slot_counts(signatures))  # 2**SLOT_BITS numbers
     signatures = signatures.where("counts is null").drop("counts")
+    mixed = signatures.where("doc_id is not null").groupBy("doc_id").agg(F.min("sig_a").alias("x"), F.max("sig_a").alias("y")).where("x <> y")
+    if not one_text and mixed.limit(1).count() > 0:
+        return _by_text(rows, words, percent)
     linked = signatures.where("n_shingles > 0 and doc_id is not null")
     classes = stage(linked.groupBy("sig_a", "sig_b").agg(F.min("doc_id").alias("rep")), "classes")
 
@@ -238,23 +241,30 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         "candidates",
     )
     parts = _components(found, percent)
-    # classes that share an id (one id with several texts) or a link are one component
-    same = linked.join(classes, ["sig_a", "sig_b"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    mixed = linked.groupBy("doc_id").agg(F.min("sig_a").alias("x"), F.max("sig_a").alias("y")).where("x <> y").limit(1).count() > 0
-    if mixed:
-        links = same if parts is None else same.union(parts.select(F.col("id").alias("a"), F.col("component").alias("b")).where("a <> b"))
-        labels = connected_components(links)
-        out = signatures.join(labels, signatures["doc_id"] == labels["id"], "left")
-    else:
-        member = signatures.join(classes, ["sig_a", "sig_b"], "left").where("n_shingles > 0 and doc_id is not null")
-        alone = signatures.where("n_shingles <= 0 or doc_id is null").withColumn("rep", F.col("doc_id"))
-        out = member.select("doc_id", "n_shingles", "rep").unionByName(alone.select("doc_id", "n_shingles", "rep"))
-        if parts is None:
-            return out.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
-        out = out.join(parts, out["rep"] == parts["id"], "left").withColumn("component", F.coalesce("component", "rep"))
+    member = signatures.join(classes, ["sig_a", "sig_b"], "left").where("n_shingles > 0 and doc_id is not null")
+    alone = signatures.where("n_shingles <= 0 or doc_id is null").withColumn("rep", F.col("doc_id"))
+    out = member.select("doc_id", "n_shingles", "rep").unionByName(alone.select("doc_id", "n_shingles", "rep"))
+    if parts is None:
+        return out.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
+    out = out.join(parts, out["rep"] == parts["id"], "left").withColumn("component", F.coalesce("component", "rep"))
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _by_text(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Classes where ids come with several texts: those of (id, text) keys first, then components that share an id are one."""
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    keyed = rows.select("doc_id", key.alias("key"), "text")
+    found = stage(near_duplicate_classes(keyed, id_col="key", words=words, percent=percent, one_text=True), "keys")
+    nameless = found.where("doc_id is null").select("doc_id", "n_shingles", "component_id")
+    found = found.where("doc_id is not null").distinct().withColumnRenamed("doc_id", "key")
+    member = stage(keyed.where("key is not null").select("doc_id", "key").join(found, "key").select("doc_id", "n_shingles", "component_id"), "members")
+    first = member.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    labels = connected_components(member.join(first, "doc_id").where("a <> component_id").select("a", F.col("component_id").alias("b")).distinct())
+    merged = member.join(labels, member["component_id"] == labels["id"], "left").select("doc_id", "n_shingles", F.coalesce("component", "component_id").alias("label"))
+    least = merged.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return merged.join(least, "label").select("doc_id", "n_shingles", "component_id").unionByName(nameless)
+
+
 def _components(found: DataFrame, percent: int) -> DataFrame | None:
     """(id, component) of the candidates that have links, or None without any."""
     # a pair that is similar enough shares a token of both base prefixes (l = 1), the rarest ones; longer prefixes only count

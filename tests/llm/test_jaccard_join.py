@@ -67,3 +67,18 @@ def test_one_id_with_several_texts_and_no_stars(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert J.near_duplicate_classes(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_text_of_an_id_is_searched(spark):
+    rng = random.Random(7)
+    text = lambda: [f"w{rng.randint(0, 10**6)}" for _ in range(80)]
+    rows = []
+    for i in range(20):
+        texts = [text() for _ in range(4)]
+        rows += [(i, " ".join(t)) for t in texts]
+        rows += [(100 + 10 * i + k, " ".join([*t[:-1], "other"])) for k, t in enumerate(texts)]  # near
+        rows += [(500 + 10 * i, " ".join(texts[2]))]  # equal
+    rows += [(0, ""), (None, rows[0][1]), (3, rows[12][1]), (4, None)]
+    df = spark.createDataFrame([(d, t, "c", 1) for d, t in rows], SCHEMA).repartition(3)
+    got = J.near_duplicate_classes(df).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == plain(rows)
