@@ -22,31 +22,52 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Where the setting is absent (tests on one machine) a temporary folder is made and kept for the session."""
+    Where the setting is absent on one machine (tests) a temporary folder is made and kept for the session; on a cluster
+    that is an error, as no other folder is known to be shared."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='strandlab-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write ``df`` as Parquet below the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The table goes when the driver ends; :func:`unstage` drops it sooner."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strandlab/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    files, where = _file_system(spark, path)
+    files.deleteOnExit(where)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files below ``df`` as the optimizer estimates them; only used to choose partition counts."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def unstage(*tables: DataFrame | None) -> None:
+    """Drop staged tables that nothing reads any more; None and others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_staged_at", None):
+            files, where = _file_system(df.sparkSession, path)
+            files.delete(where, True)
 
 
-def buckets_for(df: DataFrame, mb_each: int = 8, least: int = 12, most: int = 1 << 16) -> int:
-    """Number of partitions so that each holds about ``mb_each`` MB of input."""
-    return int(min(most, max(least, input_bytes(df) // (mb_each << 20))))
+def batch_count(docs: DataFrame, text_col: str, mb_each: int = 8, least: int = 12) -> int:
+    """Number of batches so that each holds about ``mb_each`` MB of input, however large that is: by the size of its files
+    as the optimizer estimates it, or of its texts where there are no files to go by."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 55:
+        size = docs.select(F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("long"))).first()[0] or 0
+    return int(max(least, size // (mb_each << 20)))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -84,15 +105,10 @@ def text_runs(array: pa.Array, limit: int = CHUNK_BYTES):
         row = past
 
 
-def words_at(data: np.ndarray, positions: np.ndarray) -> np.ndarray:
-    """Unsigned 64-bit little-endian words that start at ``positions``; ``data`` must reach 8 bytes past each."""
-    view = np.ndarray(shape=(len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
-    return view[positions]
-
-
-def row_key(id_col: str, text_col: str):
-    """Column that tells rows with the same id but other texts apart."""
-    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
+def column(table: pa.Table, name: str) -> pa.Array:
+    """A column of a table in one piece."""
+    found = table.column(name)
+    return found.combine_chunks() if found.num_chunks != 1 else found.chunk(0)
 
 
 def crc_bucket(id_col: str, modulus: int):
@@ -100,14 +116,6 @@ def crc_bucket(id_col: str, modulus: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let the driver drop shuffle files of finished jobs now instead of at its next full garbage collection."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 _BYTE_CODES = mix64(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _BASE_INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
@@ -140,11 +148,16 @@ class RollingHash:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed message."""
+    """Arrays as one message. Wide values are laid out by byte planes, whose high ones are mostly zero, and compressed where
+    that helps."""
     parts = []
     for a in arrays:
-        raw = np.ascontiguousarray(a).tobytes()
-        data = pa.compress(raw, "zstd", asbytes=True) if raw else b""
+        raw = np.ascontiguousarray(a)
+        if raw.itemsize > 1 and raw.size > 1:
+            raw = np.ascontiguousarray(raw.view(np.uint8).reshape(-1, raw.itemsize).T)
+        raw = raw.tobytes()
+        data = pa.compress(raw, "zstd", asbytes=True) if len(raw) > 64 else raw
+        data = data if len(data) < len(raw) else raw
         parts.append(a.dtype.str.encode().ljust(4) + len(raw).to_bytes(8, "little") + len(data).to_bytes(8, "little") + data)
     return b"".join(parts)
 
@@ -156,11 +169,23 @@ def unpack(message: bytes) -> list[np.ndarray]:
         dtype = np.dtype(message[at : at + 4].decode().strip())
         raw, size = (int.from_bytes(message[at + x : at + x + 8], "little") for x in (4, 12))
         at += 20
-        out.append(np.frombuffer(pa.decompress(message[at : at + size], raw, "zstd", asbytes=True), dtype) if raw else np.zeros(0, dtype))
+        data = message[at : at + size]
+        data = np.frombuffer(pa.decompress(data, raw, "zstd", asbytes=True) if size < raw else data, np.uint8)
+        if dtype.itemsize > 1 and raw > dtype.itemsize:
+            data = np.ascontiguousarray(data.reshape(dtype.itemsize, -1).T).ravel()
+        out.append(data.view(dtype))
         at += size
     return out
 
 
+def range_split(values: np.ndarray, buckets: int, bits: int = 64):
+    """(bucket, slice) of sorted unsigned values below 2**bits, dealt to buckets by equal ranges; empty ones are left out."""
+    edges = np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << bits) // buckets)
+    cut = np.concatenate([[0], np.searchsorted(values, edges), [len(values)]])
+    for b in np.flatnonzero(np.diff(cut)).tolist():
+        yield b, slice(int(cut[b]), int(cut[b + 1]))
+
+
 def deltas(values: np.ndarray) -> np.ndarray:
     """Sorted unsigned values as differences, which compress well."""
     return np.diff(values, prepend=values.dtype.type(0))

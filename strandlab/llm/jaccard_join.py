@@ -1,18 +1,18 @@
-"""Near-duplicate classes by an n-gram Jaccard join with adaptive multi-match prefixes.
-
-Each document's shingles are put in one global order: rare before frequent by a fixed-size table of hashed counts over
-the whole corpus, then by hash. Two documents with Jaccard similarity of at least t share at least l shingles among
-their first n - ceil(t n) + l ones, for any l. A document picks its own l from the length of its prefix shingles' lists: a
-longer prefix is looked up in more lists but must match in more places before a pair is verified. A document whose
-l-prefix has fewer than l shingles in common with all others together has no partner and goes no further. A pair is
-verified once it shares min(l, l') prefix shingles, and enough of them to reach t with all that lies beyond the prefixes;
-no true pair can miss that.
-
-Documents with equal shingle sets are one class from the start. Batches send the hashes of their prefix shingles to
-hash buckets, which answer with those that another class has too and in how many classes; only documents with enough
-such shingles go on, with their sets. As only classes are asked for, pairs that are already connected need no test: each list first tests all members
-against one leader, the links found are contracted, and then only members of different components are paired.
-Every pair so left is counted and tested; no list is cut.
+"""N-gram Jaccard join with adaptive multi-match prefixes, for classes of near duplicates.
+
+Documents with equal shingle sets are one class from the start. Each class's shingles are put in one global order: rare
+before frequent by the exact number of classes that hold them, then by hash. Two documents with Jaccard similarity of at
+least t share at least l shingles among their first n - ceil(t n) + l ones, for any l. A document picks its own l by the
+estimated cost of its candidates, from the exact lengths of its shingles' lists: a longer prefix is looked up in more lists,
+but a pair must meet in min(l, l') of them before it is verified. No true pair can miss that.
+
+The counts are corpus-wide: batches of documents send the hashes of their shingles to hash buckets, which answer with those
+that another class has too and in how many. A document that shares fewer than ceil(t n) shingles with all others together
+has no partner and goes no further.
+
+As only classes are asked for, pairs that are already connected need no test: each list first tests all members against
+one leader, the links found are contracted, and then only members of different components are paired. Every pair so left
+is counted and tested; no list is cut.
 """
 
 from __future__ import annotations
@@ -22,34 +22,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, deltas, message_rows, mix64, pack, stage, unpack
+from .common import batch_count, column, deltas, message_rows, mix64, pack, range_split, stage, unpack, unstage
 from .components import connected_components
 from .shingles import SHINGLE_WORDS, shingle_sets
-from .suffix_dedup import _HASH_40, _bucket, _column, _split
 
 PERCENT = 75
-#: Slots of the hashed counts that order shingles by frequency.
-SLOT_BITS = 20
 #: Choices of l, the prefix shingles to be shared.
 MATCHES = (1, 2, 4, 8, 16, 32)
 #: Cost of verifying a candidate, in list entries read.
-VERIFY_COST = 8
-STAR_ROUNDS = 4
+VERIFY_COST = 2
+#: Rounds that test lists against one leader, and the share of links among tested pairs below which they end.
+STAR_ROUNDS, STAR_YIELD = 4, 0.05
+#: Bits of a shingle's hash by which lists are found; full hashes decide.
+TOKEN_BITS = 48
 
 _SPEC = "bucket int, pid int, message binary"
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
 def _signatures(batches):
-    """doc_id, shingle count and a 128-bit order-free hash of each set; the last row holds the partition's slot counts."""
-    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    """doc_id, shingle count and a 128-bit order-free hash of each set."""
     for batch in batches:
         n_out, a_out, b_out = [], [], []
         for _, n, hashes in shingle_sets(batch.column(1)):
-            counts += np.bincount(_slots(hashes), minlength=len(counts))
             past = np.cumsum(n)
             for out, values in ((a_out, mix64(hashes)), (b_out, mix64(hashes ^ np.uint64(0xABCDEF0123456789)))):
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
@@ -57,81 +51,44 @@ def _signatures(batches):
             n_out.append(n)
         if n_out:
             yield pa.record_batch(
-                [batch.column(0), pa.array(np.concatenate(n_out)), pa.array(np.concatenate(a_out).view(np.int64)), pa.array(np.concatenate(b_out).view(np.int64)), pa.nulls(batch.num_rows, pa.binary())],
-                names=["doc_id", "n_shingles", "sig_a", "sig_b", "counts"],
+                [batch.column(0), pa.array(np.concatenate(n_out)), pa.array(np.concatenate(a_out).view(np.int64)), pa.array(np.concatenate(b_out).view(np.int64))],
+                names=["doc_id", "n_shingles", "sig_a", "sig_b"],
             )
-    yield pa.record_batch([pa.nulls(1, pa.int64()), pa.array([-1]), pa.array([0]), pa.array([0]), pa.array([pack(counts)], pa.binary())], names=["doc_id", "n_shingles", "sig_a", "sig_b", "counts"])
-
-
-def _slot_counts(signatures: DataFrame) -> np.ndarray:
-    """Corpus counts by slot: partial sums in the executors, one row for each of 256 groups of slots to the driver."""
-
-    def spread(batches):
-        total = np.zeros(1 << SLOT_BITS, np.int64)
-        for batch in batches:
-            for message in batch.column(0).to_pylist():
-                total += unpack(message)[0]
-        used = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["slot", "n"])
-
-    rows = signatures.where("counts is not null").select("counts").mapInArrow(spread, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << SLOT_BITS, np.int64)
-    table = rows.toArrow()
-    out[table.column("slot").to_numpy()] = table.column("n").to_numpy()
-    return out
-
-
-def in_order(counts: np.ndarray, hashes: np.ndarray, slot_counts: np.ndarray):
-    """(text, hash) of sets that follow one another, each in the global order: rare shingles first, then by hash."""
-    text = np.repeat(np.arange(len(counts)), counts)
-    mean = max(1, int(slot_counts.sum()) // len(slot_counts))
-    level = np.floor(np.log2(1 + np.maximum(slot_counts[_slots(hashes)] - 2 * mean, 0)))
-    order = np.lexsort((hashes, level, text))
-    return text[order], hashes[order]
 
 
-def most_matches(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Largest l whose shared shingles every partner's longest prefix must show: a partner has percent of n shingles at
-    least, and percent of those must be in common."""
-    return np.maximum(1, np.minimum(MATCHES[-1], percent * (percent * n // 100) // 100 - 1))
+def needed(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Shingles that a partner must share."""
+    return -(-percent * n // 100)
 
 
-def longest_prefixes(n: np.ndarray, hashes: np.ndarray, slot_counts: np.ndarray, percent: int = PERCENT):
-    """(text, hash) of each set's prefix for the largest l that any document may pick."""
-    text, hashes = in_order(n, hashes, slot_counts)
-    needed = -(-percent * n // 100)
-    place = np.arange(len(text)) - (np.cumsum(n) - n)[text]
-    inside = place < (n - needed + np.minimum(MATCHES[-1], needed))[text]
-    return text[inside], hashes[inside]
-
-
-def choose_matches(n: np.ndarray, text: np.ndarray, size: np.ndarray, percent: int = PERCENT):
-    """(l, alive) of each set from the list lengths (0: in no other class) of its longest prefix, in order."""
+def choose_matches(n: np.ndarray, text: np.ndarray, size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """l of each set from the lengths of its shingles' lists (1: no other class), in the global order, set after set."""
     first = np.searchsorted(text, np.arange(len(n)))
-    shared = np.concatenate([[0], np.cumsum(size > 0)])
-    total = np.concatenate([[0], np.cumsum(size)])
-    needed = -(-percent * n // 100)
-    best, ell, alive = np.full(len(n), np.inf), np.ones(len(n), np.int64), np.ones(len(n), bool)
+    total = np.concatenate([[0], np.cumsum(np.where(size > 1, size, 0))])
+    best, ell = np.full(len(n), np.inf), np.ones(len(n), np.int64)
     for k in MATCHES:
-        past = first + n - needed + k
-        allowed = k <= most_matches(n, percent)
-        past = np.where(allowed, past, first)
+        allowed = k <= np.maximum(1, needed(n, percent))
+        past = first + np.where(allowed, n - needed(n, percent) + k, 0)
         read = (total[past] - total[first]).astype(float)
-        alive &= ~allowed | (shared[past] - shared[first] >= k)
-        better = allowed & (read + VERIFY_COST * read / k < best)
-        best, ell = np.where(better, read + VERIFY_COST * read / k, best), np.where(better, k, ell)
-    return ell, alive
+        cost = read + VERIFY_COST * read / k
+        better = allowed & (cost < best)
+        best, ell = np.where(better, cost, best), np.where(better, k, ell)
+    return ell
+
+
+def _token(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - TOKEN_BITS)
 
 
 def _shared_tokens(table: pa.Table) -> pa.Table:
-    """Answers of a bucket: which of each batch's prefix shingles are in two classes or more, and in how many."""
+    """Answers of a bucket: which of each batch's shingles are in two classes or more, and in how many."""
     bucket = table.column("bucket")[0].as_py()
     parts = [unpack(m) for m in table.column("message").to_pylist()]
-    hashes = [np.cumsum(p[0], dtype=np.uint64) for p in parts]
-    distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    tokens = [np.cumsum(p[0], dtype=np.uint64) for p in parts]
+    distinct, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
     total = np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(distinct)).astype(np.uint32)
     rows, at = [], 0
-    for pid, own in zip(table.column("pid").to_pylist(), hashes):
+    for pid, own in zip(table.column("pid").to_pylist(), tokens):
         n = total[inverse[at : at + len(own)]]
         at += len(own)
         if (n >= 2).any():
@@ -139,34 +96,65 @@ def _shared_tokens(table: pa.Table) -> pa.Table:
     return message_rows(rows)
 
 
-def _answers(table: pa.Table):
-    """Sorted keys (bucket and 40 bits) of a batch's shared shingles, and their numbers of classes."""
-    keys, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
-    for bucket, message in zip(table.column("bucket").to_pylist(), table.column("message").to_pylist()):
+def _answers(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted tokens of a batch that other classes have too, and their numbers of classes."""
+    tokens, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+    for bucket, message in sorted(zip(table.column("bucket").to_pylist(), table.column("message").to_pylist())):
         if bucket >= 0:
-            h, n = unpack(message)
-            keys.append(np.cumsum(h, dtype=np.uint64) | np.uint64(bucket << 40))
+            t, n = unpack(message)
+            tokens.append(np.cumsum(t, dtype=np.uint64))
             sizes.append(n)
-    keys, sizes = np.concatenate(keys), np.concatenate(sizes)
-    order = np.argsort(keys)
-    return keys[order], sizes[order].astype(np.int64)
+    return np.concatenate(tokens), np.concatenate(sizes).astype(np.int64)
 
 
 def _sets_of(docs: pa.Table, mine: set):
-    """(rows of docs, counts, hashes) of the class representatives in a batch, the first row of each id."""
-    ids = _column(docs, "doc_id").to_pylist()
+    """(ids, counts, hashes) of the class representatives in a batch, the first row of each id."""
+    ids = column(docs, "doc_id").to_pylist()
     seen: set = set()
     rows = [i for i, d in enumerate(ids) if d in mine and not (d in seen or seen.add(d))]
     if not rows:
         return
-    chosen = _column(docs, "text").take(pa.array(rows))
+    chosen = column(docs, "text").take(pa.array(rows))
     ids = np.array([ids[i] for i in rows])
     for row, n, hashes in shingle_sets(chosen):
         yield ids[row : row + len(n)], n, hashes
 
 
-def _own(message_table: pa.Table) -> set:
-    return {d for b, m in zip(message_table.column("bucket").to_pylist(), message_table.column("message").to_pylist()) if b == -1 for d in unpack(m)[0].tolist()}
+def _own(table: pa.Table) -> set:
+    return {d for b, m in zip(table.column("bucket").to_pylist(), table.column("message").to_pylist()) if b == -1 for d in unpack(m)[0].tolist()}
+
+
+_CANDIDATES = pa.schema(
+    [("doc_id", pa.int64()), ("n", pa.int64()), ("ell", pa.int32()), ("places", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))]
+)
+
+
+def candidate_rows(sets, tokens: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> pa.Table:
+    """Of sets that share enough with all others together: l, the places and tokens of the l-prefix that other classes have
+    too, and all such shingles."""
+    out: list[list] = [[] for _ in _CANDIDATES]
+    for ids, n, hashes in sets if len(tokens) else ():
+        text = np.repeat(np.arange(len(n)), n)
+        token = _token(hashes)
+        at = np.minimum(np.searchsorted(tokens, token), len(tokens) - 1)
+        size = np.where(tokens[at] == token, sizes[at], 1)
+        alive = np.bincount(text, size > 1, len(n)) >= np.maximum(1, needed(n, percent))
+        keep = alive[text]
+        text, token, size, hashes, ids, n = np.cumsum(alive)[text[keep]] - 1, token[keep], size[keep], hashes[keep], ids[alive], n[alive]
+        order = np.lexsort((hashes, size, text))
+        text, token, size, hashes = text[order], token[order].view(np.int64), size[order], hashes[order].view(np.int64)
+        ell = choose_matches(n, text, size, percent)
+        place = np.arange(len(text)) - (np.cumsum(n) - n)[text]
+        shared = size > 1
+        prefix = shared & (place < (n - needed(n, percent) + ell)[text])
+        cut = np.searchsorted(text[prefix], np.arange(len(n) + 1)).tolist()
+        whole = np.searchsorted(text[shared], np.arange(len(n) + 1)).tolist()
+        place, token, hashes = place[prefix].astype(np.int32), token[prefix], hashes[shared]
+        for k in range(len(n)):
+            row = (int(ids[k]), int(n[k]), int(ell[k]), place[cut[k] : cut[k + 1]], token[cut[k] : cut[k + 1]], hashes[whole[k] : whole[k + 1]])
+            for values, x in zip(out, row):
+                values.append(x)
+    return pa.table([pa.array(c, f.type) for c, f in zip(out, _CANDIDATES)], schema=_CANDIDATES)
 
 
 def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, one_text: bool = False) -> DataFrame:
@@ -174,15 +162,13 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
 
     Null, empty and blank texts have no shingles and no links: component_id is their own id. Rows with a null id have
     no links either, and a null component. Repeated rows are linked as equal texts are; where one id comes with several
-    texts, rows with the same id are one node of the graph. An empty table gives no rows. Only the two named columns
-    are read. ``one_text`` says that no id has several texts.
+    texts, rows with the same id are one node of the graph. Very long texts are whole sets like any other. An empty table
+    gives no rows. Only the two named columns are read. ``one_text`` says that no id has several texts.
     """
-    batches = buckets_for(docs, mb_each=12, least=48)
-    buckets = min(batches, 4096)
+    batches = batch_count(docs, text_col)
+    buckets = max(8, batches // 2)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    signatures = stage(rows.mapInArrow(_signatures, "doc_id long, n_shingles long, sig_a long, sig_b long, counts binary"), "signatures")
-    slot_counts = docs.sparkSession.sparkContext.broadcast(_slot_counts(signatures))  # 2**SLOT_BITS numbers
-    signatures = signatures.where("counts is null").drop("counts")
+    signatures = stage(rows.mapInArrow(_signatures, "doc_id long, n_shingles long, sig_a long, sig_b long"), "signatures")
     mixed = signatures.where("doc_id is not null").groupBy("doc_id").agg(F.min("sig_a").alias("x"), F.max("sig_a").alias("y")).where("x <> y")
     if not one_text and mixed.limit(1).count() > 0:
         return _by_text(rows, words, percent)
@@ -190,7 +176,7 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     classes = stage(linked.groupBy("sig_a", "sig_b").agg(F.min("doc_id").alias("rep")), "classes")
 
     pid = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
-    batch = rows.withColumn("pid", pid)
+    batch = rows.where("doc_id is not null and text is not null").withColumn("pid", pid)
 
     def own_list(table):
         ids = table.column("doc_id").to_numpy()
@@ -198,56 +184,29 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
 
     representatives = classes.select(F.col("rep").alias("doc_id")).distinct().withColumn("pid", pid).groupBy("pid").applyInArrow(own_list, _SPEC)
 
-    def send_prefixes(key, left, right):
-        found = [np.zeros(0, np.uint64)]
-        for _, n, hashes in _sets_of(left, _own(right)):
-            found.append(longest_prefixes(n, hashes, slot_counts.value, percent)[1])
+    def send(key, left, right):
+        found = [np.zeros(0, np.uint64), *(_token(hashes) for _, _, hashes in _sets_of(left, _own(right)))]
         tokens, counts = np.unique(np.concatenate(found), return_counts=True)
-        out = []
-        for bucket, at in _split(_bucket(tokens, buckets)):
-            low = tokens[at] & _HASH_40
-            order = np.argsort(low, kind="stable")
-            out.append((bucket, key[0].as_py(), pack(deltas(low[order]), counts[at][order].astype(np.uint32))))
-        return message_rows(out)
+        return message_rows([(b, key[0].as_py(), pack(deltas(tokens[s]), counts[s].astype(np.uint32))) for b, s in range_split(tokens, buckets, TOKEN_BITS)])
 
     def candidates(key, left, right):
-        keys, sizes = _answers(right)
-        out: list[list] = [[] for _ in range(7)]
-        for ids, n, hashes in _sets_of(left, _own(right)) if len(keys) else ():
-            text, token = longest_prefixes(n, hashes, slot_counts.value, percent)
-            token = np.uint64(1 << 40) * _bucket(token, buckets).astype(np.uint64) + (token & _HASH_40)
-            at = np.minimum(np.searchsorted(keys, token), len(keys) - 1)
-            size = np.where(keys[at] == token, sizes[at], 0)
-            ell, alive = choose_matches(n, text, size, percent)
-            place = np.arange(len(text)) - np.searchsorted(text, np.arange(len(n)))[text]
-            keep = (size > 0) & alive[text] & (place < (n - -(-percent * n // 100) + ell)[text])
-            place = place[keep]
-            base = place < (n - -(-percent * n // 100) + 1)[text[keep]]
-            text, token = text[keep], token[keep].view(np.int64)
-            in_base = np.bincount(text, base, len(n)).astype(np.int64)
-            past = np.cumsum(n)
-            bounds = np.searchsorted(text, np.arange(len(n) + 1))
-            for k in np.unique(text).tolist():
-                row = (int(ids[k]), int(n[k]), int(ell[k]), int(in_base[k]), place[bounds[k] : bounds[k] + in_base[k]].astype(np.int32), token[bounds[k] : bounds[k + 1]], hashes[past[k] - n[k] : past[k]].view(np.int64))
-                for column, x in zip(out, row):
-                    column.append(x)
-        kinds = [("doc_id", pa.int64()), ("n", pa.int64()), ("ell", pa.int32()), ("n_base", pa.int32()), ("places", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))]
-        return pa.table([pa.array(c, k) for c, (_, k) in zip(out, kinds)], names=[name for name, _ in kinds])
-
-    sent = batch.groupBy("pid").cogroup(representatives.groupBy("pid")).applyInArrow(send_prefixes, _SPEC)
+        return candidate_rows(_sets_of(left, _own(right)), *_answers(right), percent)
+
+    sent = batch.groupBy("pid").cogroup(representatives.groupBy("pid")).applyInArrow(send, _SPEC)
     shared = sent.groupBy("bucket").applyInArrow(lambda t: _shared_tokens(t), _SPEC)
     found = stage(
-        batch.groupBy("pid").cogroup(representatives.unionByName(shared).groupBy("pid")).applyInArrow(candidates, "doc_id long, n long, ell int, n_base int, places array<int>, tokens array<bigint>, shingles array<bigint>"),
+        batch.groupBy("pid").cogroup(representatives.unionByName(shared).groupBy("pid")).applyInArrow(
+            candidates, "doc_id long, n long, ell int, places array<int>, tokens array<bigint>, shingles array<bigint>"
+        ),
         "candidates",
     )
-    parts = _components(found, percent)
+    labels = _components(found, percent)
     member = signatures.join(classes, ["sig_a", "sig_b"], "left").where("n_shingles > 0 and doc_id is not null")
     alone = signatures.where("n_shingles <= 0 or doc_id is null").withColumn("rep", F.col("doc_id"))
     out = member.select("doc_id", "n_shingles", "rep").unionByName(alone.select("doc_id", "n_shingles", "rep"))
-    if parts is None:
-        return out.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
-    out = out.join(parts, out["rep"] == parts["id"], "left").withColumn("component", F.coalesce("component", "rep"))
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    if labels is not None:
+        out = out.join(labels, out["rep"] == labels["id"], "left").withColumn("rep", F.coalesce("component", "rep"))
+    return out.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
 
 
 def _by_text(rows: DataFrame, words: int, percent: int) -> DataFrame:
@@ -267,35 +226,53 @@ def _by_text(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
 def _components(found: DataFrame, percent: int) -> DataFrame | None:
     """(id, component) of the candidates that have links, or None without any."""
-    # a pair that is similar enough shares a token of both base prefixes (l = 1), the rarest ones; longer prefixes only count
-    # its first one, at place p of n, leaves n - p that can be shared
-    lists = found.where("n_base > 0").select("doc_id", "n", F.posexplode(F.expr("slice(tokens, 1, n_base)")).alias("i", "token"), "places")
-    postings = lists.select("doc_id", "n", "token", (F.col("n") - F.get("places", F.col("i"))).alias("rest"))
-    prefixes = found.select("doc_id", "n", "ell", "tokens")
+    lists = found.select("doc_id", "n", "ell", F.posexplode("tokens").alias("i", "token"), "places")
+    # its i-th list entry is at a place p of n, which leaves n - p shingles that can be shared from there on
+    postings = lists.select("doc_id", "n", "ell", "token", (F.col("n") - F.get("places", F.col("i"))).cast("int").alias("rest"))
+    alone = postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
+    postings = stage(postings.join(alone, "token"), "postings")
     sets = found.select("doc_id", "n", "shingles")
-    links = labels = None
-    for round_no in range(STAR_ROUNDS + 1):
-        # from the second round on leaders are random members, so mostly of a list's largest component
+    labels, rounds = None, [*range(STAR_ROUNDS), None]
+    while rounds:
+        round_no = rounds.pop(0)
         here = postings.withColumn("comp", F.col("doc_id"))
         if labels is not None:
             here = postings.join(labels, postings["doc_id"] == labels["id"], "left").withColumn("comp", F.coalesce("component", "doc_id"))
-        here = here.select("token", "doc_id", "n", "rest", "comp")
-        if round_no < STAR_ROUNDS:
-            pairs = _star_pairs(here, round_no, percent)
-        else:
-            pairs = _all_pairs(here, prefixes, percent)
-        new = stage(_verified(pairs, sets, percent), "verified")
-        if new.limit(1).count() == 0:
-            if round_no == STAR_ROUNDS:
-                break
-            continue
-        links = new if links is None else links.union(new)
-        labels = connected_components(links)
+        here = here.select("token", "doc_id", "n", "ell", "rest", "comp")
+        pairs = _met_pairs(here, percent) if round_no is None else _star_pairs(here, round_no, percent)
+        tested = stage(_verified(pairs, sets, percent), "tested")
+        new = tested.where("linked").select("a", "b")
+        pairs, links = tested.agg(F.count("*"), F.count_if("linked")).first()
+        if links:
+            labels = _contracted(new, labels)
+        if round_no is not None and links <= STAR_YIELD * pairs:
+            rounds = [None]
+        unstage(tested)
+        if round_no is None:
+            unstage(postings)
     return labels
 
 
+def _contracted(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(id, component) after more links; only components that get links are labelled anew."""
+    if labels is None:
+        return connected_components(links)
+    comp = labels.select("id", "component")
+    for side in "ab":
+        links = links.join(comp.select(F.col("id").alias(side), F.col("component").alias(f"{side}_comp")), side, "left")
+    merged = connected_components(links.select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")).where("a <> b").distinct())
+    fresh = merged.select(F.col("id").alias("was"), F.col("component").alias("now"))
+    old = labels.join(fresh, labels["component"] == fresh["was"], "left").select("id", F.coalesce("now", "component").alias("component"))
+    new = merged.join(labels.select("id"), "id", "left_anti").select("id", "component")
+    out = stage(old.unionByName(new), "labels")
+    unstage(labels, merged)
+    return out
+
+
 def _star_pairs(here: DataFrame, round_no: int, percent: int) -> DataFrame:
-    """Each document with the leader of most of its lists, where their components differ."""
+    """Each document with the leader of most of its lists, where their components differ.
+
+    From the second round on leaders are random members, so mostly of a list's largest component."""
     order = F.col("doc_id") if round_no == 0 else F.xxhash64("doc_id", F.lit(round_no))
     lead = here.groupBy("token").agg(F.min(F.struct(order.alias("o"), "doc_id", "comp", "n")).alias("lead"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     pair = here.join(lead, "token").where(F.col("comp") != F.col("lead.comp")).where(_sizes("n", "lead.n", percent))
@@ -308,28 +285,23 @@ def _sizes(x: str, y: str, percent: int):
     return (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
 
-def _all_pairs(here: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that meet in a list and share enough prefix shingles. Lists are joined by component
-    first, so that members of one component never meet."""
+def _met_pairs(here: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that meet in at least min(l, l') lists, at places that leave enough to share.
+
+    Components are joined list by list first, so that members of one never meet, then the members of those that meet."""
     open_lists = here.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
     here = here.join(open_lists, "token")
-    # of a component in a list only what any member could reach is compared, then the members themselves
-    comps = here.groupBy("token", "comp").agg(F.max("rest").alias("rest"), F.min("n").alias("n"))
     side = lambda t, x: t.select("token", *[F.col(c).alias(f"{c}_{x}") for c in t.columns if c != "token"])
-    reach = f"{100 + percent} * least(rest_a, rest_b) >= {percent} * (n_a + n_b)"
-    meet = side(comps, "a").join(side(comps, "b"), "token").where(f"comp_a < comp_b and {reach}").select("token", "comp_a", "comp_b")
-    a, b = (side(here.withColumnRenamed("doc_id", "doc"), x) for x in "ab")
-    pairs = meet.join(a, ["token", "comp_a"]).join(b, ["token", "comp_b"]).where(reach).where(_sizes("n_a", "n_b", percent)).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
-    left = prefixes.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("ell").alias("ell_a"), F.col("tokens").alias("t_a"))
-    right = prefixes.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("ell").alias("ell_b"), F.col("tokens").alias("t_b"))
-    count = pairs.join(left, "a").join(right, "b").withColumn("k", F.size(F.array_intersect("t_a", "t_b")))
-    # of the document whose prefix ends first, at most ceil(t n) - l shingles beyond it can be shared
-    beyond = "greatest(" + ", ".join(f"({percent} * n_{x} + 99) div 100 - ell_{x}" for x in "ab") + ")"
-    return count.where(f"k >= least(ell_a, ell_b) and {100 + percent} * (k + {beyond}) >= {percent} * (n_a + n_b)").select("a", "b")
+    a, b = side(here, "a"), side(here, "b")
+    # the m-th shared token of a pair leaves enough for needed - m + 1 more; m is at most the other l
+    reach = f"{100 + percent} * (least(rest_a, rest_b) + least(ell_a, ell_b) - 1) >= {percent} * (n_a + n_b)"
+    met = a.join(b, "token").where("comp_a < comp_b").where(_sizes("n_a", "n_b", percent)).where(reach)
+    counted = met.groupBy("doc_id_a", "doc_id_b").agg(F.count("*").alias("k"), F.max(F.least("ell_a", "ell_b")).alias("ell"))
+    return counted.where("k >= ell").select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     both = pairs.join(left, "a").join(right, "b").withColumn("k", F.size(F.array_intersect("s_a", "s_b")))
-    return both.where(f"100 * k >= {percent} * (n_a + n_b - k)").select("a", "b")
+    return both.select("a", "b", F.expr(f"100 * k >= {percent} * (n_a + n_b - k)").alias("linked"))

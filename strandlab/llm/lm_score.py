@@ -20,9 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, RollingHash, buckets_for, crc_bucket, deltas, message_rows, mix64, pack, stage, text_runs, unpack
+from .common import GOLDEN, RollingHash, batch_count, column, crc_bucket, deltas, message_rows, mix64, pack, stage, text_runs, unpack
 from .shingles import LOWER, word_bounds
-from .suffix_dedup import _column
 
 CLASSES = 64
 #: Tokens that are classes of their own; the first is the end of a text.
@@ -103,8 +102,8 @@ class ClassModel:
 
 def _token_messages(table: pa.Table, pid: int, buckets: int) -> pa.Table:
     hashes, counts, endings = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    train = _column(table, "train").to_numpy(zero_copy_only=False).astype(np.int64)
-    for row, past, offsets, data in text_runs(_column(table, "text")):
+    train = column(table, "train").to_numpy(zero_copy_only=False).astype(np.int64)
+    for row, past, offsets, data in text_runs(column(table, "text")):
         t = Tokens(offsets, data)
         distinct, first, inverse = np.unique(t.hash, return_index=True, return_inverse=True)
         hashes.append(distinct)
@@ -233,8 +232,8 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     token has probability 1 in the base score and an even share in the model. An empty table gives no rows. Only the
     two named columns are read.
     """
-    batches = buckets_for(docs, mb_each=8, least=48)
-    buckets = min(batches, 4096)
+    batches = batch_count(docs, text_col)
+    buckets = max(8, batches // 2)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), (crc_bucket(id_col, modulus) != held).alias("train"))
     batch = rows.withColumn("pid", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
     sent = batch.groupBy("pid").applyInArrow(lambda key, t: _token_messages(t, key[0].as_py(), buckets), _SPEC)
@@ -248,7 +247,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         v, m = vocabulary.value, model.value
         answers = sorted(zip(right.column("bucket").to_pylist(), right.column("message").to_pylist()))
         known = np.concatenate([unpack(x)[0] for _, x in answers] or [np.zeros(0, np.int64)])
-        parts = list(text_runs(_column(left, "text")))
+        parts = list(text_runs(column(left, "text")))
         distinct = np.unique(np.concatenate([np.unique(Tokens(o, d).hash) for _, _, o, d in parts] or [np.zeros(0, np.uint64)]))
         n_tokens, n_known, base, model_score = [], [], [], []
         share = v.class_tokens + v.class_distinct + 1.0
@@ -279,7 +278,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         whole = lambda x: [a.astype(np.int64) for a in x]
         return pa.table(
             {
-                "doc_id": _column(left, "doc_id"), "held_out": pa.compute.invert(_column(left, "train")), "n_tokens": join(whole(n_tokens), pa.int64()), "n_known": join(whole(n_known), pa.int64()),
+                "doc_id": column(left, "doc_id"), "held_out": pa.compute.invert(column(left, "train")), "n_tokens": join(whole(n_tokens), pa.int64()), "n_known": join(whole(n_known), pa.int64()),
                 "train_tokens": pa.array(np.full(left.num_rows, v.tokens), pa.int64()), "base_score": join(base, pa.float64()), "score": join(model_score, pa.float64()),
             }
         )

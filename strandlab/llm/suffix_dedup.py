@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RollingHash, buckets_for, byte_view, deltas, group_starts, message_rows, pack, take_spans, text_runs, unpack
+from .common import RollingHash, batch_count, byte_view, column, deltas, group_starts, message_rows, pack, take_spans, text_runs, unpack
 
 LENGTH = 50
 GRAM = 20
@@ -89,14 +89,9 @@ def _documents(docs: DataFrame, batches: int, id_col: str, text_col: str) -> Dat
     return rows.withColumn("pid", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
 
 
-def _column(table: pa.Table, name: str) -> pa.Array:
-    column = table.column(name)
-    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
-
-
 def _chunks(table: pa.Table, length: int, gram: int):
     """(rows, documents' bounds, bytes, runs) of each part of a batch; row order is fixed by id, then text hash."""
-    text = _column(table, "text")
+    text = column(table, "text")
     for row, past, offsets, data in text_runs(text):
         yield row, past, offsets, data, Runs(offsets, data, length, gram)
 
@@ -104,7 +99,7 @@ def _chunks(table: pa.Table, length: int, gram: int):
 def anchor_messages(table: pa.Table, pid: int, buckets: int, length: int, gram: int) -> pa.Table:
     """Distinct anchor hashes of a batch and how many documents' runs have them (255: more), by bucket."""
     found = [np.zeros(0, np.uint64)]
-    ids = _column(table, "doc_id")
+    ids = column(table, "doc_id")
     known = np.asarray(ids.is_valid())
     values = ids.fill_null(0).to_numpy(zero_copy_only=False)
     for row, past, offsets, _, runs in _chunks(table, length, gram):
@@ -178,7 +173,7 @@ def _contexts(runs: Runs, keys: np.ndarray, hot: np.ndarray, buckets: int, lengt
 def context_messages(docs: pa.Table, answers: pa.Table, pid: int, buckets: int, length: int, gram: int) -> pa.Table:
     """Distinct contexts of a batch with their smallest document, by bucket."""
     keys, hot = _candidates(answers, buckets)
-    ids = _column(docs, "doc_id")
+    ids = column(docs, "doc_id")
     known = np.asarray(ids.is_valid())
     values = ids.fill_null(0).to_numpy(zero_copy_only=False)
     parts = []
@@ -346,7 +341,7 @@ def mark(docs: pa.Table, answers: pa.Table, length: int, gram: int, with_text: b
     order = np.argsort(hashes, kind="stable")
     hashes, windows, begin = hashes[order], windows[order], begin[order]
     any_hot = bool((windows == 0).any())
-    ids = _column(docs, "doc_id")
+    ids = column(docs, "doc_id")
     known = np.asarray(ids.is_valid())
     values = ids.fill_null(0).to_numpy(zero_copy_only=False)
     out: list[list] = [[] for _ in RESULT]
@@ -380,14 +375,14 @@ def mark(docs: pa.Table, answers: pa.Table, length: int, gram: int, with_text: b
             n = int(lost.sum())
             spans = int(lost[0]) + int(np.count_nonzero(lost[1:] & ~lost[:-1])) if n else 0
             row_out = (ids[row + k].as_py(), int(b - a), n, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None)
-            for column, x in zip(out, row_out):
-                column.append(x)
+            for values_out, x in zip(out, row_out):
+                values_out.append(x)
     return pa.table([pa.array(c, f.type) for c, f in zip(out, RESULT)], schema=RESULT)
 
 
 def _answers(rows: DataFrame, batches: int, length: int, gram: int) -> DataFrame:
     """What the buckets answer to the batches of ``rows`` (doc_id, text, pid, any others)."""
-    buckets = min(batches, 4096)
+    buckets = max(8, batches // 2)
     spec = "bucket int, pid int, message binary"
 
     def send_anchors(key, table):
@@ -409,7 +404,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     repeated rows, do not remove each other's bytes. A null id is neither smaller nor larger than any: such rows lose
     nothing and remove nothing. An empty table gives no rows. Only the two named columns are read.
     """
-    batches = buckets_for(docs, mb_each=12, least=48)
+    batches = batch_count(docs, text_col)
     rows = _documents(docs, batches, id_col, text_col)
     return rows.groupBy("pid").cogroup(_answers(rows, batches, length, gram).groupBy("pid")).applyInArrow(
         lambda left, right: mark(left, right, length, gram, False).drop_columns(["kept"]), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -420,14 +415,14 @@ def with_repeats_removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """``docs`` with the remaining text in ``text_col``; rows that lose all their text go, null and empty texts stay.
 
     A character of which only some bytes remain becomes U+FFFD. Other columns are passed on as they are."""
-    batches = buckets_for(docs, mb_each=12, least=48)
+    batches = batch_count(docs, text_col)
     rows = docs.withColumns({"_doc": F.col(f"`{id_col}`").cast("long"), "pid_": F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(batches)).cast("int")})
     narrow = rows.select(F.col("_doc").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col("pid_").alias("pid"))
     names = docs.columns
     at = names.index(text_col)
 
     def apply(left, right):
-        table = pa.table({"doc_id": _column(left, "_doc"), "text": _column(left, text_col)})
+        table = pa.table({"doc_id": column(left, "_doc"), "text": column(left, text_col)})
         done = mark(table, right, length, gram, True)
         texts = [None if old is None else new.decode(errors="replace") for old, new in zip(table.column("text").to_pylist(), done.column("kept").to_pylist())]
         out = left.select(names).set_column(at, text_col, pa.array(texts, pa.string()))
