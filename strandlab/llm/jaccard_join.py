@@ -62,13 +62,16 @@ def needed(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def choose_matches(n: np.ndarray, text: np.ndarray, size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """l of each set from the lengths of its shingles' lists (1: no other class), in the global order, set after set."""
+    """l of each set from the lengths of its shingles' lists (1: no other class), in the global order, set after set.
+
+    The cost is that of a partner of equal size: later places of the prefix leave it too little to share and make no pair."""
     first = np.searchsorted(text, np.arange(len(n)))
-    total = np.concatenate([[0], np.cumsum(np.where(size > 1, size, 0))])
+    total = np.concatenate([[0], np.cumsum(np.where(size > 1, size - 1, 0))])
+    common = -(-2 * percent * n // (100 + percent))
     best, ell = np.full(len(n), np.inf), np.ones(len(n), np.int64)
     for k in MATCHES:
         allowed = k <= np.maximum(1, needed(n, percent))
-        past = first + np.where(allowed, n - needed(n, percent) + k, 0)
+        past = first + np.where(allowed, np.minimum(n, n - common + k), 0)
         read = (total[past] - total[first]).astype(float)
         cost = read + VERIFY_COST * read / k
         better = allowed & (cost < best)
