@@ -1,63 +1,71 @@
-"""CIGAR operators. The signal and the coverage dialects advance on different operations; both are running sums."""
+"""CIGAR operators. The signal and the coverage dialects advance on different operations; both are running sums within a row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lists import running_before
+
 
 def parse_cigar(text: Column) -> Column:
-    """array<struct<op, len>> of a CIGAR string."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r"([0-9]+[MIDNSHP=X])"), 1), lambda x: F.struct(F.substring(x, -1, 1).alias("op"), F.regexp_extract(x, r"^([0-9]+)", 1).cast("bigint").alias("len")))
+    """array<struct<op, len>> of a CIGAR string; empty for ``*``."""
+    ops, lengths = F.split(F.regexp_replace(text, "[0-9]+", ""), ""), F.split(text, "[MIDNSHP=X]")
+    pairs = F.zip_with(ops, lengths, lambda op, n: F.struct(op.alias("op"), n.try_cast("bigint").alias("len")))
+    return F.filter(pairs, lambda c: c["len"].isNotNull() & (c["op"] != ""))
 
 
-def _operations(records: DataFrame, keep: list[str]) -> DataFrame:
-    return records.select(*keep, F.posexplode("cigar").alias("ix", "c")).select(*keep, "ix", F.col("c.op").alias("op"), F.col("c.len").alias("len"))
+def _moves(*ops: str) -> Column:
+    return F.transform("cigar", lambda c: F.when(c["op"].isin(*ops), c["len"]).otherwise(0).cast("bigint"))
 
 
-def _before(amount: Column, key: str = "ordinal") -> Column:
-    window = Window.partitionBy(key).orderBy("ix").rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(amount).over(window), F.lit(0))
+def with_blocks(records: DataFrame) -> DataFrame:
+    """Adds ``blocks``: each M block's ix, q (1-based in the read), len and r (1-based on the reference).
 
+    M advances both, I and S the read, D and N the reference; H, P, = and X advance nothing here."""
+    rows = records.withColumns({"_q": running_before(_moves("M", "I", "S")), "_r": running_before(_moves("M", "D", "N"))})
+    placed = F.transform(
+        "cigar", lambda c, i: F.struct(c["op"].alias("op"), i.alias("ix"), (F.get("_q", i) + 1).alias("q"), c["len"].alias("len"), (F.col("pos") + 1 + F.get("_r", i)).cast("bigint").alias("r"))
+    )
+    blocks = F.transform(F.filter(placed, lambda x: x["op"] == "M"), lambda x: F.struct(x["ix"].alias("ix"), x["q"].alias("q"), x["len"].alias("len"), x["r"].alias("r")))
+    return rows.withColumn("blocks", blocks).drop("_q", "_r")
 
-def signal_blocks(records: DataFrame) -> DataFrame:
-    """ordinal, ix and each M block: q (1-based in the read), len, r (1-based on the reference).
 
-    M advances both, I and S the read, D and N the reference; H, P, = and X advance nothing here."""
-    ops = _operations(records, ["ordinal", "pos"])
-    read = F.when(F.col("op").isin("M", "I", "S"), F.col("len")).otherwise(0)
-    ref = F.when(F.col("op").isin("M", "D", "N"), F.col("len")).otherwise(0)
-    placed = ops.withColumn("q", 1 + _before(read)).withColumn("r", F.col("pos") + 1 + _before(ref))
-    return placed.where("op = 'M'").select("ordinal", "ix", F.col("q").cast("bigint").alias("q"), "len", F.col("r").cast("bigint").alias("r"))
+def signal_blocks(records: DataFrame) -> DataFrame:
+    """ordinal and the fields of each M block, as rows."""
+    return with_blocks(records.select("ordinal", "pos", "cigar")).select("ordinal", F.inline("blocks"))
 
 
-def read_lengths(records: DataFrame) -> DataFrame:
-    """ordinal and read_length: with a last S of some length all of the read that was walked, otherwise up to the last M block.
-    Records with neither have none and drop out."""
-    last = F.element_at("cigar", -1)
-    walked = F.aggregate("cigar", F.lit(0).cast("bigint"), lambda a, c: a + F.when(c["op"].isin("M", "I", "S"), c["len"]).otherwise(0))
-    # what follows the last M block counts nothing
+def with_read_length(records: DataFrame) -> DataFrame:
+    """Adds ``read_length``: with a last S of some length all of the read that was walked, otherwise up to the last M block;
+    null with neither."""
+    last = F.try_element_at("cigar", F.lit(-1))
     state = F.aggregate(
         "cigar", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(None).cast("bigint").alias("done")),
         lambda a, c: F.struct(
             (a["at"] + F.when(c["op"].isin("M", "I", "S"), c["len"]).otherwise(0)).alias("at"),
+            # what follows the last M block counts nothing
             F.when(c["op"] == "M", a["at"] + c["len"]).otherwise(a["done"]).alias("done"),
         ),
     )
-    length = F.when((last["op"] == "S") & (last["len"] > 0), walked).otherwise(state["done"])
-    return records.select("ordinal", length.alias("read_length")).where("read_length is not null")
+    length = F.when((last["op"] == "S") & (last["len"] > 0), F.col("_state.at")).otherwise(F.col("_state.done"))
+    return records.withColumn("_state", F.when(F.size("cigar") > 0, state)).withColumn("read_length", F.when(F.size("cigar") > 0, length)).drop("_state")
+
+
+def read_lengths(records: DataFrame) -> DataFrame:
+    """ordinal and read_length; records with none drop out."""
+    return with_read_length(records).select("ordinal", "read_length").where("read_length is not null")
 
 
-def coverage_blocks(records: DataFrame) -> DataFrame:
-    """ordinal, ref_id and 0-based half-open blocks of M, = and X; D and N advance; empty blocks are skipped."""
-    ops = _operations(records, ["ordinal", "ref_id", "pos"])
-    moves = F.when(F.col("op").isin("M", "=", "X", "D", "N"), F.col("len")).otherwise(0)
-    placed = ops.withColumn("block_start", F.col("pos").cast("bigint") + _before(moves))
-    covered = placed.where(F.col("op").isin("M", "=", "X") & (F.col("len") > 0))
-    return covered.select("ordinal", "ref_id", "ix", "block_start", (F.col("block_start") + F.col("len")).alias("block_end"))
+def with_coverage(records: DataFrame) -> DataFrame:
+    """Adds ``covered``: the 0-based half-open blocks (from, to) of M, = and X; D and N advance; empty blocks are skipped."""
+    rows = records.withColumn("_r", running_before(_moves("M", "=", "X", "D", "N")))
+    placed = F.transform("cigar", lambda c, i: F.struct(c["op"].alias("op"), (F.col("pos") + F.get("_r", i)).cast("bigint").alias("from"), (F.col("pos") + F.get("_r", i) + c["len"]).cast("bigint").alias("to")))
+    kept = F.filter(placed, lambda x: x["op"].isin("M", "=", "X") & (x["to"] > x["from"]))
+    return rows.withColumn("covered", kept).drop("_r")
 
 
-def query_intervals(records: DataFrame, blocks: DataFrame) -> DataFrame:
-    """ordinal and m_query, the [q, q + len) of its M blocks in order, for records with SA; others have no row."""
-    own = records.where("sa is not null").select("ordinal")
-    return blocks.join(own, "ordinal", "left_semi").groupBy("ordinal").agg(F.array_sort(F.collect_list(F.struct(F.col("q").alias("s"), (F.col("q") + F.col("len")).alias("e")))).alias("m_query"))
+def query_intervals() -> Column:
+    """m_query of a record with ``blocks`` and ``sa``: the [q, q + len) of its M blocks in order; null without SA or blocks."""
+    spans = F.transform("blocks", lambda b: F.struct(b["q"].alias("s"), (b["q"] + b["len"]).alias("e")))
+    return F.when(F.col("sa").isNotNull() & (F.size("blocks") > 0), spans)

@@ -5,61 +5,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cigar import coverage_blocks
+from .cigar import with_coverage
 
+#: Bins, and bases, of a reference that one window group holds; longer references are many groups.
+BUCKET_BINS = 1 << 16
+BUCKET_BASES = 1 << 22
 
-def coverage_bins(records: DataFrame, bin_size: int = 50, refs: DataFrame | None = None) -> DataFrame:
-    """ref_id, bin and number of records that touch the bin, each once. With ``refs`` (ref_id, length) bins past the end go.
+
+def coverage_bins(records: DataFrame, bin_size: int = 50, refs: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, ref_id, bin and number of records that touch the bin, each once. With ``refs`` (ref_id, length) bins past the end go.
 
     Each block starts no earlier than where the record's blocks before it ended, so bins of a record are disjoint and no
-    distinct is needed; counts are partially aggregated before the shuffle."""
-    blocks = coverage_blocks(records)
-    blocks = blocks.withColumn("s", F.greatest(F.floor(F.col("block_start") / bin_size), F.lit(0))).withColumn("e", F.ceil(F.col("block_end") / bin_size))
+    distinct is needed. Blocks are placed within the row; the one shuffle carries partial counts."""
+    rows = with_coverage(records.select(*keys, "ref_id", "pos", "cigar"))
+    last = F.lit(None).cast("bigint")
     if refs is not None:
-        blocks = blocks.join(F.broadcast(refs.select("ref_id", "length")), "ref_id").withColumn("e", F.least("e", F.ceil(F.col("length") / bin_size)))
-    before = F.max("e").over(Window.partitionBy("ordinal").orderBy("ix").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.withColumn("s", F.greatest("s", F.coalesce(before, F.lit(0)))).where("s < e")
-    bins = blocks.select("ref_id", F.explode(F.sequence("s", F.col("e") - 1)).alias("bin"))
-    return bins.groupBy("ref_id", "bin").agg(F.count("*").alias("n"))
+        rows = rows.join(F.broadcast(refs.select("ref_id", F.ceil(F.col("length") / bin_size).alias("_bins"))), "ref_id")
+        last = F.col("_bins")
+    rows = rows.withColumn("_ends", F.transform("covered", lambda x: F.least(F.ceil(x["to"] / bin_size), last)))
+    start = lambda x, i: F.greatest(F.floor(x["from"] / bin_size), F.lit(0), F.get("_ends", i - 1))
+    spans = F.filter(F.transform("covered", lambda x, i: F.struct(start(x, i).alias("s"), F.get("_ends", i).alias("e"))), lambda x: x["s"] < x["e"])
+    bins = rows.select(*keys, "ref_id", F.explode(spans).alias("x")).select(*keys, "ref_id", F.explode(F.sequence("x.s", F.col("x.e") - 1)).alias("bin"))
+    return bins.groupBy(*keys, "ref_id", "bin").agg(F.count("*").alias("n"))
 
 
 def coverage_intervals(coverage: DataFrame, refs: DataFrame, bin_size: int = 50) -> DataFrame:
     """ref_id, chrom, start, end, value: the whole of every reference, equal neighbours merged, zeros included.
 
-    Works on the occupied bins only: a gap between two of them is one zero run, so empty stretches are never filled in."""
-    w = Window.partitionBy("ref_id").orderBy("bin")
-    seen = coverage.select("ref_id", F.col("bin").cast("bigint").alias("bin"), F.col("n").cast("bigint").alias("n"))
-    start = seen.withColumn("new", F.coalesce((F.lag("n").over(w) != F.col("n")) | (F.lag("bin").over(w) != F.col("bin") - 1), F.lit(True)).cast("int"))
-    runs = start.withColumn("run", F.sum("new").over(w)).groupBy("ref_id", "run").agg(F.min("bin").alias("first"), (F.max("bin") + 1).alias("past"), F.first("n").alias("n"))
+    Works on the occupied bins only: a gap between two of them is one zero run, so empty stretches are never filled in.
+    Windows run within buckets of a reference; what they need from before is carried over by one row for each bucket.
+    ``coverage`` is read several times and should be a staged table."""
+    seen = coverage.select("ref_id", F.col("bin").cast("bigint").alias("bin"), F.col("n").cast("bigint").alias("n")).withColumn("bucket", F.floor(F.col("bin") / BUCKET_BINS))
+    bucket, here = ["ref_id", "bucket"], Window.partitionBy("ref_id", "bucket").orderBy("bin")
+    buckets = Window.partitionBy("ref_id").orderBy("bucket")
+    ends = seen.groupBy(*bucket).agg(F.max(F.struct("bin", "n")).alias("x"))
+    carried = ends.select(*bucket, F.lag("x").over(buckets).alias("carried"))
+    rows = seen.join(carried, bucket).withColumn("prev", F.coalesce(F.lag(F.struct("bin", "n")).over(here), "carried"))
+    same = (F.col("prev.bin") == F.col("bin") - 1) & (F.col("prev.n") == F.col("n"))
+    rows = rows.withColumn("new", ~F.coalesce(same, F.lit(False))).withColumn("gap", F.coalesce(F.col("prev.bin") + 1, F.lit(0)))
+    begun = F.when(F.col("new"), F.col("bin"))
+    begins = rows.groupBy(*bucket).agg(F.max(begun).alias("x"))
+    before = begins.select(*bucket, F.last("x", True).over(buckets.rowsBetween(Window.unboundedPreceding, -1)).alias("run_before"))
+    placed = rows.join(before, bucket).withColumn("first", F.coalesce(F.max(begun).over(here), "run_before"))
+    runs = placed.groupBy("ref_id", "first").agg((F.max("bin") + 1).alias("past"), F.first("n").alias("n"))
+    gaps = rows.where("new and gap < bin").select("ref_id", F.col("gap").alias("first"), F.col("bin").alias("past"), F.lit(0).cast("bigint").alias("n"))
     lengths = refs.select("ref_id", "chrom", F.col("length").cast("bigint").alias("length")).where("length > 0")
-    order = Window.partitionBy("ref_id").orderBy("first")
-    gaps = runs.select("ref_id", F.coalesce(F.lag("past").over(order), F.lit(0)).alias("from"), F.col("first").alias("to"))
-    ends = lengths.join(runs.groupBy("ref_id").agg(F.max("past").alias("from")), "ref_id", "left").select(
-        "ref_id", F.coalesce("from", F.lit(0)).alias("from"), F.ceil(F.col("length") / bin_size).alias("to")
+    tails = lengths.join(ends.groupBy("ref_id").agg((F.max("x.bin") + 1).alias("from")), "ref_id", "left").select(
+        "ref_id", F.coalesce("from", F.lit(0)).cast("bigint").alias("first"), F.ceil(F.col("length") / bin_size).alias("past"), F.lit(0).cast("bigint").alias("n")
     )
-    zeros = gaps.union(ends).where("`from` < `to`").select("ref_id", F.col("from").alias("first"), F.col("to").alias("past"), F.lit(0).cast("bigint").alias("n"))
-    pieces = runs.select("ref_id", "first", "past", "n").union(zeros).join(F.broadcast(lengths), "ref_id")
+    pieces = runs.unionByName(gaps).unionByName(tails.where("first < past")).join(F.broadcast(lengths), "ref_id")
     return pieces.select("ref_id", "chrom", (F.col("first") * bin_size).alias("start"), F.least(F.col("past") * bin_size, "length").alias("end"), F.col("n").cast("float").alias("value"))
 
 
 def _segments(track: DataFrame, side: str) -> DataFrame:
-    return track.select("chrom", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"), F.col("value").cast("float").alias(side))
+    """Intervals cut at the edges of buckets, so that each bucket is compared on its own."""
+    rows = track.select("chrom", F.col("start").cast("bigint").alias("s"), F.col("end").cast("bigint").alias("e"), F.col("value").cast("float").alias(side)).where("s < e")
+    rows = rows.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("s") / BUCKET_BASES), F.floor((F.col("e") - 1) / BUCKET_BASES))))
+    edge = F.col("bucket") * BUCKET_BASES
+    return rows.select("chrom", "bucket", F.greatest("s", edge).alias("start"), F.least("e", edge + BUCKET_BASES).alias("end"), side)
 
 
 def diff_tracks(left: DataFrame, right: DataFrame, length: DataFrame | None = None) -> DataFrame:
     """chrom, diff_bases and first_diff (0-based) of two tracks (chrom, start, end, value), by breakpoints and never by base.
 
     Missing stretches equal each other and differ from any value. With ``length`` (chrom, length) bases past it are left out."""
-    a, b = _segments(left, "a"), _segments(right, "b")
-    marks = lambda t, col: t.select("chrom", F.col("start").alias("at"), F.lit(1).alias("has"), F.col(col).alias("v")).union(t.select("chrom", F.col("end"), F.lit(0), F.lit(None).cast("float")))
 
     def events(track, side, other):
+        rows = _segments(track, side)
         # at a position the start of an interval comes after the end of another
-        e = marks(track, side).groupBy("chrom", "at").agg(F.max(F.struct("has", "v")).alias("x"))
-        return e.select("chrom", "at", F.struct(F.col("x.has").alias("has"), F.col("x.v").alias("v")).alias(side), F.lit(None).cast("struct<has:int,v:float>").alias(other))
+        marks = F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("has"), F.col(side).alias("v")), F.struct(F.col("end").alias("at"), F.lit(0).alias("has"), F.lit(None).cast("float").alias("v")))
+        marks = rows.select("chrom", "bucket", F.inline(marks)).groupBy("chrom", "bucket", "at").agg(F.max(F.struct("has", "v")).alias(side))
+        return marks.withColumn(other, F.lit(None).cast("struct<has:int,v:float>"))
 
-    both = events(a, "a", "b").unionByName(events(b, "b", "a")).groupBy("chrom", "at").agg(F.first("a", True).alias("a"), F.first("b", True).alias("b"))
-    w = Window.partitionBy("chrom").orderBy("at")
+    both = events(left, "a", "b").unionByName(events(right, "b", "a")).groupBy("chrom", "bucket", "at").agg(F.first("a", True).alias("a"), F.first("b", True).alias("b"))
+    w = Window.partitionBy("chrom", "bucket").orderBy("at")
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = both.select("chrom", "at", F.last("a", True).over(so_far)["v"].alias("a"), F.last("b", True).over(so_far)["v"].alias("b"), F.lead("at").over(w).alias("past"))
     if length is not None:

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 UNMAPPED, REVERSE, SECONDARY, SUPPLEMENTARY = 4, 16, 256, 2048
 
 
-def mapped(records: DataFrame) -> DataFrame:
+def is_mapped() -> Column:
     """Mapped, not secondary, on a known reference: what both outputs start from."""
-    return records.where((F.col("flag").bitwiseAND(UNMAPPED | SECONDARY) == 0) & (F.col("ref_id") >= 0))
+    return (F.col("flag").bitwiseAND(UNMAPPED | SECONDARY) == 0) & (F.col("ref_id") >= 0)
+
+
+def mapped(records: DataFrame) -> DataFrame:
+    return records.where(is_mapped())
 
 
 def exclude_prefixes(records: DataFrame, prefixes) -> DataFrame:
@@ -22,9 +26,13 @@ def exclude_prefixes(records: DataFrame, prefixes) -> DataFrame:
     return records.where(~reduce(lambda a, b: a | b, tests)) if tests else records
 
 
-def exact_flags(records: DataFrame, supplementary: bool = True) -> DataFrame:
+def is_plain(supplementary: bool = True) -> Column:
     """Only plain primaries, and plain supplementaries if asked for; other bits, such as duplicate, drop the record."""
-    return records.where(F.col("flag").isin(0, REVERSE, *((SUPPLEMENTARY, SUPPLEMENTARY | REVERSE) if supplementary else ())))
+    return F.col("flag").isin(0, REVERSE, *((SUPPLEMENTARY, SUPPLEMENTARY | REVERSE) if supplementary else ()))
+
+
+def exact_flags(records: DataFrame, supplementary: bool = True) -> DataFrame:
+    return records.where(is_plain(supplementary))
 
 
 def strand() -> Column:
@@ -36,15 +44,23 @@ def has_tags(records: DataFrame) -> DataFrame:
     return records.where(F.col("mm").isNotNull() & (F.size("ml") > 0))
 
 
-def sa_agrees(records: DataFrame) -> DataFrame:
+def fits_sa() -> Column:
     """Supplementaries must name their own chromosome and strand in the first entry of SA; primaries pass."""
     part = F.split("sa", ",")
     same = (F.get(part, F.lit(0)) == F.col("chrom")) & (F.get(part, F.lit(2)) == strand())
-    return records.where((F.col("flag").bitwiseAND(SUPPLEMENTARY) == 0) | F.coalesce(same, F.lit(False)))
+    return (F.col("flag").bitwiseAND(SUPPLEMENTARY) == 0) | F.coalesce(same, F.lit(False))
+
+
+def sa_agrees(records: DataFrame) -> DataFrame:
+    return records.where(fits_sa())
+
+
+def span_end() -> Column:
+    """Last place (1-based, inclusive) that M and D operations reach from ``pos`` on."""
+    return F.col("pos").cast("bigint") + F.aggregate("cigar", F.lit(0).cast("bigint"), lambda a, c: a + F.when(c["op"].isin("M", "D"), c["len"]).otherwise(0))
 
 
 def with_span(records: DataFrame, min_len: int = 1) -> DataFrame:
     """start and end (1-based, inclusive) over M and D operations; keeps end - start > min_len."""
-    length = F.aggregate("cigar", F.lit(0).cast("bigint"), lambda a, c: a + F.when(c["op"].isin("M", "D"), c["len"]).otherwise(0))
-    placed = records.withColumn("start", (F.col("pos") + 1).cast("bigint")).withColumn("end", F.col("pos").cast("bigint") + length)
+    placed = records.withColumn("start", (F.col("pos") + 1).cast("bigint")).withColumn("end", span_end())
     return placed.where(F.col("end") - F.col("start") > min_len)

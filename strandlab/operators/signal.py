@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lists import moved, places_of, running_before, spread
 from ..functions.numerics import exact_mean, mean_f64
 from ..functions.params import ModSpec, Params
 from . import filters as L
-from .cigar import query_intervals, read_lengths, signal_blocks
+from .cigar import query_intervals, with_blocks, with_read_length
 
 #: Complements of the four bases; others stand for themselves (fixed values).
 PLUS, MINUS = "ACGT", "TGCA"
@@ -34,73 +35,89 @@ def code_slot(entry: Column, spec: ModSpec) -> Column:
     return F.when(fits & ~digits & (F.instr(codes, spec.code) > 0), F.instr(codes, spec.code) - 1)
 
 
-def modification_entries(records: DataFrame) -> DataFrame:
-    """ordinal, entry_ix, code, skips, n_codes and ml_offset: the entries of MM; the offset counts all values before."""
+_ENTRY = "array<struct<entry_ix:int,code:string,skips:array<string>,n_codes:int,ml_offset:bigint>>"
+
+
+def with_entries(records: DataFrame) -> DataFrame:
+    """Adds ``entries``: code, skips, n_codes and ml_offset of each entry of MM; the offset counts all values before."""
     texts = F.filter(F.split(F.regexp_replace("mm", ";$", ""), ";"), lambda e: e != "")
-    rows = records.select("ordinal", F.posexplode(texts).alias("entry_ix", "text"))
-    parts = F.split("text", ",")
-    rows = rows.select("ordinal", "entry_ix", F.get(parts, F.lit(0)).alias("code"), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("skips"))
-    rows = rows.withColumn("n_codes", code_count(F.col("code")))
-    before = Window.partitionBy("ordinal").orderBy("entry_ix").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("ml_offset", F.coalesce(F.sum(F.size("skips") * F.col("n_codes")).over(before), F.lit(0)))
+    parts = F.transform(texts, lambda e: F.split(e, ","))
+    rows = records.withColumn("_parts", F.transform(parts, lambda p: F.struct(p[0].alias("code"), F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))).alias("skips"), code_count(p[0]).cast("int").alias("n"))))
+    rows = rows.withColumn("_before", running_before(F.transform("_parts", lambda p: (F.size(p["skips"]) * p["n"]).cast("bigint"))))
+    entries = F.transform("_parts", lambda p, i: F.struct(i.alias("entry_ix"), p["code"], p["skips"], p["n"].alias("n_codes"), F.get("_before", i).alias("ml_offset")))
+    return rows.withColumn("entries", entries.cast(_ENTRY)).drop("_parts", "_before")
+
+
+def modification_entries(records: DataFrame) -> DataFrame:
+    """ordinal and the fields of each entry, as rows."""
+    return with_entries(records.select("ordinal", "mm")).select("ordinal", F.inline("entries"))
 
 
-def chosen_entries(entries: DataFrame, spec: ModSpec) -> DataFrame:
-    """The first entry of each record that matches, with the code's slot and whether unreported bases are dropped."""
-    found = entries.withColumn("slot", code_slot(F.col("code"), spec)).where("slot is not null")
-    first = found.groupBy("ordinal").agg(F.min_by(F.struct("code", "skips", "n_codes", "ml_offset", "slot"), "entry_ix").alias("e")).select("ordinal", "e.*")
-    return first.withColumn("drops", F.col("code").endswith("?") | F.lit(spec.base == "N"))
+def with_chosen(records: DataFrame, spec: ModSpec) -> DataFrame:
+    """Adds ``chosen``: of a record's ``entries`` the first that matches, with the code's slot and whether unreported bases are
+    dropped; null without match."""
+    fits = F.filter("entries", lambda e: code_slot(e["code"], spec).isNotNull())
+    rows = records.withColumn("_e", F.get(fits, F.lit(0)))
+    drops = F.col("_e.code").endswith("?") | F.lit(spec.base == "N")
+    fields = [F.col(f"_e.{c}").alias(c) for c in ("code", "skips", "n_codes", "ml_offset")]
+    return rows.withColumn("chosen", F.when(F.col("_e").isNotNull(), F.struct(*fields, code_slot(F.col("_e.code"), spec).alias("slot"), drops.alias("drops")))).drop("_e")
 
 
-def call_indexes(chosen: DataFrame) -> DataFrame:
-    """ordinal, i (from 0), idx (1-based among target bases) and at (0-based place in ML) of each call.
+def with_calls(records: DataFrame) -> DataFrame:
+    """Adds ``calls`` of the chosen entry: idx (1-based among target bases) and at (0-based place in ML) of each.
 
     A skip that is no whole number ends the scan; calls before it stand."""
-    rows = chosen.select("ordinal", "n_codes", "ml_offset", "slot", F.posexplode("skips").alias("i", "skip")).withColumn("rel", F.trim(F.col("skip")).try_cast("bigint"))
-    w = Window.partitionBy("ordinal").orderBy("i")
-    broken = F.max(F.coalesce((F.col("rel") < 0), F.lit(True)).cast("int")).over(w)
-    rows = rows.withColumn("broken", broken).withColumn("idx", F.sum(F.col("rel") + 1).over(w)).where("broken = 0")
-    return rows.select("ordinal", "i", "idx", (F.col("ml_offset") + F.col("i") * F.col("n_codes") + F.col("slot")).alias("at"))
+    steps = F.transform("chosen.skips", lambda s: F.trim(s).try_cast("bigint") + 1)
+    rows = records.withColumn("_steps", steps)
+    broken = F.array_position(F.transform("_steps", lambda x: F.coalesce(x < 1, F.lit(True))), True)
+    rows = rows.withColumn("_steps", F.when(broken > 0, F.slice("_steps", F.lit(1), (broken - 1).cast("int"))).otherwise(F.col("_steps")))
+    rows = rows.withColumn("_before", running_before("_steps"))
+    at = lambda i: (F.col("chosen.ml_offset") + i * F.col("chosen.n_codes") + F.col("chosen.slot")).cast("bigint")
+    return rows.withColumn("calls", F.transform("_steps", lambda x, i: F.struct((F.get("_before", i) + x).alias("idx"), at(i).alias("at")))).drop("_steps", "_before")
+
+
+def call_indexes(records: DataFrame, spec: ModSpec) -> DataFrame:
+    """ordinal, i (from 0), idx and at of each call of a specification, as rows."""
+    rows = with_calls(with_chosen(with_entries(records), spec))
+    return rows.select("ordinal", F.posexplode("calls").alias("i", "c")).select("ordinal", "i", "c.idx", "c.at")
+
+
+def _reverse() -> Column:
+    return F.col("flag").bitwiseAND(L.REVERSE) != 0
+
+
+def with_targets(records: DataFrame, spec: ModSpec) -> DataFrame:
+    """Adds ``targets``: the places (1-based in the stored sequence) of the bases a code can be on, in reading direction."""
+    other = spec.base.translate(str.maketrans(PLUS, MINUS))
+    letter = F.lit(None).cast("string") if spec.base == "N" else F.when(_reverse(), other).otherwise(spec.base)
+    return records.withColumn("targets", places_of("seq", letter)).withColumn("targets", F.when(_reverse(), F.reverse("targets")).otherwise(F.col("targets")))
 
 
 def target_bases(records: DataFrame, spec: ModSpec) -> DataFrame:
-    """ordinal, j (1-based in the stored sequence) and idx (1-based in reading direction) of the bases a code can be on."""
-    rows = records.select("ordinal", "flag", F.posexplode(F.split("seq", "")).alias("p", "base")).where("base <> ''")
-    reverse = F.col("flag").bitwiseAND(L.REVERSE) != 0
-    if spec.base != "N":
-        other = spec.base.translate(str.maketrans(PLUS, MINUS))
-        rows = rows.where(F.col("base") == F.when(reverse, other).otherwise(spec.base))
-    j = F.col("p") + 1
-    order = Window.partitionBy("ordinal").orderBy(F.when(reverse, -j).otherwise(j))
-    return rows.select("ordinal", j.cast("bigint").alias("j"), F.row_number().over(order).alias("idx"))
-
-
-def base_calls(records: DataFrame, entries: DataFrame, spec: ModSpec) -> tuple[DataFrame, DataFrame]:
-    """(ordinal, j, code) of all reported bases, and the ordinals whose calls run past their target bases."""
-    chosen = chosen_entries(entries, spec)
-    calls = call_indexes(chosen)
-    bases = target_bases(records.join(chosen.select("ordinal"), "ordinal", "left_semi"), spec)
-    size = bases.groupBy("ordinal").agg(F.max("idx").alias("bases"))
-    last = calls.groupBy("ordinal").agg(F.max("idx").alias("last"))
-    overflow = last.join(size, "ordinal", "left").where(F.col("last") > F.coalesce("bases", F.lit(0))).select("ordinal")
-    # a call whose value lies past ML's end leaves its base unreported
-    values = calls.join(records.select("ordinal", "ml"), "ordinal").select("ordinal", "idx", F.try_element_at("ml", (F.col("at") + 1).cast("int")).alias("code"))
-    default = F.when(F.col("drops"), F.lit(None)).otherwise(F.lit(0))
-    joined = bases.join(values, ["ordinal", "idx"], "left").join(chosen.select("ordinal", "drops"), "ordinal").join(overflow, "ordinal", "left_anti")
-    out = joined.select("ordinal", "j", F.coalesce(F.col("code").cast("int"), default).alias("code"))
-    return out.where("code is not null"), overflow
+    """ordinal, j (1-based in the stored sequence) and idx (1-based in reading direction) of the bases a code can be on, as rows."""
+    rows = with_targets(records, spec).select("ordinal", F.posexplode("targets").alias("p", "j"))
+    return rows.select("ordinal", "j", (F.col("p") + 1).alias("idx"))
 
 
-def base_to_ref(calls: DataFrame, records: DataFrame, blocks: DataFrame, lengths: DataFrame) -> DataFrame:
-    """ordinal, r and code: reference places of calls that lie in an M block and within [start, end].
+def with_signal(records: DataFrame, spec: ModSpec) -> DataFrame:
+    """Adds ``signal``, the reference places r and codes of reported bases that lie in an M block and within [start, end], in
+    reading direction, and ``overflow``, whether the calls run past the target bases, which leaves no signal.
 
-    An equi-join on the record with a range condition; both sides are of one read's size."""
-    placed = calls.join(records.select("ordinal", "flag", "l_seq", "start", "end"), "ordinal").join(lengths, "ordinal")
-    q = F.when(F.col("flag").bitwiseAND(L.REVERSE) != 0, F.col("j") + F.col("read_length") - F.col("l_seq")).otherwise(F.col("j"))
-    placed = placed.withColumn("at", q)
-    b = blocks.select("ordinal", "q", "len", F.col("r").alias("block_r"))
-    hit = placed.join(b, "ordinal").where("at >= q and at < q + len").withColumn("r", F.col("block_r") + F.col("at") - F.col("q"))
-    return hit.where("r between start and end").select("ordinal", "r", "code")
+    Takes records with entries, blocks, read_length, start and end; everything happens within the row."""
+    rows = with_calls(with_chosen(records, spec))
+    rows = with_targets(rows.withColumn("seq", F.when(F.col("chosen").isNotNull(), F.col("seq"))), spec)
+    rows = rows.withColumn("overflow", F.coalesce(F.try_element_at("calls.idx", F.lit(-1)) > F.size("targets"), F.lit(False)))
+    # a call whose value lies past ML's end leaves its base unreported
+    values = F.transform("calls", lambda c: F.try_element_at("ml", (c["at"] + 1).cast("int")).cast("int"))
+    default = F.when(F.col("chosen.drops"), F.lit(None).cast("int")).otherwise(0)
+    size = F.when(F.col("chosen").isNotNull() & ~F.col("overflow"), F.size("targets")).otherwise(0)
+    shift = F.when(_reverse(), F.col("read_length") - F.col("l_seq")).otherwise(0).cast("bigint")
+    block = lambda name: F.transform("blocks", lambda b: b[name])
+    rows = rows.withColumn("_codes", spread(size, "calls.idx", values, default))
+    rows = rows.withColumn("_places", moved(F.transform("targets", lambda j: j + shift), block("q"), block("len"), block("r")))
+    found = F.zip_with(F.slice("_places", F.lit(1), F.size("_codes")), "_codes", lambda r, c: F.struct(r.alias("r"), c.alias("code")))
+    inside = F.filter(found, lambda x: x["code"].isNotNull() & x["r"].between(F.col("start"), F.col("end")))
+    return rows.withColumn("signal", inside).drop("_codes", "_places", "targets", "calls", "chosen")
 
 
 def bin_start(r: Column, bin_size: int) -> Column:
@@ -122,13 +139,22 @@ def signal_bins(calls: DataFrame, keys: list[str], bin_size: int = 1000, binaris
     return rows.groupBy(*cell).agg(exact_mean(F.col("code")).alias("signal"))
 
 
-def median_signal(calls: DataFrame, keys: list[str]) -> DataFrame:
+def _medians(rows: DataFrame, keys: list[str], name: str, float_mode: str) -> DataFrame:
+    """keys and R's median of ``_v``; an even count takes the mean of the middle two, in the mode's arithmetic."""
+    if float_mode != "f64":
+        return rows.groupBy(*keys).agg(F.median("_v").alias(name))
+    low, high = F.expr("percentile_disc(0.5) within group (order by _v)"), F.expr("percentile_disc(0.5) within group (order by _v desc)")
+    middle = rows.groupBy(*keys).agg(low.alias("_low"), high.alias("_high"))
+    return middle.select(*keys, mean_f64(F.array("_low", "_high")).alias(name))
+
+
+def median_signal(calls: DataFrame, keys: list[str], float_mode: str = "x87") -> DataFrame:
     """keys and med_signal: median of code / 255, never binarised."""
-    return calls.groupBy(*keys).agg(F.median(F.col("code") / F.lit(255.0)).alias("med_signal"))
+    return _medians(calls.withColumn("_v", F.col("code") / F.lit(255.0)), keys, "med_signal", float_mode)
 
 
-def median_bins(bins: DataFrame, keys: list[str]) -> DataFrame:
-    return bins.groupBy(*keys).agg(F.median("signal").alias("med_signalbin"))
+def median_bins(bins: DataFrame, keys: list[str], float_mode: str = "x87") -> DataFrame:
+    return _medians(bins.withColumn("_v", F.col("signal")), keys, "med_signalbin", float_mode)
 
 
 def candidates(records: DataFrame, params: Params) -> DataFrame:
@@ -138,24 +164,35 @@ def candidates(records: DataFrame, params: Params) -> DataFrame:
     return L.with_span(rows, params.min_len)
 
 
-def mappings(records: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(mappings, bins, calls) before the supplementary filter: bins and calls are long, by ordinal and mod.
-
-    Everything after the filters is keyed by record, so one repartition by ordinal serves all joins and windows."""
-    rows = candidates(records, params).repartition("ordinal")
-    blocks, lengths, entries = signal_blocks(rows), read_lengths(rows), modification_entries(rows)
-    calls = None
-    for spec in params.mods:
-        found, _ = base_calls(rows, entries, spec)
-        placed = base_to_ref(found, rows, blocks, lengths).withColumn("mod", F.lit(spec.name))
-        calls = placed if calls is None else calls.union(placed)
+def extract(records: DataFrame, params: Params) -> DataFrame:
+    """One row for each candidate: its place, m_query, the found signal of each modification as ``signals`` (mod, signal), and
+    how many modifications overflowed. Narrow: nothing is shuffled."""
+    rows = with_entries(with_read_length(with_blocks(candidates(records, params)))).withColumn("m_query", query_intervals())
+    kept = ["ordinal", "read_id", "flag", "ref_id", "chrom", L.strand().alias("strand"), "start", "end", "m_query"]
+    names = []
+    for k, spec in enumerate(params.mods):
+        rows = with_signal(rows, spec).withColumnsRenamed({"signal": f"_signal{k}", "overflow": f"_over{k}"})
+        # a read without any aligned block has no signal
+        names.append(F.struct(F.lit(spec.name).alias("mod"), F.when(F.col("read_length").isNotNull(), F.col(f"_signal{k}")).alias("signal")))
+    found = F.filter(F.array(*names), lambda s: F.size(s["signal"]) > 0)
+    over = sum((F.col(f"_over{k}") & F.col("read_length").isNotNull()).cast("int") for k in range(len(params.mods)))
+    return rows.select(*kept, found.alias("signals"), over.alias("overflows"))
+
+
+def parts(extracted: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(mappings, bins, calls) of an extracted table, which is read for each of them: bins and calls are long, by ordinal and mod."""
+    found = extracted.where(F.size("signals") > 0)
+    calls = found.select("ordinal", F.inline("signals")).select("ordinal", "mod", F.inline("signal"))
     bins = signal_bins(calls, ["ordinal", "mod"], params.bin_size, params.binarise, params.float_mode)
-    kept = calls.select("ordinal").distinct()
-    out = rows.join(kept, "ordinal", "left_semi").join(query_intervals(rows, blocks), "ordinal", "left")
-    return out.select("ordinal", "read_id", "flag", "ref_id", "chrom", L.strand().alias("strand"), "start", "end", "m_query"), bins, calls
+    return found.drop("signals", "overflows"), bins, calls
+
+
+def mappings(records: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(mappings, bins, calls) before the supplementary filter."""
+    return parts(extract(records, params), params)
 
 
-def nested(maps: DataFrame, bins: DataFrame, calls: DataFrame, mods) -> DataFrame:
+def nested(maps: DataFrame, bins: DataFrame, calls: DataFrame, mods, float_mode: str = "x87") -> DataFrame:
     """One row for each mapping: signalbin, an array of (positions, signal<code>...) aligned on bins, and the medians.
 
     With one modification the medians have plain names, with several the code is appended. A modification without
@@ -167,6 +204,6 @@ def nested(maps: DataFrame, bins: DataFrame, calls: DataFrame, mods) -> DataFram
     for m in mods:
         tail = "" if single else m.code
         one = calls.where(F.col("mod") == m.name)
-        medians = median_signal(one, ["ordinal"]).join(median_bins(bins.where(F.col("mod") == m.name), ["ordinal"]), "ordinal")
+        medians = median_signal(one, ["ordinal"], float_mode).join(median_bins(bins.where(F.col("mod") == m.name), ["ordinal"], float_mode), "ordinal")
         out = out.join(medians.select("ordinal", F.col("med_signal").alias(f"med_signal{tail}"), F.col("med_signalbin").alias(f"med_signalbin{tail}")), "ordinal", "left")
     return out

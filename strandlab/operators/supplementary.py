@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lists import shared_length
+
 
 def overlap(a: Column, b: Column) -> Column:
-    """Bases that two lists of half-open intervals share; lists are sorted and disjoint."""
-    pairs = F.transform(a, lambda x: F.aggregate(b, F.lit(0).cast("bigint"), lambda t, y: t + F.greatest(F.lit(0).cast("bigint"), F.least(x["e"], y["e"]) - F.greatest(x["s"], y["s"]))))
-    return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda t, x: t + x)
+    """Bases that two lists of half-open intervals share; lists are sorted and disjoint. Null if either is."""
+    side = lambda x, name: F.transform(x, lambda i: i[name])
+    return shared_length(side(a, "s"), side(a, "e"), side(b, "s"), side(b, "e"))
 
 
 def total(a: Column) -> Column:
@@ -27,14 +29,13 @@ def with_leader(mappings: DataFrame) -> DataFrame:
 
 def judged(mappings: DataFrame, max_dist: int = 15000) -> DataFrame:
     """Adds keep and missing_query to mappings (ref_id, read_id, flag, start, end, ordinal, m_query)."""
-    rows = with_leader(mappings)
-    lead = F.col("leader")
+    lead, none = F.col("leader"), F.array().cast("array<struct<s:bigint,e:bigint>>")
+    rows = with_leader(mappings).withColumn("_shared", overlap(F.coalesce("m_query", none), F.coalesce(F.col("leader.m_query"), none)))
     missing = F.col("m_query").isNull() | lead["m_query"].isNull()
-    shared = overlap(F.col("m_query"), lead["m_query"])
-    fits = missing | (shared == total(lead["m_query"])) | (shared == 0)
+    fits = missing | (F.col("_shared") == total(lead["m_query"])) | (F.col("_shared") == 0)
     distance = F.least(*[F.abs(x - y) for x in (F.col("start"), F.col("end")) for y in (lead["start"], lead["end"])])
     first = F.col("place") == 1
-    return rows.withColumn("keep", first | (fits & (distance < max_dist))).withColumn("missing_query", ~first & missing)
+    return rows.withColumn("keep", first | (fits & (distance < max_dist))).withColumn("missing_query", ~first & missing).drop("_shared")
 
 
 def supplementary_filter(mappings: DataFrame, max_dist: int = 15000) -> DataFrame:

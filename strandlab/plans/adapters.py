@@ -52,9 +52,9 @@ from embeddings
 """
 
 _LETTERS, _BASES = "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC"
-#: Sequences of whole texts. SEQ_DUCK still reads only the first 300 letters of each text, so it is no equivalent of longer ones.
+#: Sequences of whole texts.
 SEQ_SPARK = f"select doc_id ordinal, cast(case when doc_id % 2 = 1 then 16 else 0 end as int) flag, translate(regexp_replace(lower(text), '[^a-z]', ''), '{_LETTERS}', '{_BASES}') seq from documents"
-SEQ_DUCK = f"select doc_id ordinal, cast(case when doc_id % 2 = 1 then 16 else 0 end as int) flag, translate(substring(regexp_replace(lower(text), '[^a-z]', '', 'g'), 1, 300), '{_LETTERS}', '{_BASES}') seq from documents"
+SEQ_DUCK = f"select doc_id ordinal, cast(case when doc_id % 2 = 1 then 16 else 0 end as int) flag, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{_LETTERS}', '{_BASES}') seq from documents"
 
 
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.params import ModSpec
@@ -10,9 +10,10 @@ from ..operators import coverage as C
 from ..operators import filters as L
 from ..operators import signal as S
 from ..operators import supplementary as U
-from ..operators.cigar import query_intervals, read_lengths, signal_blocks
+from ..functions.staging import stage
+from ..operators.cigar import query_intervals, signal_blocks, with_blocks, with_read_length
 from . import adapters as A
-from .compare import key_difference
+from .compare import compare_mappings, key_difference
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -72,9 +73,9 @@ select n.ordinal, cast(case when op = 'S' and len > 0 then walked else done end
   cast(case when (flag & 16) <> 0 then case when op = 'S' and len > 0 then walked else done end - 200 else 0 end as bigint) shift
 from n left join m using (ordinal) where (op = 'S' and len > 0) or done is not null""")
 def read_length_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.alignments(spark, sf_dir, True)
+    rows = with_read_length(A.alignments(spark, sf_dir, True).select("ordinal", "flag", "l_seq", "cigar")).where("read_length is not null")
     shift = F.when(F.col("flag").bitwiseAND(L.REVERSE) != 0, F.col("read_length") - F.col("l_seq")).otherwise(0)
-    return read_lengths(rows).join(rows.select("ordinal", "flag", "l_seq"), "ordinal").select("ordinal", "read_length", shift.cast("bigint").alias("shift"))
+    return rows.select("ordinal", "read_length", shift.cast("bigint").alias("shift"))
 
 
 def _cov(cigar: str, flag: str, where: str = "true") -> str:
@@ -90,7 +91,7 @@ def coverage_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.coverage_bins(L.mapped(A.alignments(spark, sf_dir, True)), 50).select("ref_id", "bin", "n")
 
 
-def _refs(records: DataFrame, coverage: DataFrame) -> DataFrame:
+def _refs(coverage: DataFrame) -> DataFrame:
     """References whose lengths end 30 bases after the last occupied bin."""
     return coverage.groupBy("ref_id").agg((F.max("bin") * 50 + 80).cast("bigint").alias("length")).withColumn("chrom", F.concat(F.lit("chr"), (F.col("ref_id") + 1).cast("string")))
 
@@ -104,8 +105,8 @@ select concat('chr', cast(ref_id + 1 as varchar)) chrom, cast(min(bin) * 50 as b
 from runs group by ref_id, run""")
 def coverage_dense_rle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = L.mapped(A.alignments(spark, sf_dir, True))
-    cov = C.coverage_bins(rows, 50)
-    return C.coverage_intervals(cov, _refs(rows, cov), 50).select("chrom", "start", "end", "value")
+    cov = stage(C.coverage_bins(rows, 50), "coverage")
+    return C.coverage_intervals(cov, _refs(cov), 50).select("chrom", "start", "end", "value")
 
 
 @_query(_AL + "two as (select *, k % 2 half from al), " + _ops("cigar_x", "two") + ", " + _cov("cigar_x", "flag_x").replace("select ordinal, ref_id, op,", "select half, ordinal, ref_id, op,").replace("distinct ordinal", "distinct half, ordinal").replace("select ref_id, bin, count(*) n from bins", "select half, ref_id, bin, count(*) n from bins") + """,
@@ -113,11 +114,11 @@ a as (select ref_id, bin, n from cov where half = 0), b as (select ref_id, bin,
 d as (select coalesce(a.ref_id, b.ref_id) ref_id, coalesce(a.bin, b.bin) bin from a full join b using (ref_id, bin) where a.n is distinct from b.n)
 select concat('chr', cast(ref_id + 1 as varchar)) chrom, cast(count(*) * 50 as bigint) diff_bases, cast(min(bin) * 50 as bigint) first_diff from d group by ref_id""")
 def coverage_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = L.mapped(A.alignments(spark, sf_dir, True))
+    rows = L.mapped(A.alignments(spark, sf_dir, True)).withColumn("half", F.col("k") % 2)
+    cov = stage(C.coverage_bins(rows, 50, keys=("half",)), "coverage")
 
     def track(half):
-        cov = C.coverage_bins(rows.where(F.col("k") % 2 == half), 50)
-        return cov.select(F.concat(F.lit("chr"), (F.col("ref_id") + 1).cast("string")).alias("chrom"), (F.col("bin") * 50).alias("start"), (F.col("bin") * 50 + 50).alias("end"), F.col("n").cast("float").alias("value"))
+        return cov.where(F.col("half") == half).select(F.concat(F.lit("chr"), (F.col("ref_id") + 1).cast("string")).alias("chrom"), (F.col("bin") * 50).alias("start"), (F.col("bin") * 50 + 50).alias("end"), F.col("n").cast("float").alias("value"))
 
     return C.diff_tracks(track(0), track(1)).select("chrom", "diff_bases", F.col("first_diff").cast("bigint").alias("first_diff"))
 
@@ -136,7 +137,7 @@ _MAPS = _AL + _ops("cigar_text") + f""", p as (
 
 def _maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = L.with_span(L.sa_agrees(A.alignments(spark, sf_dir)), 1)
-    return rows.join(query_intervals(rows, signal_blocks(rows)), "ordinal", "left").select("ordinal", "read_id", "ref_id", "flag", "start", "end", "m_query")
+    return with_blocks(rows).select("ordinal", "read_id", "ref_id", "flag", "start", "end", query_intervals().alias("m_query"))
 
 
 @_query(_MAPS + " select ordinal, cast(place as integer) place, cast(first_value(s) over w as bigint) leader_start, cast(first_value(e) over w as bigint) leader_end from maps window w as (partition by ref_id, read_id order by place rows between unbounded preceding and unbounded following)")
@@ -171,20 +172,15 @@ def mm_split_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("ordinal", "entry_ix", "code", "n_codes", F.col("ml_offset").cast("bigint").alias("ml_offset"), F.size("skips").alias("n_skips"))
 
 
-def _calls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = _mod(spark, sf_dir)
-    return rows, S.call_indexes(S.chosen_entries(S.modification_entries(rows), ModSpec.parse("C+h")))
-
-
 @_query(_CALLS + "select ordinal, i, idx from calls")
 def mm_call_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _calls(spark, sf_dir)[1].select("ordinal", "i", "idx")
+    return S.call_indexes(_mod(spark, sf_dir), ModSpec.parse("C+h")).select("ordinal", "i", "idx")
 
 
 @_query(_CALLS + "select ordinal, idx, ml[2 * i + 2] code from calls")
 def mm_call_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, calls = _calls(spark, sf_dir)
-    return calls.join(rows, "ordinal").select("ordinal", "idx", F.try_element_at("ml", (F.col("at") + 1).cast("int")).alias("code"))
+    rows = S.with_calls(S.with_chosen(S.with_entries(_mod(spark, sf_dir)), ModSpec.parse("C+h")))
+    return rows.select("ordinal", "ml", F.inline("calls")).select("ordinal", "idx", F.try_element_at("ml", (F.col("at") + 1).cast("int")).alias("code"))
 
 
 _SEQ = f"seqs as ({A.SEQ_DUCK}), bases as (select ordinal, flag, unnest(string_split(seq, '')) base, unnest(range(length(seq))) + 1 j from seqs), targets as (select ordinal, flag, cast(j as bigint) j, cast(row_number() over (partition by ordinal order by case when flag = 16 then -j else j end) as integer) idx from bases where base = case when flag = 16 then 'G' else 'C' end) "
@@ -211,10 +207,9 @@ def base_to_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = F.array(step("M", F.least(F.col("l_seq"), F.lit(100))), step("I", F.greatest(F.col("l_seq") - 100, F.lit(0))))
     rows = rows.withColumn("cigar", F.when(F.col("l_seq") > 110, long).otherwise(short))
     rows = rows.withColumn("start", F.lit(1001).cast("bigint")).withColumn("end", F.col("l_seq") + 1007)  # past every base
-    calls, _ = S.base_calls(rows, S.modification_entries(rows), ModSpec.parse("C+h"))
     # the whole read counts as walked, so a reverse read is not shifted
-    lengths = rows.select("ordinal", F.col("l_seq").alias("read_length"))
-    return S.base_to_ref(calls, rows, signal_blocks(rows), lengths).select("ordinal", "r", "code")
+    rows = S.with_entries(with_blocks(rows)).withColumn("read_length", F.col("l_seq"))
+    return S.with_signal(rows, ModSpec.parse("C+h")).select("ordinal", F.inline("signal"))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,10 +258,26 @@ def key_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(_AL + _ops("cigar_x") + """, s as (select ordinal, flag_x flag, chrom, sa, sum(case when op in ('M', 'D') then len else 0 end) n from ops group by all)
-select cast(count(*) filter ((flag & 260) = 0) as bigint) records,
+select cast(count(*) as bigint) records,
   cast(count(*) filter (flag in (0, 16, 2048, 2064) and n - 1 > 1 and ((flag & 2048) = 0 or (sa is not null and split_part(sa, ',', 1) = chrom and split_part(sa, ',', 3) = case when (flag & 16) <> 0 then '-' else '+' end))) as bigint) candidates
 from s""")
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = L.mapped(A.alignments(spark, sf_dir, True))
-    kept = L.with_span(L.sa_agrees(L.exact_flags(rows)), 1).select("ordinal", F.lit(1).alias("candidate"))
-    return rows.select("ordinal").join(kept, "ordinal", "left").agg(F.count("*").alias("records"), F.count("candidate").alias("candidates"))
+    """All records, and those that may carry signal, in one pass."""
+    rows = A.alignments(spark, sf_dir, True)
+    fits = L.is_mapped() & L.is_plain() & L.fits_sa() & (L.span_end() - (F.col("pos") + 1) > 1)
+    return rows.agg(F.count("*").alias("records"), F.count_if(fits).alias("candidates"))
+
+
+def _mapping_table(rows: DataFrame, shift: float) -> DataFrame:
+    value = F.col("pos") / 7.0
+    return rows.select("read_id", "flag", "chrom", F.col("pos").alias("start"), F.when(F.col("k") == 3, F.col("ref_id") + 1).otherwise(F.col("ref_id")).alias("ref"), F.when(F.col("k") == 2, value * (1 + shift)).otherwise(value).alias("med"))
+
+
+@_query(_AL + """keys as (select *, count(*) over (partition by read_id, flag, chrom, pos) c from al)
+select read_id, flag, chrom, pos as "start", case when k = 3 then 'ref' else 'med' end "column" from keys where c = 1 and (k = 3 or (k = 2 and pos > 0))""")
+def mapping_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a mappings table: the second has other references where k = 3 and medians off by 1e-9 where k = 2."""
+    rows = A.alignments(spark, sf_dir)
+    once = rows.withColumn("c", F.count("*").over(Window.partitionBy("read_id", "flag", "chrom", "pos"))).where("c = 1")
+    left = _mapping_table(once.withColumn("k", F.lit(0)), 0.0)
+    return compare_mappings(left, _mapping_table(once, 1e-9), ["ref"], ["med"])

@@ -7,13 +7,13 @@ import os
 import shutil
 import sys
 import tempfile
-import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.params import Params, parse_mods
+from ..functions.staging import stage
 from ..operators import coverage as C
 from ..operators import filters as L
 from ..operators import signal as S
@@ -25,39 +25,44 @@ from ..sources.rds import write_rds
 ORDER = ("ref_id", "read_id", "flag", "start", "ordinal")
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder below the shared one that the cluster names; a temporary one where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='strandlab-')}"
-    return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+def alignment_results(records: DataFrame, refs: DataFrame, params: Params, extracted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(nested mappings after the supplementary filter, coverage intervals) of alignment records.
 
-
-def alignment_results(records: DataFrame, refs: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
-    """(nested mappings after the supplementary filter, coverage intervals) of alignment records."""
+    What is read several times, the bins of the coverage and the extracted signal, is staged; ``extracted`` gives the latter."""
     usable = L.mapped(records)
-    coverage = C.coverage_intervals(C.coverage_bins(usable, params.cov_bin_size, refs), refs, params.cov_bin_size)
-    maps, bins, calls = S.mappings(usable, params)
+    coverage = C.coverage_intervals(stage(C.coverage_bins(usable, params.cov_bin_size, refs), "coverage"), refs, params.cov_bin_size)
+    maps, bins, calls = S.parts(stage(S.extract(usable, params), "signal") if extracted is None else extracted, params)
     kept = U.supplementary_filter(maps, params.max_dist)
-    return S.nested(kept, bins, calls, params.mods), coverage
+    return S.nested(kept, bins, calls, params.mods, params.float_mode), coverage
+
+
+def counters(extracted: DataFrame, params: Params) -> dict[str, int]:
+    """Counts of a run: candidates after the row filters, extracted mappings, modifications that were skipped as they have more
+    calls than bases, and secondary mappings of a read that the supplementary filter kept without overlap check."""
+    counts = extracted.agg(F.count("*").alias("candidates"), F.count_if(F.size("signals") > 0).alias("extracted"), F.coalesce(F.sum("overflows"), F.lit(0)).alias("mm_overflow")).first().asDict()
+    judged = U.judged(extracted.where(F.size("signals") > 0).drop("signals"), params.max_dist)
+    return counts | judged.agg(F.count_if(F.col("missing_query")).alias("missing_query"), F.count_if("keep").alias("mappings")).first().asDict()
 
 
 def run(spark: SparkSession, bam: str, params: Params = Params(), *, rds: str | None = None, bw: str | None = None, parquet: str | None = None) -> dict[str, int]:
-    """Read a BAM once into a staged table, then write what is asked for; returns counts."""
+    """Read a BAM once into a staged table, then write what is asked for; returns counts of all records, of those that are
+    mapped, and of :func:`counters`."""
     if not (rds or bw or parquet):
         raise ValueError("no output: give rds, bw or parquet")
     refs = references(spark, bam)
-    staged = _folder(spark)
-    read_bam(spark, bam, mapped="true").write.parquet(f"{staged}/records")
-    records = spark.read.parquet(f"{staged}/records")
-    mappings, coverage = alignment_results(records, refs, params)
-    counts = {"records": records.count()}
+    seen = Observation("records")
+    everything = read_bam(spark, bam).observe(seen, F.count("*").alias("records"), F.count_if(L.is_mapped()).alias("mapped"))
+    records = stage(L.mapped(everything), "records")
+    counts = dict(seen.get)
+    extracted = stage(S.extract(records, params), "signal")
+    counts |= counters(extracted, params)
+    mappings, coverage = alignment_results(records, refs, params, extracted)
     if rds or parquet:
-        mappings.orderBy(*ORDER).write.parquet(f"{staged}/mappings")
-        mappings = spark.read.parquet(f"{staged}/mappings").orderBy(*ORDER)
-        counts["mappings"] = mappings.count()
+        mappings = stage(mappings.orderBy(*ORDER), "mappings")
         if parquet:
             mappings.write.mode("overwrite").parquet(f"{parquet}/mappings")
         if rds:
-            write_rds(mappings, refs, rds, params.rds_level)
+            write_rds(mappings.orderBy(*ORDER), refs, rds, params.rds_level)
     if parquet:
         coverage.write.mode("overwrite").parquet(f"{parquet}/coverage")
     if bw:
@@ -65,6 +70,15 @@ def run(spark: SparkSession, bam: str, params: Params = Params(), *, rds: str |
     return counts
 
 
+def messages(counts: dict[str, int]) -> list[str]:
+    """What a run tells its user about its counts."""
+    skipped = f", {counts['mm_overflow']} skipped (more modification calls than target bases)" if counts["mm_overflow"] else ""
+    out = [f"read {counts['records']} records: {counts['candidates']} candidate mappings, {counts['extracted']} with modifications{skipped}"]
+    if counts["missing_query"]:
+        out.append(f"warning: {counts['missing_query']} mappings of reads with several kept without overlap check, as SA is missing")
+    return [*out, f"{counts['mappings']} mappings after the supplementary filter"]
+
+
 def bw_compare(spark: SparkSession, left: str, right: str) -> tuple[DataFrame, int]:
     """(chrom, diff_bases, first_diff) and their total; chromosomes that one side lacks are listed without counting."""
     from ..sources.bigwig import chromosomes, open_file
@@ -123,13 +137,17 @@ def main(argv: list[str] | None = None) -> int:
         print(f"total\t{total}")
         return 0
     prefix = args.out_prefix
-    rds = args.rds or (prefix and f"{prefix}_nanoT_alldata.rds")
+    rds = args.rds or (prefix and f"{prefix}_alldata.rds")
     bw = args.bw or (prefix and f"{prefix}.bw")
     if not (rds or bw):
         print("no output: give --out-prefix, --rds or --bw", file=sys.stderr)
         return 2
     bam = args.bam
     if bam == "-":  # a stream is spooled once, as splits need a file
+        spark = _session(args.threads)
+        if not spark.sparkContext.master.startswith("local"):
+            print("standard input is read on one machine only: put the file where all executors see it", file=sys.stderr)
+            return 2
         bam = str(Path(tempfile.mkdtemp(prefix="strandlab-")) / "stdin.bam")
         with open(bam, "wb") as f:
             shutil.copyfileobj(sys.stdin.buffer, f)
@@ -137,7 +155,8 @@ def main(argv: list[str] | None = None) -> int:
         mods=tuple(parse_mods(args.mod or ["T+B"])), binarise=args.binarise, supplementary=not args.no_supplementary, max_dist=args.max_dist, min_len=args.min_len, bin_size=args.bin_size,
         cov_bin_size=args.cov_bin_size, exclude_prefix=tuple(p for p in args.exclude_prefix.split(",") if p), float_mode=args.float_mode, rds_level=args.rds_level,
     )
-    print(run(_session(args.threads), bam, params, rds=rds, bw=bw), file=sys.stderr)
+    for line in messages(run(_session(args.threads), bam, params, rds=rds, bw=bw)):
+        print(line, file=sys.stderr)
     return 0
 
 
