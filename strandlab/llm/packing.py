@@ -26,28 +26,31 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def byte_ranks(path: str) -> dict[bytes, int]:
-    """Ranks by bytes of a byte-level BPE vocabulary file; its letters stand for bytes, the printable ones for themselves."""
+def byte_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ranks by bytes of a byte-level BPE vocabulary file, whose letters stand for bytes, the printable ones for themselves; and
+    its added tokens, which are found in texts as they are."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", [])}
-    return {bytes(letters[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in special}
+    added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    return {bytes(letters[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in added}, added
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts as little-endian unsigned 32-bit bytes, the same as the file's own library gives without the special
+    tokens that frame a text; added tokens within a text are their one id.
 
     In a byte-level BPE vocabulary ids are in the order of its merges, so its ranks alone give the same ids."""
 
     def __init__(self, path: str):
         import tiktoken
 
-        self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=byte_ranks(path), special_tokens={})
+        ranks, added = byte_ranks(path)
+        self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(self, text: str) -> bytes:
-        return self.encoding.encode_to_numpy(text).astype("<u4").tobytes()
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
 
 class SumOfSquares:
@@ -120,7 +123,7 @@ def pack_documents(
     """One row for each piece: where it lies in its document and in its sequence; ``with_ids`` adds the ids themselves.
 
     Null and empty texts are one token, the end id. Null and repeated doc_ids are packed like others, row by row.
-    An empty table gives no rows. Only ``id_col`` and ``text_col`` are read, so other columns cannot clash.
+    Very long texts are encoded whole and cut into pieces like others. An empty table gives no rows. Only ``id_col`` and ``text_col`` are read, so other columns cannot clash.
     ``sequence_id`` is unique over the table: the partition's number, then the window's in that partition.
     """
 

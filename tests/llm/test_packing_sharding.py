@@ -29,7 +29,6 @@ def test_pieces_give_back_every_document(spark):
 
     data = rows()
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for d, t, _ in data:
         want[(d, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes())] += 1
@@ -63,6 +62,20 @@ def test_sum_of_squares_prefers_perfect_fits():
     assert rule.count.sum() == 0
 
 
+def test_places_as_the_plain_rule_does():
+    rng = random.Random(5)
+    rule, fill = P.SumOfSquares(32), {}
+    for _ in range(3000):
+        n = rng.choice([rng.randint(1, 31), rng.randint(1, 6)])
+        counts = Counter(x for x in fill.values() if x < 32)
+        squares = lambda a, b: sum(v * v for k, v in (counts + Counter({b: 1} if b < 32 else {}) - Counter({a: 1} if a else {})).items() if k)
+        cost = {level: squares(level, level + n) for level in {0, *counts} if level + n <= 32}
+        window, level = rule.place(n)
+        assert cost[level] == min(cost.values()) and fill.get(window, 0) == level
+        fill[window] = level + n
+    assert sorted(Counter(x for x in fill.values() if x < 32).items()) == [(k, int(v)) for k, v in enumerate(rule.count) if v and 0 < k < 32]
+
+
 def test_packing_of_nothing(spark):
     assert P.pack_documents(frame(spark, []), tokenizer_path()).count() == 0
 
