@@ -2,18 +2,20 @@
 
 The kernel of two words counts their common subsequences of ``ORDER`` letters, each weighed by LAMBDA to the power of
 the stretch it spans in either word, in units of the landmark's own kernel; gaps and inserted characters lower it but do
-not break it. A sentence's similarity to a landmark is the greatest over its words, over words without their
+not break it. It is computed as a sparse product: a word's subsequences are looked up among those of all landmarks at
+once. A sentence's similarity to a landmark is the greatest over its words, over words without their
 marks (``i-d-i-o-t``) and over runs of single letters (``i d i o t``). Nystrom features whiten the similarities by the
 landmarks' own kernel matrix, and a linear SVM over them is trained on labelled sentences: those of clean documents,
-and those of toxic documents that hold a word typical of toxic sentences. A document's margin is its worst sentence's.
+and those of toxic documents that hold a word typical of toxic ones. A document is judged by its worst sentence's
+margin and by how many of its words are like a landmark.
 
-Only words that share nearly all letters of a landmark, with multiplicity, are compared with it; others have
-similarity 0 by definition. Training reads at most ``TRAIN_DOCS`` labelled documents of each class.
+Words less similar than FLOOR to every landmark count as unlike all. Training reads at most ``TRAIN_DOCS`` labelled
+documents of each class.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,29 +23,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, byte_view, crc_bucket, group_starts, take_spans, text_runs
+from .common import GOLDEN, RollingHash, byte_view, crc_bucket, group_starts, mix64, take_spans, text_runs
 from .shingles import LOWER, word_bounds
 
 ORDER = 3
 LAMBDA = 0.8
 LONGEST = 24
-#: Letters of a landmark that a word may lack.
-MISSING = 1
-#: Bound of toxic landmarks; every one costs time for each distinct word.
+#: Words whose similarity to every toxic landmark is below this are not looked at further.
+FLOOR = 0.3
+#: Bound of toxic landmarks.
 LANDMARKS = 128
-#: Words typical of toxic sentences among which landmarks are chosen, beside all those that are so by more than chance.
-CANDIDATES = 200
-#: Bound of the latter, and how likely it is that chance makes any.
+#: Words typical of toxic documents among which landmarks are chosen, and how likely it is that chance makes any.
 SURE, CHANCE = 4000, 0.05
-#: Documents that a landmark must explain if it is typical by more than chance, whatever the size of the sample.
-LEAST_DOCS = 2
+#: Documents that a landmark must explain, whatever the size of the sample, and different neighbours that it must have:
+#: words that only came along in copies of one text have few.
+LEAST_DOCS, LEAST_CONTEXTS = 2, 4.0
 CLEAN_LANDMARKS = 8
 #: Bound of the training sample: labelled documents of each class, those with the least hash of their id.
 TRAIN_DOCS = 6000
 COVERS = 4
-#: A word is typical of toxic sentences with this log-odds and in this many distinct ones.
+#: A word is typical of toxic documents with this log-odds.
 LEAST_LOG_ODDS = 2.5
-LEAST_SENTENCES = 4
+#: Words whose similarities a task remembers.
+MEMO = 2_000_000
 
 _END = np.zeros(256, bool)
 _END[[10, 33, 46, 63]] = True
@@ -65,89 +67,128 @@ def stretches(word: bytes) -> list[bytes]:
     return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word) - half, half)]
 
 
-def _matrix(words: list[bytes]) -> np.ndarray:
-    width = max(map(len, words), default=0)
-    return np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
-
-
-def kernel(text: np.ndarray, other: np.ndarray, order: int = ORDER, decay: float = LAMBDA) -> np.ndarray:
-    """Unnormalised kernel of each row of zero-padded words with the row of ``other`` (or its only row), all at once.
-
-    The usual dynamic programme over both words; the running sum along ``other`` is a product with powers of the decay."""
-    m = other.shape[1]
-    steps = np.arange(m)
-    spread = np.where(steps[None] >= steps[:, None], decay ** np.maximum(steps[None] - steps[:, None], 0), 0.0)
-    prime = [np.ones((len(text), m + 1))] + [np.zeros((len(text), m + 1)) for _ in range(order)]
-    total = np.zeros(len(text))
-    for x in range(text.shape[1]):
-        live = text[:, x : x + 1] != 0
-        match = (text[:, x : x + 1] == other) & live
-        weight = decay**2 * match
-        total += (prime[order - 1][:, :-1] * weight).sum(1)
-        fresh = [prime[0]]
-        for k in range(1, order):
-            row = decay * prime[k]
-            row[:, 1:] += (prime[k - 1][:, :-1] * weight) @ spread
-            fresh.append(np.where(live, row, prime[k]))
-        prime[:order] = fresh
-    return total
-
-
-def similarity(words: list[bytes], landmark: bytes) -> np.ndarray:
-    """Kernel of words with a landmark in units of the landmark's own kernel, at most 1, which holding it whole gives."""
-    if not words:
-        return np.zeros(0)
-    mark = _matrix([landmark])
-    return np.minimum(kernel(_matrix(words), mark) / kernel(mark, mark)[0], 1.0)
+def _spread_weights(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all subsequences of ORDER letters of a word of ``length``, and their weights."""
+    at = np.array(list(combinations(range(length), ORDER)), np.int64).reshape(-1, ORDER)
+    return at, LAMBDA ** (at[:, -1] - at[:, 0] + 1.0)
+
+
+class Kernel:
+    """Kernel of words with a fixed set of landmarks, by looking up the words' subsequences."""
+
+    def __init__(self, landmarks: list[bytes]):
+        letters = sorted({b for w in landmarks for b in w})
+        self.base = len(letters) + 1
+        self.code = np.zeros(256, np.int64)
+        self.code[letters] = np.arange(1, self.base)
+        self.shapes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        rows = []
+        for k, mark in enumerate(landmarks):
+            at, weight = self._shape(len(mark))
+            rows += [(int(c), k, w) for c, w in zip(self._codes(self.code[np.frombuffer(mark, np.uint8)][None], at)[0], weight)]
+        features = sorted({c for c, _, _ in rows})
+        self.feature = np.full(self.base**ORDER, -1, np.int32)
+        self.feature[features] = np.arange(len(features))
+        self.weight = np.zeros((len(features), len(landmarks)))
+        for c, k, w in rows:
+            self.weight[self.feature[c], k] += w
+        self.own = np.maximum((self.weight**2).sum(0), 1e-300)
+        self.most = (self.weight / self.own).max(1) if rows else np.zeros(0)
+
+    def _shape(self, length: int):
+        if length not in self.shapes:
+            self.shapes[length] = _spread_weights(length)
+        return self.shapes[length]
+
+    def _codes(self, letters: np.ndarray, at: np.ndarray) -> np.ndarray:
+        out = letters[:, at[:, 0]]
+        for k in range(1, ORDER):
+            out = out * self.base + letters[:, at[:, k]]
+        return out
+
+    def values(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, floor: float = 0.0) -> np.ndarray:
+        """Kernel of each stretch of ``data``, of at most LONGEST bytes, with each landmark; left 0 where it is below ``floor``,
+        in units of the landmarks' own, for all of them."""
+        out = np.zeros((len(start), self.weight.shape[1]))
+        for length in np.unique(size[size >= ORDER]).tolist():
+            rows = np.flatnonzero(size == length)
+            at, weight = self._shape(length)
+            step = max(1, min((2 << 20) // len(at), (4 << 20) // max(1, len(self.weight))))
+            for i in range(0, len(rows), step):
+                part = rows[i : i + step]
+                letters = self.code[data[start[part][:, None] + np.arange(length)]]
+                some = np.flatnonzero((letters > 0).sum(1) >= ORDER)
+                found = self.feature[self._codes(letters[some], at)]
+                word, which = np.nonzero(found >= 0)
+                reach = np.bincount(word, weight[which] * self.most[found[word, which]], len(some)) >= floor
+                if not reach.all():
+                    held = reach[word]
+                    word, which, some, found = (np.cumsum(reach) - 1)[word[held]], which[held], some[reach], found[reach]
+                sums = np.bincount(word * len(self.weight) + found[word, which], weight[which], len(some) * len(self.weight))
+                out[part[some]] = sums.reshape(len(some), len(self.weight)) @ self.weight
+        return out
+
+    def similarities(self, words: list[bytes]) -> np.ndarray:
+        """Kernel in units of each landmark's own, at most 1, which holding it whole gives; the greatest over the stretches of
+        words that are longer than LONGEST."""
+        pieces = [stretches(w) for w in words]
+        flat = [p for ps in pieces for p in ps]
+        size = np.array([len(p) for p in flat], np.int64)
+        value = np.minimum(self.values(np.frombuffer(b"".join(flat), np.uint8), np.cumsum(size) - size, size) / self.own, 1.0)
+        head = np.cumsum([0, *map(len, pieces)])[:-1]
+        return np.maximum.reduceat(value, head, axis=0) if len(words) else value
 
 
 def gram_matrix(landmarks: list[bytes]) -> np.ndarray:
     """Kernel of all pairs of landmarks, divided by their own kernels."""
-    text = _matrix(landmarks)
-    both = np.stack([kernel(text, _matrix([w])) for w in landmarks], 1)
-    own = np.sqrt(np.diag(both))
-    return both / own[:, None] / own[None]
+    kernel = Kernel(landmarks)
+    own = np.sqrt(kernel.own)
+    return kernel.weight.T @ kernel.weight / own[:, None] / own[None]
 
 
-@dataclass
 class ToxicModel:
-    """Landmarks, Nystrom map, SVM weights and the document line."""
-
-    landmarks: list[bytes]
-    toxic: int
-    whiten: np.ndarray
-    weight: np.ndarray | None = None
-    bias: float = -1.0
-    line: np.ndarray | None = None
-
-    def __post_init__(self):
-        letters = sorted({b for w in self.landmarks for b in w})
-        self.letters = letters
-        self.need = np.array([[w.count(bytes([b])) for b in letters] for w in self.landmarks[: self.toxic]])
-        self.size = self.need.sum(1)
-        self.memo: dict[bytes, np.ndarray] = {}
-
-    def rows(self, words: list[bytes]) -> np.ndarray:
-        """Similarities of words to all landmarks."""
-        fresh = [w for w in set(words) if w not in self.memo]
-        if len(self.memo) + len(fresh) > 2_000_000 // len(self.landmarks):
-            self.memo.clear()
-            fresh = list(set(words))
-        for i in range(0, len(fresh), 4096):
-            self._learn(fresh[i : i + 4096])
-        return np.stack([self.memo[w] for w in words]) if words else np.zeros((0, len(self.landmarks)))
-
-    def _learn(self, fresh: list[bytes]) -> None:
-        text = _matrix(fresh)
-        counts = np.stack([(text == b).sum(1) for b in self.letters], 1)
-        near = np.stack([np.minimum(counts, need).sum(1) >= size - MISSING for need, size in zip(self.need, self.size)], 1)
-        out = np.zeros((len(fresh), len(self.landmarks)))
-        any_near = near.any(1)
-        for k, mark in enumerate(self.landmarks):
-            at = np.flatnonzero(near[:, k] if k < self.toxic else any_near)
-            if len(at):
-                out[at, k] = similarity([fresh[i] for i in at], mark)
-        self.memo.update(zip(fresh, out))
+    """Landmarks, of which the first ``toxic`` ones are insults, Nystrom map, SVM weights and the document line."""
+
+    def __init__(self, landmarks: list[bytes], toxic: int, whiten: np.ndarray):
+        self.landmarks, self.toxic, self.whiten = landmarks, toxic, whiten
+        self.weight: np.ndarray | None = None
+        self.bias = -1.0
+        self.line: np.ndarray | None = None
+        self.kernel = Kernel(landmarks)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what is remembered of words: hashes of all that were seen, and the similarities of those like a landmark."""
+        self.seen, self.like, self.sims = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros((0, len(self.landmarks)))
+
+    def learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Remember the words of a stretch of bytes; each distinct one is compared once."""
+        distinct = np.unique(hashes)
+        fresh = distinct[~_member(distinct, self.seen)]
+        if not len(fresh):
+            return
+        if len(self.seen) + len(fresh) > MEMO:
+            self.forget()
+            fresh = distinct
+        rows = np.flatnonzero(_member(hashes, fresh))
+        _, first = np.unique(hashes[rows], return_index=True)
+        rows = rows[first]
+        letters = take_spans(data, start[rows], end[rows] - start[rows])
+        owner = np.repeat(np.arange(len(rows)), end[rows] - start[rows])
+        plain = _LETTER[letters]
+        letters, size = letters[plain], np.bincount(owner[plain], minlength=len(rows))
+        begin = np.cumsum(size) - size
+        short = np.where(size <= LONGEST, size, 0)
+        sims = np.minimum(self.kernel.values(letters, begin, short, FLOOR) / self.kernel.own, 1.0)
+        long = np.flatnonzero(size > LONGEST)
+        if len(long):
+            sims[long] = self.kernel.similarities([letters[begin[i] : begin[i] + size[i]].tobytes() for i in long.tolist()])
+        near = (sims[:, : self.toxic] >= FLOOR).any(1)
+        self.seen = np.sort(np.concatenate([self.seen, fresh]))
+        self.like = np.concatenate([self.like, fresh[near]])
+        self.sims = np.concatenate([self.sims, sims[near]])
+        order = np.argsort(self.like)
+        self.like, self.sims = self.like[order], self.sims[order]
 
     def margin(self, similarities: np.ndarray) -> np.ndarray:
         return similarities @ self.whiten @ self.weight + self.bias
@@ -156,70 +197,53 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(evidence @ self.line[:-1] + self.line[-1], -30, 30)))
 
 
-def _near_words(model: ToxicModel, data: np.ndarray, start: np.ndarray, past: np.ndarray) -> np.ndarray:
-    """Numbers of words that hold nearly all letters of some toxic landmark, and of words of one letter."""
-    if not len(start):
-        return start
-    sizes = past - start
-    some = np.flatnonzero((sizes >= model.size.min() - MISSING) | (sizes == 1))
-    # equal words are judged once
-    _, first, inverse = np.unique(RollingHash(data).spans(start[some], past[some]), return_index=True, return_inverse=True)
-    size = sizes[some[first]]
-    letters, ends = take_spans(data, start[some[first]], size), np.cumsum(size)
-    total = {}
-    for j, letter in enumerate(model.letters):
-        if model.need[:, j].any():
-            sums = np.concatenate([[0], np.cumsum(letters == letter, dtype=np.int32)])
-            total[j] = sums[ends] - sums[ends - size]
-    near = size == 1
-    for k in range(model.toxic):
-        have = np.zeros(len(first), np.int32)
-        for j in np.flatnonzero(model.need[k]):
-            have += np.minimum(total[j], np.int32(model.need[k, j]))
-        near |= have >= model.size[k] - MISSING
-    return some[near[inverse]]
+def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values are among sorted ones."""
+    if not len(among):
+        return np.zeros(len(values), bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
 
 
-def sentence_features(model: ToxicModel, array: pa.Array):
-    """Yield (first row, past row, text of each sentence, similarities) of the sentences that have any similarity."""
+def _spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray):
+    """(first, past) words of each run of at least ORDER words of one letter, or of one and a mark, in a text."""
+    single = np.flatnonzero(_LETTER[data[start]] & ((end - start == 1) | (end - start == 2) & ~_LETTER[data[end - 1]]))
+    if not len(single):
+        return
+    head = np.flatnonzero(np.concatenate([[True], (np.diff(single) != 1) | (np.diff(text[single]) != 0)]))
+    size = np.diff(np.append(head, len(single)))
+    for a, n in zip(single[head[size >= ORDER]].tolist(), size[size >= ORDER].tolist()):
+        yield a, a + n
+
+
+def like_words(model: ToxicModel, array: pa.Array):
+    """Yield (first row, text of each word, its sentence, similarities) of the words and spelled runs that are like a landmark."""
     for row, past, offsets, data in text_runs(array):
         data = LOWER[data]
         start, end, text = word_bounds(offsets, data)
-        near = _near_words(model, data, start, end)
-        ends = np.concatenate([[0], np.cumsum(_END[data])])
-        sentence = ends[start] if len(start) else start
-        raw = data.tobytes()
-        words, owner = [], []
-        single: list[int] = []
-
-        def close(run):
-            if len(run) >= ORDER:
-                for part in stretches(bare(b"".join(raw[start[i] : end[i]] for i in run))):
-                    words.append(part)
-                    owner.append(run[0])
-
-        for i in near.tolist():
-            if end[i] - start[i] == 1:
-                if single and (single[-1] != i - 1 or text[single[-1]] != text[i]):
-                    close(single)
-                    single = []
-                single.append(i)
-            else:
-                for part in stretches(bare(raw[start[i] : end[i]])):
-                    words.append(part)
-                    owner.append(i)
-        close(single)
-        sims = model.rows(words)
-        some = np.flatnonzero(sims.any(1)) if len(words) else np.zeros(0, np.int64)
-        if not len(some):
-            yield row, past, np.zeros(0, np.int64), np.zeros((0, len(model.landmarks)))
+        if not len(start):
             continue
-        owner = np.array(owner)[some]
-        # sentences are numbered by the marks that end them, and split at the ends of texts
-        key = text[owner].astype(np.int64) * (len(data) + 2) + sentence[owner]
-        order = np.argsort(key, kind="stable")
-        head = group_starts(key[order])
-        yield row, past, text[owner[order][head]], np.maximum.reduceat(sims[some][order], head, axis=0)
+        hashes = RollingHash(data).spans(start, end)
+        model.learn(hashes, data, start, end)
+        found = np.flatnonzero(_member(hashes, model.like))
+        sims = model.sims[np.searchsorted(model.like, hashes[found])]
+        runs = list(_spelled(data, start, end, text))
+        if runs:
+            spelled = model.kernel.similarities([data[start[a:b]].tobytes() for a, b in runs])
+            near = (spelled[:, : model.toxic] >= FLOOR).any(1)
+            found = np.concatenate([found, np.array([a for a, _ in runs], np.int64)[near]])
+            sims = np.concatenate([sims, spelled[near]])
+        if len(found):
+            # sentences are numbered by the marks that end them, and split at the ends of texts
+            ends = np.concatenate([[0], np.cumsum(_END[data])])
+            yield row, text[found], text[found].astype(np.int64) * (len(data) + 2) + ends[start[found]], sims
+
+
+def sentence_features(model: ToxicModel, array: pa.Array):
+    """Yield (first row, text of each sentence, similarities) of the sentences that hold a word like a landmark."""
+    for row, text, sentence, sims in like_words(model, array):
+        order = np.argsort(sentence, kind="stable")
+        head = group_starts(sentence[order])
+        yield row, text[order][head], np.maximum.reduceat(sims[order], head, axis=0)
 
 
 def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -236,72 +260,76 @@ def units(word: bytes) -> list[bytes]:
     return [word[:n] for n in range(4, min(9, len(word))) if word[n] & 0xC0 != 0x80] + [word] if len(word) >= ORDER else []
 
 
-def _sentence_units(only: frozenset | None = None):
-    """Over batches of (text, toxic): unit, and in how many distinct sentences of either class the batch has it; with
-    ``only``, those units and a hash of each toxic document that has them."""
+def _words(array: pa.Array):
+    """Yield (first row, text, hash and neighbours' hash of each word, how to get one's bytes) over runs of texts."""
+    for row, _, offsets, data in text_runs(array):
+        data = LOWER[data]
+        start, end, text = word_bounds(offsets, data)
+        if not len(start):
+            continue
+        word = RollingHash(data).spans(start, end)
+        edge = np.concatenate([[True], text[1:] != text[:-1], [True]])
+        before = np.where(edge[:-1], 0, np.concatenate([word[:1], word[:-1]]))
+        after = np.where(edge[1:], 0, np.concatenate([word[1:], word[-1:]]))
+        yield row, text, word, mix64(before * GOLDEN + after), lambda i, d=data, s=start, e=end: d[s[i] : e[i]].tobytes()
+
+
+def _unit_counts(batches):
+    """Over batches of (text, toxic): unit, and in how many different places between neighbours either class has it."""
+    for batch in batches:
+        label = batch.column(1).to_numpy()
+        counts: dict[bytes, list[int]] = {}
+        for row, text, word, context, spell in _words(batch.column(0)):
+            toxic = label[row + text].astype(np.uint64)
+            _, first = np.unique(mix64(word + mix64(context + toxic)), return_index=True)
+            distinct, at, inverse = np.unique(word[first], return_index=True, return_inverse=True)
+            a = np.bincount(inverse, toxic[first]).astype(int).tolist()
+            n = np.bincount(inverse).tolist()
+            for i, x, y in zip(first[at].tolist(), a, n):
+                for u in units(bare(spell(i))):
+                    c = counts.setdefault(u, [0, 0])
+                    c[0] += x
+                    c[1] += y - x
+        yield pa.record_batch([pa.array(list(counts), pa.binary()), pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())], names=["unit", "a", "b"])
+
+
+def _unit_places(only: frozenset):
+    """Over batches of (text, toxic): each occurrence of the units asked for: unit, a hash of its document, its neighbours."""
 
     def run(batches):
         for batch in batches:
-            label = batch.column(1).to_numpy()
-            counts: dict[bytes, list[int]] = {}
-            docs: set = set()
-            seen: set = set()
-            for row, _, offsets, data in text_runs(batch.column(0)):
-                data = LOWER[data]
-                start, end, text = word_bounds(offsets, data)
-                if not len(start):
-                    continue
-                key = text.astype(np.int64) * (len(data) + 2) + np.concatenate([[0], np.cumsum(_END[data])])[start]
-                head = group_starts(key)
-                past = np.append(head[1:], len(key))
-                rolling = RollingHash(data)
-                span = rolling.spans(start[head], end[past - 1]).tolist()
-                whole = rolling.spans(offsets[:-1], offsets[1:]).view(np.int64).tolist()
-                raw = data.tobytes()
-                for sentence, a, b in zip(span, head.tolist(), past.tolist()):
-                    t = int(text[a])
-                    toxic = int(label[row + t])
-                    if only is None and (sentence, toxic) in seen:
-                        continue
-                    seen.add((sentence, toxic))
-                    found = {u for w in {bare(raw[x:y]) for x, y in zip(start[a:b].tolist(), end[a:b].tolist())} for u in units(w)}
-                    if only is not None:
-                        docs.update((u, whole[t]) for u in found & only)
-                    else:
-                        for u in found:
-                            counts.setdefault(u, [0, 0])[toxic] += 1
-            if only is not None:
-                pairs = sorted(docs)
-                yield pa.record_batch([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.int64())], names=["unit", "doc"])
-            else:
-                yield pa.record_batch([pa.array(list(counts), pa.binary()), pa.array([c[1] for c in counts.values()], pa.int64()), pa.array([c[0] for c in counts.values()], pa.int64())], names=["unit", "a", "b"])
+            found: list[tuple] = []
+            whole = RollingHash(byte_view(batch.column(0))[1]).spans(*(lambda o: (o[:-1], o[1:]))(byte_view(batch.column(0))[0])).view(np.int64).tolist()
+            for row, text, word, context, spell in _words(batch.column(0)):
+                distinct, at, inverse = np.unique(word, return_index=True, return_inverse=True)
+                mine = [[u for u in units(bare(spell(i))) if u in only] for i in at.tolist()]
+                for i in np.flatnonzero(np.array([bool(m) for m in mine])[inverse]).tolist():
+                    found += [(u, whole[row + int(text[i])], int(context[i].view(np.int64))) for u in mine[inverse[i]]]
+            cols = list(zip(*found)) or [[], [], []]
+            yield pa.record_batch([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["unit", "doc", "context"])
 
     return run
 
 
-def _cover(rows, sure=frozenset()) -> list[bytes]:
+def _cover(rows) -> list[bytes]:
     """Units that explain toxic documents, greedily: each is in the most documents that no unit before it is in.
 
-    Units that only came along, as copies of a toxic text do, explain few documents and are left out, unless they are
-    among the ``sure`` ones: these need LEAST_DOCS documents, others a share of all. Documents are
-    explained COVERS times over, by units that are not stems of each other, so that synonyms are found too."""
+    Documents are explained COVERS times over, by units that are not stems of each other, so that synonyms are found too.
+    ``rows`` are of the training sample, so bounded by it."""
     docs: dict[bytes, set] = {}
     for r in rows:
         docs.setdefault(bytes(r.unit), set()).add(r.doc)
     everything = set().union(*docs.values()) if docs else set()
-    least = max(2, len(everything) // 50)
     chosen: list[bytes] = []
     for _ in range(COVERS):
         left = set(everything)
         while docs and len(chosen) < LANDMARKS:
-            found = {w: len(d & left) for w, d in docs.items()}
-            found = {w: n for w, n in found.items() if n >= (LEAST_DOCS if w in sure else least)}
+            found = {w: n for w, d in docs.items() if (n := len(d & left)) >= LEAST_DOCS}
             if not found:
                 break
             best = max(found, key=lambda w: (found[w], len(w), w))
-            new = docs[best] & left
+            left -= docs[best]
             chosen.append(best)
-            left -= new
             docs = {w: d for w, d in docs.items() if not (w.startswith(best) or best.startswith(w))}
     return chosen
 
@@ -315,24 +343,23 @@ def _variants(word: bytes) -> list[bytes]:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicModel | None:
-    """Model from the labelled rows with crc32(id) mod 4 other than 2; None if no word is typical of toxic sentences."""
+    """Model from the labelled rows with crc32(id) mod 4 other than 2; None if no word is typical of toxic documents, as in an
+    empty table. Null labels, ids and texts teach nothing; an id that is labelled or comes several times counts each time."""
     train = _train_rows(docs, labels, id_col, text_col, label_col).persist()
     known = {int(r[label_col]): r["n"] for r in labels.where(F.col(label_col).isin(0, 1)).groupBy(label_col).agg(F.count("*").alias("n")).collect()}
     try:
-        counts = train.mapInArrow(_sentence_units(), "unit binary, a long, b long").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).persist()
+        counts = train.mapInArrow(_unit_counts, "unit binary, a long, b long").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).persist()
         odds = F.log((F.col("a") + 0.5) / (F.col("b") + 0.5))
         total = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("n")).first()
         prior = float(np.log((total.a or 0.5) / (total.b or 0.5)))
-        high = counts.where((odds - prior > LEAST_LOG_ODDS) & (F.col("a") >= LEAST_SENTENCES))
-        typical = high.orderBy(((odds - prior) * F.sqrt("a")).desc(), "unit").limit(CANDIDATES).collect()
-        # twice the log-likelihood ratio of a unit's share of toxic sentences, against the chance of any of all units to reach it
+        high = counts.where((odds - prior > LEAST_LOG_ODDS) & (F.col("a") >= LEAST_CONTEXTS))
+        # twice the log-likelihood ratio of a unit's share of toxic places, against the chance of any of all units to reach it
         share = 1 / (1 + float(np.exp(-prior)))
         a, b = F.col("a"), F.col("b")
         ratio = 2 * (a * F.log(a / ((a + b) * share)) + F.when(b > 0, b * F.log(b / ((a + b) * (1 - share)))).otherwise(0.0))
         beyond = high.withColumn("ratio", ratio).where(F.col("ratio") > 2 * float(np.log(max(1, total.n) / CHANCE))).orderBy(F.col("ratio").desc(), "unit").limit(SURE).collect()
-        sure = frozenset(bytes(r.unit) for r in beyond)
-        only = sure | {bytes(r.unit) for r in typical}
-        toxic = _cover(train.where("toxic = 1").mapInArrow(_sentence_units(only), "unit binary, doc long").distinct().collect(), sure) if only else []
+        only = frozenset(bytes(r.unit) for r in beyond)
+        toxic = _cover(_typical(train, only).collect()) if only else []
         if not toxic:
             return None
         clean = counts.where("a > 0 and b > 0").where(F.octet_length("unit") > 3).orderBy(F.col("b").desc(), "unit").limit(CLEAN_LANDMARKS).collect()
@@ -343,18 +370,27 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
         whiten = (vectors[:, keep] / np.sqrt(values[keep])) @ vectors[:, keep].T
         model = ToxicModel(marks, len(toxic), whiten)
         _fit_svm(model, train, known)
+        model.forget()
         return model
     finally:
         train.unpersist()
 
 
+def _typical(train: DataFrame, only: frozenset) -> DataFrame:
+    """(unit, doc) of the toxic sample for units whose neighbours differ: the effective number of them, as the inverse of the
+    chance that two occurrences share theirs, is at least LEAST_CONTEXTS."""
+    places = train.where("toxic = 1").mapInArrow(_unit_places(only), "unit binary, doc long, context long")
+    count = places.groupBy("unit", "context").agg(F.count("*").cast("double").alias("n")).groupBy("unit").agg((F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))).alias("differ"))
+    return places.select("unit", "doc").distinct().join(count.where(F.col("differ") >= LEAST_CONTEXTS).select("unit"), "unit")
+
+
 def _fit_svm(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> None:
     """Sentence features, equal ones counted together, and each document's class; then sub-gradient steps and calibration."""
     def features(batches):
         for batch in batches:
             label = batch.column(1).to_numpy()
             cols: list[list] = [[], [], []]
-            for row, past, text, sims in sentence_features(model, batch.column(0)):
+            for row, text, sims in sentence_features(model, batch.column(0)):
                 for t, s in zip(text.tolist(), np.round(sims, 3)):
                     cols[0].append(row + t)
                     cols[1].append(int(label[row + t]))
@@ -368,7 +404,7 @@ def _fit_svm(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> None
     has = (sims[:, : model.toxic] >= 0.998).any(1)  # sentences that hold a landmark whole
     use = (label == 0) | has
     sims, label, count = sims[use], label[use], np.sqrt(count[use])
-    extra = model.rows([v for w in model.landmarks[: model.toxic] for v in _variants(w)])
+    extra = model.kernel.similarities([v for w in model.landmarks[: model.toxic] for v in _variants(w)])
     x = np.concatenate([sims, np.zeros((1, sims.shape[1])), extra]) @ model.whiten
     y = np.concatenate([np.where(label == 1, 1.0, -1.0), [-1.0], np.ones(len(extra))])
     weight = np.concatenate([count, [count.sum() + 1], np.full(len(extra), max(1.0, count[label == 1].sum() / max(1, len(extra))))])
@@ -388,15 +424,15 @@ def _fit_svm(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> None
 
 
 def _evidence(model: ToxicModel, array: pa.Array) -> np.ndarray:
-    """For each text: its worst sentence's margin, how many sentences are on the toxic side, and their share."""
-    offsets, _ = byte_view(array)
-    size = np.diff(offsets)
+    """For each text: its worst sentence's margin, how many of its words are like a toxic landmark, and their share."""
+    size = np.diff(byte_view(array)[0])
     worst = np.full(len(size), float(model.margin(np.zeros((1, len(model.landmarks))))[0]))
     many = np.zeros(len(size))
-    for row, _, text, sims in sentence_features(model, array):
-        margin = model.margin(sims)
-        np.maximum.at(worst, row + text, margin)
-        np.add.at(many, row + text, np.clip(margin + 0.5, 0, 1))
+    for row, text, sentence, sims in like_words(model, array):
+        order = np.argsort(sentence, kind="stable")
+        head = group_starts(sentence[order])
+        np.maximum.at(worst, row + text[order][head], model.margin(np.maximum.reduceat(sims[order], head, axis=0)))
+        np.add.at(many, row + text, np.clip(2 * sims[:, : model.toxic].max(1) - 1, 0, 1))
     return np.stack([worst, np.log1p(many), 30 * np.sqrt(many / (100 + size))], 1)
 
 
@@ -424,8 +460,9 @@ def _calibrate(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> No
 def with_toxicity(docs: DataFrame, model: ToxicModel | None, *, text_col: str = "text", score_col: str = "toxicity", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``docs`` (all when None) and a score from 0 to 1; a column of that name is replaced.
 
-    Null and empty texts get the score of a text without any similar word, as all clean texts do; repeated rows get equal
-    scores; without a model every score is 0."""
+    Null and empty texts get the score of a text without any similar word, as all clean texts do; very long texts are judged
+    whole; repeated rows get equal scores; without a model every score is 0; an empty table gives no rows. Other columns are
+    passed on, whatever their names."""
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
     if model is None:
         return docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(0.0).alias(score_col))

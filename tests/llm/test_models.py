@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from strandlab.llm import lm_score as M
 from strandlab.llm import quality as Q
@@ -62,11 +63,31 @@ def plain_kernel(s, t, order, decay):
 
 
 def test_kernel_counts_gapped_subsequences():
-    words = ["idiot", "idxiot", "toidi", "abcabc", "it"]
-    text, mark = X._matrix([w.encode() for w in words]), X._matrix([b"idiot"])
-    got = X.kernel(text, mark)
-    for w, k in zip(words, got):
-        assert math.isclose(k, plain_kernel(w, "idiot", X.ORDER, X.LAMBDA), rel_tol=1e-12, abs_tol=1e-15)
+    rng = random.Random(8)
+    marks = [b"idiot", b"moron", "r\u00e9\u00ea".encode(), b"scum"]
+    words = [b"idiot", b"idxiot", b"toidi", b"abcabc", b"it", b"", b"scumidiotscum"] + [bytes(rng.choice(b"idotmrnsc") for _ in range(rng.randint(1, 20))) for _ in range(60)]
+    got = X.Kernel(marks).similarities(words)
+    plain = lambda w, m: plain_kernel(w.decode("latin-1"), m.decode("latin-1"), X.ORDER, X.LAMBDA)
+    for w, row in zip(words, got):
+        for m, k in zip(marks, row):
+            assert math.isclose(k, min(1.0, plain(w, m) / plain(m, m)), rel_tol=1e-9, abs_tol=1e-12)
+    gram = X.gram_matrix(marks)
+    assert np.allclose(gram, [[plain(a, b) / math.sqrt(plain(a, a) * plain(b, b)) for b in marks] for a in marks])
+
+
+def test_features_are_the_worst_words_of_sentences():
+    model = X.ToxicModel([b"idiot", b"moron"], 2, np.eye(2))
+    texts = ["An IDIOT here. Nothing of it! a mo-ron, i d i o t. " + "x" * 3000, None, "", "m o r o n", "idi ot mo ron", "y" * 70 + "idiot" + "z" * 40]
+    def plain(sentence):
+        runs = [w for w in re.findall(r"(?:(?<=\s)|^)(?:\w(?: (?=\w(?:\W|$)))?){3,}", sentence)]
+        words = [re.sub(r"[^0-9a-z\x80-\xff]", "", w) for w in sentence.split()] + [r.replace(" ", "") for r in runs if re.fullmatch(r"(\w )+\w?", r)]
+        pieces = [p for w in words for p in X.stretches(w.encode())]
+        value = model.kernel.similarities(pieces) if pieces else np.zeros((0, 2))
+        value = value[(value >= X.FLOOR).any(1)]
+        return value.max(0) if len(value) else None
+    want = [(t, *v) for t, text in enumerate(texts) for x in re.split(r"(?<=[.!?\n])", (text or "").lower()) if (v := plain(x.strip())) is not None]
+    got = [(int(r + t), *v) for r, text, sims in X.sentence_features(model, pa.array(texts, pa.string())) for t, v in zip(text, sims)]
+    assert len(got) == len(want) == 4 and np.allclose(sorted(got), sorted(want))
 
 
 def test_toxicity_tolerates_inserted_characters(spark):
@@ -166,18 +187,17 @@ def test_rules_do_not_judge_other_pages(spark):
     assert all((got[i] == "block") == (i < 500 or i >= 800) for i, _ in rows)
 
 
-def test_rare_insults_become_landmarks():
+def test_landmarks_explain_documents_and_not_copies(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abeghklnru") for _ in range(rng.randint(2, 7)))
+    text = lambda *extra: " ".join(rng.sample([*extra, *(word() for _ in range(40))], 40 + len(extra)))
+    bad = [(i, text("pathetic") if i % 10 else text("zzyzzy", "zzyzzy")) for i in range(120)]
+    copy = text("moron") + " quartz"
+    bad += [(200 + i, copy.replace(copy.split()[i % 30], word())) for i in range(60)]
+    rows = bad + [(500 + i, text()) for i in range(300)]
+    labels = spark.createDataFrame([(d, 1, int(d < 500)) for d, _ in rows], "doc_id long, quality int, toxic int")
+    model = X.fit_toxicity(docs_frame(spark, rows), labels)
+    assert {b"pathetic", b"zzyzzy"} <= set(model.landmarks[: model.toxic]) and b"quartz" not in model.landmarks and len(model.landmarks) < 12
     row = collections.namedtuple("row", "unit doc")
-    rows = [row(b"common%c" % (97 + k), d) for k in range(20) for d in range(6000) if d % 25 == k] + [row(b"tail", d) for d in range(6000) if d % 75 == 24]
-    rows += [row(b"aside", d) for d in range(6000) if d % 75 == 49]  # as many, but not by more than chance
-    rows += [row(b"big%c" % (97 + k), d) for k in range(10) for d in range(6000) if d % 150 == 20 + k]
-    sure = frozenset(r.unit for r in rows) - {b"aside"}
-    assert set(X._cover(rows, sure)) == sure
-
-
-def test_words_with_many_of_a_letter_are_compared():
-    words = [b"idiot", b"i" * 200 + b"dot", b"i" * 140 + b"diot", b"clean"]
-    model = X.ToxicModel([b"idiot"], 1, np.eye(1))
-    ends = np.cumsum([len(w) for w in words * 2])
-    start = ends - [len(w) for w in words * 2]
-    assert X._near_words(model, np.frombuffer(b"".join(words * 2), np.uint8), start, ends).tolist() == [0, 1, 2, 4, 5, 6]
+    rows = [row(b"common%c" % (97 + k), d) for k in range(20) for d in range(6000) if d % 25 == k] + [row(b"tail", d) for d in (5999, 5974)] + [row(b"lone", 24)]
+    assert set(X._cover(rows)) == {r.unit for r in rows} - {b"lone"}
