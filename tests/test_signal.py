@@ -9,6 +9,7 @@ from strandlab.operators import coverage as C
 from strandlab.operators import signal as S
 from strandlab.operators import supplementary as U
 from strandlab.operators.cigar import parse_cigar, read_lengths, signal_blocks
+from strandlab.plans.compare import compare_mappings, key_difference
 from pyspark.sql import functions as F
 
 RECORD = "ordinal long, read_id string, ref_id int, chrom string, pos int, cigar_text string, flag int, seq string, mm string, ml array<int>, sa string"
@@ -123,3 +124,121 @@ def test_supplementary_golden(spark):
     df = spark.createDataFrame([(o, "r", 0, f, s, e, q) for o, f, s, e, q in rows], "ordinal long, read_id string, ref_id int, flag int, start long, end long, m_query array<struct<s:bigint,e:bigint>>")
     got = {r.ordinal: (r.keep, r.missing_query) for r in U.judged(df).collect()}
     assert got == {0: (True, False), 1: (True, False), 2: (False, False), 3: (True, True), 4: (False, False), 5: (True, False)}
+
+
+def two_pass(values):
+    """The two-pass mean in 64-bit floats, in order."""
+    first = 0.0
+    for v in values:
+        first += v
+    first /= len(values)
+    rest = 0.0
+    for v in values:
+        rest += v - first
+    return first + rest / len(values)
+
+
+def test_means_and_medians_in_64_bits(spark):
+    rng = np.random.default_rng(3)
+    data = [(k, r, int(c)) for k in range(60) for r, c in enumerate(rng.integers(0, 256, rng.integers(1, 40)), 1)]
+    calls = spark.createDataFrame(data, "ordinal long, r long, code int").withColumn("mod", F.lit("T+B")).repartition(3)
+    bins = S.signal_bins(calls, ["ordinal", "mod"], 10, float_mode="f64")
+    maps = calls.select("ordinal").distinct()
+    got = {r.ordinal: r for r in S.nested(maps, bins, calls, (ModSpec.parse("T+B"),), "f64").collect()}
+
+    def median(values):
+        v, k = sorted(values), len(values) // 2
+        return v[k] if len(v) % 2 else two_pass(v[k - 1 : k + 1])
+
+    differs = 0
+    for k in range(60):
+        codes = [c / 255 for o, _, c in data if o == k]
+        means = [two_pass(codes[i : i + 10]) for i in range(0, len(codes), 10)]
+        assert [tuple(x) for x in got[k].signalbin] == [(10 * i + 1, m) for i, m in enumerate(means)]
+        assert got[k].med_signal == median(codes) and got[k].med_signalbin == median(means)
+        differs += got[k].med_signal != N.r_median_reference(codes)
+    assert differs  # the mode reaches the medians
+
+
+def test_first_entry_wins_and_broken_skips_end_the_scan(spark):
+    rows = [
+        ("two", 0, "6M", 0, "TTTTAA", "T+B?,0;T+B?,1,0;", [7, 8, 9]), ("later", 0, "6M", 0, "TTTTAA", "T+e?,0,0;T+B?,1;", [1, 2, 3]), ("broken", 0, "6M", 0, "TTTTAA", "T+B?,0,x,0;", [7, 8, 9]),
+        ("minus", 0, "6M", 0, "TTTTAA", "T+B?,1,-1,0;", [7, 8, 9]), ("blank", 0, "6M", 0, "TTTTAA", "T+B?, 1 ;", [7]), ("short", 0, "6M", 0, "TTTTAA", "T+B.,0,0;", [7]), ("none", 0, "6M", 0, "TTTTAA", "T+B?;", [7]),
+    ]
+    _, _, calls = S.mappings(records(spark, rows), Params(mods=tuple(parse_mods("T+B"))))
+    got = {}
+    for r in calls.collect():
+        got.setdefault(rows[r.ordinal][0], []).append((r.r, r.code))
+    assert {k: sorted(v) for k, v in got.items()} == {"two": [(1, 7)], "later": [(2, 3)], "broken": [(1, 7)], "minus": [(2, 7)], "blank": [(2, 7)], "short": [(1, 7), (2, 0), (3, 0), (4, 0)]}
+
+
+def test_any_base_drops_what_is_not_reported(spark):
+    rows = [("n", 0, "6M", 0, "TTCTAA", "N+B.,1,2;", [7, 8])]
+    _, _, calls = S.mappings(records(spark, rows), Params(mods=tuple(parse_mods("N+B"))))
+    assert sorted((r.r, r.code) for r in calls.collect()) == [(2, 7), (5, 8)]
+
+
+def test_places_within_rows_against_plain_walks(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(80):
+        cigar = "".join(f"{rng.integers(0, 9)}{rng.choice(list('MIDNSHP=X'))}" for _ in range(rng.integers(1, 12)))
+        rows.append((f"r{i}", int(rng.integers(0, 400)), cigar, 0, "", None, None))
+    df = records(spark, rows)
+    blocks, cover = [], {}
+    for i, (_, pos, cigar, *_) in enumerate(rows):
+        q, r, at, last = 1, pos + 1, pos, 0
+        for n, op in ((int(x[:-1]), x[-1]) for x in __import__("re").findall(r"\d+[A-Z=]", cigar)):
+            if op == "M":
+                blocks.append((i, q, n, r))
+            q += n if op in "MIS" else 0
+            r += n if op in "MDN" else 0
+            if op in "M=X" and n:
+                low, high = max(at // 50, last), -(-(at + n) // 50)
+                for b in range(low, high):
+                    cover[b] = cover.get(b, 0) + 1
+                last = max(last, high)
+            at += n if op in "M=XDN" else 0
+    assert sorted((r.ordinal, r.q, r.len, r.r) for r in signal_blocks(df).collect()) == sorted(blocks)
+    assert {r.bin: r.n for r in C.coverage_bins(df, 50).collect()} == cover
+
+
+def test_tracks_longer_than_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(C, "BUCKET_BINS", 8)
+    monkeypatch.setattr(C, "BUCKET_BASES", 64)
+    rng = np.random.default_rng(9)
+    dense = np.repeat(rng.integers(0, 3, 60), rng.integers(1, 30, 60))
+    dense[300:500] = 2
+    cov = spark.createDataFrame([(0, i, int(n)) for i, n in enumerate(dense) if n], "ref_id int, bin long, n long")
+    refs = spark.createDataFrame([(0, "x", 10 * len(dense) + 25), (1, "y", 40)], "ref_id int, chrom string, length long")
+    got = [tuple(r) for r in C.coverage_intervals(cov, refs, 10).orderBy("ref_id", "start").select("chrom", "start", "end", "value").collect()]
+    full = [*dense, 0, 0, 0]
+    cuts = [0, *(i for i in range(1, len(full)) if full[i] != full[i - 1]), len(full)]
+    assert got == [("x", 10 * a, min(10 * b, 10 * len(dense) + 25), float(full[a])) for a, b in zip(cuts, cuts[1:])] + [("y", 0, 40, 0.0)]
+    other = dense.copy()
+    other[[3, 250, 251]] += 1
+    rows = lambda x: spark.createDataFrame([("x", 10 * i, 10 * i + 10, float(n)) for i, n in enumerate(x)], "chrom string, start long, end long, value float")
+    whole = spark.createDataFrame([("x", 10 * a, 10 * b, float(dense[a])) for a, b in zip([0, *(np.flatnonzero(np.diff(dense)) + 1).tolist()], [*(np.flatnonzero(np.diff(dense)) + 1).tolist(), len(dense)])], "chrom string, start long, end long, value float")
+    assert [tuple(r) for r in C.diff_tracks(whole, rows(other)).collect()] == [("x", 30, 30)] and C.diff_tracks(whole, rows(dense)).count() == 0
+
+
+def test_overlap_against_plain_sets(spark):
+    rng = np.random.default_rng(12)
+    def lists():
+        cut = np.cumsum(rng.integers(1, 9, 2 * rng.integers(0, 7))).tolist()
+        return [(a, b) for a, b in zip(cut[::2], cut[1::2])]
+    rows = [(lists(), lists()) for _ in range(200)] + [(None, [(1, 2)]), ([(1, 2)], None)]
+    spec = "array<struct<s:bigint,e:bigint>>"
+    df = spark.createDataFrame(rows, f"a {spec}, b {spec}").repartition(2)
+    for r in df.withColumn("n", U.overlap(F.col("a"), F.col("b"))).collect():
+        places = lambda x: {p for s, e in x for p in range(s, e)}
+        assert r.n == (None if r.a is None or r.b is None else len(places(r.a) & places(r.b)))
+
+
+def test_comparison_of_tables(spark):
+    schema = "read_id string, flag int, chrom string, start double, strand string, med double"
+    a = spark.createDataFrame([("a", 0, "x", 1.0, "+", 0.5), ("b", 0, "x", 1.0, "+", 0.5), ("c", 0, "x", 1.0, "+", None), ("d", 0, "x", 1.0, "+", None), ("e", 0, "x", 1.0, "+", 1.0), ("g", 0, "x", 1.0, "+", 0.0)], schema)
+    b = spark.createDataFrame([("a", 0, "x", 1.0, "-", 0.7), ("b", 0, "x", 1.0, "+", 0.5 + 1e-14), ("c", 0, "x", 1.0, "+", float("nan")), ("d", 0, "x", 1.0, "+", 0.5), ("e", 0, "x", 1.0, "+", 1.0 + 1e-9), ("f", 0, "x", 1.0, "+", 1.0), ("g", 0, "x", 1.0, "+", 0.0)], schema)
+    got = {r.read_id: r.column for r in compare_mappings(a, b, ["strand"], ["med"]).collect()}
+    assert got == {"a": "strand", "d": "med", "e": "med"}
+    assert sorted((r.read_id, r.side) for r in key_difference(a, b, ["read_id"]).collect()) == [("f", "right")]

@@ -1,6 +1,7 @@
 """BAM, bigWig and RDS: round trips over files built here byte by byte."""
 
 import gzip
+import math
 import random
 import struct
 import zlib
@@ -119,6 +120,110 @@ def test_a_whole_run(spark, tmp_path):
     assert {r.chrom: r.n for r in track.selectExpr("chrom", "end - start as w").groupBy("chrom").agg({"w": "sum"}).withColumnRenamed("sum(w)", "n").collect()} == dict(REFS)
 
 
+class Parser:
+    """Reads serialised items back: (value, attributes) of vectors and lists."""
+
+    def __init__(self, raw):
+        self.raw, self.at, self.symbols = raw, 2, []
+        assert raw[:2] == b"X\n" and self.ints(4) == [3, 0x00040403, 0x00030500, 5] and self.take(5) == b"UTF-8"
+
+    def take(self, n):
+        self.at += n
+        return self.raw[self.at - n : self.at]
+
+    def ints(self, n=1):
+        return list(struct.unpack(f">{n}i", self.take(4 * n)))
+
+    def item(self):
+        flags = self.ints()[0]
+        kind = flags & 255
+        if kind == 254:
+            return None
+        if kind == 255:
+            return self.symbols[(flags >> 8) - 1]
+        if kind == 1:
+            self.symbols.append(self.item())
+            return self.symbols[-1]
+        if kind == 9:
+            text = self.take(self.ints()[0]).decode()
+            assert flags & (0x40000 if text.isascii() else 0x8000)
+            return text
+        if kind == 2:
+            out = {}
+            while flags & 255 == 2:
+                assert flags & 0x400
+                name = self.item()
+                out[name] = self.item()
+                flags = self.ints()[0]
+            assert flags == 254
+            return out
+        n = self.ints()[0]
+        value = self.ints(n) if kind == 13 else list(struct.unpack(f">{n}d", self.take(8 * n))) if kind == 14 else [self.item() for _ in range(n)]
+        assert kind in (13, 14, 16, 19) and bool(flags & 0x200) == bool(flags & 0x100)
+        return (value, self.item()) if flags & 0x200 else value
+
+
+def test_rds_layout(spark, tmp_path):
+    rows = [(i, f"réad{i}" if i else "r", 16 * (i % 2), i % 2, "+-"[i % 2], 10.0 + i, 20.0 + i, [(1, 0.5, None), (1001, 0.25, 1.0)][: 1 + i % 2], 0.5, None) for i in range(5)]
+    df = spark.createDataFrame(rows, "ordinal long, read_id string, flag int, ref_id int, strand string, start double, end double, signalbin array<struct<positions:bigint,signalB:double,signala:double>>, med_signalB double, med_signalbinB double")
+    refs = spark.createDataFrame([(0, "chrI", 50), (1, "chrII", 60), (2, "chrM", 9)], "ref_id int, chrom string, length long")
+    path = str(tmp_path / "t.rds")
+    assert R.write_rds(df.orderBy("ordinal").coalesce(1), refs, path) == 5
+    parser = Parser(gzip.open(path).read())
+    columns, attributes = parser.item()
+    assert parser.at == len(parser.raw)
+    names = ["read_id", "flag", "chrom", "strand", "start", "end", "signalbin", "med_signalB", "med_signalbinB"]
+    assert attributes == {"row.names": [-(1 << 31), -5], "names": names, "class": ["tbl_df", "tbl", "data.frame"]}
+    got = dict(zip(names, columns))
+    assert got["read_id"] == [r[1] for r in rows] and got["flag"] == [r[2] for r in rows] and got["start"] == [r[5] for r in rows]
+    assert got["chrom"] == ([1, 2, 1, 2, 1], {"levels": ["chrI", "chrII", "chrM"], "class": ["factor"]})
+    assert got["strand"] == ([1, 2, 1, 2, 1], {"levels": ["+", "-", "*"], "class": ["factor"]})
+    for row, (cells, extra) in zip(rows, got["signalbin"]):
+        assert extra == {"row.names": [*range(1, len(row[7]) + 1)], "names": ["positions", "signalB", "signala"], "class": ["tbl_df", "tbl", "data.frame"]}
+        assert [[None if math.isnan(x) else x for x in c] for c in cells] == [list(c) for c in zip(*row[7])]
+    assert got["med_signalB"] == [0.5] * 5 and all(map(math.isnan, got["med_signalbinB"]))
+
+
+def test_lengths_of_long_vectors(tmp_path):
+    w = R.write_rds.__globals__["Writer"](str(tmp_path / "x"))
+    before = len(w.buffer)
+    w.length(5)
+    w.length((1 << 32) + 7)
+    assert bytes(w.buffer[before:]) == struct.pack(">iiii", 5, -1, 1, 7)
+
+
+def test_counts_of_a_run(spark, tmp_path):
+    mm = text_tag("MM", "T+B?,0;") + bytes_tag("ML", [9])
+    over = text_tag("MM", "T+B?,5;") + bytes_tag("ML", [9])
+    sa = text_tag("SA", "chrI,1,+,5M,60,0")
+    rows = [
+        record("a", 0, 0, 0, [("M", 8)], "TTTTAAAA", mm), record("a", 0, 20, 2048, [("M", 8)], "TTTTAAAA", mm + sa), record("b", 0, 0, 0, [("M", 8)], "TTTTAAAA", over),
+        record("c", 0, 0, 4, [("M", 8)], "TTTTAAAA", mm), record("d", 0, 0, 256, [("M", 8)], "TTTTAAAA", mm), record("e", -1, 0, 0, [("M", 8)], "TTTTAAAA", mm),
+        record("f", 0, 0, 0, [("M", 8)], "TTTTAAAA"), record("g", 2, 0, 0, [("M", 8)], "TTTTAAAA", mm), record("h", 0, 0, 1024, [("M", 8)], "TTTTAAAA", mm), record("i", 0, 0, 0, [("I", 8)], "TTTTAAAA", mm),
+    ]
+    counts = R.run(spark, write(tmp_path / "a.bam", rows), parquet=str(tmp_path / "out"))
+    # of "i" nothing lies on the reference: it is too short to be a candidate
+    assert counts == {"records": 10, "mapped": 7, "candidates": 3, "extracted": 2, "mm_overflow": 1, "missing_query": 1, "mappings": 2}
+    lines = R.messages(counts)
+    assert "1 skipped" in lines[0] and lines[1].startswith("warning: 1") and lines[2].startswith("2 mappings")
+    assert len(R.messages(counts | {"mm_overflow": 0, "missing_query": 0})) == 2
+    assert spark.read.parquet(f"{tmp_path}/out/mappings").count() == 2
+
+
+def test_tracks_that_lack_chromosomes(spark, tmp_path):
+    for name, refs in (("a", [("x", 100), ("y", 200)]), ("b", [("y", 200), ("z", 300)])):
+        table = spark.createDataFrame([(i, n, s) for i, (n, s) in enumerate(refs)], "ref_id int, chrom string, length long")
+        track = spark.createDataFrame([(i, 0, 50, float(ord(name)) if n == "y" else 1.0) for i, (n, _) in enumerate(refs)], "ref_id int, start long, end long, value float")
+        W.write_bigwig(track, table, str(tmp_path / f"{name}.bw"))
+    rows, total = R.bw_compare(spark, str(tmp_path / "a.bw"), str(tmp_path / "b.bw"))
+    assert total == 50 and {r.chrom: (r.diff_bases, r.first_diff, r.only_in) for r in rows.collect()} == {"x": (None, None, "left"), "y": (50, 0, None), "z": (None, None, "right")}
+
+
+def test_bedgraph(spark, tmp_path):
+    R.write_bedgraph(spark.createDataFrame([("x", 0, 50, 1.5)], "chrom string, start long, end long, value float"), str(tmp_path / "t"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "t")).collect()] == ["x\t0\t50\t1.5"]
+
+
 def test_command_line():
     args = R.parser().parse_args(["run", "-b", "x.bam", "--mod", "T+B,C+m", "--mod", "A+a"])
     assert args.mod == ["T+B,C+m", "A+a"] and args.max_dist == 15000 and R.main(["run", "-b", "x.bam"]) == 2
