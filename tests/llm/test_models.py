@@ -133,6 +133,7 @@ def test_class_probabilities_sum_to_one():
 
 def test_top_k_is_exact(spark, monkeypatch):
     monkeypatch.setattr(K, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(K, "GROUP_QUERIES", 3)
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=6).round(2).tolist()) for i in range(400)] + [(400 + i, [0.5] * 6) for i in range(120)]
     odd = [(1000, None), (1001, [0.1, None, 0.0, 0.0, 0.0, 0.0]), (1002, [float("nan")] * 6), (1003, [float("inf")] * 6), (None, [1.0] * 6), (1050, [0.3, -0.2])]
@@ -148,6 +149,39 @@ def test_top_k_is_exact(spark, monkeypatch):
     assert K.top_k(df.limit(0)).count() == 0
 
 
+def best_rows(rows, modulus, k=5):
+    ints = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows]
+    out = []
+    for q, v in {(i, tuple(v)) for i, v in ints if i % modulus == 0}:
+        best = sorted((-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(v, w)))), c) for c, w in ints if c != q)[:k]
+        out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+    return sorted(out)
+
+
+def test_scores_beyond_doubles_and_repeated_rows(spark):
+    rows = [(0, [1e7, 1.0]), (1, [1e7, 1.0 + 1 / 256]), (2, [1e7, 1.0 + 2 / 256]), (3, [1e30, 1.0]), (4, [-1e30, 2.0]), (5, [0.0, 0.0]), (6, [3.0]), (7, [])]
+    rows += [(9, [1.0, 2.0])] * 4 + [(20, [0.5, 0.25])] * 3 + [(10, [1e7, 3.0]), (30, [-1e30, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(tuple(r) for r in K.top_k(df, query_modulus=10).collect()) == best_rows(rows, 10)
+
+
+def test_clusters_are_skipped(spark, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(K, "GROUP_QUERIES", 10)
+    seen = []
+    dealt = K._needs
+    monkeypatch.setattr(K, "_needs", lambda *a: seen.append((dealt(*a).collect(), int((a[2][0] + a[2][1]).max()))) or dealt(*a))
+    rng = np.random.default_rng(5)
+    middle = rng.normal(size=(12, 16)) * 4
+    rows = [(i, (middle[i % 12] + rng.normal(size=16) * 0.1).tolist()) for i in range(2400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in K.top_k(df, query_modulus=20).collect())
+    assert got == best_rows([(i, np.array(v, np.float32)) for i, v in rows], 20)
+    (pairs, blocks), = seen
+    groups = len({r.grp for r in pairs})
+    assert groups > 5 and blocks > 12 and len(pairs) < groups * blocks / 3
+
+
 def test_url_parts_and_rules(spark):
     urls = ["https://A.Example.NET/en/5?x#y", "http://example.com/de/1", "x.org/fr/2", None, "http://m.a.org/fr/3.html", "ftp://HOST?q", "http://org/fr/", "http://a.example.com/DE/1", "http://b.net#t", "a://b://c/d"]
     pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
