@@ -109,11 +109,13 @@ def _tree_levels(levels: int, distinct: int, share: float, errors: float) -> str
     for k in range(levels):
         out.append(f"""step{k} as (select *, case when len(steps) > {k} then steps[{k + 1}] end step from rows{k}
 ), seg{k} as (select host, node, step, sum(n) n, sum(labelled) labelled, sum(bad) bad from step{k} where step is not null group by all
-), par{k} as (select host, node, count(*) > {distinct} and avg(n) <= {share} * sum(n) wild, sum(labelled) all_labelled, sum(bad) all_bad from seg{k} group by all
-), name{k} as (
-  select s.host, s.node, s.step, case when wild then '*' when labelled = 0 or abs(bad / labelled - all_bad / all_labelled)
-    <= {errors} * sqrt((all_bad / all_labelled) * (1 - all_bad / all_labelled) / labelled) then '~' else s.step end as name
+), par{k} as (select host, node, sum(n) all_n, sum(bad) / nullif(sum(labelled), 0) p from seg{k} group by all
+), of{k} as (
+  select s.*, p.p, s.n <= {share} * p.all_n rare, count(*) filter (where s.n <= {share} * p.all_n) over (partition by s.host, s.node) > {distinct} varied
   from seg{k} s join par{k} p on p.host = s.host and p.node = s.node
+), name{k} as (
+  select host, node, step, case when coalesce(abs(bad / nullif(labelled, 0) - p) <= {errors} * sqrt(p * (1 - p) / nullif(labelled, 0)), true)
+    then case when rare and varied then '*' else '~' end else step end as name from of{k}
 ), rows{k + 1} as (
   select r.host, r.template, r.n, r.labelled, r.bad, r.steps, case when r.step is null then r.node else r.node || '/' || m.name end node
   from step{k} r left join name{k} m on m.host = r.host and m.node = r.node and m.step = r.step
@@ -135,7 +137,7 @@ with parts as (
 ), known as (
   select doc_id, max(case when coalesce(quality, 1) = 0 or coalesce(toxic, 0) = 1 then 1 else 0 end) label from labels group by doc_id
 ), judged as (
-  select r.*, case when rule in ('example.com/de/', 'net/') then 1 when rule is not null then 0 else label end bad from ruled r left join known k on k.doc_id = r.page_id
+  select r.*, case when rule is null then label end bad from ruled r left join known k on k.doc_id = r.page_id
 ), counts as (
   select host, template, count(*) n, count(bad) labelled, coalesce(sum(bad), 0) bad, string_split(regexp_replace(template, '^/', ''), '/') s from judged group by host, template
 ), rows0 as (
