@@ -27,6 +27,19 @@ def batch_count(docs: DataFrame, text_col: str, mb_each: int = 8, least: int = 1
     return int(max(least, size // (mb_each << 20)))
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with marks before it until no other column has it (names differ by more than case)."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
+def row_struct(df: DataFrame, columns: list[str]):
+    """The named columns as one, so that no name of theirs can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns])
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalising mixer over unsigned 64-bit integers."""
     x = x ^ (x >> np.uint64(30))
@@ -93,10 +106,11 @@ class RollingHash:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_CODES[data] * _POWERS[0][:n], out=self.sums[1:])
 
-    def fixed(self, length: int) -> np.ndarray:
-        """Hash of the ``length`` bytes from each position on."""
-        n = len(self.sums) - length
-        return mix64((self.sums[length:] - self.sums[:n]) * _POWERS[1][:n]) if n > 0 else np.zeros(0, np.uint64)
+    def fixed(self, length: int, start: int = 0, size: int | None = None) -> np.ndarray:
+        """Hash of the ``length`` bytes from each position in [start, start + size) on, as far as there are so many."""
+        past = len(self.sums) - length
+        past = past if size is None else min(past, start + size)
+        return mix64((self.sums[start + length : past + length] - self.sums[start:past]) * _POWERS[1][start:past]) if past > start else np.zeros(0, np.uint64)
 
     def spans(self, start: np.ndarray, past: np.ndarray) -> np.ndarray:
         """Hash of each stretch [start, past), its length mixed in."""

@@ -5,8 +5,9 @@ patterns. A block shift table lets the scan skip positions that cannot start a p
 block of the pattern prefix select the patterns to test, and a direct comparison confirms each occurrence.
 
 The scan keeps one cursor in each stretch of text and moves all cursors by their own shifts at once in numpy, which is
-the same search as a single cursor per text. Documents are never shuffled. Pattern tables are built and sent in blocks
-of at most ``patterns_per_pass`` windows; a larger benchmark makes more passes over the same rows, in one Spark stage.
+the same search as a single cursor per text. Documents are never shuffled. Windows are sent in blocks of about
+``patterns_per_pass`` windows and PASS_BYTES bytes at most; a larger benchmark makes more passes over the same rows,
+PASSES_AT_ONCE of them in one Spark stage, whose blocks are all that the driver and the executors hold of the benchmark.
 """
 
 from __future__ import annotations
@@ -19,11 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import group_starts, text_runs
+from .common import group_starts, row_struct, stage, text_runs, unstage
 
 WINDOW_WORDS = 13
 #: Bound of one broadcast: windows for each pass (about 100 bytes each).
 PATTERNS_PER_PASS = 100_000
+PASS_BYTES = 16 << 20
+#: Blocks that are held at once; after so many passes the rows are staged.
+PASSES_AT_ONCE = 4
 LANE = 2048
 TABLE_BITS = 20
 
@@ -125,26 +129,26 @@ class Matcher:
 
 
 def _benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
+    """window and item of all windows; items keep their type."""
+    rows = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{text_col}`").alias("text")).where("item is not null and text is not null")
+
     def cut(batches):
         for batch in batches:
-            item, text = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = {(w, i) for i, t in zip(item, text) if i is not None for w in windows_of(words_of(t.encode() if t else None), size)}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())], ["window", "item"]
-            )
-
-    return benchmark.select(F.col(item_col).cast("long"), F.col(text_col)).mapInArrow(cut, "window binary, item long").distinct()
-
-
-OUT = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("n_hit", T.LongType()),
-        T.StructField("n_items", T.LongType()),
-        T.StructField("items", T.ArrayType(T.LongType())),
-        T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))),
-    ]
-)
+            found = [(w, i) for i, t in enumerate(batch.column(1).to_pylist()) for w in set(windows_of(words_of(t.encode()), size))]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()), batch.column(0).take(pa.array([i for _, i in found], pa.int64()))], names=["window", "item"])
+
+    return rows.mapInArrow(cut, T.StructType([T.StructField("window", T.BinaryType()), T.StructField("item", rows.schema["item"].dataType)])).distinct()
+
+
+def _result_type(item: T.DataType) -> T.StructType:
+    whole = T.LongType()
+    return T.StructType(
+        [
+            *(T.StructField(n, whole) for n in ("n_words", "n_hit", "n_items")),
+            T.StructField("items", T.ArrayType(item)),
+            T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))),
+        ]
+    )
 
 
 def find_contamination(
@@ -157,38 +161,50 @@ def find_contamination(
     window_words: int = WINDOW_WORDS,
     patterns_per_pass: int = PATTERNS_PER_PASS,
     keep: list[str] | None = None,
+    result_col: str = "contamination",
 ) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (all when None) plus ``contamination``: n_words, n_hit, n_items, the sorted ``items`` with an
+    """Columns ``keep`` of ``docs`` (all when None) plus ``result_col``: n_words, n_hit, n_items, the sorted ``items`` with an
     occurring window and the hit word ``spans`` [first, past], merged.
 
-    Null or empty text has no words and no hits. Null item ids and items without words give no window. An empty
-    benchmark gives zero hits. A column called ``contamination`` in ``docs`` is replaced.
+    Null or empty text has no words and no hits; very long texts are searched whole; repeated rows get equal results, and
+    items of one id in several rows are one item. Null item ids and items without words give no window. An empty
+    benchmark gives zero hits, an empty table no rows. A column called ``result_col`` in ``docs`` is replaced; other
+    columns may have any name, and item ids any type that can be compared.
     """
-    keep = [c for c in (docs.columns if keep is None else keep) if c != "contamination"]
-    windows = _benchmark_windows(benchmark, item_col, item_text_col, window_words).persist()
-    total = windows.count()
-    passes = max(1, -(-total // patterns_per_pass))
+    keep = [c for c in (docs.columns if keep is None else keep) if c != result_col]
+    windows = stage(_benchmark_windows(benchmark, item_col, item_text_col, window_words), "windows")
+    total = windows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("window")), F.lit(0)).alias("bytes")).first()
+    passes = max(1, -(-total.n // patterns_per_pass), -(-total.bytes // PASS_BYTES))
     cut = windows.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(passes)))
-    spark = docs.sparkSession
-    state = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"), F.lit(None).cast("binary").alias("_hits"), F.lit(None).cast("array<bigint>").alias("_items"))
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_text", T.StringType()), T.StructField("_hits", T.BinaryType()), T.StructField("_items", T.ArrayType(T.LongType()))])
-    final = T.StructType([*[docs.schema[c] for c in keep], T.StructField("contamination", OUT)])
+    item = windows.schema["item"].dataType
+    row = row_struct(docs, keep).alias("row") if keep else F.struct(F.lit(None).cast("int").alias("none")).alias("row")
+    state = docs.select(row, F.col(f"`{text_col}`").alias("text"), F.lit(None).cast("binary").alias("hits"), F.lit(None).cast(T.ArrayType(item)).alias("items"))
+    final = T.StructType([state.schema["row"], T.StructField("result", _result_type(item))])
+    sent: list = []
+    staged = None
     for k in range(passes):
-        rows = [(bytes(r.window), r.item) for r in cut.where(F.col("block") == k).select("window", "item").toLocalIterator()]
-        shared = spark.sparkContext.broadcast(rows)
+        if len(sent) == PASSES_AT_ONCE:
+            state, before = stage(state, "hits"), staged
+            staged = state
+            unstage(before)
+            for old in sent:
+                old.destroy()
+            sent = []
+        block = cut.where(F.col("block") == k).select("window", "item").toArrow()  # about patterns_per_pass rows
+        sent.append(docs.sparkSession.sparkContext.broadcast(list(zip(block.column("window").to_pylist(), block.column("item").to_pylist()))))
         last = k == passes - 1
-        state = state.mapInArrow(_scan(shared, len(keep), last), final if last else schema)
-    windows.unpersist()
-    return state
+        state = state.mapInArrow(_scan(sent[-1], last), final if last else state.schema)
+    unstage(windows)
+    return state.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], F.col("result").alias(result_col))
 
 
-def _scan(shared, width: int, last: bool):
+def _scan(shared, last: bool):
     def scan(batches):
         matcher = Matcher(shared.value) if shared.value else None
         for batch in batches:
-            hits_in, items_in = batch.column(width + 1).to_pylist(), batch.column(width + 2).to_pylist()
+            hits_in, items_in = batch.column("hits").to_pylist(), batch.column("items").to_pylist()
             hits_out, items_out, out = [], [], []
-            for row, past, offsets, data in text_runs(batch.column(width)):
+            for row, past, offsets, data in text_runs(batch.column("text")):
                 raw, bounds = data.tobytes(), offsets.tolist()
                 words = [raw[a:b].translate(_FOLD).split() for a, b in zip(bounds, bounds[1:])]
                 found = _find_all(matcher, words) if matcher else {}
@@ -202,15 +218,12 @@ def _scan(shared, width: int, last: bool):
                     else:
                         hits_out.append(spans)
                         items_out.append(items)
-            kept = [batch.column(i) for i in range(width)]
-            names = list(batch.schema.names[:width])
+            kind = batch.schema.field("items").type
             if last:
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(out, _OUT_ARROW)], [*names, "contamination"])
+                result = pa.struct([*((n, pa.int64()) for n in ("n_words", "n_hit", "n_items")), ("items", kind), ("spans", pa.list_(pa.list_(pa.int32())))])
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, result)], ["row", "result"])
             else:
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, batch.column(width), pa.array(hits_out, pa.binary()), pa.array(items_out, pa.list_(pa.int64()))],
-                    [*names, "_text", "_hits", "_items"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(hits_out, pa.binary()), pa.array(items_out, kind)], ["row", "text", "hits", "items"])
 
     return scan
 
@@ -236,17 +249,6 @@ def _find_all(matcher: Matcher, texts: list[list[bytes]]) -> dict[int, tuple[byt
     return out
 
 
-_OUT_ARROW = pa.struct(
-    [
-        ("n_words", pa.int64()),
-        ("n_hit", pa.int64()),
-        ("n_items", pa.int64()),
-        ("items", pa.list_(pa.int64())),
-        ("spans", pa.list_(pa.list_(pa.int32()))),
-    ]
-)
-
-
 def _summary(n_words: int, spans: bytes, items: list[int]) -> dict:
     merged: list[list[int]] = []
     for first, past in sorted(map(tuple, np.frombuffer(spans, "<i4").reshape(-1, 2).tolist())):

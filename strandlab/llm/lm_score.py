@@ -235,7 +235,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     batches = batch_count(docs, text_col)
     buckets = max(8, batches // 2)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), (crc_bucket(id_col, modulus) != held).alias("train"))
-    batch = rows.withColumn("pid", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
+    batch = rows.withColumn("pid", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int"))
     sent = batch.groupBy("pid").applyInArrow(lambda key, t: _token_messages(t, key[0].as_py(), buckets), _SPEC)
     counts = stage(sent.groupBy("bucket").applyInArrow(lambda t: _corpus_counts(t), _SPEC), "token_counts")
     summaries = counts.where("pid = -1").orderBy("bucket").collect()  # one row of fixed size for each bucket

@@ -11,7 +11,7 @@ windows have equal anchors, and only windows whose anchor occurs in two document
    prefix. Suffixes that agree over ``length`` bytes are one string, and its smallest document goes back to the batches;
 3. batches mark the bytes of each document.
 
-A batch is a hash partition of the documents by id; what is sent is one message for each batch and bucket. A string
+A batch is a hash partition of the documents; what is sent is one message for each batch and bucket. A string
 that many documents hold is one entry of each batch. Anchors that occur very often are sent window by window, so that
 no bucket gathers all texts around them.
 """
@@ -22,10 +22,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RollingHash, batch_count, byte_view, column, deltas, group_starts, message_rows, pack, take_spans, text_runs, unpack
+from .common import RollingHash, batch_count, byte_view, column, deltas, group_starts, message_rows, pack, row_struct, take_spans, text_runs, unpack
 
 LENGTH = 50
 GRAM = 20
@@ -37,6 +38,8 @@ SHALLOW = 4
 SORT_CONTEXTS = 20_000
 
 _POSITION_BITS = np.uint64(28)
+#: Bytes of a text whose windows are anchored together.
+SLICE = 1 << 27
 _HASH_40 = np.uint64((1 << 40) - 1)
 
 
@@ -45,31 +48,35 @@ class Runs:
 
     def __init__(self, offsets: np.ndarray, data: np.ndarray, length: int, gram: int):
         self.rolling = RollingHash(data)
-        empty = np.zeros(0, np.int64)
-        self.start = self.windows = empty
-        self.anchor = np.zeros(0, np.uint64)
         sizes = np.diff(offsets)
-        if len(data) < length or not (sizes >= length).any():
-            return
-        hashes = self.rolling.fixed(gram)
-        key = (hashes >> _POSITION_BITS << _POSITION_BITS) | np.arange(len(hashes), dtype=np.uint64)
-        span, least, reach = length - gram + 1, key, 1
+        inside = np.zeros(len(data) + 1, np.int32)
+        long = sizes >= length
+        np.add.at(inside, offsets[:-1][long], 1)
+        np.add.at(inside, offsets[1:][long] - length + 1, -1)
+        inside = np.cumsum(inside)[: len(data)] > 0
+        # positions have 28 bits: longer texts are taken in slices, and a run ends where a slice does
+        parts = [self._slice(at, min(SLICE, len(data) - at), inside, length, gram) for at in range(0, len(data), SLICE)] if long.any() else []
+        empty = np.zeros(0, np.int64)
+        self.start, self.windows, self.anchor = (np.concatenate(x) for x in zip(*parts)) if parts else (empty, empty, np.zeros(0, np.uint64))
+
+    def _slice(self, at: int, size: int, inside: np.ndarray, length: int, gram: int):
+        """(start, windows, anchor) of the runs of windows that start in [at, at + size)."""
+        hashes = self.rolling.fixed(gram, at, size + length - gram)
+        if len(hashes) <= length - gram:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        least = (hashes >> _POSITION_BITS << _POSITION_BITS) | np.arange(len(hashes), dtype=np.uint64)
+        span, reach = length - gram + 1, 1
         while reach * 2 <= span:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
         if reach < span:
             rest = span - reach
             least = np.minimum(least[:-rest], least[rest:])
-        inside = np.zeros(len(data) + 1, np.int32)
-        long = sizes >= length
-        np.add.at(inside, offsets[:-1][long], 1)
-        np.add.at(inside, offsets[1:][long] - length + 1, -1)
-        valid = np.flatnonzero(np.cumsum(inside[: len(least)]))
+        valid = np.flatnonzero(inside[at : at + min(size, len(least))])
         chosen = least[valid]
-        cut = np.flatnonzero(np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (np.diff(valid) != 1)]))
-        self.start = valid[cut]
-        self.windows = np.diff(np.append(cut, len(valid)))
-        self.anchor = hashes[(chosen[cut] & np.uint64((1 << 28) - 1)).astype(np.int64)]
+        cut = np.flatnonzero(np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (np.diff(valid) != 1)])) if len(valid) else np.zeros(0, np.int64)
+        anchor = hashes[(chosen[cut] & np.uint64((1 << 28) - 1)).astype(np.int64)]
+        return at + valid[cut], np.diff(np.append(cut, len(valid))), anchor
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -84,9 +91,9 @@ def _split(keys: np.ndarray):
         yield int(keys[order[a]]), order[a:b]
 
 
-def _documents(docs: DataFrame, batches: int, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.withColumn("pid", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
+def _batch(id_col: str, text_col: str, batches: int):
+    """Batch of a row: rows with one id, or none, are spread by their texts."""
+    return F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")), F.lit(batches)).cast("int")
 
 
 def _chunks(table: pa.Table, length: int, gram: int):
@@ -402,10 +409,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     Null text counts as empty; texts shorter than ``length`` bytes lose nothing. Documents with the same id, such as
     repeated rows, do not remove each other's bytes. A null id is neither smaller nor larger than any: such rows lose
-    nothing and remove nothing. An empty table gives no rows. Only the two named columns are read.
+    nothing and remove nothing. Very long texts are judged whole. An empty table gives no rows. Only the two named columns are read.
     """
     batches = batch_count(docs, text_col)
-    rows = _documents(docs, batches, id_col, text_col)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), _batch(id_col, text_col, batches).alias("pid"))
     return rows.groupBy("pid").cogroup(_answers(rows, batches, length, gram).groupBy("pid")).applyInArrow(
         lambda left, right: mark(left, right, length, gram, False).drop_columns(["kept"]), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
@@ -414,19 +421,20 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def with_repeats_removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with the remaining text in ``text_col``; rows that lose all their text go, null and empty texts stay.
 
-    A character of which only some bytes remain becomes U+FFFD. Other columns are passed on as they are."""
+    A character of which only some bytes remain becomes U+FFFD. Other columns are passed on as they are, whatever their
+    names; null ids, repeated rows, long texts and empty tables are as in :func:`remove_repeats`."""
     batches = batch_count(docs, text_col)
-    rows = docs.withColumns({"_doc": F.col(f"`{id_col}`").cast("long"), "pid_": F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(batches)).cast("int")})
-    narrow = rows.select(F.col("_doc").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col("pid_").alias("pid"))
-    names = docs.columns
-    at = names.index(text_col)
+    rows = docs.select(row_struct(docs, docs.columns).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), _batch(id_col, text_col, batches).alias("pid"))
+    at = docs.columns.index(text_col)
 
     def apply(left, right):
-        table = pa.table({"doc_id": column(left, "_doc"), "text": column(left, text_col)})
-        done = mark(table, right, length, gram, True)
-        texts = [None if old is None else new.decode(errors="replace") for old, new in zip(table.column("text").to_pylist(), done.column("kept").to_pylist())]
-        out = left.select(names).set_column(at, text_col, pa.array(texts, pa.string()))
-        lost = pa.compute.and_(pa.compute.greater(done.column("n_bytes"), 0), pa.compute.equal(done.column("n_bytes"), done.column("n_removed")))
-        return out.filter(pa.compute.invert(lost))
-
-    return rows.groupBy("pid_").cogroup(_answers(narrow, batches, length, gram).groupBy("pid")).applyInArrow(apply, docs.schema)
+        done = mark(left, right, length, gram, True)
+        texts = [None if old is None else new.decode(errors="replace") for old, new in zip(column(left, "text").to_pylist(), done.column("kept").to_pylist())]
+        fields = column(left, "row").flatten()
+        fields[at] = pa.array(texts, pa.string())
+        out = pa.table(fields, names=docs_schema.names)
+        lost = pc.and_(pc.greater(done.column("n_bytes"), 0), pc.equal(done.column("n_bytes"), done.column("n_removed")))
+        return out.filter(pc.invert(lost))
+
+    docs_schema = docs.schema
+    return rows.groupBy("pid").cogroup(_answers(rows.select("doc_id", "text", "pid"), batches, length, gram).groupBy("pid")).applyInArrow(apply, docs_schema)

@@ -50,7 +50,7 @@ def data(seed):
 
 
 @pytest.mark.parametrize("seed,passes", [(1, 100_000), (2, 20)])
-def test_matches_plain_scan(spark, seed, passes):
+def test_matches_plain_scan(spark, seed, passes):  # of many passes several stages
     docs, bench = data(seed)
     assert run(spark, docs, bench, patterns_per_pass=passes) == plain(docs, bench, 13)
 
@@ -61,6 +61,18 @@ def test_empty_tables(spark):
     assert run(spark, [], bench) == []
 
 
+def test_item_ids_of_any_type_and_clashing_columns(spark):
+    docs, bench = data(5)
+    bench = [(None if i is None else f"item-{i}", t) for i, t in bench] + [("item-1", bench[2][1])]
+    names = ["doc_id", "text", "_text", "row", "hits", "items", "result", "window", "item", "block", "a.b"]
+    left = spark.createDataFrame([(d, t, *range(9)) for d, t in docs], " long, ".join(f"`{n}`" for n in names).replace("`text` long", "`text` string") + " long")
+    right = spark.createDataFrame(bench, "item_id string, text string")
+    out = D.find_contamination(left, right, result_col="found")
+    assert out.columns == [*names, "found"]
+    got = sorted(((r.doc_id, r.found.n_words, r.found.n_hit, r.found.n_items, D.sha_of(r.found["items"]), bool(r.found.n_hit) and 20 * r.found.n_hit >= r.found.n_words) for r in out.collect()), key=str)
+    assert got == plain(docs, bench, 13) and all(tuple(r[2:11]) == tuple(range(9)) for r in out.collect())
+
+
 def test_shift_tables_find_every_occurrence():
     rng = random.Random(4)
     text = bytes(rng.choice(b"ab ") for _ in range(20_000))

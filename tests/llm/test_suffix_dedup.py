@@ -78,6 +78,38 @@ def test_hot_anchors_are_compared_window_by_window(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got), key=str) == plain(rows)
 
 
+def test_long_texts_are_taken_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(S, "SLICE", 70)
+    rows = [(d, (t or "") * 3) for d, t in corpus() if d is not None]
+    docs = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})
+    one = S.shared_anchors(S.anchor_messages(docs, 0, 1, 50, 20))
+    got = S.mark(docs, S.least_documents(S.context_messages(docs, one, 0, 1, 50, 20), 50), 50, 20, False).to_pylist()
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got), key=str) == plain(rows)
+
+
+def test_many_rows_without_id_and_clashing_columns(spark):
+    rows = corpus() + [(None, t) for _, t in corpus()]
+    check(spark, rows)
+    names = ["pid_", "_doc", "row", "pid", "kept", "a.b"]
+    df = spark.createDataFrame([(d, *range(6), t) for d, t in rows], "doc_id long, " + ", ".join(f"`{n}` int" for n in names) + ", text string").repartition(2)
+    got = S.with_repeats_removed(df)
+    assert got.columns == df.columns
+    want = [(d, *range(6), t) for d, t in ((d, kept(rows, d, t)) for d, t in rows) if t is not False]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def kept(rows, doc, text):
+    """What remains of a text, or False if a text has lost all."""
+    b = (text or "").encode()
+    gone = [False] * len(b)
+    for i in range(len(b) - 49) if doc is not None else ():
+        if any(d is not None and d < doc and b[i : i + 50] in (t or "").encode() for d, t in rows):
+            gone[i : i + 50] = [True] * 50
+    return False if b and all(gone) else text and bytes(x for x, g in zip(b, gone) if not g).decode(errors="replace")
+
+
 def test_empty_table(spark):
     assert S.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
