@@ -1,14 +1,20 @@
 """Language-model scores from a hashed maximum-entropy model with class-factored softmax.
 
-P(word | history) = P(class | history) P(word | class). The most frequent tokens are classes of their own, other words
-share classes by a hash of their ending. The class softmax has weights for n-gram features (previous class, hashed pair
-of previous classes) and skip features (second and third class back); it starts from smoothed class bigrams and is
+P(word | history) = P(class | history) P(word | class, history). The most frequent tokens are classes of their own, other
+words share classes by a hash of their ending. The class softmax has weights for n-gram features (previous class, hashed
+pair of previous classes) and skip features (second and third class back); it starts from smoothed class bigrams and is
 trained by gradient updates: every partition sums the gradient over its share of the corpus's class 4-gram counts, and
-the sums set the next weights. Within a class a word has its smoothed share of the class's training tokens.
+the sums set the next weights.
+
+Within a class a word starts from its smoothed share of the class's training tokens, and has a weight for the nearest
+word before it, at most three back, that is no class of its own: an n-gram or a skip feature, kept where the training texts
+have it twice. As all other words of the class keep their share, the softmax is exact from the words with features alone.
+These weights grow with the corpus. They are hashed to buckets by history and class (large classes in parts), and each
+bucket fits its own by gradient updates with a Gaussian prior.
 
 Token counts cover the whole corpus and never meet in one place: batches of documents send the hashes of their distinct
-tokens with counts to hash buckets, which send back the corpus counts of just these. Scores are computed batch by batch
-in numpy, once for each distinct history.
+tokens with counts to hash buckets, which send back the corpus counts of just these; so do the pairs of words. Scores are
+computed batch by batch in numpy, once for each distinct history.
 """
 
 from __future__ import annotations
@@ -17,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, RollingHash, batch_count, column, crc_bucket, deltas, message_rows, mix64, pack, stage, text_runs, unpack
+from .common import GOLDEN, RollingHash, batch_count, column, crc_bucket, deltas, message_rows, mix64, pack, stage, text_runs, unpack, unstage
 from .shingles import LOWER, word_bounds
 
 CLASSES = 64
@@ -29,6 +36,10 @@ OWN = 32
 PAIRS = 2048
 UPDATES = 6
 DAMPING = 0.5
+#: How far back a word's history word may be, how often a pair must occur, the prior's variance and the updates of pair weights.
+BACK, LEAST_PAIRS, VARIANCE, PAIR_UPDATES = 3, 2, 4.0, 16
+#: A class is in one part for so many batches, and in at most so many parts.
+BATCHES_PER_PART, MOST_PARTS = 64, 64
 
 _SPEC = "bucket int, pid int, message binary"
 _END_HASH = np.uint64(0x0E2D0E2D0E2D0E2D)
@@ -57,20 +68,28 @@ class Tokens:
 
 @dataclass
 class Vocabulary:
-    """Corpus totals, tokens that are classes (sorted hashes and their class) and class totals; all of fixed size."""
+    """Corpus totals, tokens that are classes (sorted hashes and their class) and totals of class parts; all of fixed size."""
 
     tokens: int
     distinct: int
     own_hash: np.ndarray
     own_class: np.ndarray
-    class_tokens: np.ndarray
-    class_distinct: np.ndarray
+    part_total: np.ndarray
+
+    @property
+    def parts(self) -> int:
+        return len(self.part_total) // CLASSES
 
     def classes(self, tokens: Tokens) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.own_hash, tokens.hash), len(self.own_hash) - 1)
         return np.where(self.own_hash[at] == tokens.hash, self.own_class[at], tokens.ending)
 
 
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Part of its class that a word is in; by the upper half of its hash, which is what pairs carry."""
+    return ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
 def histories(classes: np.ndarray, text: np.ndarray) -> np.ndarray:
     """The three classes before each token, nearest first; before a text lies the end class 0."""
     out = np.zeros((3, len(classes)), np.int64)
@@ -117,43 +136,132 @@ def _token_messages(table: pa.Table, pid: int, buckets: int) -> pa.Table:
     return message_rows([(b, pid, pack(deltas(h), n.astype(np.uint32), e.astype(np.uint8))) for b, (h, n, e) in enumerate(parts) if len(h)])
 
 
-def _corpus_counts(table: pa.Table) -> pa.Table:
+def _corpus_counts(table: pa.Table, parts: int) -> pa.Table:
     """Answers of a bucket: corpus counts of each batch's tokens; and, as pid -1, its totals and most frequent tokens."""
     bucket = table.column("bucket")[0].as_py()
-    parts = [unpack(m) for m in table.column("message").to_pylist()]
-    hashes = [np.cumsum(p[0], dtype=np.uint64) for p in parts]
+    messages = [unpack(m) for m in table.column("message").to_pylist()]
+    hashes = [np.cumsum(p[0], dtype=np.uint64) for p in messages]
     distinct, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(distinct)).astype(np.int64)
-    ending = np.concatenate([p[2] for p in parts])[first]
+    total = np.bincount(inverse, np.concatenate([p[1] for p in messages]), len(distinct)).astype(np.int64)
+    ending = np.concatenate([p[2] for p in messages])[first].astype(np.int64)
     rows, at = [], 0
     for pid, own in zip(table.column("pid").to_pylist(), hashes):
         rows.append((bucket, pid, pack(total[inverse[at : at + len(own)]])))
         at += len(own)
     seen = total > 0
     top = np.argsort(-total, kind="stable")[:OWN]
-    sums = (np.bincount(ending, total, CLASSES).astype(np.int64), np.bincount(ending, seen, CLASSES).astype(np.int64))
-    rows.append((bucket, -1, pack(*sums, distinct[top], total[top], ending[top].astype(np.int64))))
+    slot = ending * parts + part_of(distinct, parts)
+    sums = (np.bincount(slot, total, CLASSES * parts).astype(np.int64), np.bincount(slot, seen, CLASSES * parts).astype(np.int64))
+    rows.append((bucket, -1, pack(*sums, distinct[top], total[top], ending[top])))
     return message_rows(rows)
 
 
-def _vocabulary(summaries: list[bytes]) -> Vocabulary:
-    parts = [unpack(m) for m in summaries] or [[np.zeros(CLASSES, np.int64)] * 2 + [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]]
-    tokens, distinct = sum(p[0] for p in parts), sum(p[1] for p in parts)
-    hashes, counts, endings = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
+def _vocabulary(summaries: list[bytes], parts: int) -> Vocabulary:
+    found = [unpack(m) for m in summaries] or [[np.zeros(CLASSES * parts, np.int64)] * 2 + [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]]
+    tokens, distinct = sum(p[0] for p in found), sum(p[1] for p in found)
+    hashes, counts, endings = (np.concatenate([p[i] for p in found]) for i in (2, 3, 4))
     seen = counts > 0
     hashes, counts, endings = hashes[seen], counts[seen], endings[seen]
     order = np.lexsort((hashes, -counts))
     order = np.concatenate([order[hashes[order] == _END_HASH], order[hashes[order] != _END_HASH]])[:OWN]
     own = np.concatenate([[_END_HASH], hashes[order][hashes[order] != _END_HASH]])[:OWN]
-    total, different = int(tokens.sum()), int(distinct.sum())
-    tokens, distinct = tokens.copy(), distinct.copy()
-    for h, n, e in zip(hashes[order], counts[order], endings[order]):
-        tokens[e] -= n
-        distinct[e] -= 1
-        k = int(np.flatnonzero(own == h)[0])
-        tokens[k], distinct[k] = tokens[k] + n, distinct[k] + 1
+    all_tokens, all_distinct = int(tokens.sum()), int(distinct.sum())
+    total = tokens + distinct
+    np.subtract.at(total, endings[order] * parts + part_of(hashes[order], parts), counts[order] + 1)
     by = np.argsort(own)
-    return Vocabulary(total, different, own[by], by, tokens, distinct)
+    # one more for words that no training text has
+    return Vocabulary(all_tokens, all_distinct, own[by], by, total + 1)
+
+
+def word_pairs(t: Tokens, classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of tokens with a pair feature, keys): upper halves of the hashes of the nearest earlier word that is no class of
+    its own, and of the word itself. Histories that the training texts have once have no features."""
+    rare = classes >= OWN
+    place = np.arange(len(rare))
+    last = np.concatenate([[-1], np.maximum.accumulate(np.where(rare, place, -1))[:-1]]) if len(rare) else place
+    safe = np.maximum(last, 0)
+    at = np.flatnonzero(rare & (last >= 0) & (t.text[safe] == t.text) & (place - last <= BACK) & (counts[safe] >= LEAST_PAIRS))
+    low = np.uint64(32)
+    return at, (t.hash[last[at]] >> low << low) | (t.hash[at] >> low)
+
+
+class BatchTokens:
+    """Tokens of a batch in parts, with their classes and corpus counts."""
+
+    def __init__(self, docs: pa.Table, answers: pa.Table, vocabulary: Vocabulary):
+        known = [unpack(m)[0] for _, m in sorted((b, m) for b, k, m in zip(*(answers.column(c).to_pylist() for c in ("bucket", "kind", "message"))) if k == 0)]
+        known = np.concatenate(known or [np.zeros(0, np.int64)])
+        self.parts = [(row, past, Tokens(o, d)) for row, past, o, d in text_runs(column(docs, "text"))]
+        distinct = np.unique(np.concatenate([np.unique(t.hash) for _, _, t in self.parts] or [np.zeros(0, np.uint64)]))
+        self.counts = [known[np.searchsorted(distinct, t.hash)] for _, _, t in self.parts]
+        self.classes = [vocabulary.classes(t) for _, _, t in self.parts]
+        self.pairs = [word_pairs(t, c, n) for (_, _, t), c, n in zip(self.parts, self.classes, self.counts)]
+        keys = [np.zeros(0, np.uint64), *(k for _, k in self.pairs)]
+        self.keys, self.first = np.unique(np.concatenate(keys), return_index=True)
+        which = [np.concatenate([x[at] for x, (at, _) in zip(values, self.pairs)] or [np.zeros(0, np.int64)]) for values in (self.classes, self.counts)]
+        self.key_class, self.key_count = (x[self.first] for x in which)
+
+    def by_bucket(self, buckets: int, parts: int):
+        """(bucket, its keys' rows) of the distinct pairs: those of one history and one part of a class go to one bucket."""
+        unit = (self.keys >> np.uint64(32) << np.uint64(32)) + (self.key_class * parts).astype(np.uint64) + (self.keys & np.uint64(0xFFFFFFFF)) % np.uint64(parts)
+        bucket = (mix64(unit) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            yield b, order[cut[b] : cut[b + 1]]
+
+
+def _pair_messages(docs: pa.Table, answers: pa.Table, pid: int, buckets: int, vocabulary: Vocabulary) -> pa.Table:
+    """Distinct pairs of a batch: key, count in training texts, the word's class and corpus count."""
+    b = BatchTokens(docs, answers, vocabulary)
+    train = column(docs, "train").to_numpy(zero_copy_only=False).astype(np.int64)
+    n = np.zeros(len(b.keys))
+    for (row, past, t), (at, key) in zip(b.parts, b.pairs):
+        n += np.bincount(np.searchsorted(b.keys, key), train[row:past][t.text[at]], len(b.keys))
+    return message_rows([(x, pid, pack(deltas(b.keys[r]), n[r].astype(np.uint32), b.key_class[r].astype(np.uint8), b.key_count[r].astype(np.uint64))) for x, r in b.by_bucket(buckets, vocabulary.parts)])
+
+
+def fit_pairs(unit: np.ndarray, share: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """log P(word | class part, history) - log share of each pair: its weight less the logarithm of its unit's normaliser.
+
+    ``unit`` numbers the history and class part of each pair, ``share`` is the word's share of that part, ``n`` its count. The
+    likelihood with a Gaussian prior is climbed by diagonal Newton steps, for all units at once."""
+    units = int(unit.max()) + 1 if len(unit) else 0
+    total = np.bincount(unit, n, units)
+    has = n >= LEAST_PAIRS
+    weight = np.zeros(len(n))
+    norm = np.ones(units)
+    if has.any():
+        u, q, k = unit[has], share[has], n[has]
+        w = np.zeros(len(q))
+        for _ in range(PAIR_UPDATES):
+            p = q * np.exp(w)
+            norm = 1 + np.bincount(u, p - q, units)
+            p /= norm[u]
+            expected = total[u] * p
+            w += np.clip((k - expected - w / VARIANCE) / (expected * (1 - p) + 1 / VARIANCE), -2, 2)
+        norm = 1 + np.bincount(u, q * np.expm1(w), units)
+        weight[has] = w
+    return weight - np.log(norm)[unit]
+
+
+def _pair_values(table: pa.Table, vocabulary: Vocabulary) -> pa.Table:
+    """Answers of a bucket: the value of each batch's pairs."""
+    bucket, parts = table.column("bucket")[0].as_py(), vocabulary.parts
+    messages = [unpack(m) for m in table.column("message").to_pylist()]
+    keys = [np.cumsum(m[0], dtype=np.uint64) for m in messages]
+    distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    n = np.bincount(inverse, np.concatenate([m[1] for m in messages]), len(distinct))
+    kind, count = (np.concatenate([m[i] for m in messages])[first] for i in (2, 3))
+    slot = kind.astype(np.int64) * parts + ((distinct & np.uint64(0xFFFFFFFF)) % np.uint64(parts)).astype(np.int64)
+    history = (distinct >> np.uint64(32)).astype(np.int64)
+    _, unit = np.unique(history * (CLASSES * parts) + slot, return_inverse=True)
+    value = fit_pairs(unit, (count + 1.0) / vocabulary.part_total[slot], n).astype(np.float32)
+    rows, at = [], 0
+    for pid, own in zip(table.column("pid").to_pylist(), keys):
+        rows.append((bucket, pid, pack(value[inverse[at : at + len(own)]])))
+        at += len(own)
+    return message_rows(rows)
 
 
 def _class_grams(vocabulary):
@@ -228,60 +336,67 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (both log10) of every text.
 
     Learns from the texts whose crc32(id) modulo ``modulus`` is not ``held``. Null and empty texts are one token, the end.
-    Null ids count as empty id text; repeated rows are counted and scored row by row. Without any training text every
+    Null ids count as empty id text; very long texts are scored whole; repeated rows are counted and scored row by row. Without any training text every
     token has probability 1 in the base score and an even share in the model. An empty table gives no rows. Only the
     two named columns are read.
     """
     batches = batch_count(docs, text_col)
     buckets = max(8, batches // 2)
+    parts = int(min(MOST_PARTS, max(1, batches // BATCHES_PER_PART)))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), (crc_bucket(id_col, modulus) != held).alias("train"))
     batch = rows.withColumn("pid", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int"))
     sent = batch.groupBy("pid").applyInArrow(lambda key, t: _token_messages(t, key[0].as_py(), buckets), _SPEC)
-    counts = stage(sent.groupBy("bucket").applyInArrow(lambda t: _corpus_counts(t), _SPEC), "token_counts")
+    counts = stage(sent.groupBy("bucket").applyInArrow(lambda t: _corpus_counts(t, parts), _SPEC), "token_counts")
     summaries = counts.where("pid = -1").orderBy("bucket").collect()  # one row of fixed size for each bucket
-    vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary([bytes(r.message) for r in summaries]))
-    grams = rows.where("train").select("text").mapInArrow(_class_grams(vocabulary), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    model = docs.sparkSession.sparkContext.broadcast(_fit_classes(stage(grams, "class_grams")))
-
-    def score(key, left, right):
-        v, m = vocabulary.value, model.value
-        answers = sorted(zip(right.column("bucket").to_pylist(), right.column("message").to_pylist()))
-        known = np.concatenate([unpack(x)[0] for _, x in answers] or [np.zeros(0, np.int64)])
-        parts = list(text_runs(column(left, "text")))
-        distinct = np.unique(np.concatenate([np.unique(Tokens(o, d).hash) for _, _, o, d in parts] or [np.zeros(0, np.uint64)]))
-        n_tokens, n_known, base, model_score = [], [], [], []
-        share = v.class_tokens + v.class_distinct + 1.0
-        log_share = -np.log(share)
-        for _, _, offsets, data in parts:
-            t = Tokens(offsets, data)
-            count = known[np.searchsorted(distinct, t.hash)]
-            c = v.classes(t)
-            history = histories(c, t.text)
-            code = (history[2] * CLASSES + history[1]) * CLASSES + history[0]
-            seen, inverse = np.unique(code, return_inverse=True)
-            of_class = np.empty(len(c))
-            order = np.argsort(inverse, kind="stable")
-            bounds = np.searchsorted(inverse[order], np.arange(0, len(seen) + 8192, 8192))
-            for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                part = seen[8192 * i : 8192 * (i + 1)]
-                table = m.log_probabilities(np.stack([part % CLASSES, part // CLASSES % CLASSES, part // CLASSES**2]))
-                at = order[a:b]
-                of_class[at] = table[inverse[at] - 8192 * i, c[at]]
-            # own classes hold one token each; others share theirs by smoothed counts
-            within = np.where(c < OWN, 0.0, np.log(count + 1.0) + log_share[c])
-            texts = len(offsets) - 1
-            n_tokens.append(t.n)
-            n_known.append(np.bincount(t.text, count > 0, texts))
-            base.append(np.bincount(t.text, np.log10((count + 1.0) / (v.tokens + v.distinct + 1.0)), texts))
-            model_score.append(np.bincount(t.text, (of_class + within) / np.log(10), texts))
-        join = lambda x, kind: pa.array(np.concatenate(x) if x else np.zeros(0), kind)
-        whole = lambda x: [a.astype(np.int64) for a in x]
-        return pa.table(
-            {
-                "doc_id": column(left, "doc_id"), "held_out": pa.compute.invert(column(left, "train")), "n_tokens": join(whole(n_tokens), pa.int64()), "n_known": join(whole(n_known), pa.int64()),
-                "train_tokens": pa.array(np.full(left.num_rows, v.tokens), pa.int64()), "base_score": join(base, pa.float64()), "score": join(model_score, pa.float64()),
-            }
-        )
+    vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary([bytes(r.message) for r in summaries], parts))
+    grams = stage(rows.where("train").select("text").mapInArrow(_class_grams(vocabulary), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "class_grams")
+    model = docs.sparkSession.sparkContext.broadcast(_fit_classes(grams))
+    unstage(grams)
+    known = counts.where("pid >= 0").select("bucket", "pid", "message", F.lit(0).alias("kind"))
+
+    def send_pairs(key, left, right):
+        return _pair_messages(left, right, key[0].as_py(), buckets, vocabulary.value)
+
+    pairs = batch.groupBy("pid").cogroup(known.groupBy("pid")).applyInArrow(send_pairs, _SPEC)
+    values = pairs.groupBy("bucket").applyInArrow(lambda t: _pair_values(t, vocabulary.value), _SPEC).withColumn("kind", F.lit(1))
+
+    def score(left, right):
+        return _scores(left, right, vocabulary.value, model.value, buckets)
 
     spec = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return batch.groupBy("pid").cogroup(counts.where("pid >= 0").groupBy("pid")).applyInArrow(score, spec)
+    return batch.groupBy("pid").cogroup(known.unionByName(values).groupBy("pid")).applyInArrow(score, spec)
+
+
+def _scores(docs: pa.Table, answers: pa.Table, v: Vocabulary, m: ClassModel, buckets: int) -> pa.Table:
+    """Both scores of the texts of a batch."""
+    b = BatchTokens(docs, answers, v)
+    value = np.zeros(len(b.keys))
+    given = {x: message for x, k, message in zip(*(answers.column(c).to_pylist() for c in ("bucket", "kind", "message"))) if k == 1}
+    for x, r in b.by_bucket(buckets, v.parts):
+        value[r] = unpack(given[x])[0]
+    log_total = np.log(v.part_total.reshape(CLASSES, -1).sum(1))
+    out: list[list[np.ndarray]] = [[], [], [], []]
+    for (row, past, t), c, count, (at, key) in zip(b.parts, b.classes, b.counts, b.pairs):
+        history = histories(c, t.text)
+        seen, inverse = np.unique((history[2] * CLASSES + history[1]) * CLASSES + history[0], return_inverse=True)
+        of_class = np.empty(len(c))
+        order = np.argsort(inverse, kind="stable")
+        bounds = np.searchsorted(inverse[order], np.arange(0, len(seen) + 8192, 8192))
+        for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            part = seen[8192 * i : 8192 * (i + 1)]
+            table = m.log_probabilities(np.stack([part % CLASSES, part // CLASSES % CLASSES, part // CLASSES**2]))
+            own = order[low:high]
+            of_class[own] = table[inverse[own] - 8192 * i, c[own]]
+        # own classes hold one token each
+        within = np.where(c < OWN, 0.0, np.log(count + 1.0) - log_total[c])
+        within[at] += value[np.searchsorted(b.keys, key)]
+        texts = past - row
+        for values, x in zip(out, (t.n, np.bincount(t.text, count > 0, texts), np.bincount(t.text, np.log10((count + 1.0) / (v.tokens + v.distinct + 1.0)), texts), np.bincount(t.text, (of_class + within) / np.log(10), texts))):
+            values.append(x)
+    n_tokens, n_known, base, score = (np.concatenate(x) if x else np.zeros(0) for x in out)
+    return pa.table(
+        {
+            "doc_id": column(docs, "doc_id"), "held_out": pc.invert(column(docs, "train")), "n_tokens": pa.array(n_tokens.astype(np.int64)), "n_known": pa.array(n_known.astype(np.int64)),
+            "train_tokens": pa.array(np.full(docs.num_rows, v.tokens), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64()),
+        }
+    )

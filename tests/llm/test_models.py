@@ -131,6 +131,56 @@ def test_class_probabilities_sum_to_one():
     assert np.allclose(np.exp(model.log_probabilities(rng.integers(0, M.CLASSES, (3, 50)))).sum(1), 1)
 
 
+def test_pair_weights_climb_the_penalised_likelihood():
+    rng = np.random.default_rng(4)
+    unit = np.repeat(np.arange(6), 5)
+    n = rng.integers(0, 9, 30)
+    share = rng.dirichlet(np.ones(6), 6)[:, :5].ravel()
+    value = M.fit_pairs(unit, share, n)
+    has = n >= M.LEAST_PAIRS
+    for u in range(6):
+        mine = unit == u
+        q, k, active = share[mine], n[mine], has[mine]
+
+        def loss(w, q=q, k=k, active=active):
+            full = np.where(active, w, 0.0)
+            norm = 1 + (q * np.expm1(full)).sum()
+            return (k * (full + np.log(q) - np.log(norm))).sum() - (full**2).sum() / (2 * M.VARIANCE), norm, full
+
+        # the normaliser makes all words of the part, those without any pair too, sum to one
+        rest = value[mine][~active][0] if (~active).any() else None
+        best = value[mine] - (rest if rest is not None else 0)
+        if rest is not None:
+            assert np.isclose((q * np.exp(value[mine])).sum() + (1 - q.sum()) * np.exp(rest), 1)
+            top, norm, _ = loss(best)
+            assert np.isclose(-np.log(norm), rest)
+            for step in rng.normal(size=(50, 5)) * 0.1:
+                assert loss(best + step)[0] <= top + 1e-6
+    assert np.allclose(M.fit_pairs(np.zeros(3, int), np.full(3, 0.1), np.array([0, 1, 1])), 0) and not len(M.fit_pairs(np.zeros(0, int), np.zeros(0), np.zeros(0)))
+
+
+def test_pairs_are_of_near_rare_words():
+    texts = ["a b the c", "the b the the the d e"]
+    offsets = np.cumsum([0, *map(len, texts)])
+    t = M.Tokens(offsets, np.frombuffer("".join(texts).encode(), np.uint8))
+    names = ["a", "b", "the", "c", None, "the", "b", "the", "the", "the", "d", "e", None]
+    classes = np.array([0 if w in ("the", None) else M.OWN for w in names])
+    counts = np.array([1 if w == "d" else 9 for w in names])
+    at, keys = M.word_pairs(t, classes, counts)
+    assert at.tolist() == [1, 3]  # b after a, c after b; d is four after b, e follows a word seen once
+    assert all(k == (t.hash[u] >> np.uint64(32) << np.uint64(32)) | (t.hash[w] >> np.uint64(32)) for k, (u, w) in zip(keys, [(0, 1), (1, 3)]))
+
+
+def test_repeated_phrases_beat_word_counts(spark):
+    rng = random.Random(6)
+    names = [f"w{rng.randint(0, 10**6)}x" for _ in range(600)]
+    phrase = rng.sample(names, 60)
+    rows = [(i, " ".join(rng.choice(names) for _ in range(80)) + " " + " ".join(phrase)) for i in range(120)]
+    score = {r.doc_id: r for r in M.score_texts(docs_frame(spark, rows)).collect()}
+    out = [r for r in score.values() if r.held_out]
+    assert sum(r.score - r.base_score for r in out) / len(out) > 40  # decimal digits for 60 known successions
+
+
 def test_top_k_is_exact(spark, monkeypatch):
     monkeypatch.setattr(K, "BLOCK_ROWS", 64)
     monkeypatch.setattr(K, "GROUP_QUERIES", 3)
