@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, text_runs
+from .common import RollingHash, row_struct, text_runs
 from .shingles import word_bounds
 
 FOURIER = 512
@@ -136,7 +136,8 @@ def _stats_of(column) -> np.ndarray:
 
 
 def fit_quality(train: DataFrame, seed: int = 7) -> QualityModel | None:
-    """Model from all rows of ``train`` (stats, label 0 or 1); None without rows."""
+    """Model from all rows of ``train`` (stats, label 0 or 1), repeated rows each time; None without rows. Null and empty texts
+    teach by their zero statistics. Only a matrix of fixed size and counts over GRID reach the driver."""
     sums = train.select(*[F.struct(F.avg(F.col("stats")[i]).alias("m"), F.stddev_pop(F.col("stats")[i]).alias("s")).alias(f"s{i}") for i in range(len(STATISTICS))], F.count("*").alias("n")).first()
     if not sums["n"]:
         return None
@@ -208,19 +209,20 @@ def training_rows(stats: DataFrame, labels: DataFrame, bucket, label_col: str, i
 def with_quality(docs: DataFrame, model: QualityModel | None, text_col: str = "text", score_col: str = "quality_score") -> DataFrame:
     """``docs`` with a score column (a column of that name is replaced). Without a model every score is 1.
 
-    Null and empty texts are scored from zero statistics; repeated rows get equal scores."""
+    Null and empty texts are scored from zero statistics; very long texts whole; repeated rows get equal scores; an empty
+    table gives no rows. Other columns are passed on, whatever their names."""
     keep = [c for c in docs.columns if c != score_col]
     if model is None:
         return docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(1.0).alias(score_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = keep.index(text_col)
 
     def run(batches):
         for batch in batches:
-            score = shared.value.score(statistics(batch.column(at)))
-            yield pa.record_batch([*batch.columns, pa.array(score)], names=[*batch.schema.names, score_col])
+            yield pa.record_batch([batch.column(0), pa.array(shared.value.score(statistics(batch.column(1))))], names=["row", "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, T.StructType([*[docs.schema[c] for c in keep], T.StructField(score_col, T.DoubleType())]))
+    rows = docs.select(row_struct(docs, keep).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    scored = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
+    return scored.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], F.col("score").alias(score_col))
 
 
 def score_statistics(stats: DataFrame, model: QualityModel | None) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # bounds the text of one Arrow batch
+    # bounds the text of one Arrow batch, by rows and by bytes
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import GOLDEN, RollingHash, byte_view, crc_bucket, group_starts, mix64, take_spans, text_runs
+from .common import GOLDEN, RollingHash, byte_view, crc_bucket, group_starts, mix64, row_struct, take_spans, text_runs
 from .shingles import LOWER, word_bounds
 
 ORDER = 3
@@ -471,8 +471,8 @@ def with_toxicity(docs: DataFrame, model: ToxicModel | None, *, text_col: str =
     def run(batches):
         own = shared.value
         for batch in batches:
-            score = own.score(_evidence(own, batch.column(len(keep))))
-            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(score)], names=[*batch.schema.names[: len(keep)], score_col])
+            yield pa.record_batch([batch.column(0), pa.array(own.score(_evidence(own, batch.column(1))))], names=["row", "score"])
 
-    chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
-    return chosen.mapInArrow(run, T.StructType([*[docs.schema[c] for c in keep], T.StructField(score_col, T.DoubleType())]))
+    rows = docs.select(row_struct(docs, keep).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    scored = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
+    return scored.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], F.col("score").alias(score_col))

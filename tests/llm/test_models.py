@@ -44,6 +44,33 @@ def test_quality_separates_junk(spark):
     assert Q.with_quality(docs.limit(0), model).count() == 0
 
 
+def test_quality_weights_are_those_of_direct_ridge(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(700, len(Q.STATISTICS))) * rng.uniform(0.5, 4, len(Q.STATISTICS)) + 3
+    y = (x[:, 0] + 0.5 * np.sin(x[:, 1]) + rng.normal(size=700) > 3).astype(int)
+    train = spark.createDataFrame([(r.tolist(), int(k)) for r, k in zip(x, y)], "stats array<double>, label int").repartition(4)
+    model = Q.fit_quality(train)
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0))
+    z = model.features(x)
+    penalty = Q.RIDGE * len(x) * np.eye(z.shape[1]) / z.shape[1]
+    penalty[-1, -1] = 1e-9
+    assert np.allclose(z @ np.linalg.solve(z.T @ z + penalty, z.T @ y), z @ model.weight, atol=1e-5)
+    unit = (x[:40] - model.mean) / model.scale
+    distance = ((unit[:, None] - unit[None]) ** 2).sum(2)
+    near = z[:40, :-1] @ z[:40, :-1].T
+    near = near / near[0, 0] if near[0, 0] else near
+    assert np.abs(near - np.exp(-distance / (2 * Q.WIDTH**2))).max() < 0.25
+    raw = np.rint((np.clip(model.raw(x), -1, 2) + 1) * Q.GRID) / Q.GRID - 1
+    # the best monotone fit: at each place the largest over starts of the least mean over ends
+    order = np.argsort(raw, kind="stable")
+    grid, at = np.unique(raw, return_inverse=True)
+    ones, n = np.bincount(at, y), np.bincount(at)
+    mean = lambda i, j: ones[i : j + 1].sum() / n[i : j + 1].sum()
+    some = range(0, len(grid), max(1, len(grid) // 25))
+    want = [max(min(mean(i, j) for j in range(k, len(grid))) for i in range(k + 1)) for k in some]
+    assert np.allclose(np.interp(grid[list(some)], model.step_x, model.step_y), want) and len(order) == 700
+
+
 def plain_kernel(s, t, order, decay):
     def places(w):
         out = collections.defaultdict(float)

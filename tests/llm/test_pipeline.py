@@ -59,3 +59,24 @@ def test_stages_take_effect(spark, tmp_path):
 def test_run_returns_the_last_stage(spark, tmp_path):
     write(spark, str(tmp_path))
     assert np.isin(["doc_id", "sequence_id", "offset"], C.run(spark, str(tmp_path)).columns).all()
+
+
+def test_stages_take_odd_columns_repeated_rows_and_nothing(spark, tmp_path):
+    texts = write(spark, str(tmp_path))
+    names = ["score", "_score", "contamination", "_text", "text_", "pid", "pid_", "_doc", "row", "hits", "items", "result", "component_id", "n_shingles", "keep", "_id", "stats", "a.b"]
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id in (1, 2, 313, 314)")).unionByName(docs.where("doc_id = 5").selectExpr("cast(null as long) doc_id", "text", "lang", "source", "n_chars"))
+    for k, n in enumerate(names):
+        docs = docs.withColumn(n, docs["doc_id"] * 100 + k)
+    columns = docs.columns
+    for name, step in C.STAGES[:4]:
+        out = step(spark, docs, str(tmp_path))
+        assert out.columns == columns, name
+        rows = out.collect()
+        assert all(r[n] == (None if r.doc_id is None else r.doc_id * 100 + k) for r in rows for k, n in enumerate(names)), name
+        count = Counter(r.doc_id for r in rows)
+        assert count[1] == count[2] == 2 and count[3] == 1 and count[None] == 1, name  # whole rows stay, as often as they come
+        assert name == "repeated_substrings" or all(r.text == texts.get(r.doc_id, r.text) for r in rows), name
+        assert step(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+    assert C.STAGES[4][1](spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert C.STAGES[4][1](spark, docs, str(tmp_path)).where("doc_id is null").count() > 0
