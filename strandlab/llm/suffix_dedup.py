@@ -353,7 +353,7 @@ def mark(docs: pa.Table, answers: pa.Table, length: int, gram: int, with_text: b
     values = ids.fill_null(0).to_numpy(zero_copy_only=False)
     out: list[list] = [[] for _ in RESULT]
     for row, past, offsets, data, runs in _chunks(docs, length, gram):
-        change = np.zeros(len(data) + 1, np.int32)
+        change = np.zeros(len(data) + 1, np.int64)
         if len(hashes):
             # contexts as they were sent: whole runs, or single windows of hot anchors
             start, n = runs.start, runs.windows
@@ -372,8 +372,8 @@ def mark(docs: pa.Table, answers: pa.Table, length: int, gram: int, with_text: b
                 each, source = np.concatenate([each, single[hit]]), np.concatenate([source, begin[at[hit]]])
             doc = row + np.searchsorted(offsets, each, side="right") - 1
             gone = each[known[doc] & (value[source] < values[doc])]
-            np.add.at(change, gone, 1)
-            np.add.at(change, gone + length, -1)
+            if len(gone):
+                change = np.bincount(gone, minlength=len(change)) - np.bincount(gone + length, minlength=len(change))
         removed = np.cumsum(change[:-1]) > 0
         for k in range(past - row):
             a, b = offsets[k], offsets[k + 1]
