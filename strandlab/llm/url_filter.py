@@ -5,6 +5,8 @@ then walked level by level: under a node with many rare segments, those are gene
 branches are merged and judged together. But a branch, rare or not, whose labelled share of bad pages differs from its
 parent's by a two-proportion test stands alone. A template is rejected if its smoothed share of bad labelled
 pages is above a limit. Explicit rules come first: the longest one that fits decides.
+
+Labels of pages are those of the labels table under the page's own number; no other table says anything of pages.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ DISTINCT, SHARE = 12, 0.05
 ERRORS = 2.0
 #: Weight of the whole table's share of bad pages in a template's, in pages; and the limit.
 SMOOTH, LIMIT = 20.0, 0.5
-#: Row-level joins are spread over this many copies of the small side, against hot templates.
-SALTS = 16
+#: Templates of more than one page in HOT are at most HOT; they are sent to where the pages are.
+HOT = 10_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -77,11 +79,11 @@ def judge_templates(counts: DataFrame) -> DataFrame:
         chosen = segments.join(parents, ["host", "node"]).select("host", "node", "step", name.alias("name"))
         rows = rows.join(chosen, ["host", "node", "step"], "left").withColumn("node", F.when(F.col("step").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), F.coalesce("name", F.lit("*"))))).drop("name", "step")
         rows = stage(rows, "templates")  # small: one row for each host and template; without it each level would double the plan
-    total = rows.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("labelled"), F.lit(0)), F.lit(0.0)).alias("overall"))
+    overall = rows.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("labelled"), F.lit(0)), F.lit(0.0))).first()[0]
     merged = rows.groupBy("host", "node").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    purity = (F.col("bad") + SMOOTH * F.col("overall")) / (F.col("labelled") + SMOOTH)
-    verdicts = merged.join(F.broadcast(total)).select("host", "node", (purity > LIMIT).alias("rejected"))  # one row
-    return rows.join(verdicts, ["host", "node"]).select("host", "template", "node", "rejected")
+    purity = (F.col("bad") + SMOOTH * F.lit(overall)) / (F.col("labelled") + SMOOTH)
+    verdicts = merged.select("host", "node", (purity > LIMIT).alias("rejected"))
+    return rows.join(verdicts, ["host", "node"]).select("host", "template", "n", "node", "rejected")
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, *, page_col: str = "page_id", url_col: str = "url", label_id_col: str = "doc_id", rules=RULES) -> DataFrame:
@@ -99,8 +101,9 @@ def filter_urls(pages: DataFrame, labels: DataFrame, *, page_col: str = "page_id
     known = labels.groupBy(F.col(f"`{label_id_col}`").alias("_id")).agg(F.max(((F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)).cast("int")).alias("label"))
     judged = rows.join(known, rows["page_id"] == known["_id"], "left").withColumn("bad", F.when(F.col("fit").isNull(), F.col("label")))
     counts = judged.groupBy("host", "template").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    verdicts = judge_templates(counts).withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
-    out = salted.join(verdicts, ["host", "template", "salt"], "left")
+    verdicts = stage(judge_templates(counts), "verdicts")
+    many = F.col("n") > (verdicts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] / HOT)
+    hot, key = F.broadcast(verdicts.where(many).drop("n")), ["host", "template"]
+    out = rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(verdicts.where(~many).drop("n"), key))
     own = F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", own).alias("verdict"), F.col("node").alias("tree_node"))
