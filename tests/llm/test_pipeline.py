@@ -1,6 +1,7 @@
 """The pipeline's stages against plain versions, on a small corpus with odd rows."""
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -80,3 +81,46 @@ def test_stages_take_odd_columns_repeated_rows_and_nothing(spark, tmp_path):
         assert step(spark, docs.limit(0), str(tmp_path)).count() == 0, name
     assert C.STAGES[4][1](spark, docs.limit(0), str(tmp_path)).count() == 0
     assert C.STAGES[4][1](spark, docs, str(tmp_path)).where("doc_id is null").count() > 0
+
+
+def cut(rows, length=50):
+    """What repeated strings leave of each text; texts that lose all go."""
+    least = {}
+    for d, t in rows:
+        b = (t or "").encode()
+        for i in range(len(b) - length + 1):
+            least[b[i : i + length]] = min(least.get(b[i : i + length], d), d)
+    out = []
+    for d, t in rows:
+        b = (t or "").encode()
+        gone = [False] * len(b)
+        for i in range(len(b) - length + 1):
+            if least[b[i : i + length]] < d:
+                gone[i : i + length] = [True] * length
+        if not b or not all(gone):
+            out.append((d, t and bytes(x for x, g in zip(b, gone) if not g).decode(errors="replace")))
+    return out
+
+
+def test_whole_pipeline_against_plain_stages(spark, tmp_path):
+    from test_decontaminate import plain as contaminated
+    from test_jaccard_join import plain as classes
+    from tokenizers import Tokenizer
+
+    write(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{tmp_path}/benchmark.parquet").collect()]
+    rows = [(r.doc_id, r.text) for r in C.quality(spark, docs, str(tmp_path)).collect()]
+    least = {d: c for d, _, c in classes(rows)}
+    rows = cut([(d, t) for d, t in rows if least[d] == d])
+    bad = {d for d, *_, flag in contaminated(rows, bench, 13) if flag}
+    rows = [(d, t) for d, t in rows if d not in bad]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for d, t in rows}
+    got, fill = {}, {}
+    for r in C.run(spark, str(tmp_path)).collect():
+        ids = np.array(want[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert r.doc_tokens == len(want[r.doc_id]) and r.ids_crc32 == zlib.crc32(ids.tobytes())
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+        fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+    assert got == {d: len(x) for d, x in want.items()} and all(n <= 1024 for n in fill.values())
