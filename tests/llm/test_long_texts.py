@@ -90,8 +90,8 @@ def test_an_insult_at_the_end(spark):
 
 def test_repeated_pages_and_labels(spark):
     pages = [(i, f"http://a.org/x/{i}") for i in range(60)] * 2 + [(None, "http://a.org/x/1"), (None, None), (61, "http://a.org/" + "y" * 200_000)]
-    pages += [(100 + i, f"http://b.org/z/{i}") for i in range(100)]
-    labels = [(i, 0, 0) for i in range(60)] + [(i, 1, 0) for i in range(60)] + [(None, 0, 1), (61, None, None)] + [(100 + i, 1, 0) for i in range(100)]
+    pages += [(100 + i, f"http://b.org/z/{i}") for i in range(300)]
+    labels = [(i, 0, 0) for i in range(60)] + [(i, 1, 0) for i in range(60)] + [(None, 0, 1), (61, None, None)] + [(100 + i, 1, 0) for i in range(300)]
     df = spark.createDataFrame([(p, u, 1, 2) for p, u in pages], "page_id long, url string, n int, template int")
     got = U.filter_urls(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
     assert len(got) == len(pages) and all((r.verdict == "block") == (r.host == "a.org" and r.path.startswith("/x/")) for r in got if r.page_id != 61)
