@@ -35,6 +35,8 @@ VERIFY_COST = 2
 STAR_ROUNDS, STAR_YIELD = 4, 0.05
 #: Bits of a shingle's hash by which lists are found; full hashes decide.
 TOKEN_BITS = 48
+#: Input of a batch; a task holds the shingles of one.
+BATCH_MB = 5
 
 _SPEC = "bucket int, pid int, message binary"
 
@@ -168,7 +170,7 @@ def near_duplicate_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     texts, rows with the same id are one node of the graph. Very long texts are whole sets like any other. An empty table
     gives no rows. Only the two named columns are read. ``one_text`` says that no id has several texts.
     """
-    batches = batch_count(docs, text_col)
+    batches = batch_count(docs, text_col, BATCH_MB)
     buckets = max(8, batches // 2)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     signatures = stage(rows.mapInArrow(_signatures, "doc_id long, n_shingles long, sig_a long, sig_b long"), "signatures")
