@@ -107,6 +107,8 @@ class ClassModel:
     two: np.ndarray
     three: np.ndarray
     pair: np.ndarray
+    #: Logarithm of the softmax's normaliser for each history, by its code.
+    norm: np.ndarray | None = None
 
     @staticmethod
     def slot(a, b):
@@ -118,6 +120,23 @@ class ClassModel:
         z -= z.max(1, keepdims=True)
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
+    def normalise(self) -> None:
+        """Fill ``norm``, whose size is fixed, so that scoring needs no softmax."""
+        code = np.arange(CLASSES**3)
+        self.norm = np.empty(len(code))
+        for i in range(0, len(code), 8192):
+            part = code[i : i + 8192]
+            a, b, c = part % CLASSES, part // CLASSES % CLASSES, part // CLASSES**2
+            z = self.one[a] + self.two[b] + self.three[c] + self.pair[self.slot(a, b)]
+            top = z.max(1)
+            self.norm[part] = top + np.log(np.exp(z - top[:, None]).sum(1))
+
+    def log_probability(self, history: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Of one class after each history."""
+        a, b, c = history
+        z = self.one[a, classes] + self.two[b, classes] + self.three[c, classes] + self.pair[self.slot(a, b), classes]
+        return z - self.norm[(c * CLASSES + b) * CLASSES + a]
+
 
 def _token_messages(table: pa.Table, pid: int, buckets: int) -> pa.Table:
     hashes, counts, endings = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -192,14 +211,17 @@ class BatchTokens:
         known = [unpack(m)[0] for _, m in sorted((b, m) for b, k, m in zip(*(answers.column(c).to_pylist() for c in ("bucket", "kind", "message"))) if k == 0)]
         known = np.concatenate(known or [np.zeros(0, np.int64)])
         self.parts = [(row, past, Tokens(o, d)) for row, past, o, d in text_runs(column(docs, "text"))]
-        distinct = np.unique(np.concatenate([np.unique(t.hash) for _, _, t in self.parts] or [np.zeros(0, np.uint64)]))
-        self.counts = [known[np.searchsorted(distinct, t.hash)] for _, _, t in self.parts]
+        own = [np.unique(t.hash, return_inverse=True) for _, _, t in self.parts]
+        distinct = np.unique(np.concatenate([h for h, _ in own] or [np.zeros(0, np.uint64)]))
+        self.counts = [known[np.searchsorted(distinct, h)][inverse] for h, inverse in own]
         self.classes = [vocabulary.classes(t) for _, _, t in self.parts]
-        self.pairs = [word_pairs(t, c, n) for (_, _, t), c, n in zip(self.parts, self.classes, self.counts)]
-        keys = [np.zeros(0, np.uint64), *(k for _, k in self.pairs)]
-        self.keys, self.first = np.unique(np.concatenate(keys), return_index=True)
-        which = [np.concatenate([x[at] for x, (at, _) in zip(values, self.pairs)] or [np.zeros(0, np.int64)]) for values in (self.classes, self.counts)]
-        self.key_class, self.key_count = (x[self.first] for x in which)
+        pairs = [word_pairs(t, c, n) for (_, _, t), c, n in zip(self.parts, self.classes, self.counts)]
+        keys = np.concatenate([np.zeros(0, np.uint64), *(k for _, k in pairs)])
+        self.keys, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        # places of tokens with a pair in each part, and which one
+        cut = np.cumsum([0, *(len(at) for at, _ in pairs)])
+        self.pairs = [(at, inverse[a:b]) for (at, _), a, b in zip(pairs, cut, cut[1:])]
+        self.key_class, self.key_count = (np.concatenate([x[at] for x, (at, _) in zip(values, pairs)] or [np.zeros(0, np.int64)])[first] for values in (self.classes, self.counts))
 
     def by_bucket(self, buckets: int, parts: int):
         """(bucket, its keys' rows) of the distinct pairs: those of one history and one part of a class go to one bucket."""
@@ -216,8 +238,8 @@ def _pair_messages(docs: pa.Table, answers: pa.Table, pid: int, buckets: int, vo
     b = BatchTokens(docs, answers, vocabulary)
     train = column(docs, "train").to_numpy(zero_copy_only=False).astype(np.int64)
     n = np.zeros(len(b.keys))
-    for (row, past, t), (at, key) in zip(b.parts, b.pairs):
-        n += np.bincount(np.searchsorted(b.keys, key), train[row:past][t.text[at]], len(b.keys))
+    for (row, past, t), (at, which) in zip(b.parts, b.pairs):
+        n += np.bincount(which, train[row:past][t.text[at]], len(b.keys))
     return message_rows([(x, pid, pack(deltas(b.keys[r]), n[r].astype(np.uint32), b.key_class[r].astype(np.uint8), b.key_count[r].astype(np.uint64))) for x, r in b.by_bucket(buckets, vocabulary.parts)])
 
 
@@ -329,6 +351,7 @@ def _fit_classes(grams: DataFrame) -> ClassModel:
             step = arrays[k].reshape(weight.shape) / (arrays[k + 4].reshape(weight.shape) + 10.0)
             setattr(model, name, weight + DAMPING * np.clip(step, -2, 2) * (1.0 if name == "one" else 0.7))
         shared.unpersist()
+    model.normalise()
     return model
 
 
@@ -376,20 +399,11 @@ def _scores(docs: pa.Table, answers: pa.Table, v: Vocabulary, m: ClassModel, buc
         value[r] = unpack(given[x])[0]
     log_total = np.log(v.part_total.reshape(CLASSES, -1).sum(1))
     out: list[list[np.ndarray]] = [[], [], [], []]
-    for (row, past, t), c, count, (at, key) in zip(b.parts, b.classes, b.counts, b.pairs):
-        history = histories(c, t.text)
-        seen, inverse = np.unique((history[2] * CLASSES + history[1]) * CLASSES + history[0], return_inverse=True)
-        of_class = np.empty(len(c))
-        order = np.argsort(inverse, kind="stable")
-        bounds = np.searchsorted(inverse[order], np.arange(0, len(seen) + 8192, 8192))
-        for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
-            part = seen[8192 * i : 8192 * (i + 1)]
-            table = m.log_probabilities(np.stack([part % CLASSES, part // CLASSES % CLASSES, part // CLASSES**2]))
-            own = order[low:high]
-            of_class[own] = table[inverse[own] - 8192 * i, c[own]]
+    for (row, past, t), c, count, (at, which) in zip(b.parts, b.classes, b.counts, b.pairs):
+        of_class = m.log_probability(histories(c, t.text), c)
         # own classes hold one token each
         within = np.where(c < OWN, 0.0, np.log(count + 1.0) - log_total[c])
-        within[at] += value[np.searchsorted(b.keys, key)]
+        within[at] += value[which]
         texts = past - row
         for values, x in zip(out, (t.n, np.bincount(t.text, count > 0, texts), np.bincount(t.text, np.log10((count + 1.0) / (v.tokens + v.distinct + 1.0)), texts), np.bincount(t.text, (of_class + within) / np.log(10), texts))):
             values.append(x)

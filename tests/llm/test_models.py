@@ -155,7 +155,10 @@ def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     shape = (M.CLASSES, M.CLASSES)
     model = M.ClassModel(rng.normal(size=shape), rng.normal(size=shape), rng.normal(size=shape), rng.normal(size=(M.PAIRS, M.CLASSES)))
-    assert np.allclose(np.exp(model.log_probabilities(rng.integers(0, M.CLASSES, (3, 50)))).sum(1), 1)
+    history, classes = rng.integers(0, M.CLASSES, (3, 50)), rng.integers(0, M.CLASSES, 50)
+    assert np.allclose(np.exp(model.log_probabilities(history)).sum(1), 1)
+    model.normalise()
+    assert np.allclose(model.log_probability(history, classes), model.log_probabilities(history)[np.arange(50), classes])
 
 
 def test_pair_weights_climb_the_penalised_likelihood():
