@@ -179,4 +179,5 @@ def group_starts(sorted_values: np.ndarray) -> np.ndarray:
 
 
 def message_rows(rows: list[tuple[int, int, bytes]], names=("bucket", "pid", "message")) -> pa.Table:
+    pa.default_memory_pool().release_unused()  # what this group's columns took
     return pa.table({names[0]: pa.array([r[0] for r in rows], pa.int32()), names[1]: pa.array([r[1] for r in rows], pa.int32()), names[2]: pa.array([r[2] for r in rows], pa.binary())})
