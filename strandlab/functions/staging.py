@@ -27,14 +27,15 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back: cuts the lineage, survives lost executors.
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: cuts the lineage, survives lost executors. ``by`` names a
+    column that parts the files, so that a filter on it reads only its own.
 
     The table goes when the driver ends; :func:`unstage` drops it sooner."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strandlab/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     files, where = _file_system(spark, path)
     files.deleteOnExit(where)
     out = spark.read.schema(schema).parquet(path)
