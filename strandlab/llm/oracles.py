@@ -150,3 +150,53 @@ with parts as (
 select j.page_id, j.host, j.path, j.rule, case when j.rule in ('example.com/de/', 'net/') then 'block' when j.rule is not null then 'allow' when v.rejected then 'block' else 'allow' end verdict, r.node tree_node
 from judged j join rows4 r on r.host = j.host and r.template = j.template join verdicts v on v.host = r.host and v.node = r.node
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op12_fill_in_middle"] = r"""
+with docs as (
+  select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') w,
+    sha256(concat('42:', coalesce(cast(doc_id as varchar), ''))) h from documents
+), drawn as (
+  select *, cast(len(w) as bigint) n, cast(concat('0x', substr(h, 1, 8)) as bigint) h1, cast(concat('0x', substr(h, 9, 8)) as bigint) h2,
+    cast(concat('0x', substr(h, 17, 8)) as bigint) h3, cast(concat('0x', substr(h, 25, 8)) as bigint) h4 from docs
+), formed as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) a, greatest(h1 % (n + 1), h2 % (n + 1)) b,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end form from drawn
+), cut as (
+  select *, array_to_string(w[1:a], '') p, array_to_string(w[a + 1:b], '') m, array_to_string(w[b + 1:], '') s from formed
+)
+select doc_id, n, form, case when form <> 'plain' then cast(length(p) as bigint) end prefix_chars, case when form <> 'plain' then cast(length(m) as bigint) end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then concat('<P>', p, '<S>', s, '<M>', m) else concat('<S>', s, '<P>', p, '<M>', m) end) output_sha256, sha256(concat(p, m, s)) restored_sha256
+from cut
+"""
+
+ORACLES["op13_phrase_collocations"] = rf"""
+with pieces as (
+  select coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) piece from documents
+), listed as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from pieces
+), f1 as (
+  select lang, x, count(*) n from (select lang, unnest(w) x from listed) group by all
+), f2 as (
+  select lang, w[i] x, w[i + 1] y, count(*) a from (select lang, w, unnest(range(1, len(w))) i from listed) group by all having count(*) >= 10
+), f3 as (
+  select lang, w[i] x, w[i + 1] y, w[i + 2] z, count(*) a from (select lang, w, unnest(range(1, len(w) - 1)) i from listed) group by all having count(*) >= 10
+), longer as (
+  select lang, x, y, max(a) longest from (select lang, x, y, a from f3 union all select lang, y, z, a from f3) group by all
+), cuts as (
+  select f2.lang, concat(f2.x, ' ', f2.y) phrase, a, 1 k, p.n l, q.n r from f2 join f1 p on p.lang = f2.lang and p.x = f2.x join f1 q on q.lang = f2.lang and q.x = f2.y
+    left join longer g on g.lang = f2.lang and g.x = f2.x and g.y = f2.y where longest is null or 100 * longest < 50 * a
+  union all
+  select f3.lang, concat(f3.x, ' ', f3.y, ' ', f3.z), f3.a, 1, p.n, q.a from f3 join f1 p on p.lang = f3.lang and p.x = f3.x join f2 q on q.lang = f3.lang and q.x = f3.y and q.y = f3.z
+  union all
+  select f3.lang, concat(f3.x, ' ', f3.y, ' ', f3.z), f3.a, 2, p.a, q.n from f3 join f2 p on p.lang = f3.lang and p.x = f3.x and p.y = f3.y join f1 q on q.lang = f3.lang and q.x = f3.z
+), scored as (
+  select *, cast(cast(1000000 as hugeint) * a * a // (cast(l as hugeint) * r) as bigint) score from cuts
+), worst as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as "rank" from worst
+)
+select lang, "rank", phrase, a, l, r, cast(t.n as bigint) n, score from ranked join (select lang, sum(n) n from f1 group by lang) t using (lang) where "rank" <= 2000
+"""

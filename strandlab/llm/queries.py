@@ -98,7 +98,40 @@ def op10_jaccard_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentence_pieces import encode_texts, ids_digest
+
+    out = encode_texts(table(spark, sf_dir, "documents"), piece_model_path(), keep=["doc_id"])
+    pieces = F.col("pieces")
+    return out.select(
+        "doc_id", F.size(pieces["ids"]).cast("long").alias("n_tokens"), ids_digest(pieces["ids"]).alias("ids_sha256"), F.sha2(pieces["text"], 256).alias("decoded_sha256")
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fill_middle import fill_in_middle, restore_texts
+
+    out = fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    back = restore_texts(out.select("doc_id", "fim.*"), text_col="text", form_col="form")
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.col("sha256").alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import mine_phrases
+
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_fourier, op2_suffix_dedup, op3_toxicity_subsequence, op4_voronoi_top_k, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op8_maxent_lm, op9_url_template_tree, op10_jaccard_adaptive_prefix)
+    for f in (
+        op1_quality_fourier, op2_suffix_dedup, op3_toxicity_subsequence, op4_voronoi_top_k, op5_pack_sum_of_squares, op6_stratified_shards, op7_decontaminate_wu_manber, op8_maxent_lm,
+        op9_url_template_tree, op10_jaccard_adaptive_prefix, op11_sentence_pieces, op12_fill_in_middle, op13_phrase_collocations,
+    )
 }
