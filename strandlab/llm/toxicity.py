@@ -246,9 +246,14 @@ def sentence_features(model: ToxicModel, array: pa.Array):
         yield row, text[order][head], np.maximum.reduceat(sims[order], head, axis=0)
 
 
+def _known_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """The labels that may be learnt from, as counts too: those of ids with crc32 mod 4 other than 2."""
+    return labels.where(F.col(label_col).isin(0, 1)).where(crc_bucket(id_col, 4) != 2).where(F.col(id_col).isNotNull())
+
+
 def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """text, toxic of the training sample; its ids are at most 2 * TRAIN_DOCS and are sent to every executor."""
-    known = labels.where(F.col(label_col).isin(0, 1)).where(crc_bucket(id_col, 4) != 2).where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic"))
+    known = _known_labels(labels, id_col, label_col).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic"))
     order = F.xxhash64("_id")
     some = [known.where(F.col("toxic") == k).distinct().orderBy(order, "_id").limit(TRAIN_DOCS) for k in (0, 1)]
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
@@ -346,7 +351,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     """Model from the labelled rows with crc32(id) mod 4 other than 2; None if no word is typical of toxic documents, as in an
     empty table. Null labels, ids and texts teach nothing; an id that is labelled or comes several times counts each time."""
     train = _train_rows(docs, labels, id_col, text_col, label_col).persist()
-    known = {int(r[label_col]): r["n"] for r in labels.where(F.col(label_col).isin(0, 1)).groupBy(label_col).agg(F.count("*").alias("n")).collect()}
+    known = {int(r[label_col]): r["n"] for r in _known_labels(labels, id_col, label_col).groupBy(label_col).agg(F.count("*").alias("n")).collect()}
     try:
         counts = train.mapInArrow(_unit_counts, "unit binary, a long, b long").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).persist()
         odds = F.log((F.col("a") + 0.5) / (F.col("b") + 0.5))
@@ -397,7 +402,7 @@ def _fit_svm(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> None
                     cols[2].append(s.astype("<f4").tobytes())
             yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())], names=["text", "toxic", "sims"])
 
-    table = train.mapInArrow(features, "text long, toxic int, sims binary").groupBy("toxic", "sims").agg(F.count("*").alias("n")).toArrow()
+    table = train.mapInArrow(features, "text long, toxic int, sims binary").groupBy("toxic", "sims").agg(F.count("*").alias("n")).orderBy("toxic", "sims").toArrow()
     sims = np.array([np.frombuffer(x, "<f4") for x in table.column("sims").to_pylist()], float).reshape(-1, len(model.landmarks))
     label = table.column("toxic").to_numpy()
     count = table.column("n").to_numpy().astype(float)
@@ -444,7 +449,7 @@ def _calibrate(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> No
             x = _evidence(model, batch.column(0))
             yield pa.record_batch([batch.column(1), *[pa.array(x[:, i]) for i in range(3)]], names=["toxic", "a", "b", "c"])
 
-    table = train.mapInArrow(run, "toxic int, a double, b double, c double").toArrow()
+    table = train.mapInArrow(run, "toxic int, a double, b double, c double").orderBy("toxic", "a", "b", "c").toArrow()
     y = table.column("toxic").to_numpy().astype(float)
     x = np.stack([table.column(c).to_numpy() for c in "abc"] + [np.ones(len(y))], 1)
     share = np.where(y == 1, known.get(1, 1) / max(1, (y == 1).sum()), known.get(0, 1) / max(1, (y == 0).sum()))
