@@ -10,6 +10,7 @@ many partitions there are, and no shuffle is needed.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
@@ -37,21 +38,43 @@ def byte_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return {bytes(letters[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in added}, added
 
 
+#: White space of the splitting pattern (Unicode's property of that name, fixed values).
+_BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Runs of white space from this many characters on are cut out before the pattern sees them, as it steps back through them.
+LONG_BLANK = 10_000
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, the same as the file's own library gives without the special
     tokens that frame a text; added tokens within a text are their one id.
 
-    In a byte-level BPE vocabulary ids are in the order of its merges, so its ranks alone give the same ids."""
+    In a byte-level BPE vocabulary ids are in the order of its merges, so its ranks alone give the same ids. The pattern takes a run
+    of white space as one part but for its last character, or with it where a text or an added token follows; so long runs are merged
+    on their own, and what stands around them is encoded as if they were not there."""
 
     def __init__(self, path: str):
         import tiktoken
 
         ranks, added = byte_ranks(path)
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        self.added = tuple(added)
+        self.blanks = re.compile(f"[{_BLANK}]{{{LONG_BLANK},}}")
 
-    def encode(self, text: str) -> bytes:
+    def _plain(self, text: str) -> bytes:
         return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
+    def encode(self, text: str) -> bytes:
+        if len(text) < LONG_BLANK:
+            return self._plain(text)
+        out, at = [], 0
+        for run in self.blanks.finditer(text):
+            start, past = run.span()
+            whole = past == len(text) or text.startswith(self.added, past)
+            out.append(self._plain(text[at:start]))
+            at = past if whole else past - 1
+            out.append(np.array(self.encoding._encode_single_piece(text[start:at]), "<u4").tobytes())
+        return b"".join([*out, self._plain(text[at:])])
+
 
 class SumOfSquares:
     """Online placement into windows of ``size``: counts of open windows by fill level, and which windows they are."""
@@ -123,7 +146,7 @@ def pack_documents(
     """One row for each piece: where it lies in its document and in its sequence; ``with_ids`` adds the ids themselves.
 
     Null and empty texts are one token, the end id. Null and repeated doc_ids are packed like others, row by row.
-    Very long texts are encoded whole and cut into pieces like others. An empty table gives no rows. Only ``id_col`` and ``text_col`` are read, so other columns cannot clash.
+    Very long texts, and runs of white space of any length, are encoded whole and cut into pieces like others. An empty table gives no rows. Only ``id_col`` and ``text_col`` are read, so other columns cannot clash.
     ``sequence_id`` is unique over the table: the partition's number, then the window's in that partition.
     """
 
