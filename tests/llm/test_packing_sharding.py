@@ -98,3 +98,16 @@ def test_shards_match_the_mixture(spark):
 
 def test_sharding_of_nothing(spark):
     assert H.shard_rows(frame(spark, [])).count() == 0
+
+
+def test_long_runs_of_white_space_keep_the_ids_of_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    same = lambda e, t: np.frombuffer(e.encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    n, encoder = 2_000_000, P.Encoder(tokenizer_path())
+    assert all(same(encoder, t) for t in (" " * n, "\n" * n, "a" + " \n" * (n // 2) + "b", " " * n + "'s x", "\t" * n + "<|endoftext|>y", "\u3000" * (n // 3) + "1"))
+    monkeypatch.setattr(P, "LONG_BLANK", 3)  # every run is cut out
+    encoder, rng = P.Encoder(tokenizer_path()), random.Random(3)
+    parts = ["a", " ", "  ", "\n", "\t", "\x85", "\xa0", "\u3000", "\x1c", "'s", "<|endoftext|>", "1", "!", "é", "\u200b", "\ufeff"]
+    assert all(same(encoder, "".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))) for _ in range(5000))
