@@ -27,7 +27,8 @@ def _flat(array: pa.Array, missing=0) -> tuple[np.ndarray, np.ndarray]:
     return size, (values.fill_null(missing) if values.null_count else values).to_numpy(zero_copy_only=False)
 
 
-def _nested(size: np.ndarray, values: pa.Array) -> pa.Array:
+def nested_list(size: np.ndarray, values: pa.Array) -> pa.Array:
+    """Lists of the given sizes over values that follow one another."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), values)
 
 
@@ -38,7 +39,7 @@ def running_before(values: pa.Array) -> pa.Array:
     size, flat = _flat(values)
     sums = np.concatenate([[0], np.cumsum(flat, dtype=np.int64)])
     first = np.cumsum(size) - size
-    return _nested(size, pa.array(sums[:-1] - np.repeat(sums[first], size), pa.int64()))
+    return nested_list(size, pa.array(sums[:-1] - np.repeat(sums[first], size), pa.int64()))
 
 
 @_kept
@@ -52,7 +53,7 @@ def places_of(text: pa.Array, letter: pa.Array) -> pa.Array:
     row = np.repeat(np.arange(len(size)), size)
     hit = np.flatnonzero((data == wanted[row]) | (wanted[row] == 0))
     first = np.cumsum(size) - size
-    return _nested(np.bincount(row[hit], minlength=len(size)), pa.array(hit - first[row[hit]] + 1, pa.int64()))
+    return nested_list(np.bincount(row[hit], minlength=len(size)), pa.array(hit - first[row[hit]] + 1, pa.int64()))
 
 
 @_kept
@@ -68,7 +69,7 @@ def spread(size: pa.Array, places: pa.Array, values: pa.Array, default: pa.Array
     row = np.repeat(np.arange(len(wide)), n)
     keep = (at >= 1) & (at <= wide[row]) & (given >= 0)
     out[(np.cumsum(wide) - wide)[row[keep]] + at[keep] - 1] = given[keep]
-    return _nested(wide, pa.array(out, pa.int32(), mask=out < 0))
+    return nested_list(wide, pa.array(out, pa.int32(), mask=out < 0))
 
 
 def _last_at(row: np.ndarray, at: np.ndarray, size: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -88,9 +89,9 @@ def moved(places: pa.Array, starts: pa.Array, lengths: pa.Array, targets: pa.Arr
     k = _last_at(np.repeat(np.arange(len(n)), n), at, size, start)
     safe = np.maximum(k, 0)
     if not len(start):
-        return _nested(n, pa.nulls(len(at), pa.int64()))
+        return nested_list(n, pa.nulls(len(at), pa.int64()))
     inside = (k >= 0) & (at < start[safe] + length[safe])
-    return _nested(n, pa.array(target[safe] + at - start[safe], pa.int64(), mask=~inside))
+    return nested_list(n, pa.array(target[safe] + at - start[safe], pa.int64(), mask=~inside))
 
 
 @_kept

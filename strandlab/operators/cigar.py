@@ -1,11 +1,11 @@
-"""CIGAR operators. The signal and the coverage dialects advance on different operations; both are running sums within a row."""
+"""CIGAR operators. The signal and the coverage dialects advance on different operations; both are walked within the row."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lists import running_before
+from ..functions.cigars import bin_spans, walk
 
 
 def parse_cigar(text: Column) -> Column:
@@ -15,20 +15,18 @@ def parse_cigar(text: Column) -> Column:
     return F.filter(pairs, lambda c: c["len"].isNotNull() & (c["op"] != ""))
 
 
-def _moves(*ops: str) -> Column:
-    return F.transform("cigar", lambda c: F.when(c["op"].isin(*ops), c["len"]).otherwise(0).cast("bigint"))
+def with_walk(records: DataFrame) -> DataFrame:
+    """Adds ``blocks``, each M block's ix, q (1-based in the read), len and r (1-based on the reference), and ``read_length``.
 
+    M advances both, I and S the read, D and N the reference; H, P, = and X advance nothing here. The read length is, with a last S
+    of some length, all of the read that was walked, otherwise up to the last M block; null with neither."""
+    rows = records.withColumn("_walk", walk(F.col("pos").cast("bigint"), "cigar"))
+    return rows.withColumns({"blocks": F.col("_walk.blocks"), "read_length": F.col("_walk.read_length")}).drop("_walk")
 
-def with_blocks(records: DataFrame) -> DataFrame:
-    """Adds ``blocks``: each M block's ix, q (1-based in the read), len and r (1-based on the reference).
 
-    M advances both, I and S the read, D and N the reference; H, P, = and X advance nothing here."""
-    rows = records.withColumns({"_q": running_before(_moves("M", "I", "S")), "_r": running_before(_moves("M", "D", "N"))})
-    placed = F.transform(
-        "cigar", lambda c, i: F.struct(c["op"].alias("op"), i.alias("ix"), (F.get("_q", i) + 1).alias("q"), c["len"].alias("len"), (F.col("pos") + 1 + F.get("_r", i)).cast("bigint").alias("r"))
-    )
-    blocks = F.transform(F.filter(placed, lambda x: x["op"] == "M"), lambda x: F.struct(x["ix"].alias("ix"), x["q"].alias("q"), x["len"].alias("len"), x["r"].alias("r")))
-    return rows.withColumn("blocks", blocks).drop("_q", "_r")
+def with_blocks(records: DataFrame) -> DataFrame:
+    """Adds ``blocks`` alone."""
+    return records.withColumn("blocks", walk(F.col("pos").cast("bigint"), "cigar")["blocks"])
 
 
 def signal_blocks(records: DataFrame) -> DataFrame:
@@ -37,19 +35,8 @@ def signal_blocks(records: DataFrame) -> DataFrame:
 
 
 def with_read_length(records: DataFrame) -> DataFrame:
-    """Adds ``read_length``: with a last S of some length all of the read that was walked, otherwise up to the last M block;
-    null with neither."""
-    last = F.try_element_at("cigar", F.lit(-1))
-    state = F.aggregate(
-        "cigar", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(None).cast("bigint").alias("done")),
-        lambda a, c: F.struct(
-            (a["at"] + F.when(c["op"].isin("M", "I", "S"), c["len"]).otherwise(0)).alias("at"),
-            # what follows the last M block counts nothing
-            F.when(c["op"] == "M", a["at"] + c["len"]).otherwise(a["done"]).alias("done"),
-        ),
-    )
-    length = F.when((last["op"] == "S") & (last["len"] > 0), F.col("_state.at")).otherwise(F.col("_state.done"))
-    return records.withColumn("_state", F.when(F.size("cigar") > 0, state)).withColumn("read_length", F.when(F.size("cigar") > 0, length)).drop("_state")
+    """Adds ``read_length`` alone."""
+    return records.withColumn("read_length", walk(F.lit(0).cast("bigint"), "cigar")["read_length"])
 
 
 def read_lengths(records: DataFrame) -> DataFrame:
@@ -57,12 +44,10 @@ def read_lengths(records: DataFrame) -> DataFrame:
     return with_read_length(records).select("ordinal", "read_length").where("read_length is not null")
 
 
-def with_coverage(records: DataFrame) -> DataFrame:
-    """Adds ``covered``: the 0-based half-open blocks (from, to) of M, = and X; D and N advance; empty blocks are skipped."""
-    rows = records.withColumn("_r", running_before(_moves("M", "=", "X", "D", "N")))
-    placed = F.transform("cigar", lambda c, i: F.struct(c["op"].alias("op"), (F.col("pos") + F.get("_r", i)).cast("bigint").alias("from"), (F.col("pos") + F.get("_r", i) + c["len"]).cast("bigint").alias("to")))
-    kept = F.filter(placed, lambda x: x["op"].isin("M", "=", "X") & (x["to"] > x["from"]))
-    return rows.withColumn("covered", kept).drop("_r")
+def with_bin_spans(records: DataFrame, bin_size: int, bins: Column) -> DataFrame:
+    """Adds ``spans``, the half-open runs of bins (s, e) that a record's M, = and X blocks touch: disjoint, ascending, and before
+    ``bins`` where that is not null. D and N advance; empty blocks are skipped."""
+    return records.withColumn("spans", bin_spans(F.col("pos").cast("bigint"), "cigar", F.lit(bin_size).cast("bigint"), bins.cast("bigint")))
 
 
 def query_intervals() -> Column:

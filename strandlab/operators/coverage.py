@@ -5,55 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cigar import with_coverage
+from ..functions.staging import stage
+from .cigar import with_bin_spans
 
 #: Bins, and bases, of a reference that one window group holds; longer references are many groups.
 BUCKET_BINS = 1 << 16
 BUCKET_BASES = 1 << 22
 
 
-def coverage_bins(records: DataFrame, bin_size: int = 50, refs: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
-    """keys, ref_id, bin and number of records that touch the bin, each once. With ``refs`` (ref_id, length) bins past the end go.
+def coverage_edges(records: DataFrame, bin_size: int = 50, refs: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, ref_id, bin and delta: how many more records touch the bin than the one before it, where that is not none.
 
-    Each block starts no earlier than where the record's blocks before it ended, so bins of a record are disjoint and no
-    distinct is needed. Blocks are placed within the row; the one shuffle carries partial counts."""
-    rows = with_coverage(records.select(*keys, "ref_id", "pos", "cigar"))
-    last = F.lit(None).cast("bigint")
+    A record touches each bin once, as its spans are disjoint; each span is two edges, however long it is, so what is shuffled are
+    partial sums of edges. With ``refs`` (ref_id, length) bins past the end go."""
+    rows, last = records.select(*keys, "ref_id", "pos", "cigar"), F.lit(None)
     if refs is not None:
         rows = rows.join(F.broadcast(refs.select("ref_id", F.ceil(F.col("length") / bin_size).alias("_bins"))), "ref_id")
         last = F.col("_bins")
-    rows = rows.withColumn("_ends", F.transform("covered", lambda x: F.least(F.ceil(x["to"] / bin_size), last)))
-    start = lambda x, i: F.greatest(F.floor(x["from"] / bin_size), F.lit(0), F.get("_ends", i - 1))
-    spans = F.filter(F.transform("covered", lambda x, i: F.struct(start(x, i).alias("s"), F.get("_ends", i).alias("e"))), lambda x: x["s"] < x["e"])
-    bins = rows.select(*keys, "ref_id", F.explode(spans).alias("x")).select(*keys, "ref_id", F.explode(F.sequence("x.s", F.col("x.e") - 1)).alias("bin"))
-    return bins.groupBy(*keys, "ref_id", "bin").agg(F.count("*").alias("n"))
-
-
-def coverage_intervals(coverage: DataFrame, refs: DataFrame, bin_size: int = 50) -> DataFrame:
-    """ref_id, chrom, start, end, value: the whole of every reference, equal neighbours merged, zeros included.
-
-    Works on the occupied bins only: a gap between two of them is one zero run, so empty stretches are never filled in.
-    Windows run within buckets of a reference; what they need from before is carried over by one row for each bucket.
-    ``coverage`` is read several times and should be a staged table."""
-    seen = coverage.select("ref_id", F.col("bin").cast("bigint").alias("bin"), F.col("n").cast("bigint").alias("n")).withColumn("bucket", F.floor(F.col("bin") / BUCKET_BINS))
-    bucket, here = ["ref_id", "bucket"], Window.partitionBy("ref_id", "bucket").orderBy("bin")
-    buckets = Window.partitionBy("ref_id").orderBy("bucket")
-    ends = seen.groupBy(*bucket).agg(F.max(F.struct("bin", "n")).alias("x"))
-    carried = ends.select(*bucket, F.lag("x").over(buckets).alias("carried"))
-    rows = seen.join(carried, bucket).withColumn("prev", F.coalesce(F.lag(F.struct("bin", "n")).over(here), "carried"))
-    same = (F.col("prev.bin") == F.col("bin") - 1) & (F.col("prev.n") == F.col("n"))
-    rows = rows.withColumn("new", ~F.coalesce(same, F.lit(False))).withColumn("gap", F.coalesce(F.col("prev.bin") + 1, F.lit(0)))
-    begun = F.when(F.col("new"), F.col("bin"))
-    begins = rows.groupBy(*bucket).agg(F.max(begun).alias("x"))
-    before = begins.select(*bucket, F.last("x", True).over(buckets.rowsBetween(Window.unboundedPreceding, -1)).alias("run_before"))
-    placed = rows.join(before, bucket).withColumn("first", F.coalesce(F.max(begun).over(here), "run_before"))
-    runs = placed.groupBy("ref_id", "first").agg((F.max("bin") + 1).alias("past"), F.first("n").alias("n"))
-    gaps = rows.where("new and gap < bin").select("ref_id", F.col("gap").alias("first"), F.col("bin").alias("past"), F.lit(0).cast("bigint").alias("n"))
+    spans = with_bin_spans(rows, bin_size, last).select(*keys, "ref_id", F.explode("spans").alias("x"))
+    edge = lambda at, d: F.struct(F.col(at).alias("bin"), F.lit(d).cast("bigint").alias("d"))
+    edges = spans.select(*keys, "ref_id", F.inline(F.array(edge("x.s", 1), edge("x.e", -1))))
+    return edges.groupBy(*keys, "ref_id", "bin").agg(F.sum("d").alias("delta")).where("delta <> 0")
+
+
+def coverage_runs(edges: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, ref_id, first, past and n: the bins from each edge to the next and how many records touch them, zeros between two
+    others included. Neighbours differ, as every edge is a change.
+
+    Sums run within buckets of a reference; what they need from around is carried over by one row for each bucket. ``edges`` is
+    read twice and should be a staged table."""
+    group = [*keys, "ref_id"]
+    rows = edges.withColumn("bucket", F.floor(F.col("bin") / BUCKET_BINS))
+    along, here = Window.partitionBy(*group).orderBy("bucket"), Window.partitionBy(*group, "bucket").orderBy("bin")
+    sums = rows.groupBy(*group, "bucket").agg(F.sum("delta").alias("total"), F.min("bin").alias("begin"))
+    around = sums.select(*group, "bucket", F.sum("total").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.lead("begin").over(along).alias("after"))
+    placed = rows.join(around, [*group, "bucket"])
+    n = F.coalesce("before", F.lit(0)) + F.sum("delta").over(here)
+    return placed.select(*group, F.col("bin").alias("first"), F.coalesce(F.lead("bin").over(here), "after").alias("past"), n.alias("n")).where("past is not null")
+
+
+def coverage_bins(records: DataFrame, bin_size: int = 50, refs: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, ref_id, bin and number of records that touch the bin, each once, of all bins that any touches."""
+    runs = coverage_runs(stage(coverage_edges(records, bin_size, refs, keys), "edges"), keys).where("n > 0")
+    return runs.select(*keys, "ref_id", F.explode(F.sequence("first", F.col("past") - 1)).alias("bin"), "n")
+
+
+def coverage_intervals(edges: DataFrame, refs: DataFrame, bin_size: int = 50) -> DataFrame:
+    """ref_id, chrom, start, end, value of staged edges: the whole of every reference, equal neighbours merged, zeros included.
+
+    Only what lies before the first and after the last edge is added to the runs; empty stretches are never filled in."""
+    runs = coverage_runs(edges)
     lengths = refs.select("ref_id", "chrom", F.col("length").cast("bigint").alias("length")).where("length > 0")
-    tails = lengths.join(ends.groupBy("ref_id").agg((F.max("x.bin") + 1).alias("from")), "ref_id", "left").select(
-        "ref_id", F.coalesce("from", F.lit(0)).cast("bigint").alias("first"), F.ceil(F.col("length") / bin_size).alias("past"), F.lit(0).cast("bigint").alias("n")
-    )
-    pieces = runs.unionByName(gaps).unionByName(tails.where("first < past")).join(F.broadcast(lengths), "ref_id")
+    ends = lengths.join(edges.groupBy("ref_id").agg(F.min("bin").alias("low"), F.max("bin").alias("high")), "ref_id", "left").withColumn("all", F.ceil(F.col("length") / bin_size))
+    none = lambda first, past: F.struct(first.cast("bigint").alias("first"), past.cast("bigint").alias("past"), F.lit(0).cast("bigint").alias("n"))
+    outer = F.array(none(F.lit(0), F.coalesce("low", "all")), none(F.coalesce("high", "all"), F.col("all")))
+    pieces = runs.unionByName(ends.select("ref_id", F.inline(outer)).where("first < past")).join(F.broadcast(lengths), "ref_id")
     return pieces.select("ref_id", "chrom", (F.col("first") * bin_size).alias("start"), F.least(F.col("past") * bin_size, "length").alias("end"), F.col("n").cast("float").alias("value"))
 
 

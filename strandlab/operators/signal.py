@@ -9,7 +9,7 @@ from ..functions.lists import moved, places_of, running_before, spread
 from ..functions.numerics import exact_mean, mean_f64
 from ..functions.params import ModSpec, Params
 from . import filters as L
-from .cigar import query_intervals, with_blocks, with_read_length
+from .cigar import query_intervals, with_walk
 
 #: Complements of the four bases; others stand for themselves (fixed values).
 PLUS, MINUS = "ACGT", "TGCA"
@@ -167,7 +167,7 @@ def candidates(records: DataFrame, params: Params) -> DataFrame:
 def extract(records: DataFrame, params: Params) -> DataFrame:
     """One row for each candidate: its place, m_query, the found signal of each modification as ``signals`` (mod, signal), and
     how many modifications overflowed. Narrow: nothing is shuffled."""
-    rows = with_entries(with_read_length(with_blocks(candidates(records, params)))).withColumn("m_query", query_intervals())
+    rows = with_entries(with_walk(candidates(records, params))).withColumn("m_query", query_intervals())
     kept = ["ordinal", "read_id", "flag", "ref_id", "chrom", L.strand().alias("strand"), "start", "end", "m_query"]
     names = []
     for k, spec in enumerate(params.mods):

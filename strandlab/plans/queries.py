@@ -91,9 +91,9 @@ def coverage_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.coverage_bins(L.mapped(A.alignments(spark, sf_dir, True)), 50).select("ref_id", "bin", "n")
 
 
-def _refs(coverage: DataFrame) -> DataFrame:
-    """References whose lengths end 30 bases after the last occupied bin."""
-    return coverage.groupBy("ref_id").agg((F.max("bin") * 50 + 80).cast("bigint").alias("length")).withColumn("chrom", F.concat(F.lit("chr"), (F.col("ref_id") + 1).cast("string")))
+def _refs(edges: DataFrame) -> DataFrame:
+    """References whose lengths end 30 bases after the last occupied bin, which is the one before the last edge."""
+    return edges.groupBy("ref_id").agg((F.max("bin") * 50 + 30).cast("bigint").alias("length")).withColumn("chrom", F.concat(F.lit("chr"), (F.col("ref_id") + 1).cast("string")))
 
 
 @_query(_AL + _ops("cigar_x") + ", " + _cov("cigar_x", "flag_x") + """, refs as (select ref_id, max(bin) * 50 + 80 length from cov group by ref_id),
@@ -105,8 +105,8 @@ select concat('chr', cast(ref_id + 1 as varchar)) chrom, cast(min(bin) * 50 as b
 from runs group by ref_id, run""")
 def coverage_dense_rle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = L.mapped(A.alignments(spark, sf_dir, True))
-    cov = stage(C.coverage_bins(rows, 50), "coverage")
-    return C.coverage_intervals(cov, _refs(cov), 50).select("chrom", "start", "end", "value")
+    edges = stage(C.coverage_edges(rows, 50), "edges")
+    return C.coverage_intervals(edges, _refs(edges), 50).select("chrom", "start", "end", "value")
 
 
 @_query(_AL + "two as (select *, k % 2 half from al), " + _ops("cigar_x", "two") + ", " + _cov("cigar_x", "flag_x").replace("select ordinal, ref_id, op,", "select half, ordinal, ref_id, op,").replace("distinct ordinal", "distinct half, ordinal").replace("select ref_id, bin, count(*) n from bins", "select half, ref_id, bin, count(*) n from bins") + """,
@@ -115,10 +115,10 @@ d as (select coalesce(a.ref_id, b.ref_id) ref_id, coalesce(a.bin, b.bin) bin fro
 select concat('chr', cast(ref_id + 1 as varchar)) chrom, cast(count(*) * 50 as bigint) diff_bases, cast(min(bin) * 50 as bigint) first_diff from d group by ref_id""")
 def coverage_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = L.mapped(A.alignments(spark, sf_dir, True)).withColumn("half", F.col("k") % 2)
-    cov = stage(C.coverage_bins(rows, 50, keys=("half",)), "coverage")
+    runs = C.coverage_runs(stage(C.coverage_edges(rows, 50, keys=("half",)), "edges"), ("half",)).where("n > 0")
 
     def track(half):
-        return cov.where(F.col("half") == half).select(F.concat(F.lit("chr"), (F.col("ref_id") + 1).cast("string")).alias("chrom"), (F.col("bin") * 50).alias("start"), (F.col("bin") * 50 + 50).alias("end"), F.col("n").cast("float").alias("value"))
+        return runs.where(F.col("half") == half).select(F.concat(F.lit("chr"), (F.col("ref_id") + 1).cast("string")).alias("chrom"), (F.col("first") * 50).alias("start"), (F.col("past") * 50).alias("end"), F.col("n").cast("float").alias("value"))
 
     return C.diff_tracks(track(0), track(1)).select("chrom", "diff_bases", F.col("first_diff").cast("bigint").alias("first_diff"))
 

@@ -106,7 +106,7 @@ def test_exact_means(spark):
 def test_coverage_golden(spark):
     rows = [("a", 0, "5S10M2D3I7M4S", 0, "", None, None), ("b", 45, "10M200N10M", 0, "", None, None), ("c", 95, "3=2X5M", 0, "", None, None)]
     refs = spark.createDataFrame([(0, "chrI", 310), (1, "chrII", 60), (2, "none", 0)], "ref_id int, chrom string, length long")
-    got = C.coverage_intervals(C.coverage_bins(records(spark, rows), 50, refs), refs, 50).orderBy("ref_id", "start").collect()
+    got = C.coverage_intervals(C.coverage_edges(records(spark, rows), 50, refs), refs, 50).orderBy("ref_id", "start").collect()
     assert [(r.chrom, r.start, r.end, r.value) for r in got] == [
         ("chrI", 0, 100, 2), ("chrI", 100, 150, 1), ("chrI", 150, 250, 0), ("chrI", 250, 300, 1), ("chrI", 300, 310, 0), ("chrII", 0, 60, 0)
     ]
@@ -209,9 +209,9 @@ def test_tracks_longer_than_a_bucket(spark, monkeypatch):
     rng = np.random.default_rng(9)
     dense = np.repeat(rng.integers(0, 3, 60), rng.integers(1, 30, 60))
     dense[300:500] = 2
-    cov = spark.createDataFrame([(0, i, int(n)) for i, n in enumerate(dense) if n], "ref_id int, bin long, n long")
+    edges = spark.createDataFrame([(0, i, int(d)) for i, d in enumerate(np.diff(dense, prepend=0, append=0)) if d], "ref_id int, bin long, delta long")
     refs = spark.createDataFrame([(0, "x", 10 * len(dense) + 25), (1, "y", 40)], "ref_id int, chrom string, length long")
-    got = [tuple(r) for r in C.coverage_intervals(cov, refs, 10).orderBy("ref_id", "start").select("chrom", "start", "end", "value").collect()]
+    got = [tuple(r) for r in C.coverage_intervals(edges, refs, 10).orderBy("ref_id", "start").select("chrom", "start", "end", "value").collect()]
     full = [*dense, 0, 0, 0]
     cuts = [0, *(i for i in range(1, len(full)) if full[i] != full[i - 1]), len(full)]
     assert got == [("x", 10 * a, min(10 * b, 10 * len(dense) + 25), float(full[a])) for a, b in zip(cuts, cuts[1:])] + [("y", 0, 40, 0.0)]
