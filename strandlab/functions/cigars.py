@@ -95,3 +95,29 @@ def _bin_spans(pos: pa.Array, cigar: pa.Array, size: pa.Array, bins: pa.Array) -
 
 
 bin_spans = _bin_spans.asNondeterministic()
+
+
+_DIGIT = np.full(256, -1)
+_DIGIT[48:58] = np.arange(10)
+_CODE = np.full(256, -1)
+_CODE[list(OPERATIONS.encode())] = np.arange(len(OPERATIONS))
+
+
+@arrow_udf(T.ArrayType(T.StructType().add("op", T.StringType()).add("len", _LONG)))
+def parsed(text: pa.Array) -> pa.Array:
+    """Operations of CIGAR texts; ``*`` has none, and a letter without a number before it is none."""
+    data = np.frombuffer("".join(text.fill_null("").to_pylist()).encode("latin-1", "replace"), np.uint8)
+    size = pc.utf8_length(text.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.flatnonzero(_DIGIT[data] < 0)
+    digit = np.flatnonzero(_DIGIT[data] >= 0)
+    # the letter that each digit stands before, in the same text
+    owner = np.searchsorted(at, digit)
+    row = np.repeat(np.arange(len(size)), size)
+    known = owner < len(at)
+    known[known] = row[digit[known]] == row[at[owner[known]]]
+    digit, owner = digit[known], owner[known]
+    value = np.zeros(len(at), np.int64)
+    np.add.at(value, owner, _DIGIT[data[digit]] * 10 ** np.minimum(at[owner] - digit - 1, 18))
+    has = (np.bincount(owner, minlength=len(at)) > 0) & (_CODE[data[at]] >= 0)
+    letters = pa.DictionaryArray.from_arrays(pa.array(_CODE[data[at[has]]], pa.int32()), _LETTERS).cast(pa.string())
+    return nested_list(np.bincount(row[at[has]], minlength=len(size)), pa.StructArray.from_arrays([letters, pa.array(value[has])], ["op", "len"]))

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cigars import bin_spans, walk
+from ..functions.cigars import bin_spans, parsed, walk
 
 
 def parse_cigar(text: Column) -> Column:
     """array<struct<op, len>> of a CIGAR string; empty for ``*``."""
-    ops, lengths = F.split(F.regexp_replace(text, "[0-9]+", ""), ""), F.split(text, "[MIDNSHP=X]")
-    pairs = F.zip_with(ops, lengths, lambda op, n: F.struct(op.alias("op"), n.try_cast("bigint").alias("len")))
-    return F.filter(pairs, lambda c: c["len"].isNotNull() & (c["op"] != ""))
+    return parsed(text)
 
 
 def with_walk(records: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.lists import moved, places_of, running_before, spread
 from ..functions.numerics import exact_mean, mean_f64
 from ..functions.params import ModSpec, Params
+from ..functions.summaries import signal_summary
 from . import filters as L
 from .cigar import query_intervals, with_walk
 
@@ -86,11 +87,13 @@ def _reverse() -> Column:
     return F.col("flag").bitwiseAND(L.REVERSE) != 0
 
 
-def with_targets(records: DataFrame, spec: ModSpec) -> DataFrame:
-    """Adds ``targets``: the places (1-based in the stored sequence) of the bases a code can be on, in reading direction."""
+def with_targets(records: DataFrame, spec: ModSpec, where: Column | None = None) -> DataFrame:
+    """Adds ``targets``: the places (1-based in the stored sequence) of the bases a code can be on, in reading direction; none of
+    records for which ``where`` does not hold."""
     other = spec.base.translate(str.maketrans(PLUS, MINUS))
     letter = F.lit(None).cast("string") if spec.base == "N" else F.when(_reverse(), other).otherwise(spec.base)
-    return records.withColumn("targets", places_of("seq", letter)).withColumn("targets", F.when(_reverse(), F.reverse("targets")).otherwise(F.col("targets")))
+    seq = F.col("seq") if where is None else F.when(where, F.col("seq"))
+    return records.withColumn("targets", places_of(seq, letter)).withColumn("targets", F.when(_reverse(), F.reverse("targets")).otherwise(F.col("targets")))
 
 
 def target_bases(records: DataFrame, spec: ModSpec) -> DataFrame:
@@ -105,7 +108,7 @@ def with_signal(records: DataFrame, spec: ModSpec) -> DataFrame:
 
     Takes records with entries, blocks, read_length, start and end; everything happens within the row."""
     rows = with_calls(with_chosen(records, spec))
-    rows = with_targets(rows.withColumn("seq", F.when(F.col("chosen").isNotNull(), F.col("seq"))), spec)
+    rows = with_targets(rows, spec, F.col("chosen").isNotNull())
     rows = rows.withColumn("overflow", F.coalesce(F.try_element_at("calls.idx", F.lit(-1)) > F.size("targets"), F.lit(False)))
     # a call whose value lies past ML's end leaves its base unreported
     values = F.transform("calls", lambda c: F.try_element_at("ml", (c["at"] + 1).cast("int")).cast("int"))
@@ -179,6 +182,26 @@ def extract(records: DataFrame, params: Params) -> DataFrame:
     return rows.select(*kept, found.alias("signals"), over.alias("overflows"))
 
 
+def with_summary(rows: DataFrame, columns: list[str], mods, bin_size: int = 1000, binarise: float | None = None, float_mode: str = "x87") -> DataFrame:
+    """Adds signalbin, an array of (positions, signal<code>...) aligned on bins, and the medians of the signal columns (arrays of r and
+    code, one for each modification), all within the row.
+
+    With one modification the medians have plain names, with several the code is appended. A modification without value in a bin
+    is null there, so columns of several modifications always line up."""
+    found = rows.withColumn("_summary", signal_summary([m.code for m in mods], bin_size, binarise, float_mode)(*columns))
+    names = found.schema["_summary"].dataType.names
+    return found.withColumns({c: F.col(f"_summary.{c}") for c in names}).drop("_summary")
+
+
+def nested_rows(extracted: DataFrame, params: Params) -> DataFrame:
+    """One row for each mapping of an extracted table, with its nested signal and medians. Narrow: nothing is shuffled."""
+    rows = extracted.where(F.size("signals") > 0).drop("overflows")
+    columns = [f"_signal{k}" for k in range(len(params.mods))]
+    own = lambda m: F.get(F.filter("signals", lambda s: s["mod"] == m.name), F.lit(0))["signal"]
+    rows = rows.withColumns({c: own(m) for c, m in zip(columns, params.mods)}).drop("signals")
+    return with_summary(rows, columns, params.mods, params.bin_size, params.binarise, params.float_mode).drop(*columns)
+
+
 def parts(extracted: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(mappings, bins, calls) of an extracted table, which is read for each of them: bins and calls are long, by ordinal and mod."""
     found = extracted.where(F.size("signals") > 0)
@@ -193,10 +216,7 @@ def mappings(records: DataFrame, params: Params) -> tuple[DataFrame, DataFrame,
 
 
 def nested(maps: DataFrame, bins: DataFrame, calls: DataFrame, mods, float_mode: str = "x87") -> DataFrame:
-    """One row for each mapping: signalbin, an array of (positions, signal<code>...) aligned on bins, and the medians.
-
-    With one modification the medians have plain names, with several the code is appended. A modification without
-    value in a bin is null there, so columns of several modifications always line up."""
+    """As :func:`with_summary`, from long tables of bins and calls whose mappings may have any number of rows."""
     single = len(mods) == 1
     wide = bins.groupBy("ordinal", "bin_position").agg(*[F.max(F.when(F.col("mod") == m.name, F.col("signal"))).alias(f"signal{m.code}") for m in mods])
     cells = wide.groupBy("ordinal").agg(F.array_sort(F.collect_list(F.struct(F.col("bin_position").alias("positions"), *[f"signal{m.code}" for m in mods]))).alias("signalbin"))

@@ -191,15 +191,22 @@ def target_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.target_bases(A.frame(spark, sf_dir, A.SEQ_SPARK), ModSpec.parse("C+h")).select("ordinal", "j", "idx")
 
 
-@_query(_CALLS.rstrip() + ", " + _SEQ + """, over_end as (
+#: Calls placed on reads aligned as 100M 10I 17D and M to their end from position 1001 on.
+_PLACED = _CALLS.rstrip() + ", " + _SEQ + """, over_end as (
   select ordinal from calls c left join (select ordinal, max(idx) n from targets group by ordinal) t using (ordinal) group by ordinal having max(idx) > max(coalesce(n, 0))
 ), placed as (
   select t.ordinal, t.j, t.flag, coalesce(c.ml[2 * c.i + 2], case when m.entry like '%?' then null else 0 end) code
   from targets t join mod m using (ordinal) left join calls c on c.ordinal = t.ordinal and c.idx = t.idx where t.ordinal not in (select ordinal from over_end)
-), lens as (select ordinal, length(seq) n from seqs)
-select ordinal, case when j <= 100 then 1000 + j else 1007 + j end r, code from placed join lens using (ordinal) where code is not null and (j <= 100 or j > 110)""")
+), found as (select ordinal, case when j <= 100 then 1000 + j else 1007 + j end r, code from placed where code is not null and (j <= 100 or j > 110))"""
+
+
+@_query(_PLACED + " select ordinal, r, code from found")
 def base_to_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calls on reads aligned as 100M 10I 17D and M to their end from position 1001 on."""
+    return _placed(spark, sf_dir).select("ordinal", F.inline("signal"))
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads aligned as 100M 10I 17D and M to their end from position 1001 on, with their signal."""
     seqs = A.frame(spark, sf_dir, A.SEQ_SPARK)
     rows = seqs.join(_mod(spark, sf_dir), "ordinal").withColumn("l_seq", F.length("seq").cast("bigint")).withColumn("pos", F.lit(1000))
     step = lambda op, n: F.struct(F.lit(op).alias("op"), n.cast("bigint").alias("len"))
@@ -209,7 +216,26 @@ def base_to_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("start", F.lit(1001).cast("bigint")).withColumn("end", F.col("l_seq") + 1007)  # past every base
     # the whole read counts as walked, so a reverse read is not shifted
     rows = S.with_entries(with_blocks(rows)).withColumn("read_length", F.col("l_seq"))
-    return S.with_signal(rows, ModSpec.parse("C+h")).select("ordinal", F.inline("signal"))
+    return S.with_signal(rows, ModSpec.parse("C+h"))
+
+
+@_query(_PLACED + """, binned as (
+  select ordinal, cast(floor((r - 1) / 200) * 200 + 1 as bigint) bin, sum(code / 255.0::double) / count(*) signal from found group by all
+), nested as (
+  select ordinal, cast(count(*) as bigint) n_bins, string_agg(concat(cast(bin as varchar), ':', cast(cast(round(signal * 1000000) as bigint) as varchar)), ',' order by bin) signalbin,
+    round(median(signal), 9) med_signalbin from binned group by ordinal
+)
+select ordinal, n_bins, signalbin, round(med, 9) med_signal, med_signalbin from nested join (select ordinal, median(code / 255.0::double) med from found group by ordinal) using (ordinal)""")
+def mapping_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested bins of 200 bases and medians of each read that has signal, summarised within its row."""
+    mods = (ModSpec.parse("C+h"),)
+    rows = S.with_summary(_placed(spark, sf_dir).where(F.size("signal") > 0), ["signal"], mods, 200)
+    return rows.select("ordinal", F.size("signalbin").cast("bigint").alias("n_bins"), _cells("h"), F.round("med_signal", 9).alias("med_signal"), F.round("med_signalbin", 9).alias("med_signalbin"))
+
+
+def _cells(code: str):
+    cell = lambda c: F.concat(c["positions"].cast("string"), F.lit(":"), F.round(c[f"signal{code}"] * 1000000).cast("bigint").cast("string"))
+    return F.array_join(F.transform("signalbin", cell), ",").alias("signalbin")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,8 +271,7 @@ def signal_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = _events(spark, sf_dir).withColumnRenamed("read_id", "ordinal").withColumn("mod", F.lit("T+B"))
     maps = calls.select("ordinal").distinct()
     out = S.nested(maps, S.signal_bins(calls, ["ordinal", "mod"]), calls, (ModSpec.parse("T+B"),))
-    cell = lambda c: F.concat(c["positions"].cast("string"), F.lit(":"), F.round(c["signalB"] * 1000000).cast("bigint").cast("string"))
-    return out.select(F.col("ordinal").alias("read_id"), F.size("signalbin").cast("bigint").alias("n_bins"), F.array_join(F.transform("signalbin", cell), ",").alias("signalbin"))
+    return out.select(F.col("ordinal").alias("read_id"), F.size("signalbin").cast("bigint").alias("n_bins"), _cells("B"))
 
 
 @_query(_AL + """a as (select read_id, flag, chrom, pos from al where k <= 3), b as (select read_id, flag, chrom, pos from al where k >= 2)

@@ -28,12 +28,12 @@ ORDER = ("ref_id", "read_id", "flag", "start", "ordinal")
 def alignment_results(records: DataFrame, refs: DataFrame, params: Params, extracted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(nested mappings after the supplementary filter, coverage intervals) of alignment records.
 
-    What is read several times, the edges of the coverage and the extracted signal, is staged; ``extracted`` gives the latter."""
+    The edges of the coverage, which are read twice, are staged. The signal is summarised within its rows, so mappings are shuffled
+    once, for the supplementary filter; ``extracted`` gives rows that are extracted already."""
     usable = L.mapped(records)
     coverage = C.coverage_intervals(stage(C.coverage_edges(usable, params.cov_bin_size, refs), "edges"), refs, params.cov_bin_size)
-    maps, bins, calls = S.parts(stage(S.extract(usable, params), "signal") if extracted is None else extracted, params)
-    kept = U.supplementary_filter(maps, params.max_dist)
-    return S.nested(kept, bins, calls, params.mods, params.float_mode), coverage
+    maps = S.nested_rows(S.extract(usable, params) if extracted is None else extracted, params)
+    return U.supplementary_filter(maps, params.max_dist), coverage
 
 
 def counters(extracted: DataFrame, params: Params) -> dict[str, int]:
