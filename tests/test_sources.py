@@ -6,7 +6,9 @@ import random
 import struct
 import zlib
 
+import numpy as np
 import pytest
+from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
 from strandlab.functions.params import Params
 from strandlab.plans import run as R
@@ -75,10 +77,85 @@ def test_splits_give_every_record_once(spark, tmp_path):
 def test_long_cigar_and_tag_pairs():
     long = b"CGBI" + struct.pack("<III", 2, 3 << 4, 2 << 4 | 4)
     body = record("r", 0, 5, 0, [("S", 5), ("N", 3)], "ACGTA", long + text_tag("Mm", "T+B;") + bytes_tag("Ml", [7]) + text_tag("MM", "C+m;"))[4:]
-    row = B.decode(body, ["chrI"], 9)
-    assert row[8] == [{"op": "M", "len": 3}, {"op": "S", "len": 2}] and row[9:11] == ("T+B;", [7]) and row[7] == "ACGTA"
+    one = lambda b, names: B.decode_records(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]), np.array([9]), names).to_pylist()
+    row = one(body, ["chrI"])[0]
+    assert row["cigar"] == [{"op": "M", "len": 3}, {"op": "S", "len": 2}] and (row["mm"], row["ml"], row["seq"], row["ordinal"]) == ("T+B;", [7], "ACGTA", 9)
     with pytest.raises(B.FormatError):
-        B.decode(body[:20], [], 0)
+        one(body[:20], [])
+    with pytest.raises(B.FormatError):
+        one(body[:45], ["chrI"])
+
+
+def plain_record(body, names):
+    """One record, field by field."""
+    ref, pos, l_name, _, _, n_ops, flag, size = struct.unpack_from("<iiBBHHHi", body)
+    at = 32 + l_name
+    cigar = [{"op": B.OPERATIONS[x & 15], "len": x >> 4} for x in struct.unpack_from(f"<{n_ops}I", body, at)]
+    at += 4 * n_ops
+    seq = "".join(B.BASES[b >> 4] + B.BASES[b & 15] for b in body[at : at + (size + 1) // 2])[:size]
+    at += (size + 1) // 2 + size
+    tags, widths = {}, {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
+    while at + 3 <= len(body):
+        name, kind, at = body[at : at + 2].decode(), chr(body[at + 2]), at + 3
+        if kind in "ZH":
+            if (end := body.find(b"\0", at)) < 0:
+                break
+            tags.setdefault(name, body[at:end].decode("latin-1"))
+            at = end + 1
+        elif kind == "B" and at + 5 <= len(body) and chr(body[at]) in "cCsSiIf":
+            letter, n = chr(body[at]), struct.unpack_from("<I", body, at + 1)[0]
+            if at + 5 + n * widths[letter] > len(body):
+                break
+            tags.setdefault(name, (letter, list(body[at + 5 : at + 5 + n])))
+            at += 5 + n * widths[letter]
+        elif kind in widths:
+            tags.setdefault(name, None)
+            at += widths[kind]
+        else:
+            break
+    mm = ml = None
+    for a, b in (("MM", "ML"), ("Mm", "Ml")):
+        if isinstance(tags.get(a), str) and isinstance(tags.get(b), tuple) and tags[b][0] == "C":
+            mm, ml = tags[a], tags[b][1]
+            break
+    sa = tags.get("SA")
+    return {
+        "ref_id": ref, "chrom": names[ref] if 0 <= ref < len(names) else None, "pos": pos, "flag": flag, "read_id": body[32 : 31 + l_name].decode(errors="replace"), "l_seq": size, "seq": seq,
+        "cigar": cigar, "mm": mm, "ml": ml, "sa": sa if isinstance(sa, str) else None,
+    }
+
+
+def test_records_decoded_by_columns_equal_plain_ones():
+    rng = random.Random(6)
+    tags = [
+        text_tag("MM", "T+B?,0;"), text_tag("MM", "later"), bytes_tag("ML", [1, 255]), bytes_tag("ML", []), text_tag("Mm", "C+m;"), bytes_tag("Ml", [9]), text_tag("SA", "chrI,1,+,5M,60,0;"), b"SAi\1\0\0\0",
+        b"NMC\5", b"ASs\1\0", b"XAAq", b"XFf\0\0\0\0", b"ZZBS" + struct.pack("<IHH", 2, 7, 8), b"MLBs" + struct.pack("<Ih", 1, 3), b"XH" + b"H0A\0", text_tag("XX", "caf\xe9"), b"QQ?", b"MMZopen", b"YYBI\xff\0\0\0", b"BB" + b"BA\1\0\0\0q",
+    ]
+    bodies = []
+    for i in range(400):
+        size = rng.randint(0, 40)
+        cigar = [(rng.choice(B.OPERATIONS), rng.randint(0, 1 << 27)) for _ in range(rng.randint(0, 5))]
+        bodies.append(record(f"ré{i}" if i % 7 == 0 else f"r{i}", rng.choice([-1, 0, 1, 5]), rng.randint(-1, 1 << 30), rng.choice([0, 4, 16, 256, 2064]), cigar, "".join(rng.choice(B.BASES) for _ in range(size)), b"".join(rng.sample(tags, rng.randint(0, 9))))[4:])
+    # names are counted in bytes
+    bodies = [b[:8] + bytes([len(f"ré{i}".encode()) + 1]) + b[9:] if i % 7 == 0 else b for i, b in enumerate(bodies)]
+    size = np.array([len(b) for b in bodies])
+    got = B.decode_records(np.frombuffer(b"".join(bodies), np.uint8), np.cumsum(size) - size, size, np.arange(400), ["chrI", "chrII"]).to_pylist()
+    assert got == [{"ordinal": i} | plain_record(b, ["chrI", "chrII"]) for i, b in enumerate(bodies)]
+    assert B.decode_records(np.zeros(0, np.uint8), size[:0], size[:0], size[:0], ["chrI"]).num_rows == 0
+
+
+def test_conditions_are_tested_before_records_are_decoded(spark, tmp_path):
+    path = write(tmp_path / "a.bam", reads())
+    whole = B.read_bam(spark, path).collect()
+    some = B.read_bam(spark, path).where("ref_id >= 0 and flag in (0, 16) and pos < 400 and chrom = 'chrI'")
+    assert sorted(r.ordinal for r in some.collect()) == sorted(r.ordinal for r in whole if r.ref_id >= 0 and r.flag in (0, 16) and r.pos < 400 and r.chrom == "chrI")
+    reader = B.BamReader([path], 1 << 20, False)
+    left = list(reader.pushFilters([EqualTo(("flag",), 4), In(("pos",), (1, 2)), EqualTo(("chrom",), "chrI"), GreaterThan(("ref_id",), 0)]))
+    assert [f.attribute for f in left] == [("chrom",)] and len(reader.pushed) == 3
+    with pytest.raises(B.FormatError):
+        other = tmp_path / "b.bam"
+        other.write_bytes(block(b"BAM\1" + struct.pack("<iii", 0, 1, 2) + b"x\0" + struct.pack("<I", 5)) + block(b""))
+        B.references(spark, f"{path},{other}")
 
 
 def test_damaged_blocks_are_errors(spark, tmp_path):
