@@ -21,6 +21,7 @@ from ..operators import supplementary as U
 from ..sources.bam import read_bam, references
 from ..sources.bigwig import read_bigwig, write_bigwig
 from ..sources.rds import write_rds
+from .compare import TOLERANCE, compare_files
 
 ORDER = ("ref_id", "read_id", "flag", "start", "ordinal")
 
@@ -58,11 +59,12 @@ def run(spark: SparkSession, bam: str, params: Params = Params(), *, rds: str |
     counts |= counters(extracted, params)
     mappings, coverage = alignment_results(records, refs, params, extracted)
     if rds or parquet:
-        mappings = stage(mappings.orderBy(*ORDER), "mappings")
+        mappings = mappings.orderBy(*ORDER)
+        mappings = stage(mappings, "mappings").orderBy(*ORDER) if rds and parquet else mappings
         if parquet:
             mappings.write.mode("overwrite").parquet(f"{parquet}/mappings")
         if rds:
-            write_rds(mappings.orderBy(*ORDER), refs, rds, params.rds_level)
+            write_rds(mappings, refs, rds, params.rds_level)
     if parquet:
         coverage.write.mode("overwrite").parquet(f"{parquet}/coverage")
     if bw:
@@ -121,6 +123,11 @@ def parser() -> argparse.ArgumentParser:
     c = sub.add_parser("bw-compare")
     c.add_argument("left")
     c.add_argument("right")
+    c = sub.add_parser("compare")
+    c.add_argument("left")
+    c.add_argument("right")
+    c.add_argument("chroms", nargs="?")
+    c.add_argument("--tolerance", type=float, default=TOLERANCE)
     return out
 
 
@@ -136,6 +143,10 @@ def main(argv: list[str] | None = None) -> int:
             print(*r, sep="\t")
         print(f"total\t{total}")
         return 0
+    if args.command == "compare":
+        checks = compare_files(_session(os.cpu_count() or 4), args.left, args.right, args.chroms.split(",") if args.chroms else None, args.tolerance)
+        print(*checks, sep="\n")
+        return 0 if all(c.passed for c in checks) else 1
     prefix = args.out_prefix
     rds = args.rds or (prefix and f"{prefix}_alldata.rds")
     bw = args.bw or (prefix and f"{prefix}.bw")

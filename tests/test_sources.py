@@ -8,12 +8,14 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
 from strandlab.functions.params import Params
 from strandlab.plans import run as R
 from strandlab.sources import bam as B
 from strandlab.sources import bigwig as W
+from strandlab.sources import rds as D
 
 
 def block(data: bytes) -> bytes:
@@ -240,12 +242,14 @@ class Parser:
         return (value, self.item()) if flags & 0x200 else value
 
 
-def test_rds_layout(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3, 9])
+def test_rds_layout(spark, tmp_path, parts):
     rows = [(i, f"réad{i}" if i else "r", 16 * (i % 2), i % 2, "+-"[i % 2], 10.0 + i, 20.0 + i, [(1, 0.5, None), (1001, 0.25, 1.0)][: 1 + i % 2], 0.5, None) for i in range(5)]
     df = spark.createDataFrame(rows, "ordinal long, read_id string, flag int, ref_id int, strand string, start double, end double, signalbin array<struct<positions:bigint,signalB:double,signala:double>>, med_signalB double, med_signalbinB double")
     refs = spark.createDataFrame([(0, "chrI", 50), (1, "chrII", 60), (2, "chrM", 9)], "ref_id int, chrom string, length long")
     path = str(tmp_path / "t.rds")
-    assert R.write_rds(df.orderBy("ordinal").coalesce(1), refs, path) == 5
+    R.write_rds(df.repartitionByRange(parts, "ordinal").sortWithinPartitions("ordinal"), refs, path)
+    assert not list(tmp_path.glob("*.part"))
     parser = Parser(gzip.open(path).read())
     columns, attributes = parser.item()
     assert parser.at == len(parser.raw)
@@ -261,12 +265,85 @@ def test_rds_layout(spark, tmp_path):
     assert got["med_signalB"] == [0.5] * 5 and all(map(math.isnan, got["med_signalbinB"]))
 
 
-def test_lengths_of_long_vectors(tmp_path):
-    w = R.write_rds.__globals__["Writer"](str(tmp_path / "x"))
-    before = len(w.buffer)
-    w.length(5)
-    w.length((1 << 32) + 7)
-    assert bytes(w.buffer[before:]) == struct.pack(">iiii", 5, -1, 1, 7)
+def test_lengths_of_long_vectors():
+    assert D.length(5) + D.length((1 << 32) + 7) == struct.pack(">iiii", 5, -1, 1, 7)
+
+
+def mapping_rows(n=300):
+    rng = random.Random(3)
+    cells = lambda: [(float(1000 * k + 1), rng.random(), None if k % 3 else rng.random()) for k in range(rng.randint(1, 5))]
+    return [(i, f"réad{i // 2}" if i % 5 else f"r{i}", 16 * (i % 2), i % 2, "+-"[i % 2], 10.0 + i, 20.0 + i, cells(), rng.random(), None if i % 9 else 0.25) for i in range(n)]
+
+
+def saved(spark, path, rows, levels=("chrI", "chrII", "chrM"), names=("signalB", "signala")):
+    cell = f"struct<positions:double,{names[0]}:double,{names[1]}:double>"
+    df = spark.createDataFrame(rows, f"ordinal long, read_id string, flag int, ref_id int, strand string, start double, end double, signalbin array<{cell}>, med_signal double, med_signalbin double")
+    R.write_rds(df.repartitionByRange(3, "ordinal").sortWithinPartitions("ordinal"), spark.createDataFrame([(i, n) for i, n in enumerate(levels)], "ref_id int, chrom string"), str(path))
+    return str(path)
+
+
+def test_saved_tables_are_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(D, "MEMBER_BYTES", 2000)
+    monkeypatch.setattr(D, "STEP_ROWS", 64)
+    rows = mapping_rows()
+    path = saved(spark, tmp_path / "a.rds", rows)
+    index = D.index_rds(path)
+    assert index.rows == 300 and len(index.members) > 20 and index.columns[2].attributes == {"levels": ["chrI", "chrII", "chrM"], "class": ["factor"]}
+    for file in (path, str(tmp_path / "one.rds"), str(tmp_path / "plain.rds")):
+        if file != path:  # a single member, and no compression at all
+            raw = gzip.open(path).read()
+            open(file, "wb").write(gzip.compress(raw) if "one" in file else raw)
+        got = D.read_rds(spark, file).orderBy("row").collect()
+        none = lambda x: None if x is None or math.isnan(x) else x
+        assert [(r.row, r.read_id, r.flag, r.chrom, r.strand, r.start, r.end) for r in got] == [(i, n, f, ["chrI", "chrII"][c], s, a, b) for i, n, f, c, s, a, b, *_ in rows]
+        assert [[tuple(map(none, x)) for x in r.signalbin] for r in got] == [r[7] for r in rows] and [(none(r.med_signal), none(r.med_signalbin)) for r in got] == [r[8:] for r in rows]
+    empty = saved(spark, tmp_path / "none.rds", rows[:0])
+    assert D.read_rds(spark, empty).count() == 0 and D.index_rds(empty).attributes["names"][6] == "signalbin"
+    with pytest.raises(D.FormatError):
+        open(tmp_path / "cut.rds", "wb").write(gzip.compress(gzip.open(path).read()[:-30]))
+        D.index_rds(str(tmp_path / "cut.rds"))
+
+
+def test_vectors_that_are_saved_in_short_forms(tmp_path):
+    sym, chars = lambda n: struct.pack(">i", 1) + D.chars(n), struct.pack
+    info = lambda n: chars(">i", 2) + sym(n) + chars(">i", 2) + sym("base") + chars(">i", 2) + D.begin(13, 1) + chars(">i", 13) + chars(">i", 254)
+    sequence = chars(">i", 238) + info("compact_intseq") + D.begin(14, 3) + chars(">ddd", 4, 1, 1) + chars(">i", 254)
+    wrapped = chars(">i", 238) + info("wrap_real") + D.begin(19, 2) + D.begin(14, 2) + chars(">dd", 1.5, 2.5) + D.begin(13, 1) + chars(">i", 0) + chars(">i", 254)
+    (tmp_path / "x").write_bytes(sequence + wrapped + D.chars(None))
+    parser = D.Parser(D.Inflated(str(tmp_path / "x")))
+    assert parser.item().value.tolist() == [1, 2, 3, 4] and parser.item().value.tolist() == [1.5, 2.5] and parser.text() is None
+
+
+def test_each_planted_difference_of_files_is_found(spark, tmp_path):
+    rows = mapping_rows(60)
+    left = saved(spark, tmp_path / "a.rds", rows)
+    change = lambda k, **new: [tuple(new.get(n, v) for n, v in zip(("ordinal", "read_id", "flag", "ref_id", "strand", "start", "end", "signalbin", "med_signal", "med_signalbin"), r)) if i == k else r for i, r in enumerate(rows)]
+    first = rows[7][7][0]
+    files = {
+        (): (rows, {}), ("keys", "rows"): (rows[:-1], {}), ("keys",): (change(7, read_id="other"), {}), ("strand",): (change(7, strand="*"), {}), ("end",): (change(7, end=99.0), {}), ("med_signal",): (change(7, med_signal=rows[7][8] * (1 + 1e-9)), {}),
+        ("signalbin positions",): (change(7, signalbin=[(first[0] + 1, *first[1:]), *rows[7][7][1:]]), {}), ("signalB",): (change(7, signalbin=[(first[0], first[1] + 1e-6, first[2]), *rows[7][7][1:]]), {}),
+        ("signala",): (change(7, signalbin=[(*first[:2], None if first[2] else 0.5), *rows[7][7][1:]]), {}), ("chrom levels",): (rows, {"levels": ("chrI", "chrII", "chrX")}), ("signalbin attributes",): (rows, {"names": ("signalB", "signalc")}),
+    }
+    for want, (data, extra) in files.items():
+        checks = R.compare_files(spark, left, saved(spark, tmp_path / "b.rds", data, **extra))
+        assert tuple(sorted(c.what for c in checks if not c.passed)) == tuple(sorted(want)), want
+    tiny = saved(spark, tmp_path / "c.rds", change(7, med_signal=rows[7][8] * (1 + 1e-15)))
+    assert all(c.passed for c in R.compare_files(spark, left, tiny)) and "DIFFERS" in str([c for c in R.compare_files(spark, left, tiny, tolerance=0.0) if not c.passed][0])
+    other = saved(spark, tmp_path / "d.rds", change(7, strand="*"))
+    assert rows[7][3] == 1 and all(c.passed for c in R.compare_files(spark, left, other, ["chrI"])) and R.main(["compare", left, other]) == 1 and R.main(["compare", left, left]) == 0
+    raw = bytearray(gzip.open(left).read())
+    at = raw.index(b"tbl_df", raw.rindex(b"med_signalbin"))
+    raw[at : at + 6] = b"tbl_dx"
+    open(tmp_path / "e.rds", "wb").write(gzip.compress(bytes(raw)))
+    assert [c.what for c in R.compare_files(spark, left, str(tmp_path / "e.rds")) if not c.passed] == ["class"]
+
+
+def test_a_failed_write_leaves_no_file(spark, tmp_path):
+    bad = F.when(F.col("ordinal") == 40, F.raise_error(F.lit("stop"))).otherwise(F.col("flag"))
+    df = spark.createDataFrame(mapping_rows(60), "ordinal long, read_id string, flag int, ref_id int, strand string, start double, end double, signalbin array<struct<positions:double,signalB:double,signala:double>>, med_signal double, med_signalbin double")
+    with pytest.raises(Exception):
+        R.write_rds(df.withColumn("flag", bad.cast("int")), spark.createDataFrame([(0, "x"), (1, "y")], "ref_id int, chrom string"), str(tmp_path / "f.rds"))
+    assert not list(tmp_path.iterdir())
 
 
 def test_counts_of_a_run(spark, tmp_path):
