@@ -4,24 +4,24 @@ from __future__ import annotations
 
 import argparse
 import os
-import shutil
 import sys
-import tempfile
-from pathlib import Path
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.params import Params, parse_mods
-from ..functions.staging import stage
+from ..functions.staging import shared_dir, stage
 from ..operators import coverage as C
 from ..operators import filters as L
 from ..operators import signal as S
 from ..operators import supplementary as U
 from ..sources.bam import read_bam, references
+from ..sources.files import drop_pieces, spool
 from ..sources.bigwig import read_bigwig, write_bigwig
 from ..sources.rds import write_rds
 from .compare import TOLERANCE, compare_files
+from .progress import Phases
 
 ORDER = ("ref_id", "read_id", "flag", "start", "ordinal")
 
@@ -45,40 +45,54 @@ def counters(extracted: DataFrame, params: Params) -> dict[str, int]:
     return counts | judged.agg(F.count_if(F.col("missing_query")).alias("missing_query"), F.count_if("keep").alias("mappings")).first().asDict()
 
 
-def run(spark: SparkSession, bam: str, params: Params = Params(), *, rds: str | None = None, bw: str | None = None, parquet: str | None = None) -> dict[str, int]:
+def run(
+    spark: SparkSession, bam: str, params: Params = Params(), *, rds: str | None = None, bw: str | None = None, parquet: str | None = None, phases: Phases | None = None
+) -> dict[str, int]:
     """Read a BAM once into a staged table, then write what is asked for; returns counts of all records, of those that are
-    mapped, and of :func:`counters`."""
+    mapped, and of :func:`counters`. ``phases`` takes the times."""
     if not (rds or bw or parquet):
         raise ValueError("no output: give rds, bw or parquet")
+    phases = Phases(spark) if phases is None else phases
     refs = references(spark, bam)
-    seen = Observation("records")
-    everything = read_bam(spark, bam).observe(seen, F.count("*").alias("records"), F.count_if(L.is_mapped()).alias("mapped"))
-    records = stage(L.mapped(everything), "records")
-    counts = dict(seen.get)
-    extracted = stage(S.extract(records, params), "signal")
-    counts |= counters(extracted, params)
+    with phases.phase("reading"):
+        seen = Observation("records")
+        everything = read_bam(spark, bam).observe(seen, F.count("*").alias("records"), F.count_if(L.is_mapped()).alias("mapped"))
+        records = stage(L.mapped(everything), "records")
+        counts = dict(seen.get)
+    with phases.phase("signal"):
+        extracted = stage(S.extract(records, params), "signal")
+        counts |= counters(extracted, params)
     mappings, coverage = alignment_results(records, refs, params, extracted)
     if rds or parquet:
-        mappings = mappings.orderBy(*ORDER)
-        mappings = stage(mappings, "mappings").orderBy(*ORDER) if rds and parquet else mappings
-        if parquet:
-            mappings.write.mode("overwrite").parquet(f"{parquet}/mappings")
-        if rds:
-            write_rds(mappings, refs, rds, params.rds_level)
-    if parquet:
-        coverage.write.mode("overwrite").parquet(f"{parquet}/coverage")
-    if bw:
-        counts["intervals"] = write_bigwig(coverage, refs, bw)
+        with phases.phase("mappings"):
+            mappings = mappings.orderBy(*ORDER)
+            mappings = stage(mappings, "mappings").orderBy(*ORDER) if rds and parquet else mappings
+            if parquet:
+                mappings.write.mode("overwrite").parquet(f"{parquet}/mappings")
+            if rds:
+                write_rds(mappings, refs, rds, params.rds_level)
+    if bw or parquet:
+        with phases.phase("coverage"):
+            if parquet:
+                coverage.write.mode("overwrite").parquet(f"{parquet}/coverage")
+            if bw:
+                counts["intervals"] = write_bigwig(coverage, refs, bw)
     return counts
 
 
-def messages(counts: dict[str, int]) -> list[str]:
-    """What a run tells its user about its counts."""
+def messages(counts: dict[str, int], seconds: dict[str, float] | None = None) -> list[str]:
+    """What a run tells its user about its counts, and about the times of its phases."""
+    seconds = seconds or {}
+    took = seconds.get("reading", 0) + seconds.get("signal", 0)
+    rate = f" in {took:.1f} s ({counts['records'] / took:,.0f} a second)" if took else ""
     skipped = f", {counts['mm_overflow']} skipped (more modification calls than target bases)" if counts["mm_overflow"] else ""
-    out = [f"read {counts['records']} records: {counts['candidates']} candidate mappings, {counts['extracted']} with modifications{skipped}"]
+    out = [f"read {counts['records']} records{rate}: {counts['candidates']} candidate mappings, {counts['extracted']} with modifications{skipped}"]
     if counts["missing_query"]:
         out.append(f"warning: {counts['missing_query']} mappings of reads with several kept without overlap check, as SA is missing")
-    return [*out, f"{counts['mappings']} mappings after the supplementary filter"]
+    out.append(f"{counts['mappings']} mappings after the supplementary filter")
+    if seconds:
+        out.append(", ".join(f"{k} {v:.1f} s" for k, v in seconds.items()) + f", {sum(seconds.values()):.1f} s in all")
+    return out
 
 
 def bw_compare(spark: SparkSession, left: str, right: str) -> tuple[DataFrame, int]:
@@ -87,7 +101,7 @@ def bw_compare(spark: SparkSession, left: str, right: str) -> tuple[DataFrame, i
 
     a, b = ({n: s for n, s in chromosomes(open_file(p)).values()} for p in (left, right))
     both = spark.createDataFrame([(n, s) for n, s in a.items() if n in b], "chrom string, length long")
-    keep = lambda p: read_bigwig(spark, p).join(F.broadcast(both.select("chrom")), "chrom", "left_semi")
+    keep = lambda p: read_bigwig(spark, p).where(F.col("chrom").isin([n for n in a if n in b]))
     found = C.diff_tracks(keep(left), keep(right), both)
     lone = spark.createDataFrame([(n, "left") for n in a if n not in b] + [(n, "right") for n in b if n not in a], "chrom string, only_in string")
     sizes = spark.createDataFrame([(n, s, b.get(n)) for n, s in a.items()], "chrom string, left_length long, right_length long")
@@ -148,26 +162,26 @@ def main(argv: list[str] | None = None) -> int:
         print(*checks, sep="\n")
         return 0 if all(c.passed for c in checks) else 1
     prefix = args.out_prefix
-    rds = args.rds or (prefix and f"{prefix}_alldata.rds")
+    rds = args.rds or (prefix and f"{prefix}_nanoT_alldata.rds")
     bw = args.bw or (prefix and f"{prefix}.bw")
     if not (rds or bw):
         print("no output: give --out-prefix, --rds or --bw", file=sys.stderr)
         return 2
-    bam = args.bam
-    if bam == "-":  # a stream is spooled once, as splits need a file
-        spark = _session(args.threads)
-        if not spark.sparkContext.master.startswith("local"):
-            print("standard input is read on one machine only: put the file where all executors see it", file=sys.stderr)
-            return 2
-        bam = str(Path(tempfile.mkdtemp(prefix="strandlab-")) / "stdin.bam")
-        with open(bam, "wb") as f:
-            shutil.copyfileobj(sys.stdin.buffer, f)
+    spark, say = _session(args.threads), lambda line: print(line, file=sys.stderr, flush=True)
+    phases, bam = Phases(spark, say), args.bam
+    if bam == "-":  # a stream goes to the shared folder piece by piece, as splits need files
+        with phases.phase("standard input"):
+            bam = spool(sys.stdin.buffer, f"{shared_dir(spark)}/strandlab/stdin-{uuid.uuid4().hex}")
     params = Params(
         mods=tuple(parse_mods(args.mod or ["T+B"])), binarise=args.binarise, supplementary=not args.no_supplementary, max_dist=args.max_dist, min_len=args.min_len, bin_size=args.bin_size,
         cov_bin_size=args.cov_bin_size, exclude_prefix=tuple(p for p in args.exclude_prefix.split(",") if p), float_mode=args.float_mode, rds_level=args.rds_level,
     )
-    for line in messages(run(_session(args.threads), bam, params, rds=rds, bw=bw)):
-        print(line, file=sys.stderr)
+    try:
+        for line in messages(run(spark, bam, params, rds=rds, bw=bw, phases=phases), phases.seconds):
+            say(line)
+    finally:
+        if args.bam == "-":
+            drop_pieces(bam)
     return 0
 
 

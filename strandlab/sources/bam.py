@@ -2,7 +2,7 @@
 
 A partition owns the records that start in its stretch of blocks. A stretch rarely begins at a record, so the reader
 looks for the first place from which several records in a row are sound, as the format's splitting readers do. Records are
-decoded by columns, some thousand at a time, and only the fields that the engine uses. Files are opened through Arrow's file systems, so any store they reach will do.
+decoded by columns, some thousand at a time, and only the fields that the engine uses. A stream kept in pieces is split by these. Files are opened through Arrow's file systems, so any store they reach will do.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.lists import nested_list
+from .files import PIECES, FormatError, block_size, open_file, piece_starts
 from .pushdown import allow_pushdown, compares, holds
 
 SCHEMA = (
@@ -36,18 +36,6 @@ SOUND = 6
 BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
 
 
-class FormatError(ValueError):
-    """The file is damaged or not of the format."""
-
-
-def open_file(path: str):
-    if "://" in path:
-        system, inner = fs.FileSystem.from_uri(path)
-    else:
-        system, inner = fs.LocalFileSystem(), path
-    return system.open_input_file(inner)
-
-
 def read_block(stream) -> bytes | None:
     """Contents of the compressed block at the stream's place, checked; None at the end of the file."""
     head = stream.read(12)
@@ -56,14 +44,7 @@ def read_block(stream) -> bytes | None:
     if head[:2] != b"\x1f\x8b" or not head[3] & 4:
         raise FormatError("not a block-compressed file")
     extra = stream.read(struct.unpack_from("<H", head, 10)[0])
-    at, size = 0, None
-    while at + 4 <= len(extra):
-        length = struct.unpack_from("<H", extra, at + 2)[0]
-        if extra[at : at + 2] == b"BC" and length == 2:
-            size = struct.unpack_from("<H", extra, at + 4)[0] + 1
-        at += 4 + length
-    if size is None:
-        raise FormatError("block without size")
+    size = block_size(head + extra)
     rest = stream.read(size - 12 - len(extra))
     if len(rest) < size - 12 - len(extra) or len(rest) < 8:
         raise FormatError("file ends within a block")
@@ -303,7 +284,7 @@ class BamReader(DataSourceReader):
         out = []
         for k, path in enumerate(self.paths):
             size = open_file(path).size()
-            cuts = list(range(0, max(size, 1), self.split_bytes))
+            cuts = piece_starts(path) if path.endswith(PIECES) else list(range(0, max(size, 1), self.split_bytes))
             out += [Split(path, k, a, b) for a, b in zip(cuts, [*cuts[1:], size])]
         return out
 

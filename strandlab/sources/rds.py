@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..functions.staging import shared_dir
-from .bam import FormatError
+from .files import FormatError, at_path
 
 #: Item kinds and flags, versions and encodings of the serialization (fixed values of R's format).
 NIL, REFERENCE, ALTERNATIVE, SYMBOL, PAIR, CHARS, LOGICALS, INTEGERS, REALS, STRINGS, LIST = 254, 255, 238, 1, 2, 9, 10, 13, 14, 16, 19
@@ -43,11 +43,6 @@ MEMBER_BYTES = 4 << 20
 STEP_ROWS = 4096
 
 
-def at_path(path: str):
-    """(file system, path within it)."""
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 # Writing
 
 

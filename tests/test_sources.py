@@ -1,20 +1,25 @@
 """BAM, bigWig and RDS: round trips over files built here byte by byte."""
 
 import gzip
+import io
 import math
 import random
+import re
 import struct
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import EqualTo, GreaterThan, In
+from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThan
 
 from strandlab.functions.params import Params
+from strandlab.plans import progress as G
 from strandlab.plans import run as R
 from strandlab.sources import bam as B
 from strandlab.sources import bigwig as W
+from strandlab.sources import files as L
 from strandlab.sources import rds as D
 
 
@@ -346,6 +351,109 @@ def test_a_failed_write_leaves_no_file(spark, tmp_path):
     assert not list(tmp_path.iterdir())
 
 
+def made_track(spark):
+    rng = random.Random(2)
+    rows = [(k, 50 * i, 50 * i + 50, float(rng.randint(0, 9))) for k, n in ((0, 300_000), (1, 18), (2, 5000)) for i in range(0, n, rng.choice([1, 1, 2]) if n < 9000 else 11)]
+    track = spark.createDataFrame(rows, "ref_id int, start long, end long, value float").repartition(3)
+    return rows, track, spark.createDataFrame([(0, "chrI", 15_000_000), (1, "chrII", 900), (2, "chrM", 250_000)], "ref_id int, chrom string, length long")
+
+
+def test_one_chromosome_reads_only_its_sections(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "SECTION_ITEMS", 16)
+    rows, track, refs = made_track(spark)
+    path = str(tmp_path / "t.bw")
+    assert W.write_bigwig(track, refs, path) == len(rows)
+    names = ["chrI", "chrII", "chrM"]
+
+    def places(*filters):
+        reader = W.BigWigReader(path, 1)
+        assert len(list(reader.pushFilters(list(filters)))) == len(filters)  # rows are tested again
+        return sum(len(p.places) for p in reader.partitions())
+
+    whole = places()
+    assert whole > 1900 and places(EqualTo(("chrom",), "chrII")) == -(-sum(r[0] == 1 for r in rows) // 16) and places(EqualTo(("chrom",), "none")) == 0
+    assert places(EqualTo(("chrom",), "chrI"), GreaterThan(("end",), 1_000_000), LessThan(("start",), 1_010_000)) <= 4
+    opened = []
+    at = W._at
+    monkeypatch.setattr(W, "_at", lambda stream, offset, layout: opened.append(layout) or at(stream, offset, layout))
+    stream = W.open_file(path)
+    W.sections(stream, W.Wanted({1}))
+    assert opened.count("<BBH") == 2 < -(-whole // 256)  # the root and one leaf
+    some = W.read_bigwig(spark, path).where("chrom = 'chrI' and end > 1000000 and start < 1010000 or chrom = 'chrII'")
+    assert sorted((r.chrom, r.start) for r in some.collect()) == sorted((names[k], s) for k, s, e, _ in rows if (k == 0 and e > 1_000_000 and s < 1_010_000) or k == 1)
+    some = W.read_bigwig(spark, path).where("chrom in ('chrM', 'chrII') and start >= 100 and value > 3")
+    assert sorted((r.chrom, r.start) for r in some.collect()) == sorted((names[k], s) for k, s, _, v in rows if k and s >= 100 and v > 3)
+
+
+def test_zoom_levels_add_up(spark, tmp_path):
+    rows, track, refs = made_track(spark)
+    path = str(tmp_path / "t.bw")
+    W.write_bigwig(track, refs, path)
+    levels = W.zoom_records(path)
+    assert list(levels) == list(W.ZOOMS) and len(levels) >= 3
+    for size, found in levels.items():
+        want = {}
+        for k, s, e, v in rows:
+            own = want.setdefault((["chrI", "chrII", "chrM"][k], s // size), [s, e, 0, v, v, 0.0, 0.0])
+            own[0], own[1], own[2], own[3], own[4], own[5], own[6] = min(own[0], s), max(own[1], e), own[2] + e - s, min(own[3], v), max(own[4], v), own[5] + 50 * v, own[6] + 50 * v * v
+        assert {(r[0], r[1] // size): list(r[1:]) for r in found} == want and len(found) == len(want)
+    summary = struct.unpack("<Qdddd", open(path, "rb").read()[struct.unpack_from("<Q", open(path, "rb").read(64), 44)[0] :][:40])
+    assert summary == (50 * len(rows), 0.0, 9.0, 50 * sum(r[3] for r in rows), 50 * sum(r[3] ** 2 for r in rows))
+
+
+def test_a_failed_track_leaves_no_file(spark, tmp_path, monkeypatch):
+    _, track, refs = made_track(spark)
+    bad = track.withColumn("value", F.when(F.col("start") == 5500, F.raise_error(F.lit("stop"))).otherwise(F.col("value")))
+    with pytest.raises(Exception):
+        W.write_bigwig(bad, refs, str(tmp_path / "t.bw"))
+    monkeypatch.setattr(W, "_packed", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        W.write_bigwig(track, refs, str(tmp_path / "t.bw"))
+    assert not list(tmp_path.iterdir())
+    empty = W.write_bigwig(track.limit(0), refs, str(tmp_path / "e.bw")) if monkeypatch.undo() is None else None
+    assert empty == 0 and W.read_bigwig(spark, str(tmp_path / "e.bw")).count() == 0
+
+
+def test_a_stream_is_kept_in_pieces_and_read_like_a_file(spark, tmp_path):
+    path = write(tmp_path / "a.bam", reads(), 300)
+    raw = open(path, "rb").read()
+    kept = L.spool(io.BytesIO(raw), str(tmp_path / "kept"), 1500)
+    starts = L.piece_starts(kept)
+    assert len(starts) > 3 and all(raw[a : a + 4] == b"\x1f\x8b\x08\x04" for a in starts)  # pieces are of whole blocks
+    pieces = L.open_file(kept)
+    pieces.seek(1000)
+    assert pieces.size() == len(raw) and pieces.read(2000) == raw[1000:3000] and pieces.tell() == 3000
+    plain = lambda p: sorted(map(str, B.read_bam(spark, p).drop("ordinal").collect()))
+    assert plain(kept) == plain(path) and len(B.BamReader([kept], 1, False).partitions()) == len(starts)
+    assert [r.ordinal for r in B.read_bam(spark, kept).orderBy("ordinal").collect()] == [r.ordinal for r in B.read_bam(spark, path).orderBy("ordinal").collect()]
+    L.drop_pieces(kept)
+    assert not (tmp_path / "kept.pieces").exists()
+    for damaged in (raw[:-5], b"", b"plain text of some length"):
+        with pytest.raises(B.FormatError):
+            L.spool(io.BytesIO(damaged), str(tmp_path / f"bad{len(damaged)}"))
+
+
+def test_standard_input_gives_the_results_of_the_file(spark, tmp_path, monkeypatch, capsys):
+    path = write(tmp_path / "a.bam", reads(), 300)
+    monkeypatch.setattr(R.sys, "stdin", type("In", (), {"buffer": io.BytesIO(open(path, "rb").read())}))
+    assert R.main(["run", "-b", "-", "-o", str(tmp_path / "s"), "--bin-size", "100"]) == 0
+    log = capsys.readouterr().err
+    assert R.main(["run", "-b", path, "-o", str(tmp_path / "f"), "--bin-size", "100"]) == 0
+    assert R.main(["compare", str(tmp_path / "s_nanoT_alldata.rds"), str(tmp_path / "f_nanoT_alldata.rds")]) == 0 and R.bw_compare(spark, str(tmp_path / "s.bw"), str(tmp_path / "f.bw"))[1] == 0
+    assert "standard input: " in log and re.search(r"read 120 records in [0-9.]+ s \([0-9,]+ a second\)", log) and re.search(r"reading [0-9.]+ s, signal [0-9.]+ s, mappings [0-9.]+ s, coverage [0-9.]+ s, [0-9.]+ s in all", log)
+
+
+def test_phases_tell_how_far_they_are(spark):
+    lines = []
+    phases = G.Phases(spark, lines.append, 0.2)
+    with phases.phase("slow"):
+        spark.range(0, 4, 1, 4).mapInArrow(lambda it: (time.sleep(0.5) or b for b in it), "id long").count()
+    with pytest.raises(ValueError), phases.phase("broken"):
+        raise ValueError
+    assert 0.4 < phases.seconds["slow"] < 60 and any(re.fullmatch(r"slow: \d+ of \d+ tasks", x) for x in lines) and lines[-1].startswith("slow: ") and "broken" in phases.seconds
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
 def test_counts_of_a_run(spark, tmp_path):
     mm = text_tag("MM", "T+B?,0;") + bytes_tag("ML", [9])
     over = text_tag("MM", "T+B?,5;") + bytes_tag("ML", [9])
