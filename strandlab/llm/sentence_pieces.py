@@ -133,9 +133,9 @@ def encoded(table: ChunkTable, array: pa.Array):
 def decoded(segmenter: Segmenter, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
     """Text of each list of ids, from the table of surfaces; lists whose bytes are no text go to the library itself."""
     surface = segmenter.surfaces
-    out, at, flat = [], 0, ids.tolist()
+    out, at = [], 0
     for n in sizes.tolist():
-        own = flat[at : at + n]
+        own = ids[at : at + n].tolist()
         at += n
         text = b"".join([surface[i] for i in own])
         # one marker at the start is the implied one
@@ -229,9 +229,8 @@ def decode_ids(rows: DataFrame, model_path: str, *, ids_col: str = "ids", result
 @F.arrow_udf(T.StringType())
 def ids_digest(ids: pa.Array) -> pa.Array:
     """sha256 of each list of ids, in decimal and joined by commas."""
-    flat, at, out = ids.flatten().to_pylist(), 0, []
-    text = [*map(str, flat)]
+    flat, at, out = ids.flatten().to_numpy(zero_copy_only=False), 0, []
     for n in ids.value_lengths().fill_null(0).to_pylist():
-        out.append(hashlib.sha256(",".join(text[at : at + n]).encode()).hexdigest())
+        out.append(hashlib.sha256(",".join(map(str, flat[at : at + n].tolist())).encode()).hexdigest())
         at += n
     return pa.array(out, pa.string())

@@ -30,7 +30,7 @@ def shard_rows(
 
     Law ``rows``: shard counts differ by at most one. Size is the UTF-8 bytes of the text plus 1; a null text counts as
     empty (size 1, crc32 0). A null source is a source of its own, a null doc_id hashes as empty text. Repeated rows are
-    ranked one after the other. An empty table gives no rows. Only the three named columns are read.
+    ranked one after the other. Very long texts are sized and hashed whole. An empty table gives no rows. Only the three named columns are read.
     """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),

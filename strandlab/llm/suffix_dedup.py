@@ -97,7 +97,7 @@ def _batch(id_col: str, text_col: str, batches: int):
 
 
 def _chunks(table: pa.Table, length: int, gram: int):
-    """(rows, documents' bounds, bytes, runs) of each part of a batch; row order is fixed by id, then text hash."""
+    """(rows, documents' bounds, bytes, runs) of each part of a batch, in the order of its rows; nothing depends on what that is."""
     text = column(table, "text")
     for row, past, offsets, data in text_runs(text):
         yield row, past, offsets, data, Runs(offsets, data, length, gram)

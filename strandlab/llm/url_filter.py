@@ -42,7 +42,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
     """Struct of the longest rule that fits (rule, verdict), or null. A rule fits its host and all subdomains, if the path
-    starts with the rule's; of equally long ones the first in order wins."""
+    starts with the rule's; of equally long ones the last in order wins."""
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
     for text, verdict in sorted(rules, key=lambda r: len(r[0])):
         name, _, start = text.partition("/")
