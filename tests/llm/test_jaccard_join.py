@@ -82,3 +82,16 @@ def test_every_text_of_an_id_is_searched(spark):
     df = spark.createDataFrame([(d, t, "c", 1) for d, t in rows], SCHEMA).repartition(3)
     got = J.near_duplicate_classes(df).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == plain(rows)
+
+
+def test_a_large_component_meets_others_without_meeting_itself(spark):
+    import time
+
+    members = spark.range(20_000).selectExpr("7L token", "id doc_id", "100L n", "1 ell", "100 rest", "0L comp")
+    others = spark.createDataFrame([(7, 50_000 + k, n, 1, 100, 50_000 + k) for k, n in enumerate((100, 90, 20))], "token long, doc_id long, n long, ell int, rest int, comp long")
+    begin = time.monotonic()
+    pairs = J._met_pairs(members.unionByName(others), 75)
+    # two fit in size: each with all members and with one another; the third is too small for any
+    assert pairs.count() == 2 * 20_000 + 1 and time.monotonic() - begin < 60
+    joins = [x for x in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
+    assert any("comp_a" in x and "comp_b" in x and "<" in x and "doc_id" not in x for x in joins) and not any("doc_id_a" in x and "<" in x for x in joins)
