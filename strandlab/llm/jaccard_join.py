@@ -296,15 +296,18 @@ def _met_pairs(here: DataFrame, percent: int) -> DataFrame:
     Components meet list by list first, by their ranges of sizes, and then only members of those that meet: a list that a large
     component shares with a few others costs its members times the others, never the members among themselves."""
     side = lambda t, x: t.select("token", *[F.col(c).alias(f"{c}_{x}") for c in t.columns if c != "token"])
-    comps = here.groupBy("token", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    comps = here.groupBy("token", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"), F.max("ell").alias("ell"))
     # a list of one component has no pairs
     several = comps.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
     comps = comps.join(several, "token")
-    near = f"100 * high_a >= {percent} * low_b and 100 * high_b >= {percent} * low_a"
-    meet = side(comps, "a").join(side(comps, "b"), "token").where("comp_a < comp_b").where(near).select("token", "comp_a", "comp_b")
-    # the m-th shared token of a pair leaves enough for needed - m + 1 more; m is at most the other l
-    reach = f"{100 + percent} * (least(rest_a, rest_b) + least(ell_a, ell_b) - 1) >= {percent} * (n_a + n_b)"
-    met = meet.join(side(here, "a"), ["token", "comp_a"]).join(side(here, "b"), ["token", "comp_b"]).where(_sizes("n_a", "n_b", percent)).where(reach)
+    # sizes that fit; and the m-th shared token of a pair leaves enough for needed - m + 1 more, where m is at most the other l.
+    # For components, and for a document beside one, these hold if they may hold for any of their documents.
+    fit = lambda n, low, high: f"100 * {n} >= {percent} * {low} and {percent} * {n} <= 100 * {high}"
+    reach = lambda x, y: f"{100 + percent} * (least(rest_a, rest_b) + least(ell_a, ell_b) - 1) >= {percent} * ({x} + {y})"
+    meet = side(comps, "a").join(side(comps, "b"), "token").where("comp_a < comp_b").where(f"100 * high_a >= {percent} * low_b and 100 * high_b >= {percent} * low_a").where(reach("low_a", "low_b"))
+    meet = meet.select("token", "comp_a", "comp_b", "low_b", "high_b", "rest_b", "ell_b")
+    near = meet.join(side(here, "a"), ["token", "comp_a"]).where(fit("n_a", "low_b", "high_b")).where(reach("n_a", "low_b")).drop("low_b", "high_b", "rest_b", "ell_b")
+    met = near.join(side(here, "b"), ["token", "comp_b"]).where(_sizes("n_a", "n_b", percent)).where(reach("n_a", "n_b"))
     counted = met.groupBy("doc_id_a", "doc_id_b").agg(F.count("*").alias("k"), F.max(F.least("ell_a", "ell_b")).alias("ell"))
     return counted.where("k >= ell").select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"))
 
