@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import RollingHash, batch_count, byte_view, column, deltas, group_starts, message_rows, pack, row_struct, take_spans, text_runs, unpack
 
 LENGTH = 50
+#: Input of a batch where texts are rewritten, which holds other columns and the remaining texts beside the given ones.
+REMOVE_MB = 5
 GRAM = 20
 #: Anchors that occur this often are sent window by window.
 HOT = 4096
@@ -423,18 +425,17 @@ def with_repeats_removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
 
     A character of which only some bytes remain becomes U+FFFD. Other columns are passed on as they are, whatever their
     names; null ids, repeated rows, long texts and empty tables are as in :func:`remove_repeats`."""
-    batches = batch_count(docs, text_col)
-    rows = docs.select(row_struct(docs, docs.columns).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), _batch(id_col, text_col, batches).alias("pid"))
-    at = docs.columns.index(text_col)
+    batches = batch_count(docs, text_col, REMOVE_MB)
+    others = [c for c in docs.columns if c != text_col]
+    kept = row_struct(docs, others) if others else F.struct(F.lit(0).alias("none"))
+    rows = docs.select(kept.alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), _batch(id_col, text_col, batches).alias("pid"))
 
     def apply(left, right):
         done = mark(left, right, length, gram, True)
-        texts = [None if old is None else new.decode(errors="replace") for old, new in zip(column(left, "text").to_pylist(), done.column("kept").to_pylist())]
-        fields = column(left, "row").flatten()
-        fields[at] = pa.array(texts, pa.string())
-        out = pa.table(fields, names=docs_schema.names)
+        texts = pa.array([None if old else new.decode(errors="replace") for old, new in zip(column(left, "text").is_null().to_pylist(), done.column("kept").to_pylist())], pa.string())
         lost = pc.and_(pc.greater(done.column("n_bytes"), 0), pc.equal(done.column("n_bytes"), done.column("n_removed")))
-        return out.filter(pc.invert(lost))
+        fields = dict(zip(others, column(left, "row").flatten())) | {text_col: texts}
+        return pa.table([fields[c] for c in docs_schema.names], names=docs_schema.names).filter(pc.invert(lost))
 
     docs_schema = docs.schema
     return rows.groupBy("pid").cogroup(_answers(rows.select("doc_id", "text", "pid"), batches, length, gram).groupBy("pid")).applyInArrow(apply, docs_schema)
