@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from .cigar import with_bin_spans
 
 #: Bins, and bases, of a reference that one window group holds; longer references are many groups.
 BUCKET_BINS = 1 << 16
-BUCKET_BASES = 1 << 22
+BUCKET_BASES = 1 << 20
 
 
 def coverage_edges(records: DataFrame, bin_size: int = 50, refs: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -63,31 +65,49 @@ def coverage_intervals(edges: DataFrame, refs: DataFrame, bin_size: int = 50) ->
     return pieces.select("ref_id", "chrom", (F.col("first") * bin_size).alias("start"), F.least(F.col("past") * bin_size, "length").alias("end"), F.col("n").cast("float").alias("value"))
 
 
-def _segments(track: DataFrame, side: str) -> DataFrame:
-    """Intervals cut at the edges of buckets, so that each bucket is compared on its own."""
-    rows = track.select("chrom", F.col("start").cast("bigint").alias("s"), F.col("end").cast("bigint").alias("e"), F.col("value").cast("float").alias(side)).where("s < e")
-    rows = rows.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("s") / BUCKET_BASES), F.floor((F.col("e") - 1) / BUCKET_BASES))))
+def _segments(track: DataFrame, ends: DataFrame | None) -> DataFrame:
+    """Intervals up to the ends of their references, cut at the edges of buckets, so that each bucket is compared on its own."""
+    rows = track.select("chrom", F.col("start").cast("bigint").alias("s"), F.col("end").cast("bigint").alias("e"), F.col("value").cast("float").alias("value"))
+    if ends is not None:
+        rows = rows.join(F.broadcast(ends.select("chrom", "length")), "chrom").withColumn("e", F.least("e", "length"))
+    rows = rows.where("s < e").withColumn("bucket", F.explode(F.sequence(F.floor(F.col("s") / BUCKET_BASES), F.floor((F.col("e") - 1) / BUCKET_BASES))))
     edge = F.col("bucket") * BUCKET_BASES
-    return rows.select("chrom", "bucket", F.greatest("s", edge).alias("start"), F.least("e", edge + BUCKET_BASES).alias("end"), side)
+    return rows.select("chrom", "bucket", F.greatest("s", edge).alias("start"), F.least("e", edge + BUCKET_BASES).alias("end"), "value")
+
+
+def _changes(segments: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places where a track may change, ascending, whether it has a value from there on, and which; it has none before the first."""
+    start, end, value = (segments.column(c) for c in ("start", "end", "value"))
+    n, known = segments.num_rows, value.is_valid().to_numpy()
+    at = np.concatenate([start.to_numpy(), end.to_numpy()])
+    begins, has = np.repeat([True, False], n), np.concatenate([known, np.zeros(n, bool)])
+    value = np.concatenate([value.fill_null(0).to_numpy(), np.zeros(n, np.float32)])
+    # at a position the start of an interval comes after the end of another
+    order = np.lexsort((value, has, begins, at))
+    order = order[np.concatenate([np.diff(at[order]) > 0, np.ones(min(n, 1), bool)])]
+    before = lambda x, first: np.concatenate([np.array([first], x.dtype), x[order]])
+    return before(at, np.iinfo(np.int64).min), before(has, False), before(value, 0)
+
+
+def _sweep(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Bases of a bucket at which two tracks differ, and the first of them; no row where there are none."""
+    (a_at, a_has, a), (b_at, b_has, b) = _changes(left), _changes(right)
+    at = np.union1d(a_at[1:], b_at[1:])
+    i, j = (np.searchsorted(x, at, side="right") - 1 for x in (a_at, b_at))
+    values = (a[i] == b[j]) | (np.isnan(a[i]) & np.isnan(b[j]))
+    same = (a_has[i] == b_has[j]) & (~a_has[i] | values)
+    differs = np.flatnonzero(~same[:-1])
+    bases = np.diff(at)[differs]
+    rows = 1 if len(differs) else 0
+    return pa.table({"chrom": pa.array([key[0].as_py()] * rows, pa.string()), "diff_bases": pa.array([int(bases.sum())] * rows, pa.int64()), "first_diff": pa.array(at[differs[:1]], pa.int64())})
 
 
 def diff_tracks(left: DataFrame, right: DataFrame, length: DataFrame | None = None) -> DataFrame:
-    """chrom, diff_bases and first_diff (0-based) of two tracks (chrom, start, end, value), by breakpoints and never by base.
-
-    Missing stretches equal each other and differ from any value. With ``length`` (chrom, length) bases past it are left out."""
-
-    def events(track, side, other):
-        rows = _segments(track, side)
-        # at a position the start of an interval comes after the end of another
-        marks = F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("has"), F.col(side).alias("v")), F.struct(F.col("end").alias("at"), F.lit(0).alias("has"), F.lit(None).cast("float").alias("v")))
-        marks = rows.select("chrom", "bucket", F.inline(marks)).groupBy("chrom", "bucket", "at").agg(F.max(F.struct("has", "v")).alias(side))
-        return marks.withColumn(other, F.lit(None).cast("struct<has:int,v:float>"))
-
-    both = events(left, "a", "b").unionByName(events(right, "b", "a")).groupBy("chrom", "bucket", "at").agg(F.first("a", True).alias("a"), F.first("b", True).alias("b"))
-    w = Window.partitionBy("chrom", "bucket").orderBy("at")
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = both.select("chrom", "at", F.last("a", True).over(so_far)["v"].alias("a"), F.last("b", True).over(so_far)["v"].alias("b"), F.lead("at").over(w).alias("past"))
-    if length is not None:
-        filled = filled.join(F.broadcast(length.select("chrom", "length")), "chrom").withColumn("past", F.least("past", "length"))
-    differs = filled.where("past > at and not (a <=> b)")
-    return differs.groupBy("chrom").agg(F.sum(F.col("past") - F.col("at")).alias("diff_bases"), F.min("at").alias("first_diff"))
+    """chrom, diff_bases and first_diff (0-based) of two tracks (chrom, start, end, value), swept together and never by base.
+
+    Intervals of a track do not overlap. Missing stretches and null values equal each other and differ from any value; NaN equals
+    NaN. With ``length`` (chrom, length) bases past it are left out, as are chromosomes that it lacks. Each side is shuffled once, by
+    buckets of a reference of which a task holds one at a time."""
+    parts = _segments(left, length).groupBy("chrom", "bucket").cogroup(_segments(right, length).groupBy("chrom", "bucket"))
+    found = parts.applyInArrow(_sweep, "chrom string, diff_bases long, first_diff long")
+    return found.groupBy("chrom").agg(F.sum("diff_bases").alias("diff_bases"), F.min("first_diff").alias("first_diff"))

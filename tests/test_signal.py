@@ -119,6 +119,43 @@ def test_track_difference(spark):
     assert [tuple(r) for r in C.diff_tracks(a, b).collect()] == [("x", 4, 10)]
 
 
+def random_track(rng):
+    """Intervals with gaps, null and NaN values, and the value of each base that has one."""
+    rows, bases = [], {}
+    for chrom in "xyz":
+        at = int(rng.integers(0, 30))
+        while at < 500:
+            past, value = at + int(rng.integers(1, 90)), [1.0, 2.0, float("nan"), None][rng.integers(0, 4)]
+            rows.append((chrom, at, past, value))
+            bases.update({(chrom, i): str(value) for i in range(at, past) if value is not None})
+            at = past + int(rng.integers(0, 2)) * 5
+    return rows, bases
+
+
+def test_track_difference_base_by_base(spark, monkeypatch):
+    monkeypatch.setattr(C, "BUCKET_BASES", 64)
+    rng = np.random.default_rng(8)
+    (left, a), (right, b) = random_track(rng), random_track(rng)
+    right = [r for r in right if r[0] != "z"] + [("only", 5, 9, 1.0)]
+    b = {k: v for k, v in b.items() if k[0] != "z"} | {("only", i): "1.0" for i in range(5, 9)}
+    schema = "chrom string, start long, end long, value float"
+    tracks = [spark.createDataFrame(x, schema).repartition(3) for x in (left, right)]
+    for lengths in (None, {"x": 333, "y": 64, "z": 1000}):
+        want = {}
+        for chrom, at in sorted(a.keys() | b.keys()):
+            if a.get((chrom, at)) != b.get((chrom, at)) and (lengths is None or at < lengths.get(chrom, 0)):
+                n, first = want.get(chrom, (0, at))
+                want[chrom] = (n + 1, first)
+        sizes = lengths and spark.createDataFrame(list(lengths.items()), "chrom string, length long")
+        found = C.diff_tracks(*tracks, sizes)
+        assert {r.chrom: (r.diff_bases, r.first_diff) for r in found.collect()} == want
+    empty = spark.createDataFrame([], schema)
+    assert C.diff_tracks(empty, empty).count() == 0 and C.diff_tracks(tracks[0], tracks[0]).count() == 0
+    plan = C.diff_tracks(*[spark.createDataFrame(x, schema) for x in (left, right)])._jdf.queryExecution().executedPlan().toString()
+    # one shuffle of each side by bucket, one of the buckets' results
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_supplementary_golden(spark):
     rows = [(0, 0, 10, 100, [(1, 50)]), (1, 2048, 200, 300, [(60, 90)]), (2, 2048, 90000, 90100, [(60, 90)]), (3, 2064, 20, 90, None), (4, 2048, 20, 90, [(10, 30)]), (5, 2048, 200, 300, [(1, 50)])]
     df = spark.createDataFrame([(o, "r", 0, f, s, e, q) for o, f, s, e, q in rows], "ordinal long, read_id string, ref_id int, flag int, start long, end long, m_query array<struct<s:bigint,e:bigint>>")
