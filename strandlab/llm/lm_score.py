@@ -40,6 +40,8 @@ DAMPING = 0.5
 BACK, LEAST_PAIRS, VARIANCE, PAIR_UPDATES = 3, 2, 4.0, 16
 #: A class is in one part for so many batches, and in at most so many parts.
 BATCHES_PER_PART, MOST_PARTS = 64, 64
+#: Summaries of buckets that are added up at once; the driver gets no more.
+FAN_IN = 64
 
 _SPEC = "bucket int, pid int, message binary"
 _END_HASH = np.uint64(0x0E2D0E2D0E2D0E2D)
@@ -175,15 +177,32 @@ def _corpus_counts(table: pa.Table, parts: int) -> pa.Table:
     return message_rows(rows)
 
 
-def _vocabulary(summaries: list[bytes], parts: int) -> Vocabulary:
+def _added(summaries: list[bytes], parts: int) -> list[np.ndarray]:
+    """Summaries of disjoint buckets as one of the same size: totals, and the most frequent tokens seen in training, the end first."""
     found = [unpack(m) for m in summaries] or [[np.zeros(CLASSES * parts, np.int64)] * 2 + [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]]
-    tokens, distinct = sum(p[0] for p in found), sum(p[1] for p in found)
     hashes, counts, endings = (np.concatenate([p[i] for p in found]) for i in (2, 3, 4))
-    seen = counts > 0
-    hashes, counts, endings = hashes[seen], counts[seen], endings[seen]
-    order = np.lexsort((hashes, -counts))
-    order = np.concatenate([order[hashes[order] == _END_HASH], order[hashes[order] != _END_HASH]])[:OWN]
-    own = np.concatenate([[_END_HASH], hashes[order][hashes[order] != _END_HASH]])[:OWN]
+    order = np.lexsort((hashes, -counts, hashes != _END_HASH))
+    order = order[counts[order] > 0][:OWN]
+    return [sum(p[0] for p in found), sum(p[1] for p in found), hashes[order], counts[order], endings[order]]
+
+
+def _summaries(counts: DataFrame, buckets: int, parts: int) -> list[bytes]:
+    """Summaries of all buckets, added up until no more than FAN_IN of them are left for the driver."""
+
+    def add(key, table):
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "message": pa.array([pack(*_added(table.column("message").to_pylist(), parts))], pa.binary())})
+
+    rows = counts.where("pid = -1").select("bucket", "message")
+    while buckets > FAN_IN:
+        buckets = -(-buckets // FAN_IN)
+        rows = rows.withColumn("bucket", F.floor(F.col("bucket") / FAN_IN).cast("int")).groupBy("bucket").applyInArrow(add, "bucket int, message binary")
+    return [bytes(r.message) for r in rows.orderBy("bucket").collect()]
+
+
+def _vocabulary(summaries: list[bytes], parts: int) -> Vocabulary:
+    tokens, distinct, hashes, counts, endings = _added(summaries, parts)
+    order = np.arange(len(hashes))
+    own = np.concatenate([[_END_HASH], hashes[hashes != _END_HASH]])[:OWN]
     all_tokens, all_distinct = int(tokens.sum()), int(distinct.sum())
     total = tokens + distinct
     np.subtract.at(total, endings[order] * parts + part_of(hashes[order], parts), counts[order] + 1)
@@ -370,8 +389,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     batch = rows.withColumn("pid", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int"))
     sent = batch.groupBy("pid").applyInArrow(lambda key, t: _token_messages(t, key[0].as_py(), buckets), _SPEC)
     counts = stage(sent.groupBy("bucket").applyInArrow(lambda t: _corpus_counts(t, parts), _SPEC), "token_counts")
-    summaries = counts.where("pid = -1").orderBy("bucket").collect()  # one row of fixed size for each bucket
-    vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary([bytes(r.message) for r in summaries], parts))
+    vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary(_summaries(counts, buckets, parts), parts))
     grams = stage(rows.where("train").select("text").mapInArrow(_class_grams(vocabulary), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "class_grams")
     model = docs.sparkSession.sparkContext.broadcast(_fit_classes(grams))
     unstage(grams)

@@ -44,6 +44,32 @@ def test_quality_separates_junk(spark):
     assert Q.with_quality(docs.limit(0), model).count() == 0
 
 
+def plain_statistics(text):
+    data = (text or "").encode()
+    if not data:
+        return [0.0] * len(Q.STATISTICS)
+    words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+    lines = [x.rstrip(b"\n") for x in re.findall(rb"[^\n]*\n|[^\n]+", data) if len(x) > 1]
+    has = lambda chars: sum(x in chars for x in data)
+    least, marks = max(len(words), 1), bytes(x for x in range(33, 127) if not chr(x).isalnum() and x not in b".,")
+    return [
+        math.log1p(len(data)), math.log1p(len(words)), len(data) / least, has(bytes(range(65, 91))) / len(data), has(b"0123456789") / len(data), has(marks) / least,
+        has(b".,") / least, has(bytes(range(128, 256))) / len(data), (data.count(b"\n") + 1) / least, len(set(words)) / least**0.85,
+        max(collections.Counter(words).values(), default=0) / least, sum(x == y for x, y in zip(words, words[1:])) / least, has(b"!") / least,
+        math.log1p(len(words) / (has(b".!?") + 1)), (len(lines) - len(set(lines))) / max(len(lines), 1), has(b" ") / len(data),
+        sum(len(w) > 18 for w in words) / least, has(b"#$%&*@^~|<>{}[]\\/_=+") / least,
+    ]
+
+
+def test_statistics_against_plain_counts(monkeypatch):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["a", "b c", " ", "\n", "\n\n", "Zé", "9", "!", "?", ".", ",", "#", "word word ", "x" * 20, "same line\n"]) for _ in range(rng.randint(0, 80))) for _ in range(300)]
+    texts += ["", None, "\n", "a", "a\na\na", "!!!", " \t\r\n", "word " * 20_000]
+    for limit in (1 << 21, 100):
+        monkeypatch.setattr(Q.text_runs, "__defaults__", (limit,))
+        assert np.allclose(Q.statistics(pa.array(texts, pa.string())), [plain_statistics(t) for t in texts])
+
+
 def test_quality_weights_are_those_of_direct_ridge(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(700, len(Q.STATISTICS))) * rng.uniform(0.5, 4, len(Q.STATISTICS)) + 3
@@ -237,6 +263,87 @@ def test_repeated_phrases_beat_word_counts(spark):
     assert sum(r.score - r.base_score for r in out) / len(out) > 40  # decimal digits for 60 known successions
 
 
+def test_scores_against_plain_products_of_shares(spark, monkeypatch):
+    """Every text's score, word by word in dictionaries, from the fitted class weights; summaries meet two by two."""
+    rng = random.Random(9)
+    frequent, names = [f"f{i}" for i in range(40)], [f"n{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(frequent if rng.random() < 0.6 else names) for _ in range(rng.randint(0, 60)))) for i in range(150)] + [(900, None)]
+    whole = {r.doc_id: r.score for r in M.score_texts(docs_frame(spark, rows)).collect()}
+    kept, fit = [], M._fit_classes
+    monkeypatch.setattr(M, "_fit_classes", lambda grams: kept.append(fit(grams)) or kept[-1])
+    monkeypatch.setattr(M, "FAN_IN", 2)
+    got = {r.doc_id: r.score for r in M.score_texts(docs_frame(spark, rows)).collect()}
+    assert all(math.isclose(got[d], whole[d], rel_tol=1e-9) for d in whole)
+    (model,) = kept
+    words = {d: [*(t or "").split(), None] for d, t in rows}
+    train = [w for d, w in words.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    counts = collections.Counter(w for t in train for w in t)
+    known = {w: M.Tokens(np.array([0, len(w)]), np.frombuffer(w.encode(), np.uint8)) for t in words.values() for w in t if w}
+    own = [None, *sorted((w for w in counts if w), key=lambda w: (-counts[w], int(known[w].hash[0])))][: M.OWN]
+    kind = lambda w: own.index(w) if w in own else int(known[w].ending[0])
+    total = collections.Counter({c: 1 for c in range(M.CLASSES)})
+    for w, n in counts.items():
+        total[kind(w)] += n + 1
+
+    def pair(text, i):
+        back = next((j for j in range(i - 1, -1, -1) if text[j] not in own), None)
+        return (text[back], text[i]) if text[i] not in own and back is not None and i - back <= M.BACK and counts[text[back]] >= M.LEAST_PAIRS else None
+
+    pairs = collections.Counter(p for t in train for p in (pair(t, i) for i in range(len(t))) if p)
+    units = collections.defaultdict(list)
+    for p in sorted(pairs):
+        units[p[0], kind(p[1])].append(p)
+    value, rest = {}, {}
+    for unit, members in units.items():
+        # one more that never occurs bears the normaliser alone
+        share = np.array([(counts[w] + 1) / total[unit[1]] for _, w in members] + [0.0])
+        fitted = M.fit_pairs(np.zeros(len(share), int), share, np.array([pairs[p] for p in members] + [0]))
+        value.update(zip(members, fitted))
+        rest[unit] = fitted[-1]
+    for d, text in words.items():
+        history, score = [0, 0, 0], 0.0
+        for i, w in enumerate(text):
+            a, b, c = history
+            z = model.one[a] + model.two[b] + model.three[c] + model.pair[int(M.ClassModel.slot(np.array([a]), np.array([b]))[0])]
+            score += z[kind(w)] - np.log(np.exp(z).sum())
+            if w not in own:
+                score += math.log((counts[w] + 1) / total[kind(w)])
+                p = pair(text, i)
+                score += value.get(p, rest.get((p[0], kind(w)), 0.0)) if p else 0.0
+            history = [kind(w), a, b]
+        assert math.isclose(got[d], score / math.log(10), rel_tol=1e-5, abs_tol=1e-5)
+    assert any(pairs[p] >= M.LEAST_PAIRS for p in pairs)
+
+
+def test_class_updates_are_those_of_a_dense_model(spark):
+    rng = np.random.default_rng(3)
+    code = np.unique(rng.integers(0, M.CLASSES**4, 3000) % (M.CLASSES**2 * 5))
+    n = rng.integers(1, 20, len(code))
+    model = M._fit_classes(spark.createDataFrame([(int(c), int(k)) for c, k in zip(code, n)], "gram long, n long").repartition(3))
+    target, a, b, c = (code // M.CLASSES**k % M.CLASSES for k in range(4))
+    bigrams = np.zeros((M.CLASSES, M.CLASSES))
+    np.add.at(bigrams, (a, target), n)
+    backoff = (bigrams.sum(0) + 0.5) / (n.sum() + 0.5 * M.CLASSES)
+    weights = [np.log((bigrams + 8 * backoff) / (bigrams.sum(1, keepdims=True) + 8)), *(np.zeros((s, M.CLASSES)) for s in (M.CLASSES, M.CLASSES, M.PAIRS))]
+    places = (a, b, c, M.ClassModel.slot(a, b))
+    likelihood = []
+    for _ in range(M.UPDATES + 1):
+        p = np.exp(sum(w[at] for w, at in zip(weights, places)))
+        p /= p.sum(1, keepdims=True)
+        likelihood.append((n * np.log(p[np.arange(len(n)), target])).sum())
+        expected = n[:, None] * p
+        residual = n[:, None] * np.eye(M.CLASSES)[target] - expected
+        before = weights
+        weights = []
+        for k, (w, at) in enumerate(zip(before, places)):
+            grad, curve = np.zeros_like(w), np.zeros_like(w)
+            np.add.at(grad, at, residual)
+            np.add.at(curve, at, expected)
+            weights.append(w + M.DAMPING * np.clip(grad / (curve + 10), -2, 2) * (0.7 if k else 1))
+    assert all(np.allclose(x, y) for x, y in zip((model.one, model.two, model.three, model.pair), before))
+    assert likelihood == sorted(likelihood)
+
+
 def test_top_k_is_exact(spark, monkeypatch):
     monkeypatch.setattr(K, "BLOCK_ROWS", 64)
     monkeypatch.setattr(K, "GROUP_QUERIES", 3)
