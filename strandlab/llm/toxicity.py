@@ -261,8 +261,8 @@ def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
 
 
 def units(word: bytes) -> list[bytes]:
-    """What may mark an insult: the word, and its stems of 4 to 8 bytes."""
-    return [word[:n] for n in range(4, min(9, len(word))) if word[n] & 0xC0 != 0x80] + [word] if len(word) >= ORDER else []
+    """What may mark an insult: the word, or the stretches of a long one, and its stems of 4 to 8 bytes; none is above LONGEST."""
+    return [word[:n] for n in range(4, min(9, len(word))) if word[n] & 0xC0 != 0x80] + list(dict.fromkeys(stretches(word))) if len(word) >= ORDER else []
 
 
 def _words(array: pa.Array):
@@ -389,6 +389,20 @@ def _typical(train: DataFrame, only: frozenset) -> DataFrame:
     return places.select("unit", "doc").distinct().join(count.where(F.col("differ") >= LEAST_CONTEXTS).select("unit"), "unit")
 
 
+def support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, decay: float = 1e-3, steps: int = 3000) -> tuple[np.ndarray, float]:
+    """Weights and bias of the least weighted hinge loss plus decay / 2 times the squared weights: the mean of the second half of
+    sub-gradient steps."""
+    w, b, mean_w, mean_b = np.zeros(x.shape[1]), 0.0, 0.0, 0.0
+    for step in range(1, steps + 1):
+        active = y * (x @ w + b) < 1
+        grad = decay * w - (weight[active] * y[active]) @ x[active]
+        rate = 2.0 / (1 + 0.02 * step)
+        w, b = w - rate * grad, b + rate * float((weight[active] * y[active]).sum())
+        if step > steps // 2:
+            mean_w, mean_b = mean_w + w, mean_b + b
+    return mean_w / (steps - steps // 2), mean_b / (steps - steps // 2)
+
+
 def _fit_svm(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> None:
     """Sentence features, equal ones counted together, and each document's class; then sub-gradient steps and calibration."""
     def features(batches):
@@ -415,16 +429,7 @@ def _fit_svm(model: ToxicModel, train: DataFrame, known: dict[int, int]) -> None
     weight = np.concatenate([count, [count.sum() + 1], np.full(len(extra), max(1.0, count[label == 1].sum() / max(1, len(extra))))])
     for side in (1.0, -1.0):
         weight[y == side] /= weight[y == side].sum()
-    w, b, mean_w, mean_b = np.zeros(x.shape[1]), 0.0, 0.0, 0.0
-    decay, steps = 1e-3, 3000
-    for step in range(1, steps + 1):
-        active = y * (x @ w + b) < 1
-        grad = decay * w - (weight[active] * y[active]) @ x[active]
-        rate = 2.0 / (1 + 0.02 * step)
-        w, b = w - rate * grad, b + rate * float((weight[active] * y[active]).sum())
-        if step > steps // 2:
-            mean_w, mean_b = mean_w + w, mean_b + b
-    model.weight, model.bias = mean_w / (steps - steps // 2), mean_b / (steps - steps // 2)
+    model.weight, model.bias = support_vectors(x, y, weight)
     _calibrate(model, train, known)
 
 

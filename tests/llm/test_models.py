@@ -186,6 +186,68 @@ def test_toxicity_tolerates_inserted_characters(spark):
     assert X.fit_toxicity(docs.limit(0), labels) is None and X.with_toxicity(docs, None).where("toxicity = 0").count() == len(got)
 
 
+def plain_evidence(model, text):
+    """Worst sentence's margin, number and share of words like a landmark, with the kernel by its definition."""
+    data = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+    words = [(m.start(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    plain = lambda w, m: plain_kernel(w.decode("latin-1"), m.decode("latin-1"), X.ORDER, X.LAMBDA)
+    own = [plain(m, m) for m in model.landmarks]
+    sims = lambda w: np.max([[min(1.0, plain(p, m) / o) for m, o in zip(model.landmarks, own)] for p in X.stretches(w)], axis=0)
+    found = [(data[:at], sims(re.sub(rb"[^0-9a-z\x80-\xff]", b"", w))) for at, w in words]
+    single = [bool(re.fullmatch(rb"[0-9a-z\x80-\xff][^0-9a-z\x80-\xff]?", w)) for _, w in words]
+    for i, one in enumerate(single):
+        n = (single[i:] + [False]).index(False)
+        if one and n >= X.ORDER and not (i and single[i - 1]):
+            found.append((data[: words[i][0]], sims(b"".join(w[:1] for _, w in words[i : i + n]))))
+    worst, many = {None: np.zeros(len(model.landmarks))}, 0.0
+    for before, value in found:
+        if max(value[: model.toxic]) >= X.FLOOR:
+            sentence = len(re.findall(rb"[.!?\n]", before))
+            worst[sentence] = np.maximum(worst.get(sentence, 0), value)
+            many += min(max(2 * max(value[: model.toxic]) - 1, 0), 1)
+    return [max(float(v @ model.whiten @ model.weight + model.bias) for v in worst.values()), math.log1p(many), 30 * math.sqrt(many / (100 + len(data)))]
+
+
+def test_toxicity_scores_against_plain_kernels(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abeghklnru") for _ in range(rng.randint(1, 6)))
+    long = "unspeakablyhorriblenincompoopery" * 2
+    bad = ["moron", "idiot", long]
+    rows = [(i, ". ".join(" ".join([word() for _ in range(4)] + [bad[i % 3]] * (i % 5 == 0 and k == 1) + [word() for _ in range(3)]) for k in range(2))) for i in range(300)]
+    docs = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    model = X.fit_toxicity(docs, labels)
+    assert max(map(len, model.landmarks)) == X.LONGEST and math.isclose(max(model.kernel.similarities([long.encode()])[0]), 1)
+    texts = ["You IDIOT. a mo-ron! i d. i o t here", "m o r o n", "idixot and moroon? fine", "all is well", "", None, long + "s", "the idiot\nidiot idiot"]
+    got = {r.doc_id: r.toxicity for r in X.with_toxicity(docs_frame(spark, list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        want = plain_evidence(model, text) @ model.line[:-1] + model.line[-1]
+        assert math.isclose(got[i], 1 / (1 + math.exp(-want)), rel_tol=1e-9)
+    # at the document line's weights the gradient of the penalised likelihood is none, over the rows that may teach
+    known = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    y = np.array([i % 5 == 0 for i, _ in known], float)
+    x = np.array([[*plain_evidence(model, t), 1.0] for _, t in known])
+    p = 1 / (1 + np.exp(-(x @ model.line)))
+    assert np.abs(x.T @ (y - p) - 1e-2 * model.line).max() < 1e-4
+
+
+def test_support_vectors_have_the_least_loss():
+    rng = np.random.default_rng(13)
+    x = np.concatenate([rng.normal(size=(80, 6)) + 0.7, rng.normal(size=(120, 6)) - 0.5])
+    y = np.repeat([1.0, -1.0], [80, 120])
+    weight = rng.uniform(0.5, 2, 200)
+    for side in (1, -1):
+        weight[y == side] /= weight[y == side].sum()
+    w, b = X.support_vectors(x, y, weight)
+    loss = lambda w, b: (weight * np.maximum(0, 1 - y * (x @ w + b))).sum() + 1e-3 / 2 * w @ w
+    least = loss(w, b)
+    # the loss is convex: what no step near or far lowers by a hundredth is the least to about that
+    for size in (0.01, 0.1, 0.5, 2.0):
+        for _ in range(500):
+            step = rng.normal(size=7) * size
+            assert loss(w + step[:6], b + step[6]) > least * 0.99
+
+
 def test_base_scores_and_gain(spark):
     rng = random.Random(5)
     a, b = ["le", "la", "Été", "un"], ["the", "of", "THE", "x1"]
