@@ -8,11 +8,13 @@ The scan keeps one cursor in each stretch of text and moves all cursors by their
 the same search as a single cursor per text. Documents are never shuffled. Windows are sent in blocks of about
 ``patterns_per_pass`` windows and PASS_BYTES bytes at most; a larger benchmark makes more passes over the same rows,
 PASSES_AT_ONCE of them in one Spark stage, whose blocks are all that the driver and the executors hold of the benchmark.
+Between such groups of passes the rows they hit are kept by number; texts are written once, however many groups there are.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ WINDOW_WORDS = 13
 #: Bound of one broadcast: windows for each pass (about 100 bytes each).
 PATTERNS_PER_PASS = 100_000
 PASS_BYTES = 16 << 20
-#: Blocks that are held at once; after so many passes the rows are staged.
+#: Blocks that are held at once; more passes go in groups of so many.
 PASSES_AT_ONCE = 4
 LANE = 2048
 TABLE_BITS = 20
@@ -175,27 +177,67 @@ def find_contamination(
     windows = stage(_benchmark_windows(benchmark, item_col, item_text_col, window_words), "windows")
     total = windows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("window")), F.lit(0)).alias("bytes")).first()
     passes = max(1, -(-total.n // patterns_per_pass), -(-total.bytes // PASS_BYTES))
-    cut = windows.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(passes)))
+    blocks = windows.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(passes)).cast("int"))
+    if passes > 1:  # a pass reads only its own files
+        blocks, whole = stage(blocks.repartition("block"), "windows", by="block"), windows
+        unstage(whole)
     item = windows.schema["item"].dataType
     row = row_struct(docs, keep).alias("row") if keep else F.struct(F.lit(None).cast("int").alias("none")).alias("row")
-    state = docs.select(row, F.col(f"`{text_col}`").alias("text"), F.lit(None).cast("binary").alias("hits"), F.lit(None).cast(T.ArrayType(item)).alias("items"))
-    final = T.StructType([state.schema["row"], T.StructField("result", _result_type(item))])
-    sent: list = []
-    staged = None
-    for k in range(passes):
-        if len(sent) == PASSES_AT_ONCE:
-            state, before = stage(state, "hits"), staged
-            staged = state
-            unstage(before)
-            for old in sent:
-                old.destroy()
-            sent = []
-        block = cut.where(F.col("block") == k).select("window", "item").toArrow()  # about patterns_per_pass rows
-        sent.append(docs.sparkSession.sparkContext.broadcast(list(zip(block.column("window").to_pylist(), block.column("item").to_pylist()))))
-        last = k == passes - 1
+    rows = docs.select(row, F.col(f"`{text_col}`").alias("text"))
+    final = T.StructType([rows.schema["row"], T.StructField("result", _result_type(item))])
+    if passes <= PASSES_AT_ONCE:
+        out = _search(rows, blocks, range(passes), item, final)[0]
+    else:
+        out = _search_in_groups(rows, blocks, passes, item, final)
+    unstage(windows, blocks)
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], F.col("result").alias(result_col))
+
+
+def _search(rows: DataFrame, blocks: DataFrame, numbers, item: T.DataType, final: T.StructType | None = None) -> tuple[DataFrame, list]:
+    """Rows (row, text) with what the numbered blocks find in them, and the blocks sent: the summary as ``final`` has it, or hits and items so far."""
+    state = rows.select("row", "text", F.lit(None).cast("binary").alias("hits"), F.lit(None).cast(T.ArrayType(item)).alias("items"))
+    sent = []
+    for k in numbers:
+        block = blocks.where(F.col("block") == k).select("window", "item").toArrow()  # about patterns_per_pass rows
+        sent.append(rows.sparkSession.sparkContext.broadcast(list(zip(block.column("window").to_pylist(), block.column("item").to_pylist()))))
+        last = final is not None and k == numbers[-1]
         state = state.mapInArrow(_scan(sent[-1], last), final if last else state.schema)
-    unstage(windows)
-    return state.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], F.col("result").alias(result_col))
+    return state, sent
+
+
+def _search_in_groups(rows: DataFrame, blocks: DataFrame, passes: int, item: T.DataType, final: T.StructType) -> DataFrame:
+    """As :func:`_search` for many blocks: texts are written once, under numbers; each PASSES_AT_ONCE blocks leave a table of the rows they
+    hit, and only these tables meet the rows again, by number and without the texts."""
+    counted = T.StructType([*rows.schema, T.StructField("place", T.LongType()), T.StructField("n_words", T.LongType())])
+    numbered = stage(rows.withColumn("place", F.monotonically_increasing_id()).mapInArrow(_count_words, counted), "texts")
+    tables = []
+    for first in range(0, passes, PASSES_AT_ONCE):
+        state, sent = _search(numbered.select(F.struct("place").alias("row"), "text"), blocks, range(first, min(first + PASSES_AT_ONCE, passes)), item)
+        tables.append(stage(state.where(F.octet_length("hits") > 0).select("row.place", "hits", "items"), "hits"))
+        for old in sent:
+            old.destroy()
+    every = reduce(DataFrame.unionByName, tables)
+    # a row is at most once in each table; the merged table's size decides whether it is broadcast
+    merged = stage(every.groupBy("place").agg(F.collect_list("hits").alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")), "hits")
+    unstage(*tables)
+    return numbered.select("row", "n_words", "place").join(merged, "place", "left").select("row", "n_words", "hits", "items").mapInArrow(_summaries, final)
+
+
+def _count_words(batches):
+    for batch in batches:
+        counts = [len(words_of(data[a:b].tobytes())) for _, _, offsets, data in text_runs(batch.column("text")) for a, b in zip(offsets, offsets[1:])]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], [*batch.schema.names, "n_words"])
+
+
+def _summaries(batches):
+    for batch in batches:
+        found = zip(*(batch.column(c).to_pylist() for c in ("n_words", "hits", "items")))
+        out = [_summary(n, b"".join(hits or []), sorted(items or [])) for n, hits, items in found]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, _summary_type(batch.schema.field("items").type))], ["row", "result"])
+
+
+def _summary_type(items: pa.DataType) -> pa.DataType:
+    return pa.struct([*((n, pa.int64()) for n in ("n_words", "n_hit", "n_items")), ("items", items), ("spans", pa.list_(pa.list_(pa.int32())))])
 
 
 def _scan(shared, last: bool):
@@ -220,8 +262,7 @@ def _scan(shared, last: bool):
                         items_out.append(items)
             kind = batch.schema.field("items").type
             if last:
-                result = pa.struct([*((n, pa.int64()) for n in ("n_words", "n_hit", "n_items")), ("items", kind), ("spans", pa.list_(pa.list_(pa.int32())))])
-                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, result)], ["row", "result"])
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, _summary_type(kind))], ["row", "result"])
             else:
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(hits_out, pa.binary()), pa.array(items_out, kind)], ["row", "text", "hits", "items"])
 

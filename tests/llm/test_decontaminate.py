@@ -80,3 +80,15 @@ def test_shift_tables_find_every_occurrence():
     found = D.WuManber(patterns).find(text)
     want = [(i, k) for i in range(len(text)) for k, p in enumerate(patterns) if text.startswith(p, i)]
     assert sorted(found) == want
+
+
+def test_many_passes_write_texts_once(spark, monkeypatch):
+    staged, real = [], D.stage
+    monkeypatch.setattr(D, "stage", lambda df, name, by=None: (staged.append((name, by)), real(df, name, by))[1])
+    docs, bench = data(6)
+    assert run(spark, docs, bench, patterns_per_pass=4) == plain(docs, bench, 13)
+    names = [name for name, _ in staged]
+    assert names.count("texts") == 1 and names.count("hits") >= 3 and staged.count(("windows", "block")) == 1
+    staged.clear()
+    assert run(spark, docs, bench) == plain(docs, bench, 13)
+    assert staged == [("windows", None)]
