@@ -1,4 +1,5 @@
-"""CIGAR operators. The signal and the coverage dialects advance on different operations; both are walked within the row."""
+"""CIGAR operators. The signal and the coverage dialects advance on different operations; both are walked within the row.
+A record's ``cigar`` is a list of operations or its text."""
 
 from __future__ import annotations
 
@@ -27,6 +28,14 @@ def with_blocks(records: DataFrame) -> DataFrame:
     return records.withColumn("blocks", walk(F.col("pos").cast("bigint"), "cigar")["blocks"])
 
 
+def with_placed_blocks(records: DataFrame, min_len: int = 1) -> DataFrame:
+    """Adds ``start`` and ``end`` (1-based, inclusive, over M and D operations) and ``blocks`` in one walk; keeps end - start > min_len."""
+    rows = records.withColumn("_walk", walk(F.col("pos").cast("bigint"), "cigar"))
+    pos = F.col("pos").cast("bigint")
+    placed = rows.withColumns({"start": pos + 1, "end": pos + F.col("_walk.span"), "blocks": F.col("_walk.blocks")}).drop("_walk")
+    return placed.where(F.col("end") - F.col("start") > min_len)
+
+
 def signal_blocks(records: DataFrame) -> DataFrame:
     """ordinal and the fields of each M block, as rows."""
     return with_blocks(records.select("ordinal", "pos", "cigar")).select("ordinal", F.inline("blocks"))

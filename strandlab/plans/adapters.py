@@ -65,7 +65,8 @@ def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
 
 
-def alignments(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
+def alignments(spark: SparkSession, sf_dir: str, extended: bool = False, parse: bool = True) -> DataFrame:
+    """Alignments; ``cigar`` is parsed or, for what walks it, the text."""
     rows = frame(spark, sf_dir, ALIGN)
     flag, cigar = ("flag_x", "cigar_x") if extended else ("flag", "cigar_text")
-    return rows.select("read_id", "ref_id", "chrom", "k", "ordinal", F.col(flag).alias("flag"), "pos", parse_cigar(F.col(cigar)).alias("cigar"), "sa", F.lit(200).alias("l_seq"))
+    return rows.select("read_id", "ref_id", "chrom", "k", "ordinal", F.col(flag).alias("flag"), "pos", (parse_cigar(F.col(cigar)) if parse else F.col(cigar)).alias("cigar"), "sa", F.lit(200).alias("l_seq"))

@@ -11,7 +11,7 @@ from ..operators import filters as L
 from ..operators import signal as S
 from ..operators import supplementary as U
 from ..functions.staging import stage
-from ..operators.cigar import query_intervals, signal_blocks, with_blocks, with_read_length
+from ..operators.cigar import query_intervals, signal_blocks, with_blocks, with_placed_blocks, with_read_length
 from . import adapters as A
 from .compare import compare_mappings, key_difference
 
@@ -61,7 +61,7 @@ _BEFORE = "over (partition by ordinal order by ix rows between unbounded precedi
          pos + 1 + coalesce(sum(case when op in ('M', 'D', 'N') then len else 0 end) {_BEFORE}, 0) r from ops)
 select ordinal, cast(q as bigint) q, len, cast(r as bigint) r from p where op = 'M'""")
 def cigar_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signal_blocks(A.alignments(spark, sf_dir, True)).select("ordinal", "q", "len", "r")
+    return signal_blocks(A.alignments(spark, sf_dir, True, parse=False)).select("ordinal", "q", "len", "r")
 
 
 @_query(_AL + _ops("cigar_x") + """, n as (
@@ -73,7 +73,7 @@ select n.ordinal, cast(case when op = 'S' and len > 0 then walked else done end
   cast(case when (flag & 16) <> 0 then case when op = 'S' and len > 0 then walked else done end - 200 else 0 end as bigint) shift
 from n left join m using (ordinal) where (op = 'S' and len > 0) or done is not null""")
 def read_length_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_read_length(A.alignments(spark, sf_dir, True).select("ordinal", "flag", "l_seq", "cigar")).where("read_length is not null")
+    rows = with_read_length(A.alignments(spark, sf_dir, True, parse=False).select("ordinal", "flag", "l_seq", "cigar")).where("read_length is not null")
     shift = F.when(F.col("flag").bitwiseAND(L.REVERSE) != 0, F.col("read_length") - F.col("l_seq")).otherwise(0)
     return rows.select("ordinal", "read_length", shift.cast("bigint").alias("shift"))
 
@@ -88,7 +88,7 @@ def _cov(cigar: str, flag: str, where: str = "true") -> str:
 
 @_query(_AL + _ops("cigar_x") + ", " + _cov("cigar_x", "flag_x") + " select ref_id, bin, n from cov")
 def coverage_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.coverage_bins(L.mapped(A.alignments(spark, sf_dir, True)), 50).select("ref_id", "bin", "n")
+    return C.coverage_bins(L.mapped(A.alignments(spark, sf_dir, True, parse=False)), 50).select("ref_id", "bin", "n")
 
 
 def _refs(edges: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ runs as (select *, sum(new) over (partition by ref_id order by bin) run from mar
 select concat('chr', cast(ref_id + 1 as varchar)) chrom, cast(min(bin) * 50 as bigint) as "start", cast(least((max(bin) + 1) * 50, max(length)) as bigint) as "end", cast(min(n) as float) as "value"
 from runs group by ref_id, run""")
 def coverage_dense_rle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = L.mapped(A.alignments(spark, sf_dir, True))
+    rows = L.mapped(A.alignments(spark, sf_dir, True, parse=False))
     edges = stage(C.coverage_edges(rows, 50), "edges")
     return C.coverage_intervals(edges, _refs(edges), 50).select("chrom", "start", "end", "value")
 
@@ -114,7 +114,7 @@ a as (select ref_id, bin, n from cov where half = 0), b as (select ref_id, bin,
 d as (select coalesce(a.ref_id, b.ref_id) ref_id, coalesce(a.bin, b.bin) bin from a full join b using (ref_id, bin) where a.n is distinct from b.n)
 select concat('chr', cast(ref_id + 1 as varchar)) chrom, cast(count(*) * 50 as bigint) diff_bases, cast(min(bin) * 50 as bigint) first_diff from d group by ref_id""")
 def coverage_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = L.mapped(A.alignments(spark, sf_dir, True)).withColumn("half", F.col("k") % 2)
+    rows = L.mapped(A.alignments(spark, sf_dir, True, parse=False)).withColumn("half", F.col("k") % 2)
     runs = C.coverage_runs(stage(C.coverage_edges(rows, 50, keys=("half",)), "edges"), ("half",)).where("n > 0")
 
     def track(half):
@@ -136,8 +136,8 @@ _MAPS = _AL + _ops("cigar_text") + f""", p as (
 
 
 def _maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = L.with_span(L.sa_agrees(A.alignments(spark, sf_dir)), 1)
-    return with_blocks(rows).select("ordinal", "read_id", "ref_id", "flag", "start", "end", query_intervals().alias("m_query"))
+    rows = with_placed_blocks(L.sa_agrees(A.alignments(spark, sf_dir, parse=False)), 1)
+    return rows.select("ordinal", "read_id", "ref_id", "flag", "start", "end", query_intervals().alias("m_query"))
 
 
 @_query(_MAPS + " select ordinal, cast(place as integer) place, cast(first_value(s) over w as bigint) leader_start, cast(first_value(e) over w as bigint) leader_end from maps window w as (partition by ref_id, read_id order by place rows between unbounded preceding and unbounded following)")
