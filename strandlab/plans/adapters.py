@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.parts import spread
 from ..operators.cigar import parse_cigar
 
 _AL0 = """
@@ -62,7 +63,10 @@ def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     names = [n for n in ("lineitem", "events", "embeddings", "documents") if f"from {n}" in sql]
     for n in names:
         sql = sql.replace(f"from {n}", f"from {{{n}}}")
-    return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
+    tables = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    if "lineitem" in tables:  # numbered within orders
+        tables["lineitem"] = spread(tables["lineitem"], "l_orderkey")
+    return spark.sql(sql, **tables)
 
 
 def alignments(spark: SparkSession, sf_dir: str, extended: bool = False, parse: bool = True) -> DataFrame:

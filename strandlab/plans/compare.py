@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.parts import spread
 from ..functions.staging import stage, unstage
 from ..sources import rds
 
@@ -15,10 +16,11 @@ TOLERANCE = 1e-12
 
 
 def key_difference(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys that only one side has, and which."""
-    a, b = left.select(*keys).distinct(), right.select(*keys).distinct()
-    only = lambda x, y, side: x.join(y, keys, "left_anti").withColumn("side", F.lit(side))
-    return only(a, b, "left").unionByName(only(b, a, "right"))
+    """Distinct keys that only one side has, and which; missing values equal each other."""
+    side = lambda df, name: df.select(*[F.col(f"`{k}`") for k in keys], F.lit(name).alias("side"))
+    both = spread(side(left, "left").unionByName(side(right, "right")), *[f"`{k}`" for k in keys])
+    found = both.groupBy(*[f"`{k}`" for k in keys]).agg(F.min("side").alias("side"), F.max("side").alias("_last"))
+    return found.where("side = _last").drop("_last")
 
 
 def _value(x):
